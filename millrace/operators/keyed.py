@@ -11,7 +11,7 @@ and per value column a struct ``(version, value)`` that is null while nothing wa
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -120,15 +120,19 @@ class KeyedTable:
                                & F.col(self.key).isin(*typed))
         return current(wanted, self.key, list(self.columns))
 
-    def replace(self, df: DataFrame, epoch: int) -> "KeyedTable":
+    def at(self, path: str) -> KeyedTable:
+        """An equally shaped table in another folder."""
+        return replace(self, path=path)
+
+    def replace(self, df: DataFrame, epoch: int, step: str | None = None) -> KeyedTable:
         """The whole table replaced: a new folder that holds ``df`` only."""
-        fresh = KeyedTable(self.spark, f"{self.path}-from-{epoch}", self.key, self.key_type, self.columns, self.buckets)
-        fresh.write(df, epoch)
+        fresh = self.at(f"{self.path}-from-{epoch}")
+        fresh.write(df, epoch, step)
         return fresh
 
-    def compact(self, path: str, up_to: int) -> "KeyedTable":
+    def compact(self, path: str, up_to: int) -> KeyedTable:
         """Fold epochs up to ``up_to`` into one base slice, and copy later ones, in a new folder."""
-        fresh = KeyedTable(self.spark, path, self.key, self.key_type, self.columns, self.buckets)
+        fresh = self.at(path)
         fresh._store(self.slices(up_to).drop("epoch", "bucket"), up_to)
         later = self.slices().filter(F.col("epoch") > up_to)
         later.write.mode("append").partitionBy("epoch", "bucket").parquet(path)

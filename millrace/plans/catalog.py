@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.plans import relational, streams  # noqa: F401  (each registers its queries)
+from millrace.plans import models, relational, stores, streams  # noqa: F401  (each registers its queries)
 from millrace.plans.registry import ORACLES, QUERIES, Query
 
 

@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions import columns as C
-from millrace.operators.aggregates import total
 from millrace.operators.skew import heavy_keys
 from millrace.plans.registry import query
 from millrace.session import materialize, scratch
@@ -174,9 +172,10 @@ def status_split_good_bad(spark: SparkSession, folder: str) -> DataFrame:
     }
     run = sinks.Bounded(stream_table(spark, folder, "orders"), "split", do=lambda path: sinks.fan_out(path, parts))
     run.drain()
-    schema = run.df.select(*columns).schema
-    good = sinks.read_epochs(spark, f"{run.path}/good", schema.add("delivery_time", "string"))
-    bad = sinks.read_epochs(spark, f"{run.path}/bad", run.df.select(*columns).schema.add("reason", "string"))
+    good = sinks.read_epochs(spark, f"{run.path}/good",
+                             T.StructType.fromDDL("o_orderkey bigint, o_orderstatus string, delivery_time string"))
+    bad = sinks.read_epochs(spark, f"{run.path}/bad",
+                            T.StructType.fromDDL("o_orderkey bigint, o_orderstatus string, reason string"))
     both = good.withColumn("job", F.lit("good")).unionByName(bad.withColumn("job", F.lit("bad")),
                                                              allowMissingColumns=True)
     return both.select("job", *columns, "reason", "delivery_time")
@@ -193,8 +192,7 @@ def memory_sink_query(spark: SparkSession, folder: str) -> DataFrame:
         FROM (SELECT *, current_timestamp() AS my_extra_column FROM {name} WHERE event_type <> 'error')""")
 
 
-@query("""SELECT *, CAST('0000000000000' || CASE WHEN event_id IS NULL THEN '1' ELSE '0' END AS VARCHAR) AS p_date
-FROM events""")
+@query("""SELECT *, '00000000000000' AS p_date FROM events""")
 def stamped_partitions(spark: SparkSession, folder: str) -> DataFrame:
     events = stream_table(spark, folder, "events")
     run = sinks.Bounded(events, "stamped", do=lambda path: sinks.stamped(path, lambda epoch: f"{epoch:014d}"))
@@ -370,7 +368,7 @@ def orders_with_lines(spark: SparkSession, folder: str, how: str) -> DataFrame:
     run = sinks.Bounded(windows.flat(joined.select(windows.WINDOW, "order_id", "user_id", "item_id", "line")), "joined")
     run.drain()
     replay.arrive([(cut[0][1:], left_folder), (cut[1][1:], right_folder)], run.drain)
-    return run.revisions().drop("epoch")
+    return run.revisions().drop("epoch").withColumn("user_id", F.coalesce("user_id", F.lit(-1)))
 
 
 @query(f"""WITH {YEARS} SELECT {WINDOW_ENDS}, order_id, user_id, item_id, line
@@ -381,7 +379,7 @@ def stream_stream_inner(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""WITH {YEARS}, seen AS (
   SELECT least((SELECT max(o_orderdate) FROM orders), (SELECT max(l_shipdate) FROM lineitem)) - INTERVAL 30 DAY AS mark)
-SELECT {WINDOW_ENDS}, order_id, user_id, item_id, line FROM lines LEFT JOIN heads USING (order_id, w)
+SELECT {WINDOW_ENDS}, order_id, coalesce(user_id, -1) AS user_id, item_id, line FROM lines LEFT JOIN heads USING (order_id, w)
 WHERE user_id IS NOT NULL OR make_timestamp((w + 1) * {YEAR_US}) <= (SELECT mark FROM seen)""")
 def stream_stream_right(spark: SparkSession, folder: str) -> DataFrame:
     return orders_with_lines(spark, folder, "right")
