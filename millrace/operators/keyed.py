@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-VERSION = T.StructType([T.StructField("epoch", T.LongType()), T.StructField("step", T.LongType())])
+from millrace.operators.bucketed import BUCKET, bucket_of, near_keys, write_buckets
 
 
 def mentions(column: str) -> str:
@@ -84,10 +84,10 @@ class KeyedTable:
         mark = "struct<epoch: bigint, step: bigint>"
         return T.StructType.fromDDL(", ".join(
             [f"{self.key} {self.key_type}", f"_written {mark}", f"_deleted {mark}", *cells,
-             "epoch bigint", "bucket int"]))
+             "epoch bigint", f"{BUCKET} int"]))
 
     def bucket(self, key: Column) -> Column:
-        return F.pmod(F.xxhash64(key.cast(self.key_type)), F.lit(self.buckets)).cast("int")
+        return bucket_of(key.cast(self.key_type), self.buckets)
 
     def write(self, df: DataFrame, epoch: int, step: str | None = None, deleted: Column | None = None) -> None:
         """Upsert (or remove) rows as epoch ``epoch``. ``step`` orders changes of one key inside it."""
@@ -96,14 +96,12 @@ class KeyedTable:
 
     def _store(self, changes: DataFrame, epoch: int) -> None:
         folded = fold(changes, self.key, list(self.columns))
-        # Rebalancing gathers each bucket into few files and splits a bucket that is large.
-        (folded.withColumn("bucket", self.bucket(F.col(self.key))).hint("rebalance", "bucket")
-         .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/epoch={epoch}"))
+        write_buckets(folded, f"{self.path}/epoch={epoch}", self.key, self.buckets)
 
     def slices(self, up_to: int | None = None) -> DataFrame:
         """Stored changes, restricted to epochs ``<= up_to`` if given (a repeated epoch must not see itself
         or later ones)."""
-        stored = self.spark.read.schema(self.schema).option("basePath", self.path).parquet(self.path)
+        stored = self.spark.read.schema(self.schema).parquet(self.path)
         return stored if up_to is None else stored.filter(F.col("epoch") <= up_to)
 
     def read(self, up_to: int | None = None) -> DataFrame:
@@ -116,10 +114,16 @@ class KeyedTable:
         """
         typed = [F.lit(k).cast(self.key_type) for k in keys]
         stored = self.slices()
-        wanted = stored.filter(F.col("bucket").isin(*[self.bucket(k) for k in typed])
+        wanted = stored.filter(F.col(BUCKET).isin(*[self.bucket(k) for k in typed])
                                & F.col(self.key).isin(*typed))
         return current(wanted, self.key, list(self.columns))
 
+    def rows_of(self, keys: DataFrame) -> DataFrame:
+        """Rows of the keys in a frame: their buckets are read, and met with the keys in a semi-join."""
+        wanted = near_keys(self.slices(), keys.select(F.col(self.key).cast(self.key_type)), self.key, self.buckets)
+        return current(wanted.join(keys.select(self.key).distinct(), self.key, "left_semi"),
+                       self.key, list(self.columns))
+
     def at(self, path: str) -> KeyedTable:
         """An equally shaped table in another folder."""
         return replace(self, path=path)
@@ -133,7 +137,7 @@ class KeyedTable:
     def compact(self, path: str, up_to: int) -> KeyedTable:
         """Fold epochs up to ``up_to`` into one base slice, and copy later ones, in a new folder."""
         fresh = self.at(path)
-        fresh._store(self.slices(up_to).drop("epoch", "bucket"), up_to)
+        fresh._store(self.slices(up_to).drop("epoch", BUCKET), up_to)
         later = self.slices().filter(F.col("epoch") > up_to)
-        later.write.mode("append").partitionBy("epoch", "bucket").parquet(path)
+        later.write.mode("append").partitionBy("epoch", BUCKET).parquet(path)
         return fresh

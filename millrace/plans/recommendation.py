@@ -9,15 +9,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.ml.recommend import K, or_else, recommend, with_precision
-from millrace.operators.joins import enrich, keep_keys
+from millrace.operators.bucketed import near_keys
+from millrace.operators.joins import enrich
 from millrace.streaming.sinks import Each
 
 
-def recommend_into(path: str, model: ALSModel, bought: DataFrame, items: DataFrame,
+def recommend_into(path: str, model: ALSModel, pairs: DataFrame, items: DataFrame,
                    fallback: list[int] | None = None, k: int = K) -> Each:
     """Write enriched purchases to ``path/rows`` and one row of figures per batch to ``path/figures``.
 
-    Users and items of the batch reach the other tables by semi-joins; no key passes through the driver.
+    ``pairs`` (by user) and ``items`` (by item) are tables of :func:`~millrace.operators.bucketed.write_buckets`:
+    a batch reads the buckets of its own keys, and no key passes through the driver.
     """
     def write(batch: DataFrame, epoch: int) -> None:
         started = time.monotonic()
@@ -26,13 +28,11 @@ def recommend_into(path: str, model: ALSModel, bought: DataFrame, items: DataFra
         recs = recommend(model, users, k)
         if fallback:
             recs = or_else(users, recs, fallback)
-        scored = with_precision(recs, keep_keys(bought, users, ["user_id"])).persist()
+        scored = with_precision(recs, near_keys(pairs, users, "user_id")).persist()
         try:
-            rows = enrich(batch, scored, keep_keys(items, batch, ["item_id"]))
+            rows = enrich(batch, scored, near_keys(items, batch, "item_id"))
             rows.write.mode("overwrite").parquet(f"{path}/rows/epoch={epoch}")
-            figures = scored.agg(F.avg("precision_at_k").alias("precision_at_k"), F.count("*").alias("users"))
-            # The mean is taken before the clock is read: writing the row is all that is left.
-            mean, count = figures.first()
+            mean, count = scored.agg(F.avg("precision_at_k"), F.count("*")).first()
             batch.sparkSession.createDataFrame(
                 [(mean, count, time.monotonic() - started)], "precision_at_k double, users long, seconds double",
             ).write.mode("overwrite").parquet(f"{path}/figures/epoch={epoch}")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import columns as C
-from millrace.ml.recommend import precision
+from millrace.ml.recommend import owned, precision
 from millrace.operators import aggregates as A
 from millrace.operators import joins as J
 from millrace.operators import ranking as R
@@ -248,7 +248,7 @@ PRECISION = """shares AS (
 @query(f"""WITH {PURCHASES}, {TOP}, {BEST}, {PRECISION}
 SELECT user_id, round(precision_at_k, 4) AS precision_at_k FROM shares""")
 def precision_at_k(spark: SparkSession, folder: str) -> DataFrame:
-    shares = precision(shared_recs(spark, folder), all_purchases(spark, folder))
+    shares = precision(shared_recs(spark, folder), owned(all_purchases(spark, folder)))
     return shares.select(F.col("user_id").cast("long").alias("user_id"),
                          F.round("precision_at_k", 4).alias("precision_at_k"))
 
@@ -266,7 +266,7 @@ SELECT p.user_id, p.item_id, p.quantity, p.sales_value, round(s.precision_at_k,
 FROM purchases p LEFT JOIN shares s ON s.user_id = p.user_id LEFT JOIN part ON p_partkey = p.item_id""")
 def three_way_enrich(spark: SparkSession, folder: str) -> DataFrame:
     bought = all_purchases(spark, folder).drop("order_id", "bought_at")
-    shares = precision(shared_recs(spark, folder), bought)
+    shares = precision(shared_recs(spark, folder), owned(bought))
     rows = J.enrich(bought, shares, item_features(spark, folder))
     return rows.select(F.col("user_id").cast("long").alias("user_id"), F.col("item_id").cast("long").alias("item_id"),
                        F.col("quantity").cast("long").alias("quantity"), "sales_value",

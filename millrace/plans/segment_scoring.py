@@ -36,11 +36,17 @@ def running_features(history: DataFrame, sales: DataFrame, labels: list[str]) ->
     return merge_features(both, "user_id", [*labels, TOUCHED])
 
 
-def score_into(table: KeyedTable, model: PipelineModel, labels: list[str]) -> Each:
-    """Score users with new sales and upsert them; epoch 0 of the table is for its first rows."""
+def score_into(path: str, table: KeyedTable, model: PipelineModel, labels: list[str]) -> Each:
+    """Score users with new sales and upsert them; epoch 0 of the table is for its first rows.
+
+    The changed features are written first: that evaluates the stateful part once, and what follows is an
+    ordinary batch job over files, with adaptive execution.
+    """
     def write(batch: DataFrame, epoch: int) -> None:
-        changed = batch.filter(F.col(TOUCHED) == 1)
-        scored = score_segments(model, changed)
+        changed = f"{path}/features/epoch={epoch}"
+        batch.filter(F.col(TOUCHED) == 1).write.mode("overwrite").parquet(changed)
+        features = table.spark.read.schema(batch.schema).parquet(changed)
+        scored = score_segments(model, features)
         table.write(scored.select("user_id", *labels, *FEATURES, F.col("category").alias("segment")), epoch + 1)
 
     return write

@@ -78,8 +78,10 @@ def orc_batch_scan(spark: SparkSession, folder: str) -> DataFrame:
 def rate_limited_stream(spark: SparkSession, folder: str) -> DataFrame:
     events = read_table(spark, folder, "events")
     path = scratch(spark, "events-files")
-    events.repartitionByRange(4, "event_id").write.parquet(path)
-    limited = files.stream_files(spark, path, "parquet", events.schema, max_files=1)
+    for piece in replay.time_slices(events, "ts", SLICES):
+        replay.land(piece, path)
+    per_batch = -(-compaction.file_sizes(spark, path).count() // SLICES)
+    limited = files.stream_files(spark, path, "parquet", events.schema, max_files=per_batch)
     run = sinks.Bounded(limited, "limited")
     run.drain()
     return run.revisions().drop("epoch")
@@ -241,10 +243,16 @@ DAILY, HALF_DAYS = daily_windows(), daily_windows(slide=12)
 CLOSED = "window_end <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)"
 
 
+def seen(df: DataFrame) -> DataFrame:
+    run = sinks.Bounded(df, "seen", "update")
+    run.drain()
+    return run.revisions().drop("epoch")
+
+
 @query("""SELECT DISTINCT event_type, ts FROM events""")
 def dedup_tick(spark: SparkSession, folder: str) -> DataFrame:
     events = repeated_events(spark, folder).withWatermark("ts", DAY)
-    return sinks.collect_files(dedup.first_seen(events, ["event_type", "ts"]), "dedup").select("event_type", "ts")
+    return seen(dedup.first_seen(events, ["event_type", "ts"]))
 
 
 def repeated_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -254,10 +262,8 @@ def repeated_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dedup_in_windows(spark: SparkSession, folder: str, slide: str | None) -> DataFrame:
-    # Five event types hold all rows of a window: make them unique in parts first.
     events = windows.windowed(stream_table(spark, folder, "events"), "ts", DAY, DAY, slide)
-    kept = dedup.first_seen(events, ["event_type", windows.WINDOW], parts=16)
-    return sinks.collect_files(windows.flat(kept), "dedup").select("event_type", "window_start", "window_end")
+    return windows.flat(seen(dedup.first_seen(events, ["event_type", windows.WINDOW])))
 
 
 @query(f"""SELECT DISTINCT event_type, window_start, window_end FROM {DAILY}""")
@@ -272,14 +278,15 @@ def dedup_sliding(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""SELECT DISTINCT event_id FROM events""")
 def dedup_within_watermark(spark: SparkSession, folder: str) -> DataFrame:
-    kept = dedup.first_seen_lately(repeated_events(spark, folder), ["event_id"], "ts", DAY)
+    kept = dedup.drop_repeats_lately(repeated_events(spark, folder), ["event_id"], "ts", DAY)
     return sinks.collect_files(kept, "dedup").select("event_id")
 
 
 @query("""SELECT DISTINCT user_id, event_type FROM events""")
 def dedup_global(spark: SparkSession, folder: str) -> DataFrame:
-    kept = dedup.first_seen(stream_table(spark, folder, "events"), ["user_id", "event_type"], parts=16)
-    return sinks.collect_files(kept, "dedup").select("user_id", "event_type")
+    run = replayed(read_table(spark, folder, "events"), "ts", "global",
+                   lambda s: dedup.first_seen(s, ["user_id", "event_type"]), "update")
+    return run.revisions().drop("epoch")
 
 
 # ---- windowed counts
