@@ -1,0 +1,278 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import plan_of, rows
+from millrace.operators.skew import heavy_keys
+from millrace.session import materialize, scratch
+from millrace.sources import files
+from millrace.sources.tables import read_table, stream_table
+from millrace.streaming import compaction, dedup, joins, replay, run, sinks, windows
+from millrace.streaming.run import ALL_AVAILABLE, finish
+
+T0 = dt.datetime(2021, 1, 2, 20, 0, 0)
+
+
+def at(seconds):
+    return T0 + dt.timedelta(seconds=seconds)
+
+
+def feed(spark, batches, schema, build, mode="append", do=sinks.by_epoch):
+    """Run a stream with one micro-batch per list of rows."""
+    frames = [spark.createDataFrame(b, schema).coalesce(1) for b in batches]
+    folder = scratch(spark, "feed")
+    replay.land(frames[0], folder)
+    bounded = sinks.Bounded(build(files.stream_files(spark, folder, "parquet", frames[0].schema)), "feed", mode, do)
+    bounded.drain()
+    replay.arrive([(frames[1:], folder)], bounded.drain)
+    return bounded
+
+
+def by_epoch(bounded, *columns):
+    found = {}
+    for row in rows(bounded.revisions(), "epoch", *columns):
+        found.setdefault(row[0], []).append(row[1:])
+    return found
+
+
+TICKS = "ts timestamp, species string"
+
+
+def six(seconds):
+    return [(at(seconds), "setosa")] * 6
+
+
+def test_update_mode_gives_changed_windows_with_running_counts(spark):
+    batches = [six(10), six(130), six(150), six(170)]
+    bounded = feed(spark, batches, TICKS, lambda s: windows.window_counts(s, "ts", "2 minutes", "2 minutes"), "update")
+    found = [r for _, r in sorted(by_epoch(bounded, "window_start", "n").items())]
+    assert [c for c in found if c] == [[(at(0), 6)], [(at(120), 6)], [(at(120), 12)], [(at(120), 18)]]
+    assert rows(bounded.latest("window_start", "window_end"), "window_start", "n") == [(at(0), 6), (at(120), 18)]
+
+
+def test_complete_mode_gives_all_windows_each_time(spark):
+    bounded = feed(spark, [six(10), six(130)], TICKS,
+                   lambda s: windows.window_counts(s, "ts", "2 minutes", "2 minutes"), "complete")
+    assert rows(bounded.last_epoch(), "window_start", "n") == [(at(0), 6), (at(120), 6)]
+
+
+def test_append_mode_gives_closed_windows_once(spark):
+    bounded = feed(spark, [six(10), six(130), six(490)], TICKS,
+                   lambda s: windows.window_counts(s, "ts", "1 minute", "2 minutes"))
+    assert rows(bounded.revisions(), "window_start", "n") == [(at(0), 6), (at(120), 6)]
+
+
+def test_sliding_counts(spark):
+    batches = [six(20), six(40), six(50)]
+    bounded = feed(spark, batches, TICKS, lambda s: windows.window_counts(s, "ts", "1 minute", "1 minute", "30 seconds"), "update")
+    assert rows(bounded.latest("window_start", "window_end"), "window_start", "n") == [
+        (at(-30), 6), (at(0), 18), (at(30), 12)]
+
+
+def test_a_row_falls_in_width_over_slide_windows(spark):
+    df = spark.createDataFrame([(at(-5), 19)], "ts timestamp, offset int")
+    found = windows.flat(windows.windowed(df, "ts", "1 minute", "1 minute", "30 seconds"))
+    assert rows(found, "window_start", "window_end") == [(at(-60), at(0)), (at(-30), at(30))]
+
+
+def test_late_rows_are_dropped(spark):
+    bounded = feed(spark, [six(10), six(610), six(20)], TICKS,
+                   lambda s: windows.window_counts(s, "ts", "1 minute", "1 minute"), "update")
+    assert rows(bounded.latest("window_start", "window_end"), "n") == [(6,), (6,)]
+
+
+EVENTS = "id int, ts timestamp, species string"
+
+
+@pytest.mark.parametrize("slide, expected", [(None, 3), ("30 seconds", 6)])
+def test_first_seen_comes_once_in_its_first_batch(spark, slide, expected):
+    batches = [[(i, at(5), "setosa") for i in range(9)] + [(9, at(10), "virginica")],
+               [(10, at(20), "setosa"), (11, at(65), "setosa")], [(12, at(22), "setosa")]]
+    bounded = feed(spark, batches, EVENTS, lambda s: dedup.first_seen(
+        windows.windowed(s, "ts", "5 minutes", "1 minute", slide), ["species", windows.WINDOW], ["id"]), "update")
+    found = by_epoch(bounded, "species", "window_time", "id")
+    assert sum(len(v) for v in found.values()) == expected
+    plain = feed(spark, batches, EVENTS, lambda s: dedup.drop_repeats(
+        windows.windowed(s, "ts", "5 minutes", "1 minute", slide), ["species", windows.WINDOW]))
+    keys = ["species", "window_time.start"]
+    assert rows(bounded.revisions(), *keys) == rows(plain.revisions(), *keys)
+    ids = {i for b in batches for i, *_ in b}
+    assert all(r[2] in ids for v in found.values() for r in v)
+
+
+def test_first_seen_survives_a_repeated_batch(spark):
+    bounded = feed(spark, [[(1, at(0), "a")], [(2, at(1), "a"), (3, at(1), "b")]], EVENTS,
+                   lambda s: dedup.first_seen(s, ["species"]), "update")
+    assert rows(bounded.revisions(), "species") == [("a",), ("b",)]
+
+
+def test_dedup_per_tick_and_lately(spark):
+    batches = [[(1, at(0), "a"), (2, at(0), "a"), (1, at(1), "b")], [(1, at(30), "a"), (3, at(31), "a")]]
+    tick = feed(spark, batches, EVENTS, lambda s: dedup.drop_repeats(
+        s.withWatermark("ts", "1 minute"), ["species", "ts"]))
+    assert tick.revisions().count() == 4
+    lately = feed(spark, batches, EVENTS, lambda s: dedup.drop_repeats_lately(s, ["id"], "ts", "1 minute"))
+    assert rows(lately.revisions(), "id") == [(1,), (2,), (3,)]
+
+
+def two_streams(spark, how, heavy=None):
+    heads = [[(i, at(i)) for i in range(10)], [(20, at(900))], [(21, at(3000))]]
+    lines = [[(1, k, at(30 + k % 9)) for k in range(60)] + [(7, 100, at(700)), (50, 101, at(40))], [(20, 102, at(901))],
+             [(21, 103, at(3001))]]
+    frames = [[spark.createDataFrame(b, s).coalesce(1) for b in batches] for batches, s in (
+        (heads, "order_id int, ordered_at timestamp"), (lines, "order_id int, item int, sent_at timestamp"))]
+    folders = [scratch(spark, "side") for _ in frames]
+    for f, folder in zip(frames, folders):
+        replay.land(f[0], folder)
+    left, right = (files.stream_files(spark, folder, "parquet", f[0].schema) for f, folder in zip(frames, folders))
+    joined = joins.within_window(left, "ordered_at", right, "sent_at", ["order_id"], "10 minutes", "10 minutes", how,
+                                 heavy, ["item", "sent_at"])
+    bounded = sinks.Bounded(joined.select("order_id", "item", "ordered_at"), "two")
+    bounded.drain()
+    replay.arrive([(f[1:], folder) for f, folder in zip(frames, folders)], bounded.drain)
+    return bounded
+
+
+def test_stream_stream_joins_with_and_without_salting(spark):
+    hot = spark.createDataFrame([(1,)] * 60 + [(7,), (50,)], "order_id int")
+    heavy = materialize(heavy_keys(hot, ["order_id"], share=0.3, rows_per_salt=10), "heavy")
+    matched = [(1, k) for k in range(60)] + [(20, 102), (21, 103)]
+    assert rows(two_streams(spark, "inner", heavy).revisions(), "order_id", "item") == matched
+    for h in (None, heavy):
+        right = rows(two_streams(spark, "right", h).revisions(), "order_id", "item", "ordered_at")
+        assert [r for r in right if r[2] is None] == [(7, 100, None), (50, 101, None)]
+        assert [r[:2] for r in right if r[2] is not None] == matched
+
+
+def test_update_mode_is_refused_for_stream_joins(spark, sf):
+    events = stream_table(spark, sf, "events")
+    joined = joins.within_window(events.select("user_id", "ts"), "ts", stream_table(spark, sf, "events").select(
+        "user_id", F.col("ts").alias("ts2")), "ts2", ["user_id"], "1 day", "1 day")
+    with pytest.raises(Exception, match="(?i)update"):
+        sinks.Bounded(joined, "refused", "update").drain()
+
+
+def test_append_needs_a_watermark(spark, sf):
+    counts = stream_table(spark, sf, "events").groupBy("event_type").count()
+    with pytest.raises(Exception, match="(?i)watermark"):
+        sinks.collect_files(counts, "refused")
+
+
+def test_a_table_joined_to_a_stream(spark, sf):
+    events = stream_table(spark, sf, "events").select("event_type", "event_id")
+    known = files.literal_rows(spark, [("click", "x")], "event_type string, description string")
+    left = joins.with_table(events, known, "event_type", "left")
+    assert left.isStreaming and left.columns == ["event_type", "event_id", "description"]
+    found = sinks.collect_files(left, "left")
+    whole = read_table(spark, sf, "events")
+    assert found.count() == whole.count()
+    assert found.filter("description = 'x'").count() == whole.filter("event_type = 'click'").count()
+
+
+def test_fan_out_is_complete_and_replay_safe(spark):
+    df = spark.createDataFrame([(1, "delivered"), (2, "late"), (3, None)], "id int, status string")
+    path = scratch(spark, "fan")
+    write = sinks.fan_out(path, {"good": lambda b: b.filter("status = 'delivered'"),
+                                 "bad": lambda b: b.filter("status <> 'delivered'")})
+    for _ in range(2):
+        write(df, 0)
+    write(df, 1)
+    assert rows(sinks.read_epochs(spark, f"{path}/good", df.schema)) == [(1, "delivered", 0), (1, "delivered", 1)]
+    assert rows(sinks.read_epochs(spark, f"{path}/bad", df.schema)) == [(2, "late", 0), (2, "late", 1)]
+
+
+def test_failed_batch_is_repeated_without_doubling(spark):
+    folder = scratch(spark, "failing")
+    replay.land(spark.range(10).coalesce(1), folder)
+    calls = []
+
+    def do(path):
+        write = sinks.by_epoch(path)
+
+        def flaky(batch, epoch):
+            calls.append(epoch)
+            write(batch, epoch)
+            if len(calls) == 1:
+                raise RuntimeError("lost after the write")
+        return flaky
+
+    bounded = sinks.Bounded(files.stream_files(spark, folder, "parquet", "id long"), "failing", do=do)
+    with pytest.raises(Exception, match="lost after the write"):
+        bounded.drain()
+    bounded.drain()
+    assert calls == [0, 0] and bounded.revisions().count() == 10
+
+
+def test_stamped_partitions(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "name string")
+    path = scratch(spark, "stamped")
+    sinks.write_stamped(df, path, "20210101000000")
+    sinks.stamped(path, lambda e: f"202101020000{e:02d}")(df, 1)
+    sinks.stamped(path, lambda e: f"202101020000{e:02d}")(df, 1)
+    found = sinks.read_stamped(spark, path, df.schema)
+    assert rows(found) == [("a", "20210101000000"), ("a", "20210102000001"), ("b", "20210101000000"), ("b", "20210102000001")]
+    assert rows(found.filter("p_date = '20210101000000'"), "name") == [("a",), ("b",)]
+
+
+def test_compaction_keeps_rows_and_the_sink_goes_on(spark):
+    source, path, checkpoint, target = (scratch(spark, n) for n in ("in", "sink", "ck", "out"))
+    replay.land(spark.range(5).coalesce(1), source)
+    stream = files.stream_files(spark, source, "parquet", "id long")
+    finish(sinks.files(stream, path, checkpoint, ALL_AVAILABLE))
+    for i in range(1, 5):
+        replay.land(spark.range(5 * i, 5 * i + 5).coalesce(1), source)
+        finish(sinks.files(stream, path, checkpoint, ALL_AVAILABLE))
+    assert compaction.file_sizes(spark, path).count() == 5
+    assert compaction.compact(spark, path, target) == 1
+    assert compaction.file_sizes(spark, target).count() == 1
+    assert rows(spark.read.parquet(target)) == [(i,) for i in range(25)]
+    replay.land(spark.range(25, 35).coalesce(1), source)
+    finish(sinks.files(stream, path, checkpoint, ALL_AVAILABLE))
+    assert spark.read.parquet(path).count() == 35
+    size = compaction.file_sizes(spark, path).agg(F.sum("length")).first()[0]
+    assert compaction.files_needed(spark, path, size // 3) in (3, 4)
+
+
+def test_closed_days_are_compacted_again_and_again(spark):
+    df = spark.range(300).withColumn("day", F.concat(F.lit("2021-01-0"), F.col("id") % 3 + 1))
+    source, target = scratch(spark, "days"), scratch(spark, "closed")
+    df.repartition(6).write.partitionBy("day").parquet(source)
+    for _ in range(2):
+        compaction.compact_closed(spark, source, target, "day", "2021-01-03", df.schema)
+        found = compaction.read_compacted(spark, source, target, "day", "2021-01-03", df.schema)
+        assert rows(found) == rows(df)
+    assert compaction.file_sizes(spark, target).count() == 2
+
+
+def test_time_slices_hold_each_row_once(spark, sf):
+    events = read_table(spark, sf, "events").unionByName(
+        read_table(spark, sf, "events").limit(1).withColumn("ts", F.lit(None).cast("timestamp")))
+    cut = replay.time_slices(events, "ts", 4)
+    assert sum(c.count() for c in cut) == events.count()
+    edges = [(c.agg(F.min("ts"), F.max("ts")).first()) for c in cut]
+    assert all(a[1] < b[0] for a, b in zip(edges, edges[1:]))
+    assert "PushedFilters: [IsNotNull(ts)" in plan_of(replay.time_slices(read_table(spark, sf, "events"), "ts", 4)[1])
+
+
+def test_watching_and_stopping(spark):
+    log = run.BatchLog()
+    spark.streams.addListener(log)
+    query = sinks.console(files.rate_stream(spark, 10).withColumn("my_time", F.current_timestamp()), 1, truncate=True)
+    try:
+        while not query.lastProgress or not query.lastProgress.numInputRows:
+            query.awaitTermination(1)
+        seen = run.watch(query)
+        assert seen["active"] and seen["input_rows"] > 0 and "triggerExecution" in seen["durations_ms"]
+        assert run.is_stream(files.rate_stream(spark))
+    finally:
+        assert run.stop_all(spark) == 1
+    assert not query.isActive and run.watch(query)["active"] is False
+    spark.streams.removeListener(log)
+    assert log.batches
+
+
+def test_keep_alive_ends_with_its_condition(spark):
+    query = sinks.memory(files.rate_stream(spark, 1), "kept_alive")
+    run.keep_alive(query, 1, stop_when=lambda: True)
+    assert not query.isActive
