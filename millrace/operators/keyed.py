@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.bucketed import BUCKET, bucket_of, near_keys, write_buckets
+from millrace.operators.bucketed import BUCKET, bucket_of, near_keys, put_buckets
 
 
 def mentions(column: str) -> str:
@@ -96,7 +96,7 @@ class KeyedTable:
 
     def _store(self, changes: DataFrame, epoch: int) -> None:
         folded = fold(changes, self.key, list(self.columns))
-        write_buckets(folded, f"{self.path}/epoch={epoch}", self.key, self.buckets)
+        put_buckets(folded, f"{self.path}/epoch={epoch}", self.key, self.buckets)
 
     def slices(self, up_to: int | None = None) -> DataFrame:
         """Stored changes, restricted to epochs ``<= up_to`` if given (a repeated epoch must not see itself

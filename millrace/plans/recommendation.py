@@ -9,17 +9,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.ml.recommend import K, or_else, recommend, with_precision
-from millrace.operators.bucketed import near_keys
+from millrace.operators.bucketed import Buckets
 from millrace.operators.joins import enrich
 from millrace.streaming.sinks import Each
 
 
-def recommend_into(path: str, model: ALSModel, pairs: DataFrame, items: DataFrame,
+def recommend_into(path: str, model: ALSModel, pairs: Buckets, items: Buckets,
                    fallback: list[int] | None = None, k: int = K) -> Each:
     """Write enriched purchases to ``path/rows`` and one row of figures per batch to ``path/figures``.
 
-    ``pairs`` (by user) and ``items`` (by item) are tables of :func:`~millrace.operators.bucketed.write_buckets`:
-    a batch reads the buckets of its own keys, and no key passes through the driver.
+    ``pairs`` is cut by user and ``items`` by item: a batch reads the buckets of its own keys, and no key
+    passes through the driver.
     """
     def write(batch: DataFrame, epoch: int) -> None:
         started = time.monotonic()
@@ -28,9 +28,9 @@ def recommend_into(path: str, model: ALSModel, pairs: DataFrame, items: DataFram
         recs = recommend(model, users, k)
         if fallback:
             recs = or_else(users, recs, fallback)
-        scored = with_precision(recs, near_keys(pairs, users, "user_id")).persist()
+        scored = with_precision(recs, pairs.near(users)).persist()
         try:
-            rows = enrich(batch, scored, near_keys(items, batch, "item_id"))
+            rows = enrich(batch, scored, items.near(batch))
             rows.write.mode("overwrite").parquet(f"{path}/rows/epoch={epoch}")
             mean, count = scored.agg(F.avg("precision_at_k"), F.count("*")).first()
             batch.sparkSession.createDataFrame(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.bucketed import buckets_for
 from millrace.operators.keyed import KeyedTable, mentions
 from millrace.plans.registry import query
 from millrace.session import scratch
@@ -18,8 +19,9 @@ EPOCH_EDGE = "1998-01-01"
 
 def customer_table(spark: SparkSession, folder: str) -> KeyedTable:
     """All customers, as epoch 0."""
-    table = KeyedTable(spark, scratch(spark, "keyed"), KEY, "bigint", COLUMNS)
-    table.write(read_table(spark, folder, "customer").select(KEY, *COLUMNS), 0)
+    customers = read_table(spark, folder, "customer").select(KEY, *COLUMNS)
+    table = KeyedTable(spark, scratch(spark, "keyed"), KEY, "bigint", COLUMNS, buckets_for(customers.count()))
+    table.write(customers, 0)
     return table
 
 

@@ -38,8 +38,8 @@ def stream_table(spark: SparkSession, folder: str, name: str, max_files: int | N
     reader = spark.readStream.schema(zoned_schema(table.schema))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    files = table.inputFiles()
-    if len(files) == 1 and files[0].endswith(f"/{name}.parquet"):
+    first = spark.read.format("binaryFile").load(path).select("path").first()
+    if first and first["path"].endswith(f"/{name}.parquet"):
         return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
     return reader.parquet(path)
 

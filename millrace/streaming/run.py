@@ -52,7 +52,7 @@ def watch(query: StreamingQuery) -> dict:
         "rows_per_second": last and last.processedRowsPerSecond,
         "durations_ms": last and dict(last.durationMs),
         "late_rows": last and sum(op.numRowsDroppedByWatermark for op in last.stateOperators),
-        "state_rows": last and sum(op.numRowsTotal for op in last.stateOperators),
+        "state_bytes": last and sum(op.memoryUsedBytes for op in last.stateOperators),
     }
 
 

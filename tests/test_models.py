@@ -110,9 +110,9 @@ def test_repeats_are_merged_to_one_rating(spark):
 def test_recommending_for_batches(spark):
     bought = purchases(spark)
     model = M.train_items(bought.filter("user_id < 10"), blocks=2)
-    pairs = write_buckets(M.owned(bought), scratch(spark, "owned"), "user_id")
+    pairs = write_buckets(M.owned(bought), scratch(spark, "owned"), "user_id", 4)
     items = write_buckets(spark.createDataFrame([(i, f"d{i % 2}", f"c{i % 5}") for i in range(14)],
-                                                "item_id int, department string, category string"), scratch(spark, "i"), "item_id")
+                                                "item_id int, department string, category string"), scratch(spark, "i"), "item_id", 4)
     path = scratch(spark, "out")
     for epoch in (0, 0):
         recommend_into(path, model, pairs, items, [1, 2, 3, 4, 5])(bought, epoch)

@@ -133,9 +133,10 @@ def test_buckets_prune_files_and_lose_nothing(spark):
     sales = sales_frame(spark)
     stored = B.write_buckets(sales, scratch(spark, "buckets"), "user_id", 8)
     keys = spark.createDataFrame([(1,), (5,)], "user_id int")
-    near = B.near_keys(stored, keys, "user_id", 8)
+    near = stored.near(keys)
     assert rows(near.filter("user_id in (1, 5)")) == sorted(r for r in sales_rows(600) if r[0] in (1, 5))
-    assert near.count() < 600
+    assert near.count() < 600 and near.columns == sales.columns
+    assert (B.buckets_for(0), B.buckets_for(9_000_001), B.buckets_for(10**12)) == (8, 10, 10_000)
     assert re.search(r"PartitionFilters: \[.*bucket", plan_of(near))
 
 
