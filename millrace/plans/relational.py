@@ -12,6 +12,7 @@ from millrace.operators import joins as J
 from millrace.operators import ranking as R
 from millrace.operators import sampling as S
 from millrace.plans.registry import query
+from millrace.sources import files, messages
 from millrace.sources.tables import read_table
 
 TOP_ITEMS = 5000
@@ -271,3 +272,45 @@ def three_way_enrich(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(F.col("user_id").cast("long").alias("user_id"), F.col("item_id").cast("long").alias("item_id"),
                        F.col("quantity").cast("long").alias("quantity"), "sales_value",
                        F.round("precision_at_k", 4).alias("precision_at_k"), "department", "category")
+
+
+@query("""SELECT l_orderkey, l_partkey, l_linenumber, l_extendedprice / l_quantity AS unit_price
+FROM lineitem WHERE l_extendedprice > 0 AND l_quantity > 0 AND l_extendedprice / l_quantity >= 1000""")
+def unit_prices(spark: SparkSession, folder: str) -> DataFrame:
+    dear = read_table(spark, folder, "lineitem").filter(
+        C.unit_price_at_least(F.lit(1000), "l_extendedprice", "l_quantity"))
+    return dear.select("l_orderkey", "l_partkey", "l_linenumber",
+                       (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"))
+
+
+@query("""SELECT '{' || event_id || ', ' || event_type || ', ' || user_id || '}' AS value, event_id FROM events""")
+def struct_text_payload(spark: SparkSession, folder: str) -> DataFrame:
+    events = read_table(spark, folder, "events").select("event_id", "event_type", "user_id")
+    text = messages.struct_payload(events)
+    number = F.regexp_extract("value", r"^\{(\d+),", 1).cast("long")
+    return text.filter("key is null").select("value", number.alias("event_id"))
+
+
+@query("""SELECT c_mktsegment, count(*) AS n, max(c_acctbal) AS largest FROM customer
+WHERE c_acctbal BETWEEN 0 AND 9000 GROUP BY c_mktsegment""")
+def view_sql_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return files.sql_over(read_table(spark, folder, "customer"), "customers_seen", """
+        SELECT c_mktsegment, count(*) AS n, max(c_acctbal) AS largest FROM customers_seen
+        WHERE c_acctbal BETWEEN 0 AND 9000 GROUP BY c_mktsegment""")
+
+
+@query("""SELECT count(*) AS total_rows, true AS near_half FROM events""")
+def random_split_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    first, second = S.random_split(read_table(spark, folder, "events").select("event_id"), [0.5, 0.5], seed=42)
+    both = first.withColumn("part", F.lit(1)).unionByName(second.withColumn("part", F.lit(0)))
+    return both.agg(F.count_distinct("event_id").alias("total_rows"),
+                    F.avg("part").between(0.4, 0.6).alias("near_half"))
+
+
+@query("""SELECT c_custkey AS key, c_name AS text, 'customer' AS source FROM customer
+UNION ALL SELECT s_suppkey, s_name, 'supplier' FROM supplier UNION ALL SELECT p_partkey, p_name, 'part' FROM part""")
+def union_of_sources(spark: SparkSession, folder: str) -> DataFrame:
+    sources = {"customer": ("c_custkey", "c_name"), "supplier": ("s_suppkey", "s_name"), "part": ("p_partkey", "p_name")}
+    rows = [read_table(spark, folder, name).selectExpr(f"{key} as key", f"{text} as text", f"'{name}' as source")
+            for name, (key, text) in sources.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])

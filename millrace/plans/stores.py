@@ -96,6 +96,14 @@ def keyed_lookup(spark: SparkSession, folder: str) -> DataFrame:
     return customer_table(spark, folder).lookup(10, 77, 101)
 
 
+@query("""SELECT c_custkey, c_mktsegment, c_acctbal FROM customer
+WHERE c_custkey IN (SELECT user_id FROM events WHERE event_type = 'purchase')""")
+def keyed_batch_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    buyers = read_table(spark, folder, "events").filter("event_type = 'purchase'").select(
+        F.col("user_id").alias(KEY))
+    return customer_table(spark, folder).rows_of(buyers)
+
+
 @query("""SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY c_mktsegment""")
 def keyed_scan_count(spark: SparkSession, folder: str) -> DataFrame:
     return customer_table(spark, folder).read().groupBy("c_mktsegment").agg(F.count("*").alias("n"))

@@ -29,13 +29,13 @@ def landed(spark: SparkSession, frames: list[DataFrame], label: str) -> tuple[st
 
 
 def replayed(df: DataFrame, time: str, label: str, build, mode: str = "append", n: int = SLICES,
-             order: list[int] | None = None) -> sinks.Bounded:
+             order: list[int] | None = None, do=sinks.by_epoch) -> sinks.Bounded:
     """Run ``build(stream)`` over the table arriving slice by slice; each slice is one micro-batch."""
     spark = df.sparkSession
     cut = replay.time_slices(df, time, n)
     cut = [cut[i] for i in order or range(n)]
     folder, stream = landed(spark, cut, f"{label}-input")
-    run = sinks.Bounded(build(stream), label, mode)
+    run = sinks.Bounded(build(stream), label, mode, do)
     run.drain()
     replay.arrive([(cut[1:], folder)], run.drain)
     return run
@@ -282,6 +282,12 @@ def dedup_within_watermark(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.collect_files(kept, "dedup").select("event_id")
 
 
+@query("""SELECT * FROM events""")
+def dedup_message_ids(spark: SparkSession, folder: str) -> DataFrame:
+    events = repeated_events(spark, folder).withWatermark("ts", DAY)
+    return sinks.collect_files(dedup.drop_repeats(events, ["event_id", "ts"]), "dedup")
+
+
 @query("""SELECT DISTINCT user_id, event_type FROM events""")
 def dedup_global(spark: SparkSession, folder: str) -> DataFrame:
     run = replayed(read_table(spark, folder, "events"), "ts", "global",
@@ -289,7 +295,29 @@ def dedup_global(spark: SparkSession, folder: str) -> DataFrame:
     return run.revisions().drop("epoch")
 
 
-# ---- windowed counts
+# ---- windowed rows and counts
+
+@query(f"""SELECT window_start, window_end, event_id, event_type FROM {HALF_DAYS}""")
+def sliding_window_rows(spark: SparkSession, folder: str) -> DataFrame:
+    events = windows.windowed(stream_table(spark, folder, "events"), "ts", DAY, DAY, "12 hours")
+    return sinks.collect_files(windows.flat(events.select(windows.WINDOW, "event_id", "event_type")), "windows")
+
+
+@query(f"""SELECT epoch, event_type, count(*) AS n, round(avg(value), 4) AS avg_value FROM (
+  SELECT *, CAST(least(floor(({SLICES} * (epoch_us(ts) - low)) / (high - low)), {SLICES - 1}) AS BIGINT) AS epoch
+  FROM events, (SELECT epoch_us(min(ts)) AS low, epoch_us(max(ts)) AS high FROM events))
+GROUP BY epoch, event_type""")
+def batch_averages(spark: SparkSession, folder: str) -> DataFrame:
+    """The averages of each micro-batch by itself."""
+    def averages(path: str) -> sinks.Each:
+        write = sinks.by_epoch(path)
+        return lambda batch, epoch: write(
+            batch.groupBy("event_type").agg(F.count("*").alias("n"), F.avg("value").alias("avg_value")), epoch)
+
+    run = replayed(read_table(spark, folder, "events"), "ts", "averages", lambda s: s, do=averages)
+    found = sinks.read_epochs(spark, run.path, T.StructType.fromDDL("event_type string, n bigint, avg_value double"))
+    return found.withColumn("avg_value", F.round("avg_value", 4))
+
 
 @query(f"""SELECT window_start, window_end, event_type, count(*) AS n FROM {DAILY} WHERE {CLOSED}
 GROUP BY window_start, window_end, event_type""")
@@ -372,7 +400,8 @@ def orders_with_lines(spark: SparkSession, folder: str, how: str) -> DataFrame:
     (left_folder, left), (right_folder, right) = (landed(spark, c, "join-input") for c in cut)
     joined = joins.within_window(left, "ordered_at", right, "shipped_at", ["order_id"], YEARLY, "30 days", how,
                                  heavy, ["item_id", "line", "shipped_at"])
-    run = sinks.Bounded(windows.flat(joined.select(windows.WINDOW, "order_id", "user_id", "item_id", "line")), "joined")
+    found = windows.flat(joined.select(windows.WINDOW, "order_id", "user_id", "item_id", "line"))
+    run = sinks.Bounded(found, "joined")
     run.drain()
     replay.arrive([(cut[0][1:], left_folder), (cut[1][1:], right_folder)], run.drain)
     return run.revisions().drop("epoch").withColumn("user_id", F.coalesce("user_id", F.lit(-1)))

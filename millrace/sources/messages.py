@@ -92,9 +92,13 @@ def to_envelopes(df: DataFrame, topic: str, id_column: str, time_column: str, pa
     )
 
 
-def write_topic(envelopes: DataFrame, folder: str) -> None:
-    """Append envelopes to a topic folder; several topics may share it."""
-    envelopes.write.mode("append").parquet(folder)
+def write_topic(envelopes: DataFrame, folder: str, rows_per_file: int | None = None) -> None:
+    """Append envelopes to a topic folder; several topics may share it.
+
+    With ``rows_per_file`` no file has more rows: a stream's limit on files is then one on messages, too.
+    """
+    writer = envelopes.write.mode("append")
+    (writer.option("maxRecordsPerFile", rows_per_file) if rows_per_file else writer).parquet(folder)
 
 
 # ---- reading a topic folder

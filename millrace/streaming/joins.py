@@ -23,6 +23,8 @@ def within_window(left: DataFrame, left_time: str, right: DataFrame, right_time:
     no skew handling from Spark: for keys with very many right rows pass ``heavy`` (a bounded table from
     :func:`millrace.operators.skew.heavy_keys` over the right side) and right columns to spread them by.
     """
+    if how not in ("inner", "right"):
+        raise ValueError(f"a salted window join can be inner or right, not {how}")
     left = windowed(left, left_time, delay, width)
     right = windowed(right, right_time, delay, width)
     keys = [*on, WINDOW]

@@ -70,6 +70,16 @@ def test_latest_is_pinned_for_a_restart(spark):
     assert sorted(r["offset"] for r in run.revisions().collect()) == list(range(10, 30))
 
 
+def test_messages_per_batch_are_limited(spark):
+    path = scratch(spark, "t")
+    messages.write_topic(topic(spark, 50)[1].coalesce(1), path, rows_per_file=5)
+    stream = messages.stream_topic(spark, path, ["t"], messages.EARLIEST, max_files=1).select("offset")
+    run = sinks.Bounded(stream, "limited")
+    run.drain()
+    assert [n for _, n in rows(run.revisions().groupBy("epoch").count())] == [5] * 10
+    assert sorted(r["offset"] for r in run.revisions().collect()) == list(range(50))
+
+
 def test_topics_share_a_folder(spark):
     path = scratch(spark, "t")
     for name in ("a", "b", "c"):
