@@ -17,7 +17,8 @@ from millrace.streaming.run import ALL_AVAILABLE, finish
 SLICES = 3
 PARTITIONS = 3
 DAY = "1 day"
-# Two short descriptions, for some of the event types only.
+# The remarks on good and bad orders, and descriptions of some event types.
+TOO_SLOW, VERY_FAST = "too slow", "very fast delivery"
 DESCRIPTIONS = [("click", "pressed something"), ("view", "looked at a page"), ("purchase", "bought something")]
 
 
@@ -161,16 +162,16 @@ def multi_topic_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 # ---- batches by epoch
 
-@query("""SELECT CASE WHEN o_orderstatus = 'F' THEN 'good' ELSE 'bad' END AS job, o_orderkey, o_orderstatus,
-  CASE WHEN o_orderstatus = 'F' THEN NULL ELSE 'too slow' END AS reason,
-  CASE WHEN o_orderstatus = 'F' THEN 'very fast delivery' END AS delivery_time
+@query(f"""SELECT CASE WHEN o_orderstatus = 'F' THEN 'good' ELSE 'bad' END AS job, o_orderkey, o_orderstatus,
+  CASE WHEN o_orderstatus = 'F' THEN NULL ELSE '{TOO_SLOW}' END AS reason,
+  CASE WHEN o_orderstatus = 'F' THEN '{VERY_FAST}' END AS delivery_time
 FROM orders WHERE o_orderstatus IS NOT NULL""")
 def status_split_good_bad(spark: SparkSession, folder: str) -> DataFrame:
     status = F.col("o_orderstatus")
     columns = ["o_orderkey", "o_orderstatus"]
     parts = {
-        "good": lambda b: b.filter(status == "F").select(*columns, F.lit("very fast delivery").alias("delivery_time")),
-        "bad": lambda b: b.filter(status != "F").select(*columns, F.lit("too slow").alias("reason")),
+        "good": lambda b: b.filter(status == "F").select(*columns, F.lit(VERY_FAST).alias("delivery_time")),
+        "bad": lambda b: b.filter(status != "F").select(*columns, F.lit(TOO_SLOW).alias("reason")),
     }
     run = sinks.Bounded(stream_table(spark, folder, "orders"), "split", do=lambda path: sinks.fan_out(path, parts))
     run.drain()
@@ -290,7 +291,7 @@ def dedup_message_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""SELECT DISTINCT user_id, event_type FROM events""")
 def dedup_global(spark: SparkSession, folder: str) -> DataFrame:
-    run = replayed(read_table(spark, folder, "events"), "ts", "global",
+    run = replayed(read_table(spark, folder, "events").select("ts", "user_id", "event_type"), "ts", "global",
                    lambda s: dedup.first_seen(s, ["user_id", "event_type"]), "update")
     return run.revisions().drop("epoch")
 
@@ -314,7 +315,7 @@ def batch_averages(spark: SparkSession, folder: str) -> DataFrame:
         return lambda batch, epoch: write(
             batch.groupBy("event_type").agg(F.count("*").alias("n"), F.avg("value").alias("avg_value")), epoch)
 
-    run = replayed(read_table(spark, folder, "events"), "ts", "averages", lambda s: s, do=averages)
+    run = replayed(read_table(spark, folder, "events").select("ts", "event_type", "value"), "ts", "averages", lambda s: s, do=averages)
     found = sinks.read_epochs(spark, run.path, T.StructType.fromDDL("event_type string, n bigint, avg_value double"))
     return found.withColumn("avg_value", F.round("avg_value", 4))
 
@@ -328,22 +329,24 @@ def tumbling_count_append(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""SELECT window_start, window_end, count(*) AS n FROM {DAILY} GROUP BY window_start, window_end""")
 def tumbling_count_update(spark: SparkSession, folder: str) -> DataFrame:
-    run = replayed(read_table(spark, folder, "events"), "ts", "update",
+    run = replayed(read_table(spark, folder, "events").select("ts"), "ts", "update",
                    lambda s: windows.window_counts(s, "ts", DAY, DAY), "update")
     return run.latest("window_start", "window_end")
 
 
 @query(f"""SELECT window_start, window_end, count(*) AS n FROM {DAILY} GROUP BY window_start, window_end""")
 def tumbling_count_complete(spark: SparkSession, folder: str) -> DataFrame:
-    run = replayed(read_table(spark, folder, "events"), "ts", "complete",
-                   lambda s: windows.window_counts(s, "ts", DAY, DAY), "complete")
+    counts = windows.window_counts(stream_table(spark, folder, "events"), "ts", DAY, DAY)
+    run = sinks.Bounded(counts, "complete", "complete")
+    run.drain()
     return run.last_epoch()
 
 
 @query(f"""SELECT window_start, window_end, count(*) AS n FROM {HALF_DAYS} GROUP BY window_start, window_end""")
 def sliding_count_update(spark: SparkSession, folder: str) -> DataFrame:
-    run = replayed(read_table(spark, folder, "events"), "ts", "sliding",
-                   lambda s: windows.window_counts(s, "ts", DAY, DAY, "12 hours"), "update")
+    counts = windows.window_counts(stream_table(spark, folder, "events"), "ts", DAY, DAY, "12 hours")
+    run = sinks.Bounded(counts, "sliding", "update")
+    run.drain()
     return run.latest("window_start", "window_end")
 
 
@@ -351,7 +354,7 @@ def sliding_count_update(spark: SparkSession, folder: str) -> DataFrame:
 WHERE {CLOSED} AND epoch_us(ts) >= (SELECT epoch_us(min(ts)) + (epoch_us(max(ts)) - epoch_us(min(ts))) / 4 FROM events)
 GROUP BY window_start, window_end""")
 def late_rows_dropped(spark: SparkSession, folder: str) -> DataFrame:
-    run = replayed(read_table(spark, folder, "events"), "ts", "late",
+    run = replayed(read_table(spark, folder, "events").select("ts"), "ts", "late",
                    lambda s: windows.window_counts(s, "ts", DAY, DAY), n=4, order=[1, 2, 3, 0])
     return run.revisions().drop("epoch")
 
@@ -415,7 +418,8 @@ def stream_stream_inner(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""WITH {YEARS}, seen AS (
   SELECT least((SELECT max(o_orderdate) FROM orders), (SELECT max(l_shipdate) FROM lineitem)) - INTERVAL 30 DAY AS mark)
-SELECT {WINDOW_ENDS}, order_id, coalesce(user_id, -1) AS user_id, item_id, line FROM lines LEFT JOIN heads USING (order_id, w)
+SELECT {WINDOW_ENDS}, order_id, coalesce(user_id, -1) AS user_id, item_id, line
+FROM lines LEFT JOIN heads USING (order_id, w)
 WHERE user_id IS NOT NULL OR make_timestamp((w + 1) * {YEAR_US}) <= (SELECT mark FROM seen)""")
 def stream_stream_right(spark: SparkSession, folder: str) -> DataFrame:
     return orders_with_lines(spark, folder, "right")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -16,23 +15,21 @@ def time_slices(df: DataFrame, time: str, n: int, bounds: tuple | None = None) -
     """
     low, high = bounds or time_range(df, time)
     if low is None:
-        return [df]
-    step = (high - low) / n
-    edges = [low + step * i for i in range(1, n)]
+        return [df, *[df.limit(0)] * (n - 1)]
+    # Rounded up to whole microseconds, like the times they are compared with.
+    edges = [F.timestamp_micros(F.lit(low - (low - high) * i // n)) for i in range(n + 1)]
     at = F.col(time)
-    tests = []
-    for i in range(n):
-        test = F.lit(True)
-        if i > 0:
-            test = test & (at >= F.lit(edges[i - 1]))
-        if i < n - 1:
-            test = test & (at < F.lit(edges[i]))
-        tests.append(test if i < n - 1 else test | at.isNull())
+    tests = [(at >= edges[i]) & (at < edges[i + 1]) for i in range(n)]
+    if n > 1:
+        tests[0], tests[-1] = at < edges[1], (at >= edges[-2]) | at.isNull()
+    else:
+        tests = [F.lit(True)]
     return [df.filter(test) for test in tests]
 
 
-def time_range(df: DataFrame, time: str) -> tuple[dt.datetime | None, dt.datetime | None]:
-    return tuple(df.agg(F.min(time), F.max(time)).first())
+def time_range(df: DataFrame, time: str) -> tuple[int | None, int | None]:
+    """Earliest and latest time, in microseconds: plain numbers, free of the driver's own time zone."""
+    return tuple(df.agg(F.min(F.unix_micros(time)), F.max(F.unix_micros(time))).first())
 
 
 def land(df: DataFrame, folder: str) -> None:
