@@ -107,6 +107,14 @@ def test_first_seen_survives_a_repeated_batch(spark):
     assert rows(bounded.revisions(), "species") == [("a",), ("b",)]
 
 
+def test_first_seen_combines_before_it_shuffles(spark, sf, capsys):
+    events = stream_table(spark, sf, "events").withWatermark("ts", "1 day")
+    bounded = sinks.Bounded(dedup.first_seen(events, ["event_type", "ts"]), "plan", "update")
+    bounded.drain().explain()
+    plan = capsys.readouterr().out
+    assert plan.index("StateStoreSave") < plan.index("Exchange") < plan.index("partial_min")
+
+
 def test_dedup_per_tick_and_lately(spark):
     batches = [[(1, at(0), "a"), (2, at(0), "a"), (1, at(1), "b")], [(1, at(30), "a"), (3, at(31), "a")]]
     tick = feed(spark, batches, EVENTS, lambda s: dedup.drop_repeats(
