@@ -112,6 +112,17 @@ def numbered(parsed: DataFrame) -> DataFrame:
     return parsed.select("event_id", "user_id", F.col("partition").cast("long").alias("partition"), "offset")
 
 
+@query(NUMBERED)
+def message_sink_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Events arriving in three batches are sent to a topic, and read from it as a stream."""
+    events = read_table(spark, folder, "events")
+    run = replayed(events, "ts", "sent", lambda s: s,
+                   do=lambda path: messages.topic_batches(path, "events", "event_id", "ts", PARTITIONS))
+    stream = messages.stream_topic(spark, run.path, ["events"], messages.EARLIEST)
+    parsed = messages.parse_payload(stream, events.schema, "partition", "offset")
+    return numbered(sinks.collect_files(parsed, "received"))
+
+
 @query(f"""SELECT n.* FROM ({NUMBERED}) n JOIN {ENDS} ON "partition" = p
 WHERE "offset" >= CAST(floor(last / 4) AS BIGINT) AND "offset" < CAST(floor(last / 2) AS BIGINT)""")
 def offset_range_scan(spark: SparkSession, folder: str) -> DataFrame:

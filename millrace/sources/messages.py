@@ -101,6 +101,31 @@ def write_topic(envelopes: DataFrame, folder: str, rows_per_file: int | None = N
     (writer.option("maxRecordsPerFile", rows_per_file) if rows_per_file else writer).parquet(folder)
 
 
+def topic_batches(folder: str, topic: str, id_column: str, time_column: str, partitions: int = 3):
+    """For ``sinks.each_batch``: append a stream's rows to a topic folder of its own.
+
+    Offsets go on where earlier epochs ended. A repeated epoch sees the same ends, and replaces its files.
+    """
+    def write(batch: DataFrame, epoch: int) -> None:
+        ends: dict[str, int] = {}
+        if epoch > 0:
+            stored = batch.sparkSession.read.schema(T.StructType([*ENVELOPE, T.StructField("epoch", T.LongType())]))
+            ends = next_offsets(stored.parquet(folder).filter(F.col("epoch") < epoch)).get(topic, {})
+        start = F.lit(0).cast("long")
+        for part, end in ends.items():
+            start = F.when(F.col("partition") == int(part), F.lit(end)).otherwise(start)
+        # Numbering reads the batch twice: once to count, once to write.
+        batch.persist()
+        try:
+            envelopes = to_envelopes(batch, topic, id_column, time_column, partitions)
+            (envelopes.withColumn("offset", F.col("offset") + start)
+             .write.mode("overwrite").parquet(f"{folder}/epoch={epoch}"))
+        finally:
+            batch.unpersist()
+
+    return write
+
+
 # ---- reading a topic folder
 
 def offset_condition(starting: Offsets = EARLIEST, ending: Offsets = LATEST) -> Column:
@@ -133,7 +158,7 @@ def next_offsets(messages: DataFrame) -> dict[str, dict[str, int]]:
 def read_topic(spark: SparkSession, folder: str, topics: list[str] | None = None,
                starting: Offsets = EARLIEST, ending: Offsets = LATEST) -> DataFrame:
     """Batch read of whole topics or of an offset range (the end is exclusive)."""
-    messages = spark.read.schema(ENVELOPE).parquet(folder)
+    messages = spark.read.schema(ENVELOPE).option("recursiveFileLookup", True).parquet(folder)
     if topics:
         messages = messages.filter(F.col("topic").isin(topics))
     return messages.filter(offset_condition(starting, ending))
@@ -147,7 +172,7 @@ def stream_topic(spark: SparkSession, folder: str, topics: list[str] | None = No
     "latest" is resolved to offsets when the stream is first defined. With ``start_file`` they are kept
     there, so that a restart goes on from the checkpoint instead of skipping to a new end.
     """
-    reader = spark.readStream.schema(ENVELOPE)
+    reader = spark.readStream.schema(ENVELOPE).option("recursiveFileLookup", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     messages = reader.parquet(folder)
@@ -173,7 +198,7 @@ def _pinned_ends(spark: SparkSession, folder: str, start_file: str | None) -> di
             return json.loads(spark.read.text(start_file).first()[0])
         except AnalysisException:
             pass
-    ends = next_offsets(spark.read.schema(ENVELOPE).parquet(folder))
+    ends = next_offsets(read_topic(spark, folder))
     if start_file:
         spark.createDataFrame([(json.dumps(ends),)], "value string").coalesce(1).write.text(start_file)
     return ends

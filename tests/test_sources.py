@@ -70,6 +70,16 @@ def test_latest_is_pinned_for_a_restart(spark):
     assert sorted(r["offset"] for r in run.revisions().collect()) == list(range(10, 30))
 
 
+def test_offsets_go_on_from_batch_to_batch(spark):
+    path = scratch(spark, "sent")
+    df, _ = topic(spark, 60)
+    write = messages.topic_batches(path, "t", "id", "at", partitions=2)
+    for epoch, batch in ((0, "id < 20"), (1, "id between 20 and 50"), (1, "id between 20 and 50"), (2, "id > 50")):
+        write(df.filter(batch), epoch)
+    found = messages.parse_payload(messages.read_topic(spark, path, ["t"]), df.schema, "partition", "offset")
+    assert rows(found, "id", "partition", "offset") == [(i, i % 2, i // 2) for i in range(60)]
+
+
 def test_messages_per_batch_are_limited(spark):
     path = scratch(spark, "t")
     messages.write_topic(topic(spark, 50)[1].coalesce(1), path, rows_per_file=5)
