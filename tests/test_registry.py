@@ -10,7 +10,8 @@ from conftest import SF
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+# The text operators have tests of their own in tests/llm.
+QUERIES, ORACLES = entry_point.catalog.queries(), entry_point.catalog.oracle_sql()
 # Random samples and fitted models have no SQL counterpart.
 ROWS_ONLY = {"random_baseline", "segment_classifier", "segment_match_share", "als_recommend", "offline_precision"}
 
