@@ -5,13 +5,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.session import materialize, scratch
 from millrace.sources.tables import table_path
 
-__all__ = ["bytes_of", "crc_of_id", "load", "materialize", "scratch", "strings", "text_column"]
+__all__ = ["bytes_of", "crc_of_id", "load", "materialize", "numbered", "row_chunks", "scratch", "strings", "text_column"]
+
+ROWS_PER_DEAL = 20_000
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -56,3 +58,19 @@ def row_chunks(starts: np.ndarray, most: int):
         last = max(first + 1, int(np.searchsorted(starts, starts[first] + most, "right")) - 1)
         yield first, min(last, n)
         first = min(last, n)
+
+
+def numbered(rows: DataFrame, total: int, group: str, by: list[str], name: str) -> DataFrame:
+    """Number the rows of each group 0, 1, ... without gathering a group in one task.
+
+    Rows are dealt by a hash of ``by``, numbered inside (group, deal), and shifted by the rows of the deals
+    before. Each deal has about ROWS_PER_DEAL of the ``total`` rows.
+    """
+    deals = max(1, -(-total // ROWS_PER_DEAL))
+    rows = rows.withColumn("deal", F.pmod(F.xxhash64(*by), F.lit(deals)))
+    counts = rows.groupBy(group, "deal").agg(F.count("*").alias("n"))
+    before = Window.partitionBy(group).orderBy("deal").rowsBetween(Window.unboundedPreceding, 0)
+    shifts = counts.select(group, "deal", (F.sum("n").over(before) - F.col("n")).alias("shift"))
+    inside = F.row_number().over(Window.partitionBy(group, "deal").orderBy(*by)) - 1
+    return rows.withColumn("inside", inside).join(shifts, [group, "deal"]).withColumn(
+        name, (F.col("inside") + F.col("shift")).cast("long")).drop("deal", "inside", "shift")

@@ -6,14 +6,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import materialize, text_column
+from millrace.llm.common import materialize, numbered, text_column
 
 STEP = 12  # bits of the key that one level of cells adds
 KEY_BITS = 64
-ROWS_PER_SALT = 20_000
 
 
 @dataclass(frozen=True)
@@ -109,22 +108,6 @@ def cut_keys(cells: list[Cell], shards: int, read: Callable[[int, list[int], int
         cells = finer
 
 
-def numbered(rows: DataFrame, total: int, shard: str = "shard") -> DataFrame:
-    """Slots 0, 1, ... inside each shard, without gathering a shard in one task.
-
-    Rows are dealt by a hash of id and key, numbered inside (shard, deal), and shifted by the rows of the
-    deals before. The table of deals has a row per ROWS_PER_SALT rows.
-    """
-    salts = max(1, -(-total // ROWS_PER_SALT))
-    rows = rows.withColumn("deal", F.pmod(F.xxhash64("doc_id", "key"), F.lit(salts)))
-    counts = rows.groupBy(shard, "deal").agg(F.count("*").alias("n"))
-    shifts = counts.select(shard, "deal", (F.sum("n").over(
-        Window.partitionBy(shard).orderBy("deal").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("shift"))
-    inside = F.row_number().over(Window.partitionBy(shard, "deal").orderBy("doc_id", "key")) - 1
-    return rows.withColumn("inside", inside).join(shifts, [shard, "deal"]).withColumn(
-        "slot", (F.col("inside") + F.col("shift")).cast("long"))
-
-
 def shard_by_bytes(docs: DataFrame, shards: int = 8) -> DataFrame:
     """Deal documents to shards of near equal bytes, groups of equal texts staying together.
 
@@ -156,6 +139,6 @@ def shard_by_bytes(docs: DataFrame, shards: int = 8) -> DataFrame:
     shard = sum((F.when(F.col("key") >= cut, 1).otherwise(0) for cut in cuts), F.lit(len(heavy)))
     for i, key in enumerate(heavy):
         shard = F.when(F.col("key") == key, F.lit(i)).otherwise(shard)
-    dealt = numbered(rows.withColumn("shard", shard.cast("int")), whole["n"])
+    dealt = numbered(rows.withColumn("shard", shard.cast("int")), whole["n"], "shard", ["doc_id", "key"], "slot")
     return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                         F.lit(None).cast("int").alias("grown_shard"))

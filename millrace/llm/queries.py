@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import minimax_shards, pigeonring
+from millrace.llm import byte_language, minimax_shards, pattern_packing, pigeonring, secret_cnn
 from millrace.llm.common import load
 from millrace.session import prepare
 
@@ -20,6 +20,21 @@ def register(build):
     return run
 
 
+@register
+def op2_byte_language(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_language.identify(load(spark, folder, "documents"))
+
+
+@register
+def op4_secret_cnn(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_cnn.report(load(spark, folder, "documents"))
+
+
+@register
+def op5_pattern_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pattern_packing.pack(load(spark, folder, "documents"))
+
+
 @register
 def op8_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
     return minimax_shards.shard_by_bytes(load(spark, folder, "documents"))
