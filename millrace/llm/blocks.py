@@ -33,3 +33,36 @@ def spanning_links(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> t
         mine, theirs = to_left, to_right
     moved = unique != label
     return unique[moved], label[moved]
+
+
+def sorted_groups(batches, keys: int):
+    """Groups of equal leading ``keys`` columns from Arrow batches sorted by them: lists of numpy columns, the
+    list columns as 2-d arrays. Only one group is held beyond the batch that is read."""
+    held: list[list[np.ndarray]] = []
+
+    def joined(parts):
+        return [np.concatenate(c) if len(c) > 1 else c[0] for c in zip(*parts)]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = []
+        for c in batch.columns:
+            if hasattr(c, "flatten") and str(c.type).startswith(("list", "large_list")):
+                columns.append(c.flatten().to_numpy(zero_copy_only=False).reshape(len(c), -1))
+            else:
+                columns.append(c.to_numpy(zero_copy_only=False))
+        change = np.zeros(batch.num_rows, bool)
+        for c in columns[:keys]:
+            change[1:] |= c[1:] != c[:-1]
+        if held and any(c[0] != h[0] for c, h in zip(columns[:keys], held[0][:keys])):
+            yield joined(held)
+            held = []
+        cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if held and a:
+                yield joined(held)
+                held = []
+            held.append([c[a:b] for c in columns])
+    if held:
+        yield joined(held)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import byte_language, minimax_shards, pattern_packing, pigeonring, secret_cnn
+from millrace.llm import (
+    byte_language, minimax_shards, page_difference, pattern_packing, pigeonring, pivot_index, secret_cnn)
 from millrace.llm.common import load
 from millrace.session import prepare
 
@@ -20,11 +21,21 @@ def register(build):
     return run
 
 
+@register
+def op1_page_difference(spark: SparkSession, folder: str) -> DataFrame:
+    return page_difference.extract(load(spark, folder, "pages"))
+
+
 @register
 def op2_byte_language(spark: SparkSession, folder: str) -> DataFrame:
     return byte_language.identify(load(spark, folder, "documents"))
 
 
+@register
+def op3_pivot_index(spark: SparkSession, folder: str) -> DataFrame:
+    return pivot_index.near_duplicates(load(spark, folder, "embeddings"))
+
+
 @register
 def op4_secret_cnn(spark: SparkSession, folder: str) -> DataFrame:
     return secret_cnn.report(load(spark, folder, "documents"))
