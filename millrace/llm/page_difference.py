@@ -144,10 +144,12 @@ def extract(pages: DataFrame) -> DataFrame:
     """
     rows = materialize(parsed(pages), "parsed")
     # Every row is paired; lines travel only to pages with lines outside an article.
-    wanted = rows.where(F.exists("main", lambda x: ~x)).select("row").distinct()
-    pairs = neighbours(rows).join(wanted, "row")
-    lines = rows.select(F.col("row").alias("other"), "blocks").dropDuplicates(["other"])
-    near = pairs.join(lines, "other").groupBy("row").agg(F.array_sort(F.collect_list("blocks")).alias("others"))
+    open_lines = F.exists("main", lambda x: ~x)
+    wanted = rows.where(open_lines).select("row").distinct()
+    pairs = materialize(neighbours(rows).join(wanted, "row"), "pairs")
+    asked = rows.select(F.col("row").alias("other"), "blocks").join(pairs.select("other"), "other", "left_semi")
+    near = pairs.join(asked.dropDuplicates(["other"]), "other").groupBy("row").agg(
+        F.array_sort(F.collect_list("blocks")).alias("others"))
 
     def run(batches):
         for batch in batches:
@@ -158,5 +160,7 @@ def extract(pages: DataFrame) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(np.array([len(t) for t in texts], np.int64))],
                 ["page_id", "url", "text", "n_chars"])
 
-    return rows.join(near, "row", "left").select("page_id", "url", "blocks", "main", "others").mapInArrow(
+    settled = rows.where(~open_lines).withColumn("others", F.lit(None).cast("array<array<string>>"))
+    every = rows.where(open_lines).join(near, "row", "left").unionByName(settled)
+    return every.select("page_id", "url", "blocks", "main", "others").mapInArrow(
         run, f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long")
