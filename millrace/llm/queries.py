@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import (
-    byte_language, minimax_shards, page_difference, pattern_packing, pigeonring, pivot_index, secret_cnn)
+    byte_language, latent_retrieval, minimax_shards, page_difference, pattern_packing, pigeonring, pivot_index, secret_cnn)
 from millrace.llm.common import load
 from millrace.session import prepare
 
@@ -51,6 +51,11 @@ def op8_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
     return minimax_shards.shard_by_bytes(load(spark, folder, "documents"))
 
 
+@register
+def op9_latent_retrieval(spark: SparkSession, folder: str) -> DataFrame:
+    return latent_retrieval.find_leaks(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
+
+
 @register
 def op10_pigeonring_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return pigeonring.near_duplicates(load(spark, folder, "documents"))
