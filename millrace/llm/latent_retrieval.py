@@ -19,13 +19,13 @@ from pyspark.sql import functions as F
 from millrace.llm.common import bytes_of, materialize, row_chunks, text_column
 from millrace.llm.word_bytes import Words
 
-FEATURES = 1 << 16   # hash buckets of words
+FEATURES = 1 << 15   # hash buckets of words
 RANK = 64
 SPARE = 8            # more directions than RANK while the basis is found
 ROUNDS = 2           # power iterations
 BLOCK = 12           # words; a passage is two blocks, and the next begins a block later
 SAMPLE = 4000        # documents, expected, whose passages the basis is fitted to
-COSINE = 0.3
+COSINE = 0.5
 OVERLAP = 0.35       # of the weight of a piece's words must be in the passage
 LEAST = 0.6          # of an item's words in order, within a stretch of 1.5 times its length
 SURE = 0.8           # from which the last sentence need not be found
@@ -194,7 +194,11 @@ def gram(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
 
 def latent_basis(rows: DataFrame, rank: int = RANK, seed: int = 11) -> np.ndarray:
     """Right singular vectors of the passages, each divided by its singular value so that frequent topics do
-    not outweigh the rest: a randomised range, power iterations, and an eigenproblem of rank by rank."""
+    not outweigh the rest: a randomised range, power iterations, and an eigenproblem of rank by rank.
+
+    A row is the place of a bucket's words in the latent space. Passages add them up at equal length, times the
+    weight: otherwise frequent words round an inserted passage drown its rare ones, which the leading vectors
+    hardly reach."""
     basis = np.random.default_rng(seed).normal(size=(FEATURES, rank + SPARE)).astype(np.float32)
     for _ in range(ROUNDS):
         basis = np.linalg.qr(times_transposed(rows, basis))[0].astype(np.float32)
@@ -359,7 +363,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, sample: int = SAMPLE, cosi
         if not items or not total:
             continue
         basis = latent_basis(sampled_passages(docs, part, idf, sample))
-        table = np.concatenate([basis * idf[:, None], np.zeros((1, basis.shape[1]))]).astype(np.float32)
+        table = np.concatenate([units(basis) * idf[:, None], np.zeros((1, basis.shape[1]))]).astype(np.float32)
         results.append(searched(docs, table, Searched(items, table, idf), (cosine, least, sure, answer), schema))
     if not results:
         return spark.createDataFrame([], schema)
