@@ -13,7 +13,7 @@ from millrace.sources.tables import table_path
 
 __all__ = ["bytes_of", "crc_of_id", "load", "materialize", "numbered", "row_chunks", "scratch", "strings", "text_column"]
 
-ROWS_PER_DEAL = 20_000
+ROWS_PER_DEAL = 2_000
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -60,14 +60,14 @@ def row_chunks(starts: np.ndarray, most: int):
         first = min(last, n)
 
 
-def numbered(rows: DataFrame, total: int, group: str, by: list[str], name: str) -> DataFrame:
+def numbered(rows: DataFrame, sizes: list[int], group: str, by: list[str], name: str) -> DataFrame:
     """Number the rows of each group 0, 1, ... without gathering a group in one task.
 
-    Rows are dealt by a hash of ``by``, numbered inside (group, deal), and shifted by the rows of the deals
-    before. Each deal has about ROWS_PER_DEAL of the ``total`` rows.
+    ``sizes`` holds the rows of groups 0, 1, ... Rows are dealt by a hash of ``by``, about ROWS_PER_DEAL to a deal,
+    numbered inside (group, deal), and shifted by the rows of the deals before.
     """
-    deals = max(1, -(-total // ROWS_PER_DEAL))
-    rows = rows.withColumn("deal", F.pmod(F.xxhash64(*by), F.lit(deals)))
+    deals = F.array(*[F.lit(max(1, -(-int(n) // ROWS_PER_DEAL))).cast("long") for n in sizes])
+    rows = rows.withColumn("deal", F.pmod(F.xxhash64(*by), F.element_at(deals, F.col(group).cast("int") + 1)))
     counts = rows.groupBy(group, "deal").agg(F.count("*").alias("n"))
     before = Window.partitionBy(group).orderBy("deal").rowsBetween(Window.unboundedPreceding, 0)
     shifts = counts.select(group, "deal", (F.sum("n").over(before) - F.col("n")).alias("shift"))

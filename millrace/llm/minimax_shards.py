@@ -139,6 +139,8 @@ def shard_by_bytes(docs: DataFrame, shards: int = 8) -> DataFrame:
     shard = sum((F.when(F.col("key") >= cut, 1).otherwise(0) for cut in cuts), F.lit(len(heavy)))
     for i, key in enumerate(heavy):
         shard = F.when(F.col("key") == key, F.lit(i)).otherwise(shard)
-    dealt = numbered(rows.withColumn("shard", shard.cast("int")), whole["n"], "shard", ["doc_id", "key"], "slot")
+    rows = rows.withColumn("shard", shard.cast("int"))
+    counts = dict(rows.groupBy("shard").count().collect())
+    dealt = numbered(rows, [counts.get(i, 0) for i in range(shards)], "shard", ["doc_id", "key"], "slot")
     return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                         F.lit(None).cast("int").alias("grown_shard"))

@@ -180,6 +180,6 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) ->
                 [*batch.columns[:5], pa.array(sequence[at] + number - first[at]), pa.array(offset[at])],
                 [*batch.schema.names[:5], "sequence_id", "offset"])
 
-    dealt = numbered(rows, int(counts.sum()), "length", ["doc_id", "piece", "ids_crc32"], "number")
+    dealt = numbered(rows, counts.tolist(), "length", ["doc_id", "piece", "ids_crc32"], "number")
     return dealt.select("doc_id", "piece", "start", "length", "ids_crc32", "number").mapInArrow(
         place, PIECES + ", sequence_id long, offset long")
