@@ -334,6 +334,31 @@ def leaks_of(hashes, first, table, looked: Searched, options):
     return found
 
 
+def item_passes(docs: DataFrame, benchmark: DataFrame, sample: int):
+    """(table, items) for passes over the documents of at most about ITEMS items each."""
+    wanted = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id is not null and text is not null").distinct()
+    passes = max(1, -(-wanted.count() // ITEMS))
+    counts, total = passage_counts(docs)
+    idf = weights(counts, total)
+    for k in range(passes):
+        part = wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k)
+        items = read_items(part.orderBy("item_id", "text").collect())
+        if items and total:
+            basis = latent_basis(sampled_passages(docs, part, idf, sample))
+            table = np.concatenate([units(basis) * idf[:, None], np.zeros((1, basis.shape[1]))]).astype(np.float32)
+            yield table, Searched(items, table, idf)
+
+
+def leaks_in(column, words: Words, table: np.ndarray, looked: Searched, options) -> list[tuple]:
+    """Leaks in a column of texts; rows are numbered from its first."""
+    data, starts = bytes_of(pc.utf8_lower(column))
+    rows = []
+    for a, b in row_chunks(starts, CHUNK):
+        hashes, first, _, _ = words(data[starts[a]:starts[b]], starts[a:b + 1] - starts[a])
+        rows += [(a + r[0], *r[1:]) for r in leaks_of(hashes, first, table, looked, options)]
+    return rows
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, sample: int = SAMPLE, cosine: float = COSINE, least: float = LEAST,
                sure: float = SURE, answer: float = ANSWER) -> DataFrame:
     """Documents that hold a benchmark item, word for word or reworded.
@@ -350,26 +375,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, sample: int = SAMPLE, cosi
     Passage frequencies count all documents; the basis is fitted on a hashed sample of about ``sample`` documents
     and the items. Items are looked for in passes of ITEMS, so what is sent to tasks stays bounded.
     """
-    spark = docs.sparkSession
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id long, cosine double, share double, answer double, first_word long"
-    wanted = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id is not null and text is not null").distinct()
-    passes = max(1, -(-wanted.count() // ITEMS))
-    counts, total = passage_counts(docs)
-    idf = weights(counts, total)
-    results = []
-    for k in range(passes):
-        part = wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k)
-        items = read_items(part.orderBy("item_id", "text").collect())
-        if not items or not total:
-            continue
-        basis = latent_basis(sampled_passages(docs, part, idf, sample))
-        table = np.concatenate([units(basis) * idf[:, None], np.zeros((1, basis.shape[1]))]).astype(np.float32)
-        results.append(searched(docs, table, Searched(items, table, idf), (cosine, least, sure, answer), schema))
-    if not results:
-        return spark.createDataFrame([], schema)
-    out = results[0]
-    for r in results[1:]:
-        out = out.unionByName(r)
+    schema = (f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id long, cosine double, share double, "
+              "answer double, first_word long")
+    out = docs.sparkSession.createDataFrame([], schema)
+    for table, looked in item_passes(docs, benchmark, sample):
+        out = out.unionByName(searched(docs, table, looked, (cosine, least, sure, answer), schema))
     return out
 
 
@@ -377,11 +387,7 @@ def searched(docs: DataFrame, table: np.ndarray, looked: Searched, options, sche
     def run(batches):
         words = Words(marks=False)
         for batch in batches:
-            data, starts = bytes_of(pc.utf8_lower(batch.column(1)))
-            rows = []
-            for a, b in row_chunks(starts, CHUNK):
-                hashes, first, _, _ = words(data[starts[a]:starts[b]], starts[a:b + 1] - starts[a])
-                rows += [(a + r[0], *r[1:]) for r in leaks_of(hashes, first, table, looked, options)]
+            rows = leaks_in(batch.column(1), words, table, looked, options)
             if rows:
                 row, item, *rest = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
@@ -392,7 +398,21 @@ def searched(docs: DataFrame, table: np.ndarray, looked: Searched, options, sche
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` in which no item was found, all columns kept. Rows are told apart by id and text."""
-    leaks = materialize(find_leaks(docs, benchmark, **options), "leaks").select("doc_id").distinct()
-    return docs.join(leaks.where("doc_id is not null"), "doc_id", "left_anti")
+def without_leaks(docs: DataFrame, benchmark: DataFrame, sample: int = SAMPLE, cosine: float = COSINE, least: float = LEAST,
+                  sure: float = SURE, answer: float = ANSWER) -> DataFrame:
+    """The rows of ``docs`` in which ``find_leaks`` finds nothing, all columns kept, in one pass per ITEMS items."""
+    out = docs
+    for table, looked in item_passes(docs, benchmark, sample):
+        out = out.mapInArrow(dropping(out.columns.index("text"), table, looked, (cosine, least, sure, answer)), docs.schema)
+    return out
+
+
+def dropping(text: int, table: np.ndarray, looked: Searched, options):
+    def run(batches):
+        words = Words(marks=False)
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            keep[[r[0] for r in leaks_in(batch.column(text), words, table, looked, options)]] = False
+            yield batch.filter(pa.array(keep))
+
+    return run

@@ -57,11 +57,12 @@ def fold(hashes: list[int], counts: list[int]) -> np.ndarray:
     return np.packbits(ones, axis=1, bitorder="little").view("<u8").ravel()
 
 
-def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """doc_id and the 64-bit SimHash of the text as a signed long. Texts without words have 0."""
+def fingerprints(docs: DataFrame, words: int = 4, keep: list[str] | None = None) -> DataFrame:
+    """The columns of ``keep`` (doc_id by default) and print, the 64-bit SimHash of the text as a signed long.
+    Texts without words have 0."""
     def run(batches):
         for batch in batches:
-            texts = strings(batch.column(1))
+            texts = strings(batch.column(batch.num_columns - 1))
             out, hashes, counts = [], [], []
             for text in texts:
                 own = shingle_hashes(text, words)
@@ -73,9 +74,12 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
             if counts:
                 out.append(fold(hashes, counts))
             prints = np.concatenate(out) if out else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "print"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(prints.view(np.int64))],
+                                             [*batch.schema.names[:-1], "print"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, print long")
+    rows = docs.select(*(["doc_id"] if keep is None else keep), F.col("text").alias("text_to_read"))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text_to_read"]
+    return rows.mapInArrow(run, ", ".join([*fields, "print long"]))
 
 
 def segments(distance: int) -> list[tuple[int, int]]:
@@ -175,6 +179,23 @@ def links(prints: DataFrame, distance: int) -> DataFrame:
     return light.unionByName(heavy_links(offers, asks, heavy, distance))
 
 
+def grouped(docs: DataFrame, words: int, distance: int, keep: list[str]) -> DataFrame:
+    """The columns of ``keep``, print and component_id of every row."""
+    if not 0 <= distance < BITS // 2:
+        raise ValueError("distance must be from 0 to 31")
+    clash = {"print", "component_id", "component", "node", "rep", "text_to_read"} & set(keep)
+    if clash:
+        raise ValueError(f"columns named like results: {sorted(clash)}")
+    prints = materialize(fingerprints(docs, words, keep), "prints")
+    classes = prints.groupBy("print").agg(F.min(F.col("doc_id").cast("long")).alias("rep"))
+    named = classes.where("rep is not null")
+    linked = links(named, distance) if distance else prints.sparkSession.createDataFrame([], "u long, v long")
+    groups = components(linked)
+    joined = classes.join(groups, classes["rep"] == groups["node"], "left").select(
+        "print", F.coalesce("component", "rep").alias("component_id"))
+    return prints.join(joined, "print").select(*keep, "print", "component_id")
+
+
 def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
     """Group documents whose SimHash fingerprints are linked by steps of at most ``distance`` bits.
 
@@ -186,14 +207,13 @@ def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4) -> DataF
     Copies are folded to one representative before any comparison, and links become rows only between
     representatives. Every pair within the distance is found; no bucket is capped.
     """
-    if not 0 <= distance < BITS // 2:
-        raise ValueError("distance must be from 0 to 31")
-    prints = materialize(fingerprints(docs, words), "prints")
-    classes = prints.groupBy("print").agg(F.min("doc_id").alias("rep"))
-    named = classes.where("rep is not null")
-    linked = links(named, distance) if distance else prints.sparkSession.createDataFrame([], "u long, v long")
-    groups = components(linked)
-    joined = classes.join(groups, classes["rep"] == groups["node"], "left").select(
-        "print", F.coalesce("component", "rep").alias("component_id"))
-    return prints.join(joined, "print").select(
-        "doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+    rows = grouped(docs, words, distance, ["doc_id"])
+    return rows.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
+    """One row of each group, all columns kept: the one whose doc_id names the group. Of repeated rows one
+    stays, and one of a group whose ids are all null."""
+    rows = grouped(docs, words, distance, docs.columns)
+    named = rows.where(F.col("doc_id").cast("long").eqNullSafe(F.col("component_id")))
+    return named.dropDuplicates(["component_id"]).select(*docs.columns)
