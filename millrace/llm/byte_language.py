@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import convnet
-from millrace.llm.common import bytes_of, crc_of_id, row_chunks, text_column
+from millrace.llm.common import bytes_of, crc_of_id, map_texts, row_chunks, split_text, text_rows
 
 WINDOW = 128
 SAMPLE = 6000  # expected number of labelled documents the network is fitted to
@@ -114,21 +114,20 @@ def identify(docs: DataFrame, train_on: DataFrame | None = None, keep: list[str]
 
     def run(batches):
         for batch in batches:
-            data, starts = bytes_of(batch.column(batch.num_columns - 1))
+            text, columns, kept = split_text(batch)
+            data, starts = bytes_of(text)
             if net is None:
                 label, score = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
             else:
                 label, score = predict(net, names, data, starts, window)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(label, pa.string()), pa.array(score)],
-                [*batch.schema.names[:-1], "lang_pred", "score"])
+                [*columns, pa.array(label, pa.string()), pa.array(score)], [*kept, "lang_pred", "score"])
 
     clash = {"held_out", "lang_pred", "score", "text_to_read"} & set(keep)
     if clash:
         raise ValueError(f"columns named like results: {sorted(clash)}")
-    rows = docs.select(*keep, (crc_of_id() % HELD_OUT == 0).alias("held_out"), text_column().alias("text_to_read"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text_to_read"]
-    return rows.mapInArrow(run, ", ".join([*fields, "lang_pred string", "score double"]))
+    rows, schema = text_rows(docs, keep, (crc_of_id() % HELD_OUT == 0).alias("held_out"))
+    return map_texts(rows, run, f"{schema}, lang_pred string, score double")
 
 
 def known(docs: DataFrame, least: float = 0.3, **options) -> DataFrame:

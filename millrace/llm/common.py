@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 from millrace.session import materialize, scratch
 from millrace.sources.tables import table_path
 
-__all__ = ["bytes_of", "crc_of_id", "load", "materialize", "numbered", "row_chunks", "scratch", "strings", "text_column"]
+__all__ = ["bytes_of", "crc_of_id", "load", "map_texts", "materialize", "numbered", "row_chunks", "scratch", "split_text",
+           "strings", "text_column", "text_rows"]
 
 ROWS_PER_DEAL = 2_000
+ROWS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXTS_PER_BATCH = 500
+TEXT = "text_to_read"
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -30,6 +34,29 @@ def crc_of_id(name: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary"))
 
 
+def map_texts(rows: DataFrame, run, schema) -> DataFrame:
+    """mapInArrow over rows with whole texts, whose batches are kept small unless the caller set their size."""
+    conf = rows.sparkSession.conf
+    if conf.get(ROWS_PER_BATCH) == "10000":
+        conf.set(ROWS_PER_BATCH, str(TEXTS_PER_BATCH))
+    return rows.mapInArrow(run, schema)
+
+
+def text_rows(docs: DataFrame, keep: list[str], *more: Column) -> tuple[DataFrame, str]:
+    """The columns of ``keep`` and ``more`` with the text, which is carried once, and the schema of the former."""
+    columns = [docs[f"`{c}`"] for c in keep] + list(more)
+    rows = docs.select(*columns, *([] if "text" in keep else [F.col("text").alias(TEXT)]))
+    return rows, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != TEXT)
+
+
+def split_text(batch: pa.RecordBatch) -> tuple[pa.Array, list[pa.Array], list[str]]:
+    """The text of a batch of ``text_rows``, its other columns, and their names."""
+    names = batch.schema.names
+    text = batch.column(names.index(TEXT if TEXT in names else "text"))
+    kept = [n for n in names if n != TEXT]
+    return text, list(batch.columns[:len(kept)]), kept
+
+
 def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column end to end, and where each row starts (one more entry than rows).
 

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import bytes_of, materialize, row_chunks, text_column
+from millrace.llm.common import bytes_of, map_texts, materialize, row_chunks, text_column
 from millrace.llm.word_bytes import Words
 
 FEATURES = 1 << 15   # hash buckets of words
@@ -94,7 +94,7 @@ def passage_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, some].astype(np.int64)), pa.array(np.r_[n, total[some]])], ["bucket", "n"])
 
-    counts = docs.select(text_column().alias("t")).mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts = map_texts(docs.select(text_column().alias("t")), run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     found, total = np.zeros(FEATURES, np.int64), 0
     for bucket, n in zip(counts["bucket"].to_pylist(), counts["n"].to_pylist()):
         if bucket < 0:
@@ -132,7 +132,8 @@ def sampled_passages(docs: DataFrame, items: DataFrame, idf: np.ndarray, sample:
                         values.append(v / norm)
                 yield pa.RecordBatch.from_arrays([pa.array(terms, pa.list_(pa.int64())), pa.array(values, pa.list_(pa.float32()))], ["terms", "values"])
 
-    return materialize(drawn.repartition(max(1, min(64, 1 + 2 * sample // 1000))).mapInArrow(run, "terms array<long>, values array<float>"), "passages")
+    spread = drawn.repartition(max(1, min(64, 1 + 2 * sample // 1000)))
+    return materialize(map_texts(spread, run, "terms array<long>, values array<float>"), "passages")
 
 
 def rows_of(batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -395,7 +396,7 @@ def searched(docs: DataFrame, table: np.ndarray, looked: Searched, options, sche
                      *(pa.array(c, pa.float64()) for c in rest[:3]), pa.array(rest[3], pa.int64())],
                     ["doc_id", "item_id", "cosine", "share", "answer", "first_word"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return map_texts(docs.select("doc_id", "text"), run, schema)
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, sample: int = SAMPLE, cosine: float = COSINE, least: float = LEAST,
@@ -403,7 +404,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, sample: int = SAMPLE, c
     """The rows of ``docs`` in which ``find_leaks`` finds nothing, all columns kept, in one pass per ITEMS items."""
     out = docs
     for table, looked in item_passes(docs, benchmark, sample):
-        out = out.mapInArrow(dropping(out.columns.index("text"), table, looked, (cosine, least, sure, answer)), docs.schema)
+        out = map_texts(out, dropping(out.columns.index("text"), table, looked, (cosine, least, sure, answer)), docs.schema)
     return out
 
 

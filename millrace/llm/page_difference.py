@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import materialize, strings
+from millrace.llm.common import map_texts, materialize, strings
 from millrace.llm.html_blocks import blocks_of
 
 COPY = 0.7      # share of a page's characters in shared lines above which the other page is a copy of it
@@ -92,7 +92,7 @@ def parsed(pages: DataFrame) -> DataFrame:
                 ["page_id", "url", "row", "host", "path", "blocks", "main"])
 
     row = F.xxhash64("page_id", "url", "html")
-    return pages.select("page_id", "url", "html", row.alias("row")).mapInArrow(run, (
+    return map_texts(pages.select("page_id", "url", "html", row.alias("row")), run, (
         f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, row long, host string, path string, "
         "blocks array<string>, main array<boolean>"))
 
@@ -162,5 +162,5 @@ def extract(pages: DataFrame) -> DataFrame:
 
     settled = rows.where(~open_lines).withColumn("others", F.lit(None).cast("array<array<string>>"))
     every = rows.where(open_lines).join(near, "row", "left").unionByName(settled)
-    return every.select("page_id", "url", "blocks", "main", "others").mapInArrow(
-        run, f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long")
+    return map_texts(every.select("page_id", "url", "blocks", "main", "others"), run, (
+        f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long"))

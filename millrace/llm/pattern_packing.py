@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import byte_tokens
-from millrace.llm.common import materialize, numbered, strings
+from millrace.llm.common import map_texts, materialize, numbered, strings
 
 CAPACITY = 1024
 END_ID = 2
@@ -43,7 +43,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
                                              ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
+    return map_texts(docs.select(F.col("doc_id").cast("long"), "text"), run, PIECES)
 
 
 def filling_patterns(lengths: np.ndarray, capacity: int) -> np.ndarray:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.blocks import spanning_links
-from millrace.llm.common import materialize, strings
+from millrace.llm.common import map_texts, materialize, split_text, strings, text_rows
 from millrace.llm.components import components
 
 BITS = 64
@@ -62,7 +62,8 @@ def fingerprints(docs: DataFrame, words: int = 4, keep: list[str] | None = None)
     Texts without words have 0."""
     def run(batches):
         for batch in batches:
-            texts = strings(batch.column(batch.num_columns - 1))
+            text, columns, kept = split_text(batch)
+            texts = strings(text)
             out, hashes, counts = [], [], []
             for text in texts:
                 own = shingle_hashes(text, words)
@@ -74,12 +75,10 @@ def fingerprints(docs: DataFrame, words: int = 4, keep: list[str] | None = None)
             if counts:
                 out.append(fold(hashes, counts))
             prints = np.concatenate(out) if out else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(prints.view(np.int64))],
-                                             [*batch.schema.names[:-1], "print"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(prints.view(np.int64))], [*kept, "print"])
 
-    rows = docs.select(*(["doc_id"] if keep is None else keep), F.col("text").alias("text_to_read"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text_to_read"]
-    return rows.mapInArrow(run, ", ".join([*fields, "print long"]))
+    rows, schema = text_rows(docs, ["doc_id"] if keep is None else keep)
+    return map_texts(rows, run, f"{schema}, print long")
 
 
 def segments(distance: int) -> list[tuple[int, int]]:
