@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import (
-    byte_language, latent_retrieval, minimax_shards, page_difference, pattern_packing, pigeonring, pivot_index, secret_cnn)
+    byte_language, latent_retrieval, maxent_lm, minimax_shards, page_difference, pattern_packing, pigeonring, pivot_index,
+    secret_cnn)
 from millrace.llm.common import load
 from millrace.session import prepare
 
@@ -46,6 +47,11 @@ def op5_pattern_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pattern_packing.pack(load(spark, folder, "documents"))
 
 
+@register
+def op7_maxent_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return maxent_lm.score(load(spark, folder, "documents"))
+
+
 @register
 def op8_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
     return minimax_shards.shard_by_bytes(load(spark, folder, "documents"))
