@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import (
     byte_language, latent_retrieval, maxent_lm, minimax_shards, page_difference, pattern_packing, pigeonring, pivot_index,
-    secret_cnn)
+    secret_cnn, suffix_dedup)
 from millrace.llm.common import load
 from millrace.session import prepare
 
@@ -47,6 +47,11 @@ def op5_pattern_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pattern_packing.pack(load(spark, folder, "documents"))
 
 
+@register
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(load(spark, folder, "documents"))
+
+
 @register
 def op7_maxent_lm(spark: SparkSession, folder: str) -> DataFrame:
     return maxent_lm.score(load(spark, folder, "documents"))
