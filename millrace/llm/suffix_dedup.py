@@ -16,7 +16,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import bytes_of, map_texts, materialize, row_chunks, text_column
@@ -33,6 +33,7 @@ DEAL = 4096            # rows of one anchor that are dealt to one shard
 HOT = 2000             # an anchor that stands more often is merged window by window
 MEMORY = 1 << 21       # runs of one task that are looked through for repeats at a time
 PLACE, TAG = 1 << 40, (1 << 22) - 1   # a place is tag * PLACE + byte
+BITS, BITMAP = 1 << 24, 1 << 15
 
 
 class Anchors:
@@ -78,11 +79,13 @@ class Anchors:
 
 
 def places(docs: DataFrame) -> DataFrame:
-    """doc, tag and text of each row. Rows are ordered by doc, then tag: rows that share an id and differ in their
-    text are told apart by a hash of it. A null id comes last."""
+    """doc, tag and text of each row, in whose order of doc and tag the rows count. A null id comes last. The tag is 0,
+    but where some id has several texts a hash of the text tells its rows apart."""
     text = text_column()
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc"),
-                       F.xxhash64(text).bitwiseAND(TAG).alias("tag"), text.alias("text"))
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
+    several = docs.select(doc.alias("doc"), F.xxhash64(text).alias("h")).distinct().groupBy("doc").count().where("count > 1")
+    tag = F.lit(0).cast("long") if several.isEmpty() else F.xxhash64(text).bitwiseAND(TAG)
+    return docs.select(doc.alias("doc"), tag.alias("tag"), text.alias("text"))
 
 
 def suspects(rows: DataFrame, length: int) -> DataFrame:
@@ -101,12 +104,12 @@ def suspects(rows: DataFrame, length: int) -> DataFrame:
             head = np.r_[True, anchor[1:] != anchor[:-1]] if len(anchor) else np.zeros(0, bool)
             at = np.flatnonzero(head)
             often = np.repeat(np.diff(np.r_[at, len(anchor)]), np.diff(np.r_[at, len(anchor)]))
-            # Other rows than the first are sent anywhere: they are known to be repeated.
-            spread = mixed(anchor ^ mixed(doc.view(np.uint64) ^ mixed(place.view(np.uint64))))
+            # Other rows than the first are dealt anywhere: they are known to be repeated.
+            spread = (mixed(doc.view(np.uint64) ^ mixed(place.view(np.uint64))) >> np.uint64(34)).astype(np.int32) + 1
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.where(head, anchor, spread).view(np.int64)), pa.array(np.where(head, often, -often)), pa.array(doc),
-                 pa.array(place), pa.array(windows.astype(np.int32)), pa.array(anchor.view(np.int64))],
-                ["deal", "n", "doc", "place", "windows", "anchor"])
+                [pa.array(anchor.view(np.int64)), pa.array(np.where(head, 0, spread).astype(np.int32)), pa.array(np.where(head, often, -often)),
+                 pa.array(doc), pa.array(place), pa.array(windows.astype(np.int32))],
+                ["anchor", "deal", "n", "doc", "place", "windows"])
 
         for batch in batches:
             data, starts = bytes_of(batch.column(2))
@@ -121,23 +124,40 @@ def suspects(rows: DataFrame, length: int) -> DataFrame:
         if held:
             yield found()
 
-    runs = map_texts(rows, run, "deal long, n long, doc long, place long, windows int, anchor long")
-    total = F.sum(F.greatest("n", F.lit(0))).over(Window.partitionBy("deal"))
+    runs = map_texts(rows, run, "anchor long, deal int, n long, doc long, place long, windows int")
+    total = F.sum(F.greatest("n", F.lit(0))).over(Window.partitionBy("anchor", "deal"))
     again = runs.withColumn("total", total).where("n < 0 or total > 1")
     item = F.struct("place", "windows", "anchor", F.when(F.col("n") > 0, F.col("total")).otherwise(F.col("n")).alias("n"))
     return again.groupBy("doc", F.floor(F.col("place") / PLACE).alias("tag")).agg(F.array_sort(F.collect_set(item)).alias("runs"))
 
 
-def squeezed(rows: DataFrame) -> DataFrame:
-    """The rows with their texts compressed: they travel twice."""
+def row_bit() -> Column:
+    return F.pmod(F.xxhash64("doc", "tag"), F.lit(BITS))
+
+
+def bits_of(rows: DataFrame) -> np.ndarray:
+    """A bit for the hash of every (doc, tag): of bounded size, and at worst all ones."""
+    found = np.zeros((BITS // BITMAP, BITMAP // 8), np.uint8)
+    for r in rows.groupBy(F.floor(row_bit() / BITMAP).alias("i")).agg(
+            F.bitmap_construct_agg((row_bit() % BITMAP).cast("long")).alias("bits")).collect():
+        found[r["i"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return found.ravel()
+
+
+def squeezed(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts of ``wanted`` (and a few others, which a join drops), compressed for the shuffle."""
+    bits = bits_of(wanted)
+
     def run(batches):
         pack = zstandard.ZstdCompressor(level=3)
         for batch in batches:
+            h = batch.column(3).to_numpy()
+            batch = batch.filter(pa.array(bits[h >> 3] >> (h & 7) & 1 == 1))
             data, starts = bytes_of(batch.column(2))
             raw = [pack.compress(data[a:b].tobytes()) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(raw, pa.binary())], ["doc", "tag", "raw"])
 
-    return map_texts(rows, run, "doc long, tag long, raw binary")
+    return map_texts(rows.withColumn("h", row_bit()), run, "doc long, tag long, raw binary")
 
 
 def unpacked(raw: list[bytes]) -> list[bytes]:
@@ -174,7 +194,8 @@ def pieces(rows: DataFrame, found: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
                                              ["key", "salt", "doc", "place", "raw", "windows", "anchors", "n"])
 
-    joined = squeezed(rows).join(found, ["doc", "tag"]).select("doc", "tag", "raw", "runs")
+    found = materialize(found, "suspects")
+    joined = squeezed(rows, found).join(found, ["doc", "tag"]).select("doc", "tag", "raw", "runs")
     return map_texts(joined, run, PIECES)
 
 
@@ -348,28 +369,33 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     found = materialize(sharded(pieces(rows, suspects(rows, length), length), length), "shards")
     gone = found.where("deal is null").select("doc", "first", "last").unionByName(merged(found, length))
     tag = F.floor(F.col("first") / PLACE).alias("tag")
-    lists = gone.groupBy("doc", tag).agg(F.collect_list(F.struct("first", "last")).alias("gone"))
+    lists = materialize(gone.groupBy("doc", tag).agg(F.collect_list(F.struct("first", "last")).alias("gone")), "gone")
+    results = map_texts(squeezed(rows, lists).join(lists, ["doc", "tag"]).select("doc", "tag", "raw", "gone"), cutting(length), (
+        "doc long, tag long, n_removed long, n_spans long, sha string")).dropDuplicates(["doc", "tag"])
+    own = rows.select("doc", "tag", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("own"))
     kind = docs.schema["doc_id"].dataType.simpleString()
+    return own.join(results, ["doc", "tag"], "left").select(
+        F.when(F.col("doc") != (1 << 63) - 1, F.col("doc")).cast(kind).alias("doc_id"), "n_bytes",
+        F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"),
+        F.coalesce("sha", "own").alias("kept_sha256"))
+
 
+def cutting(length: int):
     def run(batches):
         for batch in batches:
             out = []
-            raws = unpacked(batch.column(1).to_pylist())
-            for doc, tag, raw, spans_of in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), raws, batch.column(3).to_pylist()):
-                depth = np.zeros(len(raw) + 1, np.int64)
-                for s in spans_of or ():
-                    depth[s["first"] - tag * PLACE] += 1
-                    depth[s["last"] - tag * PLACE + length] -= 1
+            doc, tag, raw, gone = (batch.column(i).to_pylist() for i in range(4))
+            for i, text in enumerate(unpacked(raw)):
+                depth = np.zeros(len(text) + 1, np.int64)
+                for s in gone[i]:
+                    depth[s["first"] - tag[i] * PLACE] += 1
+                    depth[s["last"] - tag[i] * PLACE + length] -= 1
                 removed = np.cumsum(depth[:-1]) > 0
-                kept = np.frombuffer(raw, np.uint8)[~removed]
+                kept = np.frombuffer(text, np.uint8)[~removed]
                 runs = int(np.count_nonzero(np.diff(np.r_[False, removed].astype(np.int8)) == 1))
-                out.append((doc, len(raw), int(removed.sum()), runs, hashlib.sha256(kept.tobytes()).hexdigest()))
+                out.append((doc[i], tag[i], int(removed.sum()), runs, hashlib.sha256(kept.tobytes()).hexdigest()))
             columns = list(zip(*out)) or [()] * 5
-            kinds = [batch.column(0).type, pa.int64(), pa.int64(), pa.int64(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            kinds = [pa.int64()] * 4 + [pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc", "tag", "n_removed", "n_spans", "sha"])
 
-    last = F.lit((1 << 63) - 1)
-    joined = squeezed(rows).join(lists, ["doc", "tag"], "left").select(
-        F.when(F.col("doc") != last, F.col("doc")).cast(kind).alias("doc_id"), "raw", "tag", "gone")
-    return map_texts(joined, run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return run
