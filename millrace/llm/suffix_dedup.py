@@ -92,7 +92,8 @@ def suspects(rows: DataFrame, length: int) -> DataFrame:
     """(doc, tag, runs) with the runs whose anchor stands elsewhere, too: place, windows, anchor, n.
 
     A task sends one row per different anchor to the count, however often it stands there. For that row n is how
-    often the anchor stands in all; other rows of the task carry minus the number that the task knows.
+    often the anchor stands in all; other rows of the task carry minus the number that the task knows, or if there
+    are more than HOT, minus that of all.
     """
     def run(batches):
         anchors, held, size = Anchors(length), [], 0
@@ -126,9 +127,14 @@ def suspects(rows: DataFrame, length: int) -> DataFrame:
 
     runs = map_texts(rows, run, "anchor long, deal int, n long, doc long, place long, windows int")
     total = F.sum(F.greatest("n", F.lit(0))).over(Window.partitionBy("anchor", "deal"))
-    again = runs.withColumn("total", total).where("n < 0 or total > 1")
-    item = F.struct("place", "windows", "anchor", F.when(F.col("n") > 0, F.col("total")).otherwise(F.col("n")).alias("n"))
-    return again.groupBy("doc", F.floor(F.col("place") / PLACE).alias("tag")).agg(F.array_sort(F.collect_set(item)).alias("runs"))
+    again = materialize(runs.withColumn("total", total).where("n < 0 or total > 1").select(
+        "anchor", F.when(F.col("n") > 0, F.col("total")).otherwise(F.col("n")).alias("n"), "doc", "place", "windows"), "again")
+    # All rows of a hot anchor must know it, for they are merged in another way.
+    hot = again.where(F.col("n") > HOT).groupBy("anchor").agg(F.max("n").alias("total"))
+    others = again.where("n < 0").join(hot, "anchor", "left").withColumn("n", F.coalesce(-F.col("total"), F.col("n"))).drop("total")
+    item = F.struct("place", "windows", "anchor", "n")
+    return again.where("n > 0").unionByName(others).groupBy("doc", F.floor(F.col("place") / PLACE).alias("tag")).agg(
+        F.array_sort(F.collect_set(item)).alias("runs"))
 
 
 def row_bit() -> Column:
