@@ -10,13 +10,13 @@ def purchases(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Purchase rows (user, item, quantity, value) from order lines and their orders."""
     lines = lineitem.select(
         F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").cast("int").alias("item_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
+        F.col("l_partkey").alias("item_id"),
+        F.col("l_quantity").alias("quantity"),
         F.col("l_extendedprice").alias("sales_value"),
     )
     heads = orders.select(
         F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").cast("int").alias("user_id"),
+        F.col("o_custkey").alias("user_id"),
         F.col("o_orderdate").alias("bought_at"),
     )
     return lines.join(heads, "order_id")
@@ -36,7 +36,7 @@ def enrich(batch: DataFrame, per_user: DataFrame, per_item: DataFrame,
 def sales(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """One row per order that has lines: user, number of items, price, time."""
     counts = lineitem.groupBy(F.col("l_orderkey").alias("order_id")).agg(
-        F.sum(F.col("l_quantity").cast("long")).alias("items_count"))
+        F.sum(F.round("l_quantity").cast("long")).alias("items_count"))
     heads = orders.select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
         F.col("o_totalprice").alias("price"), F.col("o_orderdate").alias("order_date"))

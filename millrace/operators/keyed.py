@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.bucketed import BUCKET, bucket_of, near_keys, put_buckets
+from millrace.session import exists
+
+
+LAYOUT = "_layout"  # a name that readers of the folder skip
 
 
 def mentions(column: str) -> str:
@@ -68,7 +72,11 @@ def current(changes: DataFrame, key: str, columns: list[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """Slices below ``path``, split by a hash bucket of the key so that a lookup reads one bucket."""
+    """Slices below ``path``, split by a hash bucket of the key so that a lookup reads one bucket.
+
+    The first write stores the number of buckets beside the slices. Opening the table with another number would
+    look for keys in the wrong buckets, so every later use is refused then; :meth:`opened` reads the stored number.
+    """
 
     spark: SparkSession
     path: str
@@ -94,13 +102,32 @@ class KeyedTable:
         at = version(epoch, step if step else 0)
         self._store(as_changes(df, self.key, list(self.columns), at, deleted), epoch)
 
+    def stored_buckets(self) -> int | None:
+        """The number of buckets that the table was written with, if it was."""
+        if not exists(self.spark, f"{self.path}/{LAYOUT}/_SUCCESS"):
+            return None
+        return self.spark.read.schema("buckets int").parquet(f"{self.path}/{LAYOUT}").first()["buckets"]
+
+    def opened(self) -> KeyedTable:
+        """The same table with its stored number of buckets."""
+        return replace(self, buckets=self.stored_buckets() or self.buckets)
+
+    def _checked(self) -> None:
+        stored = self.stored_buckets()
+        if stored not in (None, self.buckets):
+            raise ValueError(f"{self.path} has {stored} buckets, not {self.buckets}")
+
     def _store(self, changes: DataFrame, epoch: int) -> None:
+        self._checked()
+        if self.stored_buckets() is None:
+            self.spark.range(1).selectExpr(f"{int(self.buckets)} AS buckets").write.mode("overwrite").parquet(f"{self.path}/{LAYOUT}")
         folded = fold(changes, self.key, list(self.columns))
         put_buckets(folded, f"{self.path}/epoch={epoch}", self.key, self.buckets)
 
     def slices(self, up_to: int | None = None) -> DataFrame:
         """Stored changes, restricted to epochs ``<= up_to`` if given (a repeated epoch must not see itself
         or later ones)."""
+        self._checked()
         stored = self.spark.read.schema(self.schema).parquet(self.path)
         return stored if up_to is None else stored.filter(F.col("epoch") <= up_to)
 

@@ -11,11 +11,16 @@ def top(df: DataFrame, by: str, tie: str, k: int) -> DataFrame:
     return df.orderBy(F.desc(by), F.asc(tie)).limit(k)
 
 
+def sold(sales: DataFrame, item: str = "item_id", quantity: str = "quantity", where: Column | None = None) -> DataFrame:
+    """Total quantity of every item, over the rows that pass ``where``."""
+    kept = sales if where is None else sales.filter(where)
+    return kept.groupBy(item).agg(F.sum(quantity).alias(quantity))
+
+
 def top_items(sales: DataFrame, k: int = 5000, item: str = "item_id", quantity: str = "quantity",
               where: Column | None = None) -> DataFrame:
-    """Items by total quantity sold, over the rows that pass ``where``."""
-    kept = sales if where is None else sales.filter(where)
-    return top(kept.groupBy(item).agg(F.sum(quantity).alias(quantity)), quantity, item, k)
+    """The k items of which most was sold."""
+    return top(sold(sales, item, quantity, where), quantity, item, k)
 
 
 def best_per_category(ranked: DataFrame, category: str, by: str = "quantity", item: str = "item_id") -> DataFrame:

@@ -15,7 +15,7 @@ from millrace.plans.registry import query
 from millrace.sources import files, messages
 from millrace.sources.tables import read_table
 
-TOP_ITEMS = 5000
+TOP_ITEMS = 500
 TOP_CATEGORIES = 5
 
 
@@ -29,7 +29,7 @@ def all_sales(spark: SparkSession, folder: str) -> DataFrame:
 
 def item_features(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "part").select(
-        F.col("p_partkey").cast("int").alias("item_id"), F.col("p_type").alias("department"),
+        F.col("p_partkey").alias("item_id"), F.col("p_type").alias("department"),
         F.col("p_brand").alias("category"))
 
 
@@ -46,16 +46,15 @@ SALES = """sales AS (
 FEATURES = """count(*) AS c, CAST(sum(items_count) AS BIGINT) AS s1, max(items_count) AS ma1, min(items_count) AS mi1,
   round(sum(price), 2) AS s2, max(price) AS ma2, min(price) AS mi2"""
 
-TOP = f"""top_items AS (
+TOP = """sold_items AS (
   SELECT item_id, CAST(sum(quantity) AS BIGINT) AS quantity FROM purchases
-  WHERE sales_value > 0 AND quantity > 0 AND sales_value / quantity >= 1
-  GROUP BY item_id ORDER BY quantity DESC, item_id LIMIT {TOP_ITEMS})"""
+  WHERE sales_value > 0 AND quantity > 0 AND sales_value / quantity >= 1 GROUP BY item_id)"""
 
 BEST = f"""best AS (
   SELECT category, item_id, quantity FROM (
     SELECT p_brand AS category, item_id, quantity,
            row_number() OVER (PARTITION BY p_brand ORDER BY quantity DESC, item_id) AS place
-    FROM top_items JOIN part ON p_partkey = item_id) WHERE place = 1
+    FROM sold_items JOIN part ON p_partkey = item_id) WHERE place = 1
   ORDER BY quantity DESC, item_id LIMIT {TOP_CATEGORIES})"""
 
 
@@ -170,24 +169,25 @@ def dataset_profile(spark: SparkSession, folder: str) -> DataFrame:
     return A.profile(named, ["id", "department", "category"]).select(F.lit("part").alias("source"), "*")
 
 
-def best_sellers(spark: SparkSession, folder: str) -> DataFrame:
-    return R.top_items(all_purchases(spark, folder), TOP_ITEMS,
-                       where=C.unit_price_at_least(F.lit(1), "sales_value", "quantity"))
+def sold_items(spark: SparkSession, folder: str) -> DataFrame:
+    return R.sold(all_purchases(spark, folder), where=C.unit_price_at_least(F.lit(1), "sales_value", "quantity"))
 
 
-@query(f"""WITH {PURCHASES}, {TOP} SELECT * FROM top_items""")
+@query(f"""WITH {PURCHASES}, {TOP}
+SELECT * FROM sold_items ORDER BY quantity DESC, item_id LIMIT {TOP_ITEMS}""")
 def topk_items(spark: SparkSession, folder: str) -> DataFrame:
-    return best_sellers(spark, folder).withColumn("item_id", F.col("item_id").cast("long"))
+    best = R.top(sold_items(spark, folder), "quantity", "item_id", TOP_ITEMS)
+    return best.withColumn("quantity", F.round("quantity").cast("long"))
 
 
 def best_of_categories(spark: SparkSession, folder: str) -> DataFrame:
-    ranked = best_sellers(spark, folder).join(item_features(spark, folder), "item_id")
+    ranked = sold_items(spark, folder).join(item_features(spark, folder), "item_id")
     return R.top(R.best_per_category(ranked, "category"), "quantity", "item_id", TOP_CATEGORIES)
 
 
 @query(f"""WITH {PURCHASES}, {TOP}, {BEST} SELECT * FROM best""")
 def top_item_per_category(spark: SparkSession, folder: str) -> DataFrame:
-    return best_of_categories(spark, folder).withColumn("item_id", F.col("item_id").cast("long"))
+    return best_of_categories(spark, folder).withColumn("quantity", F.round("quantity").cast("long"))
 
 
 @query(f"""WITH {PURCHASES}, {TOP}, {BEST}
@@ -234,8 +234,8 @@ def key_semi_join(spark: SparkSession, folder: str) -> DataFrame:
 def shared_recs(spark: SparkSession, folder: str) -> DataFrame:
     """The same recommendations for every user: the best items of the leading categories."""
     top = [row["item_id"] for row in best_of_categories(spark, folder).collect()]
-    users = read_table(spark, folder, "orders").select(F.col("o_custkey").cast("int").alias("user_id")).distinct()
-    return users.withColumn("recs", F.array(*[F.lit(i).cast("int") for i in top]))
+    users = read_table(spark, folder, "orders").select(F.col("o_custkey").alias("user_id")).distinct()
+    return users.withColumn("recs", F.array(*[F.lit(i).cast("long") for i in top]))
 
 
 PRECISION = """shares AS (
@@ -269,8 +269,7 @@ def three_way_enrich(spark: SparkSession, folder: str) -> DataFrame:
     bought = all_purchases(spark, folder).drop("order_id", "bought_at")
     shares = precision(shared_recs(spark, folder), owned(bought))
     rows = J.enrich(bought, shares, item_features(spark, folder))
-    return rows.select(F.col("user_id").cast("long").alias("user_id"), F.col("item_id").cast("long").alias("item_id"),
-                       F.col("quantity").cast("long").alias("quantity"), "sales_value",
+    return rows.select("user_id", "item_id", F.round("quantity").cast("long").alias("quantity"), "sales_value",
                        F.round("precision_at_k", 4).alias("precision_at_k"), "department", "category")
 
 

@@ -410,10 +410,10 @@ def orders_with_lines(spark: SparkSession, folder: str, how: str) -> DataFrame:
     bounds = (min(r[0] for r in ranges), max(r[1] for r in ranges))
     cut = [replay.time_slices(heads, "ordered_at", SLICES, bounds),
            replay.time_slices(lines, "shipped_at", SLICES, bounds)]
-    heavy = materialize(heavy_keys(lines, ["order_id"]), "heavy-orders")
+    heavy = heavy_keys(lines, ["order_id"])
     (left_folder, left), (right_folder, right) = (landed(spark, c, "join-input") for c in cut)
     joined = joins.within_window(left, "ordered_at", right, "shipped_at", ["order_id"], YEARLY, "30 days", how,
-                                 heavy, ["item_id", "line", "shipped_at"])
+                                 heavy, ["item_id", "line", "shipped_at"], scratch(spark, "heavy-orders"))
     found = windows.flat(joined.select(windows.WINDOW, "order_id", "user_id", "item_id", "line"))
     run = sinks.Bounded(found, "joined")
     run.drain()

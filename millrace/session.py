@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+TIME_ZONE = "spark.sql.session.timeZone"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 STATE_PACKAGE = "org.apache.spark.sql.execution.streaming.state."
 
@@ -25,9 +26,12 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin what results depend on (UTC) and the settings streams need; anything set by the caller stays."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Pin what results depend on (UTC) and the settings streams need; what the caller set stays, and another time
+    zone is refused."""
+    zone = settings(spark).get(TIME_ZONE, "UTC")
+    if zone != "UTC":
+        raise ValueError(f"{TIME_ZONE} is {zone}; the library reads zone-less times as UTC")
+    spark.conf.set(TIME_ZONE, "UTC")
     # State on local disk instead of the JVM heap, and only the changes uploaded per batch.
     if spark.conf.get(STATE_STORE).endswith(".HDFSBackedStateStoreProvider"):
         spark.conf.set(STATE_STORE, STATE_PACKAGE + "RocksDBStateStoreProvider")
@@ -36,12 +40,20 @@ def prepare(spark: SparkSession) -> SparkSession:
         spark.conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "false")
         # One store per partition of a stream-stream join instead of four.
         spark.conf.set("spark.sql.streaming.join.stateFormatVersion", "3")
-    # 200 is the untouched default: far too many state stores for a handful of local cores.
-    if is_local(spark) and spark.conf.get("spark.sql.shuffle.partitions") == "200":
-        spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     return spark
 
 
+def settings(spark: SparkSession) -> dict[str, str]:
+    """What has been set in this session; defaults are not in it."""
+    return dict(spark.conf.getAll)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in whatever store the path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
@@ -52,7 +64,7 @@ def scratch(spark: SparkSession, label: str) -> str:
     Only a local session without that setting gets a temporary folder of its own: on a cluster the
     executors would not see it.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
+    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not is_local(spark):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")

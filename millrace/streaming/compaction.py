@@ -25,13 +25,22 @@ def files_needed(spark: SparkSession, path: str, target_bytes: int = TARGET_BYTE
     return max(1, math.ceil(size / target_bytes))
 
 
-def compact(spark: SparkSession, source: str, target: str, target_bytes: int = TARGET_BYTES) -> int:
+def compact(spark: SparkSession, source: str, target: str, target_bytes: int = TARGET_BYTES,
+            schema: T.StructType | None = None, partitioned_by: tuple[str, ...] = ()) -> int:
     """Rewrite a folder of parquet files with as many files as its size calls for; returns that number.
 
-    Partitions of the scan are put together without a shuffle: each task reads its share of small files.
+    Partitions of the scan are put together without a shuffle: each task reads its share of small files. A
+    partitioned folder needs its partition columns, which it then has again, and a schema that types them: their
+    types are not stored, only guessed from folder names.
     """
+    if partitioned_by and schema is None:
+        raise ValueError("a partitioned folder needs a schema")
     n = files_needed(spark, source, target_bytes)
-    spark.read.parquet(source).coalesce(n).write.mode("overwrite").parquet(target)
+    rows = (spark.read if schema is None else spark.read.schema(schema)).parquet(source)
+    if partitioned_by:
+        (rows.hint("rebalance", *partitioned_by).write.mode("overwrite").partitionBy(*partitioned_by).parquet(target))
+    else:
+        rows.coalesce(n).write.mode("overwrite").parquet(target)
     return n
 
 
@@ -49,7 +58,8 @@ def compact_closed(spark: SparkSession, source: str, target: str, column: str, b
 
 def read_compacted(spark: SparkSession, source: str, target: str, column: str, before: str,
                    schema: T.StructType) -> DataFrame:
-    """Closed partitions from the compacted folder, open ones from the original."""
+    """Closed partitions from the compacted folder, the others from the original; a null partition stays open."""
     reader = spark.read.schema(schema)
     closed = reader.parquet(target).filter(F.col(column) < before)
-    return closed.unionByName(reader.parquet(source).filter(F.col(column) >= before))
+    return closed.unionByName(reader.parquet(source).filter(
+        (F.col(column) >= before) | F.col(column).isNull()))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 
-from millrace.operators.skew import SALT, replicate, scatter
+from millrace.operators.skew import SALT, pinned, replicate, scatter
 from millrace.streaming.windows import WINDOW, windowed
 
 
@@ -15,21 +15,26 @@ def with_table(stream: DataFrame, table: DataFrame, on: str | list[str], how: st
 
 def within_window(left: DataFrame, left_time: str, right: DataFrame, right_time: str, on: list[str], width: str,
                   delay: str, how: str = "inner", heavy: DataFrame | None = None,
-                  spread_by: list[str | Column] = ()) -> DataFrame:
+                  spread_by: list[str | Column] = (), heavy_at: str | None = None) -> DataFrame:
     """Join two streams on keys and event-time window.
 
     ``how`` is "inner" or "right"; a right row without a partner appears once the watermark has passed its
     window. Both sides carry a watermark, so both states are dropped as windows close. Stateful joins get
-    no skew handling from Spark: for keys with very many right rows pass ``heavy`` (a bounded table from
-    :func:`millrace.operators.skew.heavy_keys` over the right side) and right columns to spread them by.
+    no skew handling from Spark: for keys with very many right rows pass ``heavy`` (from
+    :func:`millrace.operators.skew.heavy_keys` over the right side), right columns to spread them by, and ``heavy_at``,
+    a folder beside the checkpoint. The first start keeps the table there and later ones use it: state holds rows
+    under its salts.
     """
     if how not in ("inner", "right"):
         raise ValueError(f"a salted window join can be inner or right, not {how}")
+    if heavy is not None and heavy_at is None:
+        raise ValueError("heavy keys need heavy_at, a folder that lives as long as the checkpoint")
     left = windowed(left, left_time, delay, width)
     right = windowed(right, right_time, delay, width)
     keys = [*on, WINDOW]
     if heavy is None:
         return left.join(right, keys, how)
+    heavy = pinned(heavy, heavy_at)
     left = replicate(left, heavy, on)
     right = scatter(right, heavy, on, list(spread_by))
     return left.join(right, [*keys, SALT], how).drop(SALT)

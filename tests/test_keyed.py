@@ -101,3 +101,13 @@ def test_any_changes_in_any_epochs(spark, changes, epochs):
     for e in range(epochs):
         table.write(df.filter((F.col("step") >= e * span) & (F.col("step") < (e + 1) * span)), e, "step", F.col("gone"))
     assert {r["id"]: (r["name"], r["size"]) for r in table.read().collect()} == expected
+
+
+def test_another_bucket_count_is_refused(spark):
+    table = KeyedTable(spark, scratch(spark, "counted"), "id", "int", ANIMALS, buckets=8)
+    table.write(spark.createDataFrame([(i, f"n{i}", "Big") for i in range(100)], "id int, name string, size string"), 0)
+    other = KeyedTable(spark, table.path, "id", "int", ANIMALS, buckets=9)
+    for use in (other.read, lambda: other.lookup(3), lambda: other.write(spark.createDataFrame([(1, "x", "y")], "id int, name string, size string"), 1)):
+        with pytest.raises(ValueError, match="8 buckets"):
+            use()
+    assert other.opened().lookup(*range(20)).count() == 20 and other.opened().read().count() == 100

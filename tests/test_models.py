@@ -85,7 +85,7 @@ def test_recommendations_and_offline_precision(spark):
     bought = purchases(spark)
     path = scratch(spark, "items")
     M.save_items(M.train_items(bought, blocks=2), path)
-    model = M.load_items(path)
+    model = M.load_items(spark, path)
     recs = M.recommend(model, spark.createDataFrame([(0,), (3,), (99,)], "user_id int"), 5)
     found = {r["user_id"]: r["recs"] for r in recs.collect()}
     assert sorted(found) == [0, 3] and all(len(set(v)) == 5 for v in found.values())
@@ -102,9 +102,9 @@ def test_repeats_are_merged_to_one_rating(spark):
     bought = purchases(spark)
     once = M.train_items(bought, iterations=2, blocks=2)
     twice = M.train_items(bought.union(bought), iterations=2, blocks=2)
-    key = lambda m: {r["id"]: [round(x, 4) for x in r["features"]] for r in m.userFactors.collect()}
+    key = lambda m: {r["id"]: [round(x, 4) for x in r["features"]] for r in m.factors.userFactors.collect()}
     assert key(once) == key(twice)
-    assert M.train_items(bought, iterations=1, blocks=2, merge_repeats=False).rank == 10
+    assert M.train_items(bought, iterations=1, blocks=2, merge_repeats=False).factors.rank == 10
 
 
 def test_recommending_for_batches(spark):
@@ -124,3 +124,18 @@ def test_recommending_for_batches(spark):
     assert figures["users"] == 12 and figures["seconds"] > 0
     recommend_into(path, model, pairs, items)(bought, 1)
     assert spark.read.parquet(f"{path}/rows").filter("epoch = 1 and recs is null").select("user_id").distinct().count() == 2
+
+
+def test_ids_beyond_32_bits(spark):
+    base = 3_000_000_000
+    bought = purchases(spark).selectExpr(f"user_id + {base} AS user_id", f"item_id + {base} AS item_id", "quantity", "sales_value")
+    model = M.train_items(bought, blocks=2)
+    recs = {r["user_id"]: r["recs"] for r in M.recommend(model, bought.select("user_id"), 3).collect()}
+    small = M.recommend(M.train_items(purchases(spark), blocks=2), purchases(spark).select("user_id"), 3)
+    assert recs == {r["user_id"] + base: [i + base for i in r["recs"]] for r in small.collect()}
+
+
+def test_numbers_are_dense_and_in_order(spark):
+    ids = spark.range(0, 5000, 7).selectExpr("id * 1000003 AS user_id").unionByName(spark.range(0, 70, 7).selectExpr("id * 1000003 AS user_id"))
+    found = sorted((r["user_id"], r["number"]) for r in M.dense_numbers(ids.repartition(9), "user_id").collect())
+    assert [n for _, n in found] == list(range(len(found))) and len(found) == 715

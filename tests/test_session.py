@@ -7,6 +7,10 @@ class Conf(dict):
     def set(self, key, value):
         self[key] = value
 
+    @property
+    def getAll(self):
+        return dict(self)
+
 
 class FakeSession:
     """A session without a shared folder, local or not."""
@@ -14,7 +18,7 @@ class FakeSession:
     def __init__(self, master, **conf):
         self.conf = Conf(conf)
         self.sparkContext = type("Context", (), {"master": master, "applicationId": f"app-{id(self)}",
-                                                 "defaultParallelism": 8})()
+                                                 "defaultParallelism": 8, "getCheckpointDir": lambda self: None})()
 
 
 def test_scratch_folders_are_new_and_below_the_shared_one(spark):
@@ -39,6 +43,13 @@ def test_settings_of_the_caller_stay():
     assert dict(session.prepare(mine).conf) == before
 
 
+def test_another_time_zone_is_refused():
+    tokyo = FakeSession("local[2]", **{session.TIME_ZONE: "Asia/Tokyo", session.STATE_STORE: "org.example.OwnProvider"})
+    with pytest.raises(ValueError, match="Asia/Tokyo"):
+        session.prepare(tokyo)
+    assert tokyo.conf[session.TIME_ZONE] == "Asia/Tokyo"
+
+
 def test_written_frames_have_no_history(spark):
     df = spark.range(10).selectExpr("id", "id % 3 as k")
     assert sorted(map(tuple, session.materialize(df, "m").collect())) == sorted(map(tuple, df.collect()))

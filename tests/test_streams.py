@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of, rows
-from millrace.operators.skew import heavy_keys
+from millrace.operators.skew import heavy_keys, pinned
 from millrace.session import materialize, scratch
 from millrace.sources import files
 from millrace.sources.tables import read_table, stream_table
@@ -124,7 +124,7 @@ def test_dedup_per_tick_and_lately(spark):
     assert rows(lately.revisions(), "id") == [(1,), (2,), (3,)]
 
 
-def two_streams(spark, how, heavy=None):
+def two_streams(spark, how, heavy=None, heavy_at=None):
     heads = [[(i, at(i)) for i in range(10)], [(20, at(900))], [(21, at(3000))]]
     lines = [[(1, k, at(30 + k % 9)) for k in range(60)] + [(7, 100, at(700)), (50, 101, at(40))], [(20, 102, at(901))],
              [(21, 103, at(3001))]]
@@ -135,7 +135,7 @@ def two_streams(spark, how, heavy=None):
         replay.land(f[0], folder)
     left, right = (files.stream_files(spark, folder, "parquet", f[0].schema) for f, folder in zip(frames, folders))
     joined = joins.within_window(left, "ordered_at", right, "sent_at", ["order_id"], "10 minutes", "10 minutes", how,
-                                 heavy, ["item", "sent_at"])
+                                 heavy, ["item", "sent_at"], heavy_at or scratch(spark, "salts"))
     bounded = sinks.Bounded(joined.select("order_id", "item", "ordered_at"), "two")
     bounded.drain()
     replay.arrive([(f[1:], folder) for f, folder in zip(frames, folders)], bounded.drain)
@@ -144,7 +144,7 @@ def two_streams(spark, how, heavy=None):
 
 def test_stream_stream_joins_with_and_without_salting(spark):
     hot = spark.createDataFrame([(1,)] * 60 + [(7,), (50,)], "order_id int")
-    heavy = materialize(heavy_keys(hot, ["order_id"], share=0.3, rows_per_salt=10), "heavy")
+    heavy = materialize(heavy_keys(hot, ["order_id"], rows_per_salt=10), "heavy")
     matched = [(1, k) for k in range(60)] + [(20, 102), (21, 103)]
     assert rows(two_streams(spark, "inner", heavy).revisions(), "order_id", "item") == matched
     for h in (None, heavy):
@@ -153,6 +153,18 @@ def test_stream_stream_joins_with_and_without_salting(spark):
         assert [r[:2] for r in right if r[2] is not None] == matched
 
 
+def test_salts_stay_with_the_checkpoint(spark):
+    """The table of the first start is used by later ones, whatever they bring."""
+    path = scratch(spark, "salts")
+    first = spark.createDataFrame([(1, 2)], "order_id int, _salts int")
+    other = spark.createDataFrame([(1, 8), (7, 3)], "order_id int, _salts int")
+    assert rows(pinned(first, path)) == rows(pinned(other, path)) == [(1, 2)]
+    matched = [(1, k) for k in range(60)] + [(20, 102), (21, 103)]
+    assert rows(two_streams(spark, "inner", other, path).revisions(), "order_id", "item") == matched
+    with pytest.raises(ValueError, match="heavy_at"):
+        joins.within_window(spark.range(1), "a", spark.range(1), "b", ["id"], "1 hour", "1 hour", heavy=first)
+
+
 def test_update_mode_is_refused_for_stream_joins(spark, sf):
     events = stream_table(spark, sf, "events")
     joined = joins.within_window(events.select("user_id", "ts"), "ts", stream_table(spark, sf, "events").select(
