@@ -26,7 +26,7 @@ def suffix_order(words: np.ndarray, n: int, reach: int) -> tuple[np.ndarray, np.
     their group; each round sorts only groups that still have several members, by the number of the suffix as many
     bytes later as are sorted already, and so doubles those.
     """
-    order = np.argsort(words[:n], kind="stable")
+    order = np.argsort(words[:n])
     key = words[order]
     heads = np.r_[True, key[1:] != key[:-1]] if n else np.zeros(0, bool)
     start = np.flatnonzero(heads)
@@ -41,7 +41,7 @@ def suffix_order(words: np.ndarray, n: int, reach: int) -> tuple[np.ndarray, np.
             near[order[places]] = True
         suffix = order[places]
         key = number[suffix] * (n + 2) + number[np.minimum(suffix + done, len(number) - 1)]
-        by = np.argsort(key, kind="stable")
+        by = np.argsort(key)
         suffix, key = suffix[by], key[by]
         order[places] = suffix
         heads = np.r_[True, key[1:] != key[:-1]]
@@ -50,6 +50,9 @@ def suffix_order(words: np.ndarray, n: int, reach: int) -> tuple[np.ndarray, np.
         size = np.diff(np.r_[start, len(places)])
         places = places[np.repeat(size > 1, size)]
         done *= 2
+    # What is left in a group goes by position, as common_prefixes likes it.
+    suffix = order[places]
+    order[places] = suffix[np.argsort(number[suffix] * (n + 2) + suffix)]
     return order, near
 
 

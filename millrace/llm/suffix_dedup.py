@@ -26,7 +26,7 @@ from millrace.llm.word_bytes import mixed, powers
 LENGTH = 100
 GRAM = 32
 CHUNK = 1 << 18
-SHARD = 1 << 21        # bytes of one suffix array
+SHARD = 1 << 19        # bytes of one suffix array
 PIECE = 256            # runs in a piece at most
 CUT = 31               # a piece ends before an anchor that has these bits clear
 DEAL = 4096            # rows of one anchor that are dealt to one shard
