@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from millrace.session import materialize, scratch
 from millrace.sources.tables import table_path
 
-__all__ = ["bytes_of", "crc_of_id", "load", "map_texts", "materialize", "numbered", "row_chunks", "scratch", "split_text",
+__all__ = ["bytes_of", "crc_of_id", "load", "map_texts", "materialize", "numbered", "row_chunks", "scratch", "set_apart", "split_text",
            "strings", "text_column", "text_rows"]
 
 ROWS_PER_DEAL = 2_000
@@ -34,6 +34,11 @@ def crc_of_id(name: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary"))
 
 
+def set_apart(docs: DataFrame, *reads: str) -> DataFrame:
+    """The table with every column but those of ``reads`` named by its place, so that no name is one of a result's."""
+    return docs.toDF(*[c if c in reads else f"carried_{i}" for i, c in enumerate(docs.columns)])
+
+
 def map_texts(rows: DataFrame, run, schema) -> DataFrame:
     """mapInArrow over rows with whole texts, whose batches are kept small unless the caller set their size."""
     conf = rows.sparkSession.conf

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.blocks import spanning_links
-from millrace.llm.common import map_texts, materialize, split_text, strings, text_rows
+from millrace.llm.common import map_texts, materialize, set_apart, split_text, strings, text_rows
 from millrace.llm.components import components
 
 BITS = 64
@@ -178,21 +178,25 @@ def links(prints: DataFrame, distance: int) -> DataFrame:
     return light.unionByName(heavy_links(offers, asks, heavy, distance))
 
 
-def grouped(docs: DataFrame, words: int, distance: int, keep: list[str]) -> DataFrame:
-    """The columns of ``keep``, print and component_id of every row."""
+def grouped(docs: DataFrame, words: int, distance: int, keep: list[str], order: Column) -> tuple[DataFrame, DataFrame]:
+    """The columns of ``keep`` and print of every row; and for each print its group (the least print of those
+    linked) and the least ``order`` of the group's rows."""
     if not 0 <= distance < BITS // 2:
         raise ValueError("distance must be from 0 to 31")
     clash = {"print", "component_id", "component", "node", "rep", "text_to_read"} & set(keep)
     if clash:
         raise ValueError(f"columns named like results: {sorted(clash)}")
     prints = materialize(fingerprints(docs, words, keep), "prints")
-    classes = prints.groupBy("print").agg(F.min(F.col("doc_id").cast("long")).alias("rep"))
-    named = classes.where("rep is not null")
-    linked = links(named, distance) if distance else prints.sparkSession.createDataFrame([], "u long, v long")
-    groups = components(linked)
-    joined = classes.join(groups, classes["rep"] == groups["node"], "left").select(
-        "print", F.coalesce("component", "rep").alias("component_id"))
-    return prints.join(joined, "print").select(*keep, "print", "component_id")
+    classes = prints.groupBy("print").agg(F.min(order).alias("least"))
+    if not distance:
+        return prints, classes.select("print", F.col("print").alias("component"), "least")
+    # Prints name the classes: ids may be null or stand at several texts.
+    groups = components(links(classes.select(F.col("print").alias("rep"), "print"), distance))
+    members = groups.join(classes, groups["node"] == classes["print"])
+    lead = members.groupBy("component").agg(F.min("least").alias("lead"))
+    linked = groups.join(lead, "component").select("node", "component", "lead")
+    return prints, classes.join(linked, classes["print"] == linked["node"], "left").select(
+        "print", F.coalesce("component", "print").alias("component"), F.when(F.col("node").isNull(), F.col("least")).otherwise(F.col("lead")).alias("least"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
@@ -200,19 +204,23 @@ def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4) -> DataF
 
     Returns doc_id, fingerprint (16 hex digits), component_id (least doc_id of the group). A null or empty
     text, or one without words, has fingerprint zero and is linked like any other; repeated rows each keep
-    their row; null ids keep theirs, too, and never name a group unless all its ids are null; other columns
-    are ignored; an empty table gives an empty one.
+    their row; null ids keep theirs, too, and never name a group unless all its ids are null; rows that share an
+    id are linked by their texts alone; other columns are ignored; an empty table gives an empty one.
 
-    Copies are folded to one representative before any comparison, and links become rows only between
-    representatives. Every pair within the distance is found; no bucket is capped.
+    Copies are folded to one fingerprint before any comparison, and links become rows only between
+    fingerprints. Every pair within the distance is found; no bucket is capped.
     """
-    rows = grouped(docs, words, distance, ["doc_id"])
-    return rows.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+    rows, groups = grouped(docs, words, distance, ["doc_id"], F.col("doc_id").cast("long"))
+    return rows.join(groups, "print").select(
+        "doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), F.col("least").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
-    """One row of each group, all columns kept: the one whose doc_id names the group. Of repeated rows one
-    stays, and one of a group whose ids are all null."""
-    rows = grouped(docs, words, distance, docs.columns)
-    named = rows.where(F.col("doc_id").cast("long").eqNullSafe(F.col("component_id")))
-    return named.dropDuplicates(["component_id"]).select(*docs.columns)
+    """One row of each group, all columns kept: the one with the least doc_id, nulls last, and of several texts with
+    that id the one whose text has the least hash. Of repeated rows one stays."""
+    plain = set_apart(docs, "doc_id", "text")
+    doc = F.col("doc_id").cast("long")
+    order = F.struct(doc.isNull(), doc, F.xxhash64("text"))
+    rows, groups = grouped(plain, words, distance, plain.columns, order)
+    lead = rows.join(groups, "print").where(order.eqNullSafe(F.col("least")))
+    return lead.dropDuplicates(["component"]).select(*plain.columns).toDF(*docs.columns)

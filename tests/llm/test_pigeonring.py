@@ -110,3 +110,21 @@ def test_spanning_links_join_what_the_matrix_joins():
 
         pairs = [(int(left[i]), int(right[j])) for i, j in zip(*np.nonzero(linked))]
         assert joined(pairs) == joined(list(zip(u.tolist(), v.tolist()))) and len(u) <= 27
+
+
+def test_null_and_shared_ids_are_told_apart_by_their_texts(make_docs):
+    rng = random.Random(8)
+    base = [[rng.choice("abcdefghij") + str(rng.randrange(90)) for _ in range(200)] for _ in range(12)]
+    texts = [" ".join(b) for b in base]
+    near = " ".join(base[0][:-1] + ["changed"])
+    rows = [(None, t) for t in texts[:6]] + [(None, near)] + [(5, t) for t in texts[6:]] + [(5, texts[6]), (3, texts[7]), (None, texts[8])]
+    linked = brute_groups(dict(enumerate(brute_print(t) for _, t in rows)), 4)
+    assert linked[6] == 0 and len(set(linked.values())) == 12
+    df = make_docs(rows)
+    kept = p.one_of_each(df).collect()
+    groups = {t: linked[i] for i, (_, t) in enumerate(rows)}
+    assert sorted(groups[r["text"]] for r in kept) == sorted(set(linked.values()))
+    assert {r["text"]: r["doc_id"] for r in kept if r["doc_id"]} == {t: 3 if t == texts[7] else 5 for t in texts[6:]}
+    found = p.near_duplicates(df).collect()
+    assert len(found) == len(rows) and sum(r["component_id"] is None for r in found) == 7
+    assert sorted((r["doc_id"] or 0, r["component_id"]) for r in found if r["component_id"]) == [(0, 5), (3, 3), (5, 3)] + [(5, 5)] * 6
