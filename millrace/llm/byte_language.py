@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import convnet
-from millrace.llm.common import bytes_of, crc_of_id, map_texts, row_chunks, split_text, text_rows
+from millrace.llm.common import bytes_of, crc_of_id, map_texts, row_chunks, set_apart, split_text, text_rows
 
 WINDOW = 128
 SAMPLE = 6000  # expected number of labelled documents the network is fitted to
@@ -133,5 +133,6 @@ def identify(docs: DataFrame, train_on: DataFrame | None = None, keep: list[str]
 def known(docs: DataFrame, least: float = 0.3, **options) -> DataFrame:
     """The rows of ``docs`` whose language is known with a score of at least ``least``, all columns kept. With the
     four languages of the sample tables, 0.25 would be no better than a guess."""
-    found = identify(docs, keep=docs.columns, **options)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*docs.columns)
+    plain = set_apart(docs, "doc_id", "text", "lang")
+    found = identify(plain, keep=plain.columns, **options)
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*plain.columns).toDF(*docs.columns)

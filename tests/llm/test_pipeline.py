@@ -1,7 +1,7 @@
 import random
 
 import corpus_pipeline
-from millrace.llm import queries
+from millrace.llm import byte_language, pigeonring, queries, secret_cnn
 from test_pattern_packing import check
 from test_pigeonring import brute_groups, brute_print
 from test_byte_language import SOUNDS
@@ -53,6 +53,19 @@ def test_stages_take_empty_and_odd_tables(spark, make_docs, store):
         assert kept.count() <= len(rows)
 
 
+def test_stages_carry_columns_named_like_results(make_docs):
+    rng = random.Random(5)
+    docs = [(i, words_of(lang, rng, 40), lang) for i, lang in enumerate(sorted(SOUNDS) * 10)] + [(90, "token=abcdef123456 " + words_of("en", rng, 40), "en")]
+    names = ["score", "held_out", "lang_pred", "text_to_read", "print", "component_id", "component", "node", "rep", "least", "kinds",
+             "starts", "ends", "cuts", "carried_0"]
+    frame = make_docs(docs, names)
+    for stage in (byte_language.known, pigeonring.one_of_each, secret_cnn.redact):
+        kept = stage(frame)
+        assert kept.columns == frame.columns and kept.schema.simpleString() == frame.schema.simpleString()
+        rows = kept.collect()
+        assert len(rows) == len(docs) and all(r[n] == "x" for r in rows for n in names)
+
+
 def test_one_query_for_every_operator():
     names = [n for n in entry_point.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and set(names) == set(queries.QUERIES)
