@@ -24,12 +24,12 @@ RANK = 64
 SPARE = 8            # more directions than RANK while the basis is found
 ROUNDS = 2           # power iterations
 BLOCK = 12           # words; a passage is two blocks, and the next begins a block later
-SAMPLE = 4000        # documents, expected, whose passages the basis is fitted to
 COSINE = 0.5
 OVERLAP = 0.35       # of the weight of a piece's words must be in the passage
 LEAST = 0.6          # of an item's words in order, within a stretch of 1.5 times its length
 SURE = 0.8           # from which the last sentence need not be found
 ANSWER = 0.75        # of the last sentence's words in order
+SLOTS = 1 << 10      # of the words of a passage, for a quick look at what it may share
 ITEMS = 5000         # items that one pass over the documents looks for
 CHUNK = 1 << 18
 SENTENCE = re.compile(r"(?<=[.!?])\s+")
@@ -78,15 +78,40 @@ def buckets(hashes: np.ndarray) -> np.ndarray:
     return (hashes & np.uint64(FEATURES - 1)).astype(np.int32)
 
 
-def passage_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """Passages (of consecutive, not overlapping blocks) that hold each bucket, and their number, over all documents."""
+def worded(texts: DataFrame) -> DataFrame:
+    """The buckets of the words of each text, two bytes each."""
     def run(batches):
-        words, total, n = Words(marks=False), np.zeros(FEATURES, np.int64), 0
+        words = Words(marks=False)
         for batch in batches:
             data, starts = bytes_of(pc.utf8_lower(batch.column(0)))
+            out = []
             for a, b in row_chunks(starts, CHUNK):
                 hashes, first, _, _ = words(data[starts[a]:starts[b]], starts[a:b + 1] - starts[a])
-                block = np.sort(in_blocks(buckets(hashes), first, FEATURES), 1)
+                raw = buckets(hashes).astype("<u2").tobytes()
+                out += [raw[2 * i:2 * j] for i, j in zip(first[:-1].tolist(), first[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["words"])
+
+    return materialize(map_texts(texts.select(text_column().alias("t")), run, "words binary"), "words")
+
+
+def word_chunks(column: pa.Array):
+    """(blocks, first word of each row) of rows of ``worded``, in chunks."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    starts = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
+    whole = np.frombuffer(data, "<u2") if data is not None else np.zeros(0, np.uint16)
+    for a, b in row_chunks(starts, CHUNK // 2):
+        first = (starts[a:b + 1] - starts[a]) // 2
+        yield in_blocks(whole[starts[a] // 2:starts[b] // 2], first, FEATURES), first
+
+
+def passage_counts(rows: DataFrame) -> tuple[np.ndarray, int]:
+    """Passages (of consecutive, not overlapping blocks) that hold each bucket, and their number, over all rows."""
+    def run(batches):
+        total, n = np.zeros(FEATURES, np.int64), 0
+        for batch in batches:
+            for block, _ in word_chunks(batch.column(0)):
+                block = np.sort(block, 1)
                 new = np.ones(block.shape, bool)
                 new[:, 1:] = block[:, 1:] != block[:, :-1]
                 total += np.bincount(block[new], minlength=FEATURES + 1)[:FEATURES]
@@ -94,7 +119,7 @@ def passage_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, some].astype(np.int64)), pa.array(np.r_[n, total[some]])], ["bucket", "n"])
 
-    counts = map_texts(docs.select(text_column().alias("t")), run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts = rows.mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     found, total = np.zeros(FEATURES, np.int64), 0
     for bucket, n in zip(counts["bucket"].to_pylist(), counts["n"].to_pylist()):
         if bucket < 0:
@@ -108,67 +133,107 @@ def weights(counts: np.ndarray, total: int) -> np.ndarray:
     return np.log((1 + total) / (1 + counts)).astype(np.float32)
 
 
-def sampled_passages(docs: DataFrame, items: DataFrame, idf: np.ndarray, sample: int) -> DataFrame:
-    """(terms, values) of the passages of a hashed sample of documents and of all items, each of length one."""
-    n = docs.count()
-    scale = 1 << 30
-    share = min(scale, scale * sample // max(1, n) + 1)
-    drawn = docs.where(F.pmod(F.xxhash64(F.lit("basis"), "doc_id"), F.lit(scale)) < share).select(text_column().alias("t"))
-    drawn = drawn.unionByName(items.select(text_column().alias("t"))).limit(2 * sample + ITEMS)
-
-    def run(batches):
-        words = Words(marks=False)
-        for batch in batches:
-            data, starts = bytes_of(pc.utf8_lower(batch.column(0)))
-            for a, b in row_chunks(starts, CHUNK):
-                hashes, first, _, _ = words(data[starts[a]:starts[b]], starts[a:b + 1] - starts[a])
-                terms, values = [], []
-                for row in in_passages(in_blocks(buckets(hashes), first, FEATURES), first, FEATURES):
-                    t, tf = np.unique(row[row < FEATURES], return_counts=True)
-                    v = tf * idf[t]
-                    norm = np.sqrt(np.square(v).sum())
-                    if norm > 0:
-                        terms.append(t)
-                        values.append(v / norm)
-                yield pa.RecordBatch.from_arrays([pa.array(terms, pa.list_(pa.int64())), pa.array(values, pa.list_(pa.float32()))], ["terms", "values"])
-
-    spread = drawn.repartition(max(1, min(64, 1 + 2 * sample // 1000)))
-    return materialize(map_texts(spread, run, "terms array<long>, values array<float>"), "passages")
-
-
-def rows_of(batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    terms, values = batch.column(0), batch.column(1)
-    sizes = np.diff(terms.offsets.to_numpy())
-    return terms.flatten().to_numpy(), values.flatten().to_numpy(), np.repeat(np.arange(len(terms)), sizes)
-
-
-def project(batch, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """A row per passage: its terms times the basis."""
-    terms, values, row = rows_of(batch)
-    heads = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.zeros(0, np.int64)
-    out = np.add.reduceat(basis[terms] * values[:, None], heads, axis=0) if len(row) else np.zeros((0, basis.shape[1]), np.float32)
-    return out, terms, values, np.searchsorted(row[heads], row) if len(row) else row
-
-
-def times_transposed(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
+class Listed:
+    """Passages as rows of terms and values."""
+
+    def __init__(self, batch):
+        terms, values = batch.column(0), batch.column(1)
+        self.row = np.repeat(np.arange(len(terms)), np.diff(terms.offsets.to_numpy()))
+        self.terms, self.values = terms.flatten().to_numpy(), values.flatten().to_numpy()
+
+    def times(self, basis: np.ndarray) -> np.ndarray:
+        out = np.zeros((int(self.row[-1]) + 1 if len(self.row) else 0, basis.shape[1]), np.float32)
+        if len(self.row):
+            heads = np.flatnonzero(np.r_[True, self.row[1:] != self.row[:-1]])
+            out[self.row[heads]] = np.add.reduceat(basis[self.terms] * self.values[:, None], heads, axis=0)
+        return out
+
+    def add_transposed(self, out: np.ndarray, total: np.ndarray) -> None:
+        add_by_term(self.terms, out[self.row] * self.values[:, None], total)
+
+    @classmethod
+    def of(cls, batch):
+        for first in range(0, batch.num_rows, 2000):
+            yield cls(batch.slice(first, 2000))
+
+
+class Passages:
+    """All passages of whole texts, weighted, each of length one. A passage is the sum of its two blocks by its
+    length, so products are taken block by block."""
+
+    def __init__(self, block: np.ndarray, first: np.ndarray, idf: np.ndarray):
+        rows, self.index, _ = passages(first)
+        _, at = passage_blocks(first)
+        self.two = at[rows + 1] - at[rows] > 1
+        self.block, self.idf = block, np.r_[idf, np.float32(0)]
+        words = np.sort(in_passages(block, first, FEATURES), 1)
+        # Of a word that stands there k times, the last has rank k: the square of its count is the sum of 2 * rank - 1.
+        new = np.ones(words.shape, bool)
+        new[:, 1:] = words[:, 1:] != words[:, :-1]
+        spot = np.arange(words.shape[1])
+        rank = spot - np.maximum.accumulate(np.where(new, spot, 0), axis=1) + 1
+        length = np.sqrt((np.square(self.idf[words]) * (2 * rank - 1)).sum(1))
+        self.scale = np.divide(1, length, out=np.zeros(len(length)), where=length > 0).astype(np.float32)[:, None]
+
+    def times(self, basis: np.ndarray) -> np.ndarray:
+        """``basis`` comes with its rows weighted and a row of zeros, as from ``weighted``."""
+        sums = np.zeros((len(self.block), basis.shape[1]), np.float32)
+        for k in range(BLOCK):
+            sums += basis.take(self.block[:, k], 0)
+        out = sums[self.index]
+        out[self.two] += sums[self.index[self.two] + 1]
+        return out * self.scale
+
+    def add_transposed(self, out: np.ndarray, total: np.ndarray) -> None:
+        out = out * self.scale
+        sums = np.zeros((len(self.block), out.shape[1]), np.float32)
+        sums[self.index] = out
+        sums[self.index[self.two] + 1] += out[self.two]
+        where = np.flatnonzero(self.block < FEATURES)
+        terms, rows = self.block.ravel()[where].astype(np.int64), where // BLOCK
+        # Column by column, which is many times as fast as sums of rows by term.
+        for own, column in zip(total.T, np.ascontiguousarray(sums.T, np.float64)):
+            own += np.bincount(terms, column.take(rows), FEATURES) * self.idf[:-1]
+
+    @staticmethod
+    def reader(idf: np.ndarray):
+        def of(batch):
+            for block, first in word_chunks(batch.column(0)):
+                yield Passages(block, first, idf)
+
+        return of
+
+
+def add_by_term(terms: np.ndarray, rows: np.ndarray, total: np.ndarray) -> None:
+    if len(terms):
+        order = np.argsort(terms, kind="stable")
+        t = terms[order]
+        heads = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
+        total[t[heads]] += np.add.reduceat(rows[order], heads, axis=0)
+
+
+def weighted(basis: np.ndarray, idf: np.ndarray | None) -> np.ndarray:
+    """What passages are multiplied by: the basis itself, or by weight and with a row of zeros."""
+    return basis if idf is None else np.concatenate([basis * idf[:, None], np.zeros((1, basis.shape[1]))]).astype(np.float32)
+
+
+def times_transposed(rows: DataFrame, basis: np.ndarray, idf: np.ndarray | None = None) -> np.ndarray:
     """A' A basis, A being the passages: each task sends its rows of the product, summed by term before the
     driver takes the FEATURES by rank result."""
-    width = basis.shape[1]
+    width, read, table = basis.shape[1], Listed.of if idf is None else Passages.reader(idf), weighted(basis, idf)
 
     def run(batches):
-        total = np.zeros(basis.shape, np.float32)
+        total = np.zeros((width, FEATURES)).T
         for batch in batches:
-            for first in range(0, batch.num_rows, 2000):
-                out, terms, values, row = project(batch.slice(first, 2000), basis)
-                if len(terms):
-                    order = np.argsort(terms, kind="stable")
-                    t = terms[order]
-                    heads = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
-                    total[t[heads]] += np.add.reduceat(out[row[order]] * values[order][:, None], heads, axis=0)
+            for part in read(batch):
+                part.add_transposed(part.times(table), total)
+        total = total.astype(np.float32, "C")
         some = np.flatnonzero(total.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.FixedSizeListArray.from_arrays(
             total[some].ravel(), width).cast(pa.list_(pa.float32()))], ["term", "v"])
 
+    # Every task sends a row per term, so there are as many tasks as run at a time, not as many as there are files.
+    rows = rows.coalesce(2 * rows.sparkSession.sparkContext.defaultParallelism)
     summed = rows.mapInArrow(run, "term long, v array<float>").groupBy("term").agg(
         *[F.sum(F.col("v")[i]).alias(f"v{i}") for i in range(width)]).toArrow()
     found = np.zeros(basis.shape)
@@ -176,15 +241,15 @@ def times_transposed(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
     return found
 
 
-def gram(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
+def gram(rows: DataFrame, basis: np.ndarray, idf: np.ndarray | None = None) -> np.ndarray:
     """(A basis)' (A basis)."""
-    width = basis.shape[1]
+    width, read, table = basis.shape[1], Listed.of if idf is None else Passages.reader(idf), weighted(basis, idf)
 
     def run(batches):
         total = np.zeros((width, width))
         for batch in batches:
-            for first in range(0, batch.num_rows, 5000):
-                out = project(batch.slice(first, 5000), basis)[0].astype(np.float64)
+            for part in read(batch):
+                out = part.times(table)
                 total += out.T @ out
         yield pa.RecordBatch.from_arrays([pa.array(range(width)), pa.array(total.tolist(), pa.list_(pa.float64()))], ["i", "v"])
 
@@ -193,8 +258,8 @@ def gram(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
     return np.array([r[1:] for r in summed])
 
 
-def latent_basis(rows: DataFrame, rank: int = RANK, seed: int = 11) -> np.ndarray:
-    """Right singular vectors of the passages, each divided by its singular value so that frequent topics do
+def latent_basis(rows: DataFrame, rank: int = RANK, seed: int = 11, idf: np.ndarray | None = None) -> np.ndarray:
+    """Right singular vectors of the passages (rows of terms and values, or with ``idf`` rows of words), each divided by its singular value so that frequent topics do
     not outweigh the rest: a randomised range, power iterations, and an eigenproblem of rank by rank.
 
     A row is the place of a bucket's words in the latent space. Passages add them up at equal length, times the
@@ -202,8 +267,8 @@ def latent_basis(rows: DataFrame, rank: int = RANK, seed: int = 11) -> np.ndarra
     hardly reach."""
     basis = np.random.default_rng(seed).normal(size=(FEATURES, rank + SPARE)).astype(np.float32)
     for _ in range(ROUNDS):
-        basis = np.linalg.qr(times_transposed(rows, basis))[0].astype(np.float32)
-    values, vectors = np.linalg.eigh(gram(rows, basis))
+        basis = np.linalg.qr(times_transposed(rows, basis, idf))[0].astype(np.float32)
+    values, vectors = np.linalg.eigh(gram(rows, basis, idf))
     lead = np.argsort(-values)[:rank]
     lead = lead[values[lead] > 1e-9 * max(values.max(), 1e-30)]
     return (basis @ (vectors[:, lead] / np.sqrt(values[lead]))).astype(np.float32)
@@ -272,6 +337,7 @@ class Searched:
         # One passage per piece, for none is longer than two blocks.
         self.vectors = passage_vectors(words, first, table)
         self.words = in_passages(in_blocks((words >> np.uint64(32)).astype(np.int64), first, -1), first, -1)
+        self.slots = self.words & (SLOTS - 1)
         weight = in_passages(in_blocks(idf[buckets(words)], first, 0), first, 0)
         self.weight = weight / np.maximum(weight.sum(1, keepdims=True), 1e-9)
 
@@ -303,8 +369,13 @@ def leaks_of(hashes, first, table, looked: Searched, options):
     for a in range(0, len(rows), 2048):
         close = (vectors[a:a + 2048] @ looked.vectors.T).ravel()
         pairs = np.flatnonzero(close >= cosine)
+        there_slots = np.zeros((len(vectors[a:a + 2048]), SLOTS), bool)
+        there_slots[np.arange(len(there_slots))[:, None], words[a:a + 2048] & (SLOTS - 1)] = True
         for k in range(0, len(pairs), 8192):
             some = pairs[k:k + 8192]
+            # Slots in common bound the words in common.
+            slots = there_slots[(some // pieces)[:, None], looked.slots[some % pieces]]
+            some = some[(slots * looked.weight[some % pieces]).sum(1) >= OVERLAP - 1e-6]
             where, piece = some // pieces + a, some % pieces
             # Words in common bound what can be in order.
             there = (looked.words[piece][:, :, None] == words[where][:, None, :]).any(2)
@@ -335,18 +406,23 @@ def leaks_of(hashes, first, table, looked: Searched, options):
     return found
 
 
-def item_passes(docs: DataFrame, benchmark: DataFrame, sample: int):
+def item_passes(docs: DataFrame, benchmark: DataFrame):
     """(table, items) for passes over the documents of at most about ITEMS items each."""
     wanted = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id is not null and text is not null").distinct()
-    passes = max(1, -(-wanted.count() // ITEMS))
-    counts, total = passage_counts(docs)
-    idf = weights(counts, total)
+    n = wanted.count()
+    if not n:
+        return
+    rows = worded(docs)
+    counts, total = passage_counts(rows)
+    if not total:
+        return
+    idf, passes = weights(counts, total), -(-n // ITEMS)
+    basis = latent_basis(rows.unionByName(worded(wanted)), idf=idf)
+    table = weighted(units(basis), idf)
     for k in range(passes):
         part = wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k)
         items = read_items(part.orderBy("item_id", "text").collect())
-        if items and total:
-            basis = latent_basis(sampled_passages(docs, part, idf, sample))
-            table = np.concatenate([units(basis) * idf[:, None], np.zeros((1, basis.shape[1]))]).astype(np.float32)
+        if items:
             yield table, Searched(items, table, idf)
 
 
@@ -360,7 +436,7 @@ def leaks_in(column, words: Words, table: np.ndarray, looked: Searched, options)
     return rows
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, sample: int = SAMPLE, cosine: float = COSINE, least: float = LEAST,
+def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, least: float = LEAST,
                sure: float = SURE, answer: float = ANSWER) -> DataFrame:
     """Documents that hold a benchmark item, word for word or reworded.
 
@@ -373,13 +449,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, sample: int = SAMPLE, cosi
     give repeated rows, repeated items count once per id and text; null item ids are left out, null doc ids
     stay; other columns are ignored; either table being empty gives an empty result.
 
-    Passage frequencies count all documents; the basis is fitted on a hashed sample of about ``sample`` documents
-    and the items. Items are looked for in passes of ITEMS, so what is sent to tasks stays bounded.
+    Passage frequencies count all documents, and the basis is fitted to all their passages and those of the items. Items are looked for in passes of ITEMS, so what is sent to tasks stays bounded.
     """
     schema = (f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id long, cosine double, share double, "
               "answer double, first_word long")
     out = docs.sparkSession.createDataFrame([], schema)
-    for table, looked in item_passes(docs, benchmark, sample):
+    for table, looked in item_passes(docs, benchmark):
         out = out.unionByName(searched(docs, table, looked, (cosine, least, sure, answer), schema))
     return out
 
@@ -399,11 +474,11 @@ def searched(docs: DataFrame, table: np.ndarray, looked: Searched, options, sche
     return map_texts(docs.select("doc_id", "text"), run, schema)
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, sample: int = SAMPLE, cosine: float = COSINE, least: float = LEAST,
+def without_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, least: float = LEAST,
                   sure: float = SURE, answer: float = ANSWER) -> DataFrame:
     """The rows of ``docs`` in which ``find_leaks`` finds nothing, all columns kept, in one pass per ITEMS items."""
     out = docs
-    for table, looked in item_passes(docs, benchmark, sample):
+    for table, looked in item_passes(docs, benchmark):
         out = map_texts(out, dropping(out.columns.index("text"), table, looked, (cosine, least, sure, answer)), docs.schema)
     return out
 

@@ -106,3 +106,33 @@ def test_basis_spans_the_leading_directions(spark):
     scaled = basis[:80].astype(float) * np.linalg.norm(dense[:, :80] @ basis[:80], axis=0)
     assert np.allclose(np.linalg.norm(basis.astype(float), axis=0) * s[:12], 1, rtol=0.02)
     assert np.abs(np.linalg.svd(vt[:12] @ (basis[:80] * s[:12]))[1] - 1).max() < 0.05 and scaled.shape == (80, 12)
+
+
+def test_products_over_whole_texts_agree_with_dense_passages(spark, make_docs):
+    docs, _, _ = corpus(5)
+    rng = np.random.default_rng(7)
+    rows = r.worded(make_docs(docs + [(900, None), (901, "x"), (902, "the " * 3000)]))
+    counts, total = r.passage_counts(rows)
+    idf = r.weights(counts, total)
+    dense = []
+    for row in rows.collect():
+        words = np.frombuffer(bytes(row["words"]), "<u2")
+        blocks = [words[i:i + r.BLOCK] for i in range(0, len(words), r.BLOCK)]
+        for pair in [blocks] if len(blocks) == 1 else [blocks[i:i + 2] for i in range(len(blocks) - 1)]:
+            v = np.bincount(np.concatenate(pair), minlength=r.FEATURES) * idf
+            dense.append(v / (np.linalg.norm(v) or 1))
+    dense = np.array(dense)
+    assert total == sum(-(-(len(row["words"]) // 2) // r.BLOCK) for row in rows.collect())
+    basis = rng.normal(size=(r.FEATURES, 3)).astype(np.float32)
+    assert np.allclose(r.times_transposed(rows, basis, idf), dense.T @ (dense @ basis), atol=1e-3)
+    assert np.allclose(r.gram(rows, basis, idf), (dense @ basis).T @ (dense @ basis), rtol=1e-4)
+
+
+def test_basis_is_fitted_to_every_document(spark, make_docs, monkeypatch):
+    """Whatever their number, and with ids that are null or shared."""
+    seen = []
+    plain = r.latent_basis
+    monkeypatch.setattr(r, "latent_basis", lambda rows, *a, **b: seen.append(rows.count()) or plain(rows, *a, **b))
+    docs = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"a{i} b{i % 90} c{i % 7}") for i in range(9000)]
+    items = spark.createDataFrame([(0, docs[4000][1] + " end.")], ITEMS)
+    assert r.find_leaks(make_docs(docs), items).count() > 0 and seen == [9001]
