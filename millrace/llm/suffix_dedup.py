@@ -32,7 +32,7 @@ CUT = 31               # a piece ends before an anchor that has these bits clear
 DEAL = 4096            # rows of one anchor that are dealt to one shard
 HOT = 2000             # an anchor that stands more often is merged window by window
 MEMORY = 1 << 21       # runs of one task that are looked through for repeats at a time
-PLACE, TAG = 1 << 40, (1 << 22) - 1   # a place is tag * PLACE + byte
+PLACE, TAGS = 1 << 31, 1 << 32        # a place is tag * PLACE + byte; no text has more than 2^31 - 1 bytes
 BITS, BITMAP = 1 << 24, 1 << 15
 
 
@@ -78,14 +78,28 @@ class Anchors:
         return row[good], (first - starts[row])[good], (stop - first)[good], least[first[good]]
 
 
-def places(docs: DataFrame) -> DataFrame:
-    """doc, tag and text of each row, in whose order of doc and tag the rows count. A null id comes last. The tag is 0,
-    but where some id has several texts a hash of the text tells its rows apart."""
+def places(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """doc, tag and text of each document, in whose order of doc and tag they count; and doc, tag, n_bytes and sha
+    of each row. A null id comes last. Where an id stands once, its tag is 0. Otherwise rows that repeat an id and a
+    text are folded to one document, and the tag numbers the different texts of an id, told apart by their sha256."""
     text = text_column()
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
-    several = docs.select(doc.alias("doc"), F.xxhash64(text).alias("h")).distinct().groupBy("doc").count().where("count > 1")
-    tag = F.lit(0).cast("long") if several.isEmpty() else F.xxhash64(text).bitwiseAND(TAG)
-    return docs.select(doc.alias("doc"), tag.alias("tag"), text.alias("text"))
+    sha = F.sha2(text.cast("binary"), 256)
+    once = docs.select(doc.alias("doc"), F.lit(0).cast("long").alias("tag"), text.alias("text"))
+    if once.groupBy("doc").count().where("count > 1").isEmpty():
+        return once, once.select("doc", "tag", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("own"))
+    every = materialize(docs.select(doc.alias("doc"), F.octet_length(text).cast("long").alias("n_bytes"), sha.alias("own")), "rows")
+    # The texts of a hot id are numbered in deals by the first digits of the hash, which are few whatever the id.
+    kinds = every.select("doc", "own").distinct().withColumn("deal", F.substring("own", 1, 4))
+    before = Window.partitionBy("doc").orderBy("deal").rowsBetween(Window.unboundedPreceding, 0)
+    deals = kinds.groupBy("doc", "deal").agg(F.count("*").alias("n")).withColumn("shift", F.sum("n").over(before) - F.col("n"))
+    inside = F.row_number().over(Window.partitionBy("doc", "deal").orderBy("own")) - 1
+    tags = materialize(kinds.withColumn("inside", inside).join(deals, ["doc", "deal"]).select(
+        "doc", "own", (F.col("inside") + F.col("shift")).cast("long").alias("tag")), "tags")
+    if (tags.agg(F.max("tag")).first()[0] or 0) >= TAGS:
+        raise ValueError(f"an id has more than {TAGS} different texts")
+    texts = docs.select(doc.alias("doc"), sha.alias("own"), text.alias("text")).groupBy("doc", "own").agg(F.first("text").alias("text"))
+    return materialize(texts.join(tags, ["doc", "own"]).select("doc", "tag", "text"), "texts"), every.join(tags, ["doc", "own"])
 
 
 def suspects(rows: DataFrame, length: int) -> DataFrame:
@@ -133,7 +147,7 @@ def suspects(rows: DataFrame, length: int) -> DataFrame:
     hot = again.where(F.col("n") > HOT).groupBy("anchor").agg(F.max("n").alias("total"))
     others = again.where("n < 0").join(hot, "anchor", "left").withColumn("n", F.coalesce(-F.col("total"), F.col("n"))).drop("total")
     item = F.struct("place", "windows", "anchor", "n")
-    return again.where("n > 0").unionByName(others).groupBy("doc", F.floor(F.col("place") / PLACE).alias("tag")).agg(
+    return again.where("n > 0").unionByName(others).groupBy("doc", F.shiftright("place", 31).alias("tag")).agg(
         F.array_sort(F.collect_set(item)).alias("runs"))
 
 
@@ -363,7 +377,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     doc_id, n_bytes, n_removed, n_spans (maximal removed runs) and kept_sha256 (lowercase hex).
 
     Null and empty texts have no bytes; texts of any length are read whole. Rows that repeat an id and a text are one
-    document and each get its result; rows that share an id and differ in their text are ordered by a hash of it; a
+    document and each get its result; rows that share an id and differ in their text are ordered by its sha256; a
     null id comes after all others; other columns are ignored; an empty table gives an empty one.
 
     Every window is compared byte by byte with those it could equal. An anchor however frequent is one row per task
@@ -371,14 +385,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     if length < GRAM + 8:
         raise ValueError(f"length must be at least {GRAM + 8}")
-    rows = places(docs)
+    rows, own = places(docs)
     found = materialize(sharded(pieces(rows, suspects(rows, length), length), length), "shards")
     gone = found.where("deal is null").select("doc", "first", "last").unionByName(merged(found, length))
-    tag = F.floor(F.col("first") / PLACE).alias("tag")
+    tag = F.shiftright("first", 31).alias("tag")
     lists = materialize(gone.groupBy("doc", tag).agg(F.collect_list(F.struct("first", "last")).alias("gone")), "gone")
     results = map_texts(squeezed(rows, lists).join(lists, ["doc", "tag"]).select("doc", "tag", "raw", "gone"), cutting(length), (
         "doc long, tag long, n_removed long, n_spans long, sha string")).dropDuplicates(["doc", "tag"])
-    own = rows.select("doc", "tag", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("own"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     return own.join(results, ["doc", "tag"], "left").select(
         F.when(F.col("doc") != (1 << 63) - 1, F.col("doc")).cast(kind).alias("doc_id"), "n_bytes",

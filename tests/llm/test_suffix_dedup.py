@@ -109,3 +109,39 @@ def test_hash_clashes_are_told_apart(monkeypatch):
     texts = [b"a" * 100, b"b" * 100, b"a" * 100, b"b" * 100]
     doc, first, last = s.merge_rows(np.arange(4), np.zeros(4, np.int64), np.ones(4, np.int64), np.zeros(4, np.int64), texts, 100)
     assert doc.tolist() == [2, 3] and first.tolist() == last.tolist() == [0, 0]
+
+
+def test_many_texts_of_one_id(make_docs):
+    rng = random.Random(12)
+    prose = ["".join(rng.choice("abcdefgh ") for _ in range(150)) for _ in range(30)]
+    rows = [(None, t) for t in prose] + [(5, t[:120] + str(i)) for i, t in enumerate(prose)] + [(None, prose[0] + "tail"), (5, "short")]
+    ordered = sorted(rows, key=lambda r: (r[0] is None, hashlib.sha256(r[1].encode()).hexdigest()))
+    expected = brute([((d, t), t) for d, t in ordered])
+    got = s.remove_repeats(make_docs(rows)).collect()
+    assert sorted((r["doc_id"] or 0, r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == sorted(
+        (d or 0, *v) for (d, _), v in expected.items())
+
+
+def test_texts_of_one_id_whose_short_hashes_agree(spark, make_docs):
+    """Null-id texts that agree in 22 bits of their hash and share a passage."""
+    from pyspark.sql import functions as F
+    rng = random.Random(13)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(130))
+    near = spark.range(8000).select(F.concat(F.col("id").cast("string"), F.lit(passage), F.repeat(F.lit("y"), (F.col("id") % 9).cast("int"))).alias("t"))
+    twins = near.groupBy(F.xxhash64("t").bitwiseAND((1 << 22) - 1).alias("k")).agg(F.collect_list("t").alias("ts")).where("size(ts) > 1").collect()
+    texts = sorted((t for r in twins for t in r["ts"]), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    assert texts
+    got = s.remove_repeats(make_docs([(None, t) for t in texts])).collect()
+    assert sorted((r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == sorted(brute([(t, t) for t in texts]).values())
+
+
+def test_a_repeated_row_that_shares_a_passage(make_docs):
+    """The repeats of a row know their anchors by other counts than its first one."""
+    docs = corpus(4)
+    rows = [d for i, d in enumerate(docs) for _ in range(1 + 3 * (i % 4 == 0))]
+    random.Random(3).shuffle(rows)
+    expected = brute(docs)
+    for parts in (1, 4):
+        got = s.remove_repeats(make_docs(rows).repartition(parts)).collect()
+        assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == sorted(
+            (i, *expected[i]) for i, _ in rows)
