@@ -1,5 +1,3 @@
-import contextlib
-import io
 import os
 import sys
 
@@ -7,10 +5,9 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from helpers import SF  # noqa: E402
 from millrace.session import build_session  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -28,17 +25,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf():
     return SF
-
-
-def rows(df, *order):
-    """Rows as sorted tuples."""
-    return sorted((tuple(r) for r in (df.select(*order) if order else df).collect()),
-                  key=lambda t: tuple((v is None, str(type(v)), v) for v in t))
-
-
-def plan_of(df) -> str:
-    """The physical plan as text."""
-    text = io.StringIO()
-    with contextlib.redirect_stdout(text):
-        df.explain("formatted")
-    return text.getvalue()

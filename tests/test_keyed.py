@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from millrace.operators.keyed import KeyedTable, mentions
 from millrace.session import scratch
 

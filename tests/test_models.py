@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from millrace.ml import recommend as M
 from millrace.ml import segments as G
 from millrace.operators.aggregates import FEATURES

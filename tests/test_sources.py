@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from millrace.session import scratch
 from millrace.sources import files, messages
 from millrace.sources.tables import naive, read_table, stream_table, zoned_schema

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from millrace.operators.skew import heavy_keys, pinned
 from millrace.session import materialize, scratch
 from millrace.sources import files
