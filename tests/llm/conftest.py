@@ -1,11 +1,6 @@
-import os
-import sys
-
 import pytest
 from pyspark.sql import types as T
 
-sys.path.insert(0, os.path.dirname(__file__))
-
 SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
     T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])
