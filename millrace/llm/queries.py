@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import (
     byte_language, latent_retrieval, maxent_lm, minimax_shards, page_difference, pattern_packing, pigeonring, pivot_index,
-    secret_cnn, suffix_dedup)
+    secret_cnn, source_divergence, suffix_dedup)
 from millrace.llm.common import load
 from millrace.session import prepare
 
@@ -70,3 +70,11 @@ def op9_latent_retrieval(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def op10_pigeonring_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return pigeonring.near_duplicates(load(spark, folder, "documents"))
+
+
+@register
+def op12_gustavson_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence.audit(load(spark, folder, "documents"))
+
+
+ORACLES["op12_gustavson_audit"] = source_divergence.SQL
