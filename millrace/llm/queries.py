@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import (
-    byte_language, latent_retrieval, maxent_lm, minimax_shards, page_difference, pattern_packing, pigeonring, pivot_index,
-    secret_cnn, source_divergence, suffix_dedup)
+    byte_language, contour_whitening, latent_retrieval, maxent_lm, minimax_shards, page_difference, pattern_packing, pigeonring,
+    pivot_index, secret_cnn, source_divergence, suffix_dedup)
 from millrace.llm.common import load
 from millrace.session import prepare
 
@@ -78,3 +78,8 @@ def op12_gustavson_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op12_gustavson_audit"] = source_divergence.SQL
+
+
+@register
+def op13_feast_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return contour_whitening.whiten(load(spark, folder, "embeddings"))
