@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import (
     byte_language, contour_whitening, latent_retrieval, maxent_lm, minimax_shards, page_difference, pattern_packing, pigeonring,
-    pivot_index, secret_cnn, source_divergence, suffix_dedup)
+    pivot_index, secret_cnn, skip_chain, source_divergence, suffix_dedup)
 from millrace.llm.common import load
 from millrace.session import prepare
 
@@ -72,6 +72,11 @@ def op10_pigeonring_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return pigeonring.near_duplicates(load(spark, folder, "documents"))
 
 
+@register
+def op11_skip_chain_crf(spark: SparkSession, folder: str) -> DataFrame:
+    return skip_chain.report(load(spark, folder, "documents"))
+
+
 @register
 def op12_gustavson_audit(spark: SparkSession, folder: str) -> DataFrame:
     return source_divergence.audit(load(spark, folder, "documents"))
