@@ -37,6 +37,8 @@ SLOTS = 1 << 13         # feature weights of each label
 SAMPLE_DOCS = 2_000     # documents that the field is fitted to, at most
 SAMPLE_TOKENS = 200     # candidate tokens of such a document, at most
 STEPS, ROUNDS = 120, 15
+REPEAT = 6              # characters, or digits, of a token that is linked to its repeats
+PULL = 6.0              # log odds by which a link favours equal labels before training
 SURE = 0.9              # marginal probability of a label that is given
 CHUNK = 1 << 22
 NOT_DIGIT = re.compile(r"[^0-9]+")
@@ -146,8 +148,8 @@ class Field:
                 self.chain.append((n - 1, n))
             previous = b
             digits = NOT_DIGIT.sub("", core)
-            keys = [("same", core.lower())] if len(core) > 3 else []
-            keys += [("digits", digits)] if len(digits) > 5 else []
+            keys = [("same", core.lower())] if len(core) >= REPEAT else []
+            keys += [("digits", digits)] if len(digits) >= REPEAT else []
             keys += [("mail", core[core.rindex("@"):].lower())] if "@" in core and core[-1] != "@" else []
             for key in keys:
                 if key in last:
@@ -246,7 +248,7 @@ def train(features: np.ndarray, labels: np.ndarray, chain: np.ndarray, skip: np.
     to_span[skip[labels[skip[:, 1]] > 0, 0]] = True
     to_span[skip[labels[skip[:, 0]] > 0, 1]] = True
     known = (labels > 0) | ~to_span
-    pull = 2.0 * np.eye(LABELS)
+    pull = PULL * np.eye(LABELS)
     model = Model(np.zeros((SLOTS, LABELS)), np.zeros((LABELS, LABELS)), pull.copy())
     parts = [model.weights, model.chain, model.skip]
     means, squares = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
@@ -384,7 +386,9 @@ def report(docs: DataFrame) -> DataFrame:
         return F.array_join(F.transform(spans, lambda x: F.concat_ws(
             ":", F.element_at(names, x["kinds"] + 1), x["starts"].cast("string"), x["ends"].cast("string"))), ",")
 
-    counts = [F.size(F.filter("kinds", lambda x, k=k: x == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    def count(k: int):
+        return F.size(F.filter("kinds", lambda x: x == k)).cast("long")
+
     return found.select(
-        "doc_id", *counts, F.sha2(joined(F.filter(rows, lambda x: x["kinds"] < len(KINDS))).cast("binary"), 256).alias("base_sha256"),
+        "doc_id", *[count(k).alias(f"n_{name}") for k, name in enumerate(KINDS)], F.sha2(joined(F.filter(rows, lambda x: x["kinds"] < len(KINDS))).cast("binary"), 256).alias("base_sha256"),
         joined(rows).alias("spans"), F.size(F.filter("kinds", lambda x: x >= len(KINDS))).cast("long").alias("n_crf"))

@@ -1,0 +1,155 @@
+import hashlib
+import itertools
+import random
+import re
+
+import numpy as np
+
+from millrace.llm import skip_chain as S
+
+
+def luhn(digits):
+    doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
+    return sum(d // 10 + d % 10 for d in doubled) % 10 == 0
+
+
+def card(rng, size=16):
+    body = "".join(rng.choice("0123456789") for _ in range(size - 1))
+    return next(body + c for c in "0123456789" if luhn(body + c))
+
+
+def brute(text):
+    """The patterns as they are written, by kind, then start."""
+    found = [("email", m) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    found += [("ip", m) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)
+              if max(map(int, m.group().split("."))) <= 255]
+    for kind, pattern in (("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            if (16 <= len(digits) <= 19 and luhn(digits)) if kind == "card" else 8 <= len(digits) <= 15:
+                found.append((kind, m))
+    return [(kind, m.start(), m.end()) for kind, m in found]
+
+
+def test_patterns_equal_the_plain_ones_on_random_texts():
+    rng = random.Random(1)
+    pieces = ["a@b.co", "x.y%z+1@h-1.example.com", "@", ".", "..", "-", "+", " ", "\n", "é", "(", ")", "255", "256", "0001", "1.2.3.4",
+              "4111 1111 1111 1111", "+1 (217) 555-0199", "7", "_", "a", "++49", "٣", "0"]
+    for _ in range(4000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 14)))
+        assert [(S.KINDS[k], a, b) for k, a, b in S.base_spans(text)] == brute(text), text
+
+
+def test_long_runs_take_linear_time():
+    text = "a" * 400_000 + "@" + "b" * 400_000 + " " + "1" * 400_000 + ".2 " + "+1" * 200_000
+    assert S.base_spans(text) == []
+
+
+def test_messages_equal_enumeration_on_a_tree():
+    rng = np.random.default_rng(3)
+    chain, skip = np.array([[0, 1], [1, 2]]), np.array([[0, 3]])
+    unary = rng.normal(size=(4, S.LABELS))
+    skip_potential = rng.normal(size=(S.LABELS, S.LABELS))
+    model = S.Model(np.zeros((S.SLOTS, S.LABELS)), rng.normal(size=(S.LABELS, S.LABELS)), skip_potential + skip_potential.T)
+    exact = np.zeros((4, S.LABELS))
+    pairs = np.zeros((2, S.LABELS, S.LABELS))
+    for labels in itertools.product(range(S.LABELS), repeat=4):
+        weight = np.exp(sum(unary[i, x] for i, x in enumerate(labels)) + sum(model.chain[labels[a], labels[b]] for a, b in chain)
+                        + sum(model.skip[labels[a], labels[b]] for a, b in skip))
+        for i, x in enumerate(labels):
+            exact[i, x] += weight
+        for k, links in enumerate((chain, skip)):
+            for a, b in links:
+                pairs[k, labels[a], labels[b]] += weight
+    messages = S.Messages(4, chain, skip)
+    found = messages.run(unary, model, 60)
+    assert np.allclose(found, exact / exact.sum(1, keepdims=True), atol=1e-6)
+    assert np.allclose(messages.links(unary, model), pairs / exact[0].sum(), atol=1e-6)
+
+
+def test_links_join_repeats_at_any_distance():
+    text = "call +1 (217) 555-0199 " + "word " * 500 + "or 555-0199 now. Write a.b@mail.example.com or c@mail.example.com"
+    found = S.Field()
+    found.add(0, text, np.frombuffer(text.encode(), np.uint8), S.base_spans(text))
+    tokens = [text[a:b] for a, b in zip(found.start, found.end)]
+    assert tokens == ["+1", "217", "555-0199", "555-0199", "a.b@mail.example.com", "c@mail.example.com"]
+    assert found.label == [4, 4, 4, 0, 1, 1]
+    assert found.chain == [(0, 1), (1, 2)] and found.skip == [(2, 3), (4, 5)]
+
+
+def corpus(rng, n, alike=False):
+    """Texts with findings; some repeat a part of one, some hold numbers that are none: with ``alike`` those look the same."""
+    words = "the of and to in that was his with they at one have this from word but what some we".split()
+    rows, wanted, clean = [], {}, set()
+
+    def prose(k):
+        return [rng.choice(words) for _ in range(k)]
+
+    for i in range(n):
+        phone = f"+1 ({rng.randint(200, 999)}) 555-{rng.randint(0, 9999):04d}"
+        kind = i % 6
+        parts = prose(20)
+        if kind == 0:
+            parts += ["call", phone] + prose(10)
+        elif kind == 1:
+            parts += ["mail", f"{rng.choice(words)}.{rng.randint(10, 99)}@mail{rng.randint(1, 9)}.example.com"] + prose(10)
+        elif kind == 2:
+            parts += ["card", card(rng)] + prose(10) + ["from", ".".join(str(rng.randint(1, 255)) for _ in range(4))]
+        elif kind == 3:  # the number without its code, far from the whole one
+            parts += ["call", phone] + prose(300) + ["or", phone[-8:], "now"]
+            wanted[i] = phone[-8:]
+        else:
+            parts += [rng.choice(words), f"555-{rng.randint(0, 9999):04d}"] + prose(5) if alike else []
+            parts += [f"{rng.randint(1, 40)}.", "in", str(rng.randint(1900, 2030)), "about", f"{rng.randint(1, 99)}%"] + prose(10)
+            clean.add(i)
+        rows.append((i, " ".join(parts)))
+    return rows, wanted, clean
+
+
+def spans_of(text):
+    return [(k, int(a), int(b)) for k, a, b in (s.split(":") for s in text.split(","))] if text else []
+
+
+def test_report(spark, make_docs):
+    rows, wanted, clean = corpus(random.Random(5), 240)
+    rows += [(1000, None), (1001, ""), (1002, "no digits"), (1003, "é" * 50 + " 10.0.0.256 x@y.zz"), (0, rows[0][1]), (None, "a@b.cc"),
+             (1004, "wörd " * 100_000 + "+49 30 1234567, " + "wörd " * 1000)]
+    got = S.report(make_docs(rows, clash=("kinds", "starts", "label"))).collect()
+    assert len(got) == len(rows)
+    texts = {}
+    for i, text in rows:
+        texts.setdefault(i, text or "")
+    hits = 0
+    for r in got:
+        text = texts[r["doc_id"]]
+        base = brute(text)
+        spans = spans_of(r["spans"])
+        assert r["base_sha256"] == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in base).encode()).hexdigest()
+        assert spans[:len(base)] == base
+        assert [r[f"n_{k}"] for k in S.KINDS] == [sum(x[0] == k for x in base) for k in S.KINDS]
+        assert r["n_crf"] == len(spans) - len(base)
+        if r["doc_id"] in wanted:
+            hits += [(k, text[a:b]) for k, a, b in spans[len(base):]] == [("crf_phone", wanted[r["doc_id"]])]
+        if r["doc_id"] in clean:
+            assert not r["n_crf"]
+    assert hits >= 0.9 * len(wanted)
+
+
+def test_repeats_are_told_by_their_links():
+    rows, wanted, clean = corpus(random.Random(6), 240, alike=True)
+    found = S.Field()
+    for i, text in rows:
+        found.add(i, text, np.frombuffer(text.encode(), np.uint8), S.base_spans(text))
+    model = S.train(*found.arrays())
+    whole = S.added_spans(found, model, S.SURE)
+    assert sum(i in whole for i in wanted) >= 0.9 * len(wanted) and not set(whole) & clean
+    # The same tokens without the potentials of the links: nothing else tells them from the others.
+    unlinked = S.Model(model.weights, model.chain, np.zeros_like(model.skip))
+    assert sum(i in S.added_spans(found, unlinked, S.SURE) for i in wanted) < 0.2 * len(wanted)
+
+
+def test_empty_and_nothing_to_learn(spark, make_docs):
+    empty = S.report(make_docs([]))
+    assert empty.collect() == [] and "base_sha256" in empty.columns
+    got = S.report(make_docs([(1, "12 apples, 555-0199"), (2, None)])).collect()
+    assert [r["spans"] for r in got] == ["", ""]
