@@ -1,10 +1,12 @@
-"""Top-k reports."""
+"""Top-k reports, and places in an order."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.session import materialize
+
 
 def top(df: DataFrame, by: str, tie: str, k: int) -> DataFrame:
     """The k highest rows, equal values in order of ``tie``. Each task keeps k rows; nothing is fully sorted."""
@@ -39,3 +41,18 @@ def as_list(ranked: DataFrame, name: str, item: str = "item_id", *order: Column)
     keys = [o.alias(f"_{i}") for i, o in enumerate(order)]
     rows = F.array_sort(F.collect_list(F.struct(*keys, F.col(item).alias(item))))
     return ranked.agg(F.transform(rows, lambda r: r[item]).alias("list")).select(F.lit(name).alias("name"), "list")
+
+
+def in_order(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Rows with their place 0, 1, ... in an order, without a window over the whole table.
+
+    Rows are range partitioned, stored with their partition, numbered inside it, and shifted by the rows of the
+    partitions before. Rows that are equal in ``order`` meet in one partition: end it with a key.
+    """
+    spread = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    parts = materialize(spread, "in-order")
+    counts = parts.groupBy("_part").agg(F.count("*").alias("_rows"))
+    before = F.sum("_rows").over(Window.orderBy("_part")) - F.col("_rows")
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    numbered = parts.withColumn("_inside", inside).join(counts.select("_part", before.alias("_before")), "_part")
+    return numbered.withColumn(name, (F.col("_inside") + F.col("_before")).cast("long")).drop("_part", "_inside", "_before")

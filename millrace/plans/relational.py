@@ -190,35 +190,55 @@ def top_item_per_category(spark: SparkSession, folder: str) -> DataFrame:
     return best_of_categories(spark, folder).withColumn("quantity", F.round("quantity").cast("long"))
 
 
-@query(f"""WITH {PURCHASES}, {TOP}, {BEST}
-SELECT 'top_{TOP_CATEGORIES}' AS name,
-  string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY quantity DESC, item_id) AS items FROM best""")
-def baseline_lists(spark: SparkSession, folder: str) -> DataFrame:
-    listed = R.as_list(best_of_categories(spark, folder), f"top_{TOP_CATEGORIES}", "item_id", -F.col("quantity"))
+# SQL: the values of a digest, as sampling.digest has it.
+def digest_sql(*keys: str, seed: int = 42) -> str:
+    return "md5(concat_ws(':', '" + str(seed) + "', " + ", ".join(f"CAST({k} AS VARCHAR)" for k in keys) + "))"
+
+
+def percent_sql(*keys: str) -> str:
+    return f"CAST('0x' || substr({digest_sql(*keys)}, 1, 8) AS BIGINT) % 100"
+
+
+TOP_LIST = f"""SELECT 'top_{TOP_CATEGORIES}' AS name,
+  string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY quantity DESC, item_id) AS items FROM best"""
+RANDOM_LIST = f"""SELECT 'random_{TOP_CATEGORIES}' AS name, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY drawn) AS items
+  FROM (SELECT item_id, {digest_sql("item_id")} AS drawn FROM (SELECT DISTINCT l_partkey AS item_id FROM lineitem)
+    ORDER BY drawn LIMIT {TOP_CATEGORIES})"""
+
+
+def random_list(spark: SparkSession, folder: str) -> DataFrame:
+    items = read_table(spark, folder, "lineitem").select(F.col("l_partkey").alias("item_id"))
+    return R.as_list(S.sample_values(items, "item_id", TOP_CATEGORIES), f"random_{TOP_CATEGORIES}", "item_id", F.col("digest"))
+
+
+def as_text(listed: DataFrame) -> DataFrame:
     return listed.select("name", F.array_join(F.col("list").cast("array<string>"), ",").alias("items"))
 
 
-@query()
+@query(f"""WITH {PURCHASES}, {TOP}, {BEST} {TOP_LIST} UNION ALL {RANDOM_LIST}""")
+def baseline_lists(spark: SparkSession, folder: str) -> DataFrame:
+    best = R.as_list(best_of_categories(spark, folder), f"top_{TOP_CATEGORIES}", "item_id", -F.col("quantity"))
+    return as_text(best.unionByName(random_list(spark, folder)))
+
+
+@query(RANDOM_LIST)
 def random_baseline(spark: SparkSession, folder: str) -> DataFrame:
-    sample = S.sample_values(all_purchases(spark, folder), "item_id", TOP_CATEGORIES)
-    return R.as_list(sample, f"random_{TOP_CATEGORIES}")
+    return as_text(random_list(spark, folder))
+
+
+@query(f"""SELECT event_id, row_number() OVER (ORDER BY {digest_sql("event_id")}, event_id) - 1 AS place FROM events""")
+def shuffled_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return S.shuffled(read_table(spark, folder, "events").select("event_id"), "event_id")
 
 
-@query("""SELECT count(*) AS total_rows, count(*) AS rows_in_parts, 0 AS keys_in_both, true AS near_share
-FROM lineitem""")
+@query(f"""SELECT CASE WHEN {percent_sql("l_orderkey")} < 80 THEN 'train' ELSE 'rest' END AS part, count(*) AS n_rows,
+  count(DISTINCT l_orderkey) AS n_orders, CAST(sum(l_linenumber) AS BIGINT) AS line_numbers FROM lineitem GROUP BY 1""")
 def hash_split(spark: SparkSession, folder: str) -> DataFrame:
-    lines = read_table(spark, folder, "lineitem").select("l_orderkey")
-    train, rest = S.hash_split(lines, ["l_orderkey"], 80)
-    tagged = [part.withColumn("part", F.lit(i)) for i, part in enumerate((lines, train, rest))]
-    in_part = F.when(F.col("part") > 0, F.col("part"))
-    keys = tagged[0].unionByName(tagged[1]).unionByName(tagged[2]).groupBy("l_orderkey").agg(
-        F.count_if(F.col("part") == 0).alias("n"), F.count(in_part).alias("n_parts"),
-        F.min(in_part).alias("low"), F.max(in_part).alias("high"))
-    in_train = F.sum(F.when(F.col("low") == 1, F.col("n")).otherwise(0))
-    return keys.agg(
-        F.sum("n").alias("total_rows"), F.sum("n_parts").alias("rows_in_parts"),
-        F.count_if(F.col("low") != F.col("high")).cast("int").alias("keys_in_both"),
-        (in_train / F.sum("n")).between(0.75, 0.85).alias("near_share"))
+    lines = read_table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
+    train, rest = S.digest_split(lines, ["l_orderkey"], 80)
+    both = train.withColumn("part", F.lit("train")).unionByName(rest.withColumn("part", F.lit("rest")))
+    return both.groupBy("part").agg(F.count("*").alias("n_rows"), F.count_distinct("l_orderkey").alias("n_orders"),
+                                    F.sum("l_linenumber").alias("line_numbers"))
 
 
 @query(f"""WITH {PURCHASES}, frequent AS (

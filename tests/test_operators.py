@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 
@@ -98,11 +99,27 @@ def test_splits_are_disjoint_complete_and_repeatable(spark):
 
 def test_samples_and_shuffles(spark):
     df = spark.range(1000).withColumn("v", F.col("id") % 50)
-    sample = rows(S.sample_values(df, "v", 5))
-    assert len(set(sample)) == 5 and rows(S.sample_values(df.repartition(9), "v", 5)) == sample
-    assert rows(S.sample_values(df, "v", 5, seed=1)) != sample
-    mixed = [r["id"] for r in S.shuffled(spark.range(100), 5).collect()]
-    assert mixed != list(range(100)) and sorted(mixed) == list(range(100))
+
+    def order(values, seed=42):
+        return sorted(values, key=lambda v: (hashlib.md5(f"{seed}:{v}".encode()).hexdigest(), v))
+
+    sample = rows(S.sample_values(df, "v", 5), "v")
+    assert sample == sorted((v,) for v in order(range(50))[:5]) == rows(S.sample_values(df.repartition(9), "v", 5), "v")
+    assert rows(S.sample_values(df, "v", 5, seed=1), "v") == sorted((v,) for v in order(range(50), 1)[:5])
+    # The samples of two tables merge to that of both, and a null is no value.
+    halves = [S.sample_values(df.where(c), "v", 5) for c in ("v < 30", "v >= 30")]
+    assert rows(halves[0].unionByName(halves[1]).orderBy("digest").limit(5), "v") == sample
+    assert rows(S.sample_values(spark.createDataFrame([(None,), (3,)], "v int"), "v", 5), "v") == [(3,)]
+    mixed = sorted((r["place"], r["id"]) for r in S.shuffled(spark.range(300).repartition(5), "id").collect())
+    assert mixed == list(enumerate(order(range(300))))
+
+
+def test_digest_splits_are_disjoint_complete_and_repeatable(spark):
+    df = spark.range(5000)
+    first, rest = S.digest_split(df, ["id"], 80)
+    assert {r[0] for r in first.collect()} == {
+        i for i in range(5000) if int(hashlib.md5(f"42:{i}".encode()).hexdigest()[:8], 16) % 100 < 80}
+    assert first.count() + rest.count() == 5000 and first.intersect(rest).count() == 0
 
 
 def test_semi_join_keeps_rows_once_and_enrich_keeps_all(spark):

@@ -1,0 +1,137 @@
+"""Exact top-k products, the certificate of fitted factors, and segments scored from tables."""
+
+import numpy as np
+import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from helpers import plan_of, rows
+from millrace.ml import products as P
+from millrace.ml import recommend as M
+from millrace.ml import segments as G
+from millrace.operators import ranking as R
+from millrace.operators.aggregates import FEATURES
+from millrace.session import scratch
+
+ITEMS, USERS = "item_id long, features array<float>", "user_id long, features array<float>"
+
+
+def brute(users, items, k):
+    out = {}
+    for u, x in users:
+        scores = sorted(((-float(np.dot(np.float32(x).astype(float), np.float32(y).astype(float))), i) for i, y in items))[:k]
+        out[u] = [i for _, i in scores]
+    return out
+
+
+def factors(rng, n, size, spread):
+    return [(i, [float(v) for v in rng.normal(size=size) * spread(i)]) for i in range(n)]
+
+
+@pytest.mark.parametrize("k", [1, 5, 50])
+def test_products_equal_brute_force(spark, k, monkeypatch):
+    rng = np.random.default_rng(k)
+    items = factors(rng, 300, 4, lambda i: 1 + i % 7)
+    items += [(1000 + i, items[i][1]) for i in range(20)] + [(2000, [0.0] * 4), (2001, [0.0] * 4)]  # ties, and items of no size
+    users = factors(rng, 90, 4, lambda i: 0.1 + i % 3) + [(500, [0.0] * 4), (501, users_like(items[3][1]))]
+    monkeypatch.setattr(P, "CHUNK", 7)
+    monkeypatch.setattr(P, "STEP", 13)
+    blocks = P.in_blocks(spark.createDataFrame(items, ITEMS), block=16)
+    assert blocks.select("block").distinct().count() == 21
+    frame = spark.createDataFrame(users, USERS).repartition(4)
+    found = {r["user_id"]: r["ids"] for r in P.best_products(frame, blocks, k).collect()}
+    assert found == brute(users, items, k)
+
+
+def users_like(features):
+    return [v * 3 for v in features]
+
+
+def test_most_blocks_are_skipped(spark):
+    rng = np.random.default_rng(3)
+    items = factors(rng, 800, 4, lambda i: 100.0 if i < 8 else 0.01)
+    users = spark.createDataFrame(factors(rng, 50, 4, lambda i: 1.0), USERS)
+    blocks = P.in_blocks(spark.createDataFrame(items, ITEMS), block=32)
+    bounds = np.array([r[0] for r in blocks.groupBy("block").agg(F.max("norm")).orderBy("block").select("max(norm)").collect()])
+    first = blocks.where("block = 0").collect()
+    done = P.from_first_block(users, np.array([r["item_id"] for r in first]), np.array([r["features"] for r in first]), bounds, 3)
+    assert done.where("reach = 0").count() >= 40
+
+
+def test_fewer_items_than_asked_and_none(spark):
+    users = spark.createDataFrame([(1, [1.0, 0.0])], USERS)
+    two = P.in_blocks(spark.createDataFrame([(7, [1.0, 1.0]), (8, [2.0, 0.0])], ITEMS))
+    assert [(r["ids"], r["products"]) for r in P.best_products(users, two, 5).collect()] == [([8, 7], [2.0, 1.0])]
+    none = P.in_blocks(spark.createDataFrame([], ITEMS))
+    assert [r["ids"] for r in P.best_products(users, none, 5).collect()] == [[]]
+    assert P.best_products(users.limit(0), two, 5).collect() == []
+
+
+def bought(spark):
+    return spark.createDataFrame([(u, i, 1 + (u + i) % 3, 2.0) for u in range(30) for i in range(40) if (u * i) % 4 != 1],
+                                 "user_id int, item_id int, quantity int, sales_value double")
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    path = scratch(spark, "items")
+    M.save_items(M.train_items(bought(spark), blocks=2), path)
+    return M.load_items(spark, path)
+
+
+def test_recommendations_equal_those_of_the_full_product(spark, model):
+    numbers = {r["number"]: r["user_id"] for r in M.dense_numbers(bought(spark), "user_id").collect()}
+    item_of = {r["number"]: r["item_id"] for r in M.dense_numbers(bought(spark), "item_id").collect()}
+    full = {numbers[r["user"]]: [(item_of[x["item"]], x["rating"]) for x in r["recommendations"]]
+            for r in model.factors.recommendForAllUsers(5).collect()}
+    found = M.scored(model, bought(spark), 5)
+    assert "CartesianProduct" not in plan_of(found) and "NestedLoop" not in plan_of(found)
+    got = {r["user_id"]: list(zip(r["recs"], r["ratings"])) for r in found.collect()}
+    assert sorted(got) == sorted(full)
+    for user, mine in got.items():
+        assert np.allclose([x for _, x in mine], [x for _, x in full[user]], atol=1e-5)
+        assert {i for i, x in mine if x > mine[-1][1] + 1e-5} == {i for i, x in full[user] if x > mine[-1][1] + 1e-5}
+
+
+def test_certificate_holds_and_a_spoiled_factor_fails(spark, model):
+    ratings = bought(spark)
+    repeated = ratings.unionByName(ratings)  # repeats are merged to their mean, as in training
+    found = {r["user_id"]: (r["n_rated"], r["residual"]) for r in M.optimality(model, repeated).collect()}
+    counts = {r["user_id"]: r["count"] for r in ratings.groupBy("user_id").count().collect()}
+    assert {u: n for u, (n, _) in found.items()} == counts and max(r for _, r in found.values()) < 1e-4
+    spoiled = model.users.withColumn("features", F.when(F.col("user_id") == 3, F.transform("features", lambda x: x * 1.1)).otherwise(F.col("features")))
+    wrong = {r["user_id"]: r["residual"] for r in M.optimality(M.ItemModel(model.factors, spoiled, model.items), ratings).collect()}
+    assert wrong[3] > 1e-2 and max(r for u, r in wrong.items() if u != 3) < 1e-4
+    gone = M.optimality(M.ItemModel(model.factors, model.users.where("user_id <> 5"), model.items), ratings)
+    assert rows(gone.where("residual is null"), "user_id") == [(5,)]
+
+
+def people(spark, n=60):
+    return spark.createDataFrame([
+        (i, f"n{i % 4}", ["big", "small", "odd"][i % 3], 5, 50 if i % 3 else 5, 9 if i % 2 else 1, 1,
+         900.0 if i % 3 == 1 else 9.0, 90.0 + i, 1.0) for i in range(n)],
+        "user_id long, nation string, segment string, c long, s1 long, ma1 long, mi1 long, s2 double, ma2 double, mi2 double")
+
+
+@pytest.mark.parametrize("two", [False, True])
+def test_tables_score_as_the_pipeline_does(spark, two):
+    train = people(spark).where("segment <> 'odd'") if two else people(spark)
+    fitted = G.train_segments(train, ["nation"], FEATURES)
+    path = scratch(spark, "tables")
+    G.write_tables(fitted, spark, path)
+    tables = G.read_tables(spark, path)
+    assert tables.categorical == ("nation",) and tables.numeric == tuple(FEATURES)
+    # Known values, values that training has not seen, and a null.
+    asked = people(spark).withColumn("nation", F.when(F.col("user_id") % 7 == 0, "elsewhere").when(F.col("user_id") % 11 != 0, F.col("nation")))
+    by_pipeline = G.score_segments(fitted, asked).select("user_id", "category", F.round(F.array_max(vector_to_array("probability")), 9))
+    by_tables = G.score_by_tables(tables, asked, "user_id").select("user_id", "category", F.round("probability", 9))
+    assert rows(by_tables) == rows(by_pipeline)
+
+
+def test_places_in_an_order(spark):
+    df = spark.range(0, 5000, 3).selectExpr("id", "id % 7 AS v").repartition(9)
+    found = R.in_order(df, [F.desc("v"), F.asc("id")], "place").collect()
+    want = sorted(((i, i % 7) for i in range(0, 5000, 3)), key=lambda r: (-r[1], r[0]))
+    assert [(r["id"], r["v"]) for r in sorted(found, key=lambda r: r["place"])] == want
+    assert sorted(r["place"] for r in found) == list(range(len(want)))
+    assert R.in_order(df.limit(0), [F.asc("id")], "place").collect() == []
