@@ -39,7 +39,7 @@ def test_products_equal_brute_force(spark, k, monkeypatch):
     blocks = P.in_blocks(spark.createDataFrame(items, ITEMS), block=16)
     assert blocks.select("block").distinct().count() == 21
     frame = spark.createDataFrame(users, USERS).repartition(4)
-    found = {r["user_id"]: r["ids"] for r in P.best_products(frame, blocks, k).collect()}
+    found = {r["user_id"]: r["ids"] for r in P.best_products(frame, P.open_blocks(blocks), k).collect()}
     assert found == brute(users, items, k)
 
 
@@ -61,10 +61,10 @@ def test_most_blocks_are_skipped(spark):
 def test_fewer_items_than_asked_and_none(spark):
     users = spark.createDataFrame([(1, [1.0, 0.0])], USERS)
     two = P.in_blocks(spark.createDataFrame([(7, [1.0, 1.0]), (8, [2.0, 0.0])], ITEMS))
-    assert [(r["ids"], r["products"]) for r in P.best_products(users, two, 5).collect()] == [([8, 7], [2.0, 1.0])]
+    assert [(r["ids"], r["products"]) for r in P.best_products(users, P.open_blocks(two), 5).collect()] == [([8, 7], [2.0, 1.0])]
     none = P.in_blocks(spark.createDataFrame([], ITEMS))
-    assert [r["ids"] for r in P.best_products(users, none, 5).collect()] == [[]]
-    assert P.best_products(users.limit(0), two, 5).collect() == []
+    assert [r["ids"] for r in P.best_products(users, P.open_blocks(none), 5).collect()] == [[]]
+    assert P.best_products(users.limit(0), P.open_blocks(two), 5).collect() == []
 
 
 def bought(spark):
