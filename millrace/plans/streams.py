@@ -389,17 +389,17 @@ def stream_static_left(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.collect_files(joins.with_table(events, known, "event_type", "left"), "static-left")
 
 
-YEARLY = "52 weeks"
-YEAR_US = 364 * 24 * 3600 * 1000000
-YEARS = f"""heads AS (SELECT o_orderkey AS order_id, o_custkey AS user_id,
-    CAST(floor(epoch_us(o_orderdate) / {YEAR_US}) AS BIGINT) AS w FROM orders),
+SHARED = "4 weeks"
+SHARED_US = 28 * 24 * 3600 * 1000000
+SPANS = f"""heads AS (SELECT o_orderkey AS order_id, o_custkey AS user_id,
+    CAST(floor(epoch_us(o_orderdate) / {SHARED_US}) AS BIGINT) AS w FROM orders),
   lines AS (SELECT l_orderkey AS order_id, l_partkey AS item_id, l_linenumber AS line,
-    CAST(floor(epoch_us(l_shipdate) / {YEAR_US}) AS BIGINT) AS w FROM lineitem)"""
-WINDOW_ENDS = f"""make_timestamp(w * {YEAR_US}) AS window_start, make_timestamp((w + 1) * {YEAR_US}) AS window_end"""
+    CAST(floor(epoch_us(l_shipdate) / {SHARED_US}) AS BIGINT) AS w FROM lineitem)"""
+WINDOW_ENDS = f"""make_timestamp(w * {SHARED_US}) AS window_start, make_timestamp((w + 1) * {SHARED_US}) AS window_end"""
 
 
 def orders_with_lines(spark: SparkSession, folder: str, how: str) -> DataFrame:
-    """Orders and their lines as two streams, joined on order and 52-week window."""
+    """Orders and their lines as two streams, joined on order and four-week window."""
     heads = read_table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
         F.col("o_orderdate").alias("ordered_at"))
@@ -412,7 +412,7 @@ def orders_with_lines(spark: SparkSession, folder: str, how: str) -> DataFrame:
            replay.time_slices(lines, "shipped_at", SLICES, bounds)]
     heavy = heavy_keys(lines, ["order_id"])
     (left_folder, left), (right_folder, right) = (landed(spark, c, "join-input") for c in cut)
-    joined = joins.within_window(left, "ordered_at", right, "shipped_at", ["order_id"], YEARLY, "30 days", how,
+    joined = joins.within_window(left, "ordered_at", right, "shipped_at", ["order_id"], SHARED, "7 days", how,
                                  heavy, ["item_id", "line", "shipped_at"], scratch(spark, "heavy-orders"))
     found = windows.flat(joined.select(windows.WINDOW, "order_id", "user_id", "item_id", "line"))
     run = sinks.Bounded(found, "joined")
@@ -421,16 +421,47 @@ def orders_with_lines(spark: SparkSession, folder: str, how: str) -> DataFrame:
     return run.revisions().drop("epoch").withColumn("user_id", F.coalesce("user_id", F.lit(-1)))
 
 
-@query(f"""WITH {YEARS} SELECT {WINDOW_ENDS}, order_id, user_id, item_id, line
+@query(f"""WITH {SPANS} SELECT {WINDOW_ENDS}, order_id, user_id, item_id, line
 FROM heads JOIN lines USING (order_id, w)""")
 def stream_stream_inner(spark: SparkSession, folder: str) -> DataFrame:
     return orders_with_lines(spark, folder, "inner")
 
 
-@query(f"""WITH {YEARS}, seen AS (
-  SELECT least((SELECT max(o_orderdate) FROM orders), (SELECT max(l_shipdate) FROM lineitem)) - INTERVAL 30 DAY AS mark)
+@query(f"""WITH {SPANS}, seen AS (
+  SELECT least((SELECT max(o_orderdate) FROM orders), (SELECT max(l_shipdate) FROM lineitem)) - INTERVAL 7 DAY AS mark)
 SELECT {WINDOW_ENDS}, order_id, coalesce(user_id, -1) AS user_id, item_id, line
 FROM lines LEFT JOIN heads USING (order_id, w)
-WHERE user_id IS NOT NULL OR make_timestamp((w + 1) * {YEAR_US}) <= (SELECT mark FROM seen)""")
+WHERE user_id IS NOT NULL OR make_timestamp((w + 1) * {SHARED_US}) <= (SELECT mark FROM seen)""")
 def stream_stream_right(spark: SparkSession, folder: str) -> DataFrame:
     return orders_with_lines(spark, folder, "right")
+
+
+def user_days(spark: SparkSession, folder: str, how: str) -> DataFrame:
+    """Clicks and purchases of events arriving slice by slice, folded by user and day, and joined."""
+    def build(stream: DataFrame) -> DataFrame:
+        clicks = stream.where("event_type = 'click'").select("user_id", F.col("ts").alias("clicked_at"))
+        bought = stream.where("event_type = 'purchase'").select("user_id", "value", F.col("ts").alias("bought_at"))
+        return windows.flat(joins.folds_in_window(
+            clicks, "clicked_at", [F.count("*").alias("clicks")], bought, "bought_at",
+            [F.count("*").alias("purchases"), F.max("value").alias("largest")], ["user_id"], DAY, DAY, how))
+
+    events = read_table(spark, folder, "events").select("ts", "user_id", "event_type", "value")
+    found = replayed(events, "ts", "user-days", build).revisions().drop("epoch")
+    return found.withColumn("clicks", F.coalesce("clicks", F.lit(0)))
+
+
+USER_DAYS = f"""days AS (SELECT window_start, window_end, user_id, count(*) FILTER (event_type = 'click') AS clicks,
+  count(*) FILTER (event_type = 'purchase') AS purchases, max(value) FILTER (event_type = 'purchase') AS largest
+  FROM {DAILY} GROUP BY window_start, window_end, user_id),
+mark AS (SELECT least(max(ts) FILTER (event_type = 'click'), max(ts) FILTER (event_type = 'purchase')) - INTERVAL 1 DAY AS last FROM events)
+SELECT window_start, window_end, user_id, clicks, purchases, largest FROM days WHERE window_end <= (SELECT last FROM mark)"""
+
+
+@query(f"""WITH {USER_DAYS} AND clicks > 0 AND purchases > 0""")
+def stream_stream_folded_inner(spark: SparkSession, folder: str) -> DataFrame:
+    return user_days(spark, folder, "inner")
+
+
+@query(f"""WITH {USER_DAYS} AND purchases > 0""")
+def stream_stream_folded_right(spark: SparkSession, folder: str) -> DataFrame:
+    return user_days(spark, folder, "right")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from millrace.operators.skew import SALT, pinned, replicate, scatter
 from millrace.streaming.windows import WINDOW, windowed
@@ -38,3 +39,23 @@ def within_window(left: DataFrame, left_time: str, right: DataFrame, right_time:
     left = replicate(left, heavy, on)
     right = scatter(right, heavy, on, list(spread_by))
     return left.join(right, [*keys, SALT], how).drop(SALT)
+
+
+def folded(df: DataFrame, time: str, keys: list[str], width: str, delay: str, folds: list[Column]) -> DataFrame:
+    """A stream's rows folded to one per key and event-time window, given on when the window closes."""
+    return df.withWatermark(time, delay).groupBy(F.window(time, width).alias(WINDOW), *keys).agg(*folds)
+
+
+def folds_in_window(left: DataFrame, left_time: str, left_folds: list[Column], right: DataFrame, right_time: str,
+                    right_folds: list[Column], on: list[str], width: str, delay: str, how: str = "inner") -> DataFrame:
+    """Fold both streams by key and window, and join the folds.
+
+    Two chained stateful operators: an aggregate on each side, with partial results in each task, and the join of what
+    they give. State holds a row per key for the few windows that are open, however many rows a key has, and a key that
+    holds a third of either side is one row per task. ``how`` is "inner", "left" or "right"; a fold without a partner
+    appears once the watermark has passed its window.
+    """
+    if how not in ("inner", "left", "right"):
+        raise ValueError(f"folds can be joined inner, left or right, not {how}")
+    return folded(left, left_time, on, width, delay, left_folds).join(
+        folded(right, right_time, on, width, delay, right_folds), [*on, WINDOW], how)
