@@ -1,9 +1,9 @@
 """A keyed table: one current row per key, from immutable slices of changes.
 
-Every write puts its changes, folded to one row per key, in a folder of its own. Writing the same epoch
-again replaces that folder, so a repeated micro-batch changes nothing. A read folds the slices. Each value
-carries the version that set it, which makes folding independent of order and grouping: raw changes,
-slices and a compacted base all go through :func:`fold`.
+Every write puts its changes, folded to one row per key, in a folder of its own, and then names the folder for its epoch
+in the table's manifest. Writing the same epoch again names another folder, so a repeated micro-batch changes nothing. A
+read folds the slices of the last version. Each value carries the version that set it, which makes folding independent of
+order and grouping: raw changes, slices and a compacted base all go through :func:`fold`.
 
 Folded rows have the key, ``_written`` and ``_deleted`` (the last version that wrote or removed the row),
 and per value column a struct ``(version, value)`` that is null while nothing was set.
@@ -11,6 +11,7 @@ and per value column a struct ``(version, value)`` that is null while nothing wa
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,10 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.bucketed import BUCKET, bucket_of, near_keys, put_buckets
-from millrace.session import exists
+from millrace.operators.manifest import Manifest
 
-
-LAYOUT = "_layout"  # a name that readers of the folder skip
+SLICE = "slice"  # folder of one write
 
 
 def mentions(column: str) -> str:
@@ -59,23 +59,29 @@ def fold(changes: DataFrame, key: str, columns: list[str]) -> DataFrame:
     )
 
 
-def current(changes: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """The table as it is now: rows written after their last removal, values set after it."""
-    def value(name: str) -> Column:
+def living(folded: DataFrame, columns: list[str]) -> DataFrame:
+    """Folded rows that were written after their last removal, with the values set after it, and no trace of the removal."""
+    def cell(name: str) -> Column:
         alive = F.col("_deleted").isNull() | (F.col(f"{name}.version") > F.col("_deleted"))
-        return F.when(alive, F.col(f"{name}.value")).alias(name)
+        return F.when(alive, F.col(name)).alias(name)
 
-    rows = fold(changes, key, columns)
-    return (rows.filter("_written is not null and (_deleted is null or _written > _deleted)")
-            .select(key, *[value(c) for c in columns]))
+    kept = folded.filter("_written is not null and (_deleted is null or _written > _deleted)")
+    return kept.withColumns({c: cell(c) for c in columns}).withColumn("_deleted", F.lit(None).cast(folded.schema["_deleted"].dataType))
+
+
+def current(changes: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """The table as it is now."""
+    return living(fold(changes, key, columns), columns).select(key, *[F.col(f"{c}.value").alias(c) for c in columns])
 
 
 @dataclass(frozen=True)
 class KeyedTable:
     """Slices below ``path``, split by a hash bucket of the key so that a lookup reads one bucket.
 
-    The first write stores the number of buckets beside the slices. Opening the table with another number would
-    look for keys in the wrong buckets, so every later use is refused then; :meth:`opened` reads the stored number.
+    The manifest holds the number of buckets, the epoch that the base reaches, and the folder of each epoch. Opening the
+    table with another number of buckets would look for keys in the wrong ones, so every later use is refused then;
+    :meth:`opened` reads the stored number. :meth:`replace` and :meth:`compact` move all readers that open the table after
+    them; frames opened before keep the rows of their version, whose folders stay.
     """
 
     spark: SparkSession
@@ -91,45 +97,63 @@ class KeyedTable:
                  for c, t in self.columns.items()]
         mark = "struct<epoch: bigint, step: bigint>"
         return T.StructType.fromDDL(", ".join(
-            [f"{self.key} {self.key_type}", f"_written {mark}", f"_deleted {mark}", *cells,
-             "epoch bigint", f"{BUCKET} int"]))
+            [f"{self.key} {self.key_type}", f"_written {mark}", f"_deleted {mark}", *cells, f"{SLICE} string", f"{BUCKET} int"]))
+
+    @property
+    def manifest(self) -> Manifest:
+        return Manifest(self.spark, self.path)
 
     def bucket(self, key: Column) -> Column:
         return bucket_of(key.cast(self.key_type), self.buckets)
 
-    def write(self, df: DataFrame, epoch: int, step: str | None = None, deleted: Column | None = None) -> None:
-        """Upsert (or remove) rows as epoch ``epoch``. ``step`` orders changes of one key inside it."""
-        at = version(epoch, step if step else 0)
-        self._store(as_changes(df, self.key, list(self.columns), at, deleted), epoch)
+    def state(self) -> dict:
+        """The last version of the table: buckets, base, and slices by epoch."""
+        return self._checked(self.manifest.latest()[1])
 
-    def stored_buckets(self) -> int | None:
-        """The number of buckets that the table was written with, if it was."""
-        if not exists(self.spark, f"{self.path}/{LAYOUT}/_SUCCESS"):
-            return None
-        return self.spark.read.schema("buckets int").parquet(f"{self.path}/{LAYOUT}").first()["buckets"]
+    def _checked(self, state: dict | None) -> dict:
+        state = state or {"buckets": self.buckets, "base": None, "slices": {}}
+        if state["buckets"] != self.buckets:
+            raise ValueError(f"{self.path} has {state['buckets']} buckets, not {self.buckets}")
+        return state
 
     def opened(self) -> KeyedTable:
         """The same table with its stored number of buckets."""
-        return replace(self, buckets=self.stored_buckets() or self.buckets)
+        state = self.manifest.latest()[1]
+        return replace(self, buckets=state["buckets"]) if state else self
 
-    def _checked(self) -> None:
-        stored = self.stored_buckets()
-        if stored not in (None, self.buckets):
-            raise ValueError(f"{self.path} has {stored} buckets, not {self.buckets}")
+    def _put(self, folded: DataFrame) -> str:
+        name = uuid.uuid4().hex
+        put_buckets(folded, f"{self.path}/{SLICE}={name}", self.key, self.buckets)
+        return name
 
-    def _store(self, changes: DataFrame, epoch: int) -> None:
-        self._checked()
-        if self.stored_buckets() is None:
-            self.spark.range(1).selectExpr(f"{int(self.buckets)} AS buckets").write.mode("overwrite").parquet(f"{self.path}/{LAYOUT}")
-        folded = fold(changes, self.key, list(self.columns))
-        put_buckets(folded, f"{self.path}/epoch={epoch}", self.key, self.buckets)
+    def _changes(self, df: DataFrame, epoch: int, step: str | None, deleted: Column | None = None) -> DataFrame:
+        changes = as_changes(df, self.key, list(self.columns), version(epoch, step if step else 0), deleted)
+        return fold(changes, self.key, list(self.columns))
+
+    def write(self, df: DataFrame, epoch: int, step: str | None = None, deleted: Column | None = None) -> None:
+        """Upsert (or remove) rows as epoch ``epoch``. ``step`` orders changes of one key inside it. An epoch that the base
+        already holds is left as it is."""
+        base = self.state()["base"]
+        if base is not None and epoch <= base:
+            return
+        name = self._put(self._changes(df, epoch, step, deleted))
+
+        def named(state: dict | None) -> dict:
+            state = self._checked(state)
+            if state["base"] is not None and epoch <= state["base"]:
+                return state
+            return {**state, "slices": {**state["slices"], str(epoch): name}}
+
+        self.manifest.change(named)
 
     def slices(self, up_to: int | None = None) -> DataFrame:
         """Stored changes, restricted to epochs ``<= up_to`` if given (a repeated epoch must not see itself
         or later ones)."""
-        self._checked()
-        stored = self.spark.read.schema(self.schema).parquet(self.path)
-        return stored if up_to is None else stored.filter(F.col("epoch") <= up_to)
+        names = [n for e, n in self.state()["slices"].items() if up_to is None or int(e) <= up_to]
+        if not names:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).option("basePath", self.path).parquet(
+            *[f"{self.path}/{SLICE}={n}" for n in names])
 
     def read(self, up_to: int | None = None) -> DataFrame:
         return current(self.slices(up_to), self.key, list(self.columns))
@@ -151,20 +175,27 @@ class KeyedTable:
         return current(wanted.join(keys.select(self.key).distinct(), self.key, "left_semi"),
                        self.key, list(self.columns))
 
-    def at(self, path: str) -> KeyedTable:
-        """An equally shaped table in another folder."""
-        return replace(self, path=path)
-
     def replace(self, df: DataFrame, epoch: int, step: str | None = None) -> KeyedTable:
-        """The whole table replaced: a new folder that holds ``df`` only."""
-        fresh = self.at(f"{self.path}-from-{epoch}")
-        fresh.write(df, epoch, step)
-        return fresh
-
-    def compact(self, path: str, up_to: int) -> KeyedTable:
-        """Fold epochs up to ``up_to`` into one base slice, and copy later ones, in a new folder."""
-        fresh = self.at(path)
-        fresh._store(self.slices(up_to).drop("epoch", BUCKET), up_to)
-        later = self.slices().filter(F.col("epoch") > up_to)
-        later.write.mode("append").partitionBy("epoch", BUCKET).parquet(path)
-        return fresh
+        """The whole table replaced: from the next version on it holds ``df`` only, as epoch ``epoch``."""
+        name = self._put(living(self._changes(df, epoch, step), list(self.columns)))
+        self.manifest.change(lambda state: {**self._checked(state), "base": epoch, "slices": {str(epoch): name}})
+        return self
+
+    def compact(self, up_to: int) -> KeyedTable:
+        """Fold epochs up to ``up_to`` into one base slice. There is nothing before the base, so removed rows leave no
+        trace in it. Later epochs, also those written meanwhile, stay as they are."""
+        before = self.state()
+        if before["base"] is not None and up_to < before["base"]:
+            return self
+        columns = list(self.columns)
+        name = self._put(living(fold(self.slices(up_to).drop(SLICE, BUCKET), self.key, columns), columns))
+
+        def swapped(state: dict | None) -> dict:
+            state = self._checked(state)
+            if state["base"] != before["base"]:  # replaced or compacted meanwhile
+                return state
+            later = {e: n for e, n in state["slices"].items() if int(e) > up_to}
+            return {**state, "base": up_to, "slices": {str(up_to): name, **later}}
+
+        self.manifest.change(swapped)
+        return self

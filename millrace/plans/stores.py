@@ -84,11 +84,16 @@ def keyed_delete(spark: SparkSession, folder: str) -> DataFrame:
     return table.read().fillna("unset").fillna(-1e9)
 
 
-@query("""SELECT o_custkey AS c_custkey, arg_max(o_orderpriority, o_orderkey) AS c_mktsegment,
-  arg_max(o_totalprice, o_orderkey) AS c_acctbal FROM orders GROUP BY o_custkey""")
+@query("""SELECT 'opened before' AS reader, c_custkey, c_mktsegment, c_acctbal FROM customer
+UNION ALL SELECT 'opened after', o_custkey, arg_max(o_orderpriority, o_orderkey), arg_max(o_totalprice, o_orderkey)
+FROM orders GROUP BY o_custkey""")
 def keyed_replace(spark: SparkSession, folder: str) -> DataFrame:
-    replaced = customer_table(spark, folder).replace(order_changes(spark, folder), 1, "step")
-    return replaced.read()
+    """One table, replaced: a frame opened before keeps its rows, one opened after has the new ones."""
+    table = customer_table(spark, folder)
+    before = table.read()
+    table.replace(order_changes(spark, folder), 1, "step")
+    return before.select(F.lit("opened before").alias("reader"), "*").unionByName(
+        table.read().select(F.lit("opened after").alias("reader"), "*"))
 
 
 @query("""SELECT c_custkey, c_mktsegment, c_acctbal FROM customer WHERE c_custkey IN (10, 77, 101)""")
@@ -109,11 +114,18 @@ def keyed_scan_count(spark: SparkSession, folder: str) -> DataFrame:
     return customer_table(spark, folder).read().groupBy("c_mktsegment").agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH {CHANGES} SELECT c_custkey, c_mktsegment, c_acctbal FROM (
-  SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY v DESC) AS back FROM versions) WHERE back = 1""")
+@query(f"""WITH {CHANGES}, gone AS (SELECT c_custkey AS k, max(v) AS last FROM versions WHERE status = 'P' GROUP BY 1),
+alive AS (SELECT versions.* FROM versions LEFT JOIN gone ON k = c_custkey WHERE last IS NULL OR v > last),
+rows_now AS (SELECT c_custkey, coalesce(arg_max(c_mktsegment, v) FILTER (status IN ('', 'F')), 'unset') AS c_mktsegment,
+  coalesce(arg_max(c_acctbal, v) FILTER (status <> 'F'), -1e9) AS c_acctbal FROM alive GROUP BY c_custkey)
+SELECT reader, rows_now.* FROM rows_now, (VALUES ('opened before'), ('opened after')) AS readers(reader)""")
 def keyed_compact(spark: SparkSession, folder: str) -> DataFrame:
-    table = changed_customers(spark, folder, lambda orders: orders)
-    return table.compact(scratch(spark, "keyed-base"), 1).read()
+    """One table with removed rows, its first two epochs folded to a base: the same rows before and after."""
+    table = changed_customers(spark, folder, by_status, F.col("o_orderstatus") == "P")
+    before = table.read()
+    after = table.compact(1).read()
+    return before.select(F.lit("opened before").alias("reader"), "*").unionByName(
+        after.select(F.lit("opened after").alias("reader"), "*")).fillna("unset").fillna(-1e9)
 
 
 @query("""SELECT c_custkey, c_mktsegment, c_acctbal FROM customer""")

@@ -69,15 +69,53 @@ def test_lookup_reads_one_bucket_and_filters_in_the_scan(animals):
     assert animals.read().filter("size = 's'").count() == 40
 
 
-def test_replace_and_compact(animals, spark):
-    put(animals, 0, (3, "Deer", "Big"), (5, "Snake", "Small"))
+def test_replace_and_compact_move_readers(animals, spark):
+    put(animals, 0, (3, "Deer", "Big"), (5, "Snake", "Small"), (8, "Ant", "Small"))
     put(animals, 1, (3, "Doe"), columns=("name",))
-    put(animals, 2, (5, "Viper"), columns=("name",))
-    base = animals.compact(scratch(spark, "base"), up_to=1)
-    assert rows(base.read()) == rows(animals.read()) == [(3, "Doe", "Big"), (5, "Viper", "Small")]
-    assert rows(base.slices().select("epoch").distinct()) == [(1,), (2,)]
-    only = animals.replace(spark.createDataFrame([(11, "Bull", "Big")], "id int, name string, size string"), 3)
-    assert rows(only.read()) == [(11, "Bull", "Big")]
+    animals.write(spark.createDataFrame([(8, None, None)], "id int, name string, size string"), 1, deleted=F.lit(True))
+    remove = spark.createDataFrame([(8, None, None)], "id int, name string, size string")
+    animals.write(remove, 2, deleted=F.lit(True))
+    put(animals, 3, (5, "Viper"), columns=("name",))
+    other = KeyedTable(spark, animals.path, "id", "int", ANIMALS, buckets=4)
+    before, looked_up = other.read(), other.lookup(8)
+    now = rows(animals.read())
+    animals.compact(up_to=2)
+    # The removed row has left no trace in the base; the later epoch is the old folder.
+    state = other.state()
+    assert state["base"] == 2 and sorted(state["slices"]) == ["2", "3"]
+    assert other.slices(up_to=2).where("id = 8").count() == 0 and other.slices(up_to=2).where("_deleted is not null").count() == 0
+    assert rows(before) == rows(other.read()) == now and rows(looked_up) == rows(other.lookup(8)) == []
+    put(animals, 1, (3, "Moose", "Huge"))  # an epoch of the base again: the base has it already
+    assert rows(other.read()) == now
+    animals.replace(spark.createDataFrame([(11, "Bull", "Big")], "id int, name string, size string"), 4)
+    assert rows(before) == now and rows(other.read()) == rows(other.lookup(11, 3)) == [(11, "Bull", "Big")]
+    put(animals, 5, (12, "Calf", "Small"))
+    assert len(rows(other.read())) == 2
+
+
+def test_two_writers_cannot_make_the_same_version(animals, spark):
+    put(animals, 0, (3, "Deer", "Big"))
+    version, state = animals.manifest.latest()
+    assert animals.manifest.put(version + 1, {**state, "note": "first"})
+    assert not animals.manifest.put(version + 1, {**state, "note": "second"})
+    calls = []
+
+    def change(now):  # another writer comes in between, once
+        calls.append(now)
+        if len(calls) == 1:
+            animals.manifest.put(version + 2, {**now, "note": "meanwhile"})
+        return {**now, "mine": True}
+
+    assert animals.manifest.change(change) == {**state, "note": "meanwhile", "mine": True} and len(calls) == 2
+    assert animals.manifest.latest() == (version + 3, {**state, "note": "meanwhile", "mine": True})
+
+
+def test_old_versions_of_the_manifest_go(animals, monkeypatch):
+    monkeypatch.setattr("millrace.operators.manifest.KEPT", 3)
+    for n in range(6):
+        animals.manifest.change(lambda _, n=n: {"buckets": 4, "base": None, "slices": {}, "n": n})
+    assert len(animals.manifest._versions()) == 3 and animals.manifest.latest()[1]["n"] == 5
+    assert rows(animals.read()) == []
 
 
 change = st.tuples(st.integers(0, 2), st.sampled_from(["put", "name", "size", "null", "delete"]), st.integers(0, 99))
