@@ -51,16 +51,6 @@ def unit_price_at_least(price: str | Column, value: str | Column, quantity: str
     return (value > 0) & (quantity > 0) & (F.try_divide(value, quantity) >= col(price))
 
 
-def list_share(recs: str | Column, own: str | Column) -> Column:
-    """Precision at k: the share of recommended items among the user's own; 0 without own items.
-
-    Recommended items are distinct, so the size of the intersection counts them. No recommendations: null.
-    """
-    recs, own = col(recs), col(own)
-    hits = F.coalesce(F.size(F.array_intersect(recs, own)), F.lit(0))
-    return F.when(F.size(recs) > 0, hits / F.size(recs))
-
-
 def random_percent(seed: int | None = None) -> Column:
     return F.round(F.rand(seed) * 100)
 

@@ -60,13 +60,5 @@ def profile(df: DataFrame, distinct: list[str]) -> DataFrame:
                   *[F.count_distinct(c).alias(f"distinct_{c}") for c in distinct])
 
 
-def total(df: DataFrame, name: str = "n") -> DataFrame:
-    return df.agg(F.count("*").alias(name))
-
-
 def mean_of(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
     return df.agg(F.avg(column).alias(name or f"avg_{column}"))
-
-
-def sum_by(df: DataFrame, key: str, value: str | Column, name: str) -> DataFrame:
-    return df.groupBy(key).agg(F.sum(value).alias(name))

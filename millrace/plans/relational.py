@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,9 @@ from millrace.operators import aggregates as A
 from millrace.operators import joins as J
 from millrace.operators import ranking as R
 from millrace.operators import sampling as S
+from millrace.operators.bucketed import buckets_for
 from millrace.plans.registry import query
+from millrace.session import materialize, scratch
 from millrace.sources import files, messages
 from millrace.sources.tables import read_table
 
@@ -58,11 +62,11 @@ BEST = f"""best AS (
   ORDER BY quantity DESC, item_id LIMIT {TOP_CATEGORIES})"""
 
 
-@query(f"""SELECT event_id, CASE WHEN event_id % 10 = 0 THEN '{C.MILESTONE}' ELSE '{C.NO_MILESTONE}' END AS my_value
+@query(f"""SELECT event_id, CASE WHEN event_id % 10 = 0 THEN '{C.MILESTONE}' ELSE '{C.NO_MILESTONE}' END AS milestone_text
 FROM events WHERE event_id % 2 = 0""")
 def even_filter_case(spark: SparkSession, folder: str) -> DataFrame:
     events = read_table(spark, folder, "events").filter(C.is_multiple("event_id", 2))
-    return events.select("event_id", C.milestone("event_id").alias("my_value"))
+    return events.select("event_id", C.milestone("event_id").alias("milestone_text"))
 
 
 @query("""SELECT p_partkey, p_name, p_type, CAST(length(p_name) AS INTEGER) AS name_length,
@@ -169,8 +173,8 @@ def dataset_profile(spark: SparkSession, folder: str) -> DataFrame:
     return A.profile(named, ["id", "department", "category"]).select(F.lit("part").alias("source"), "*")
 
 
-def sold_items(spark: SparkSession, folder: str) -> DataFrame:
-    return R.sold(all_purchases(spark, folder), where=C.unit_price_at_least(F.lit(1), "sales_value", "quantity"))
+def sold_items(spark: SparkSession, folder: str, bought: DataFrame | None = None) -> DataFrame:
+    return R.sold(all_purchases(spark, folder) if bought is None else bought, where=C.unit_price_at_least(F.lit(1), "sales_value", "quantity"))
 
 
 @query(f"""WITH {PURCHASES}, {TOP}
@@ -180,8 +184,8 @@ def topk_items(spark: SparkSession, folder: str) -> DataFrame:
     return best.withColumn("quantity", F.round("quantity").cast("long"))
 
 
-def best_of_categories(spark: SparkSession, folder: str) -> DataFrame:
-    ranked = sold_items(spark, folder).join(item_features(spark, folder), "item_id")
+def best_of_categories(spark: SparkSession, folder: str, bought: DataFrame | None = None) -> DataFrame:
+    ranked = sold_items(spark, folder, bought).join(item_features(spark, folder), "item_id")
     return R.top(R.best_per_category(ranked, "category"), "quantity", "item_id", TOP_CATEGORIES)
 
 
@@ -251,11 +255,15 @@ def key_semi_join(spark: SparkSession, folder: str) -> DataFrame:
     return J.keep_keys(events, frequent, ["user_id"])
 
 
-def shared_recs(spark: SparkSession, folder: str) -> DataFrame:
-    """The same recommendations for every user: the best items of the leading categories."""
-    top = [row["item_id"] for row in best_of_categories(spark, folder).collect()]
+def shared_precision(spark: SparkSession, folder: str, bought: DataFrame) -> DataFrame:
+    """Each user's precision if everybody is recommended the best items of the leading categories.
+
+    ``bought`` is a stored table: the best items come from it first. Only purchases of these few are made distinct.
+    """
+    top = [row["item_id"] for row in best_of_categories(spark, folder, bought).collect()]
     users = read_table(spark, folder, "orders").select(F.col("o_custkey").alias("user_id")).distinct()
-    return users.withColumn("recs", F.array(*[F.lit(i).cast("long") for i in top]))
+    recs = users.withColumn("recs", F.array(*[F.lit(i).cast("long") for i in top]))
+    return precision(recs, owned(bought.where(F.col("item_id").isin(top))))
 
 
 PRECISION = """shares AS (
@@ -269,7 +277,8 @@ PRECISION = """shares AS (
 @query(f"""WITH {PURCHASES}, {TOP}, {BEST}, {PRECISION}
 SELECT user_id, round(precision_at_k, 4) AS precision_at_k FROM shares""")
 def precision_at_k(spark: SparkSession, folder: str) -> DataFrame:
-    shares = precision(shared_recs(spark, folder), owned(all_purchases(spark, folder)))
+    bought = materialize(all_purchases(spark, folder).select("user_id", "item_id", "quantity", "sales_value"), "bought")
+    shares = shared_precision(spark, folder, bought)
     return shares.select(F.col("user_id").cast("long").alias("user_id"),
                          F.round("precision_at_k", 4).alias("precision_at_k"))
 
@@ -286,8 +295,8 @@ SELECT p.user_id, p.item_id, p.quantity, p.sales_value, round(s.precision_at_k,
   p_type AS department, p_brand AS category
 FROM purchases p LEFT JOIN shares s ON s.user_id = p.user_id LEFT JOIN part ON p_partkey = p.item_id""")
 def three_way_enrich(spark: SparkSession, folder: str) -> DataFrame:
-    bought = all_purchases(spark, folder).drop("order_id", "bought_at")
-    shares = precision(shared_recs(spark, folder), owned(bought))
+    bought = materialize(all_purchases(spark, folder).drop("order_id", "bought_at"), "bought")
+    shares = shared_precision(spark, folder, bought)
     rows = J.enrich(bought, shares, item_features(spark, folder))
     return rows.select("user_id", "item_id", F.round("quantity").cast("long").alias("quantity"), "sales_value",
                        F.round("precision_at_k", 4).alias("precision_at_k"), "department", "category")
@@ -333,3 +342,25 @@ def union_of_sources(spark: SparkSession, folder: str) -> DataFrame:
     rows = [read_table(spark, folder, name).selectExpr(f"{key} as key", f"{text} as text", f"'{name}' as source")
             for name, (key, text) in sources.items()]
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+@query("""SELECT l_orderkey, o_custkey, count(*) AS n_lines, CAST(sum(l_linenumber) AS BIGINT) AS line_numbers
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY l_orderkey, o_custkey""")
+def catalog_bucketed_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders and lines saved as catalog tables with equal buckets, joined and grouped where they lie."""
+    lines = read_table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
+    orders = read_table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    buckets = buckets_for(lines.count())
+    saved = [files.save_bucketed(df, f"{name}_{uuid.uuid4().hex}", scratch(spark, name), [key], buckets)
+             for df, name, key in ((lines, "lines", "l_orderkey"), (orders, "heads", "o_orderkey"))]
+    # Both sides are cut alike: merging them moves no row, where a broadcast would move one side to every task.
+    joined = saved[0].hint("merge").join(saved[1], F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.groupBy("l_orderkey", "o_custkey").agg(F.count("*").alias("n_lines"), F.sum("l_linenumber").alias("line_numbers"))
+
+
+@query("""SELECT event_id, true AS in_range, true AS varied FROM events""")
+def random_column(spark: SparkSession, folder: str) -> DataFrame:
+    """A random percentage, rounded, beside each row: all of them from 0 to 100, and many different ones."""
+    drawn = read_table(spark, folder, "events").select("event_id", C.random_percent(42).alias("percent"))
+    varied = drawn.agg(F.count_distinct("percent")).first()[0] > 50
+    return drawn.select("event_id", F.col("percent").between(0, 100).alias("in_range"), F.lit(varied).alias("varied"))

@@ -15,7 +15,8 @@ from millrace.streaming import compaction, dedup, joins, replay, sinks, windows
 from millrace.streaming.run import ALL_AVAILABLE, finish
 
 SLICES = 3
-PARTITIONS = 3
+LIMITED = 6
+MOST_BYTES = 1 << 36  # of a micro-batch over a whole table
 DAY = "1 day"
 # The remarks on good and bad orders, and descriptions of some event types.
 TOO_SLOW, VERY_FAST = "too slow", "very fast delivery"
@@ -75,100 +76,86 @@ def orc_batch_scan(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_files(spark, path, "orc")
 
 
-@query("""SELECT * FROM events""")
+@query(f"""SELECT e.*, CAST(least(floor(({LIMITED} * (epoch_us(ts) - low)) / (high - low)), {LIMITED - 1}) AS BIGINT) AS epoch, true AS within_limit
+FROM events e, (SELECT epoch_us(min(ts)) AS low, epoch_us(max(ts)) AS high FROM events)""")
 def rate_limited_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Events in files of one time slice each, read under a limit of bytes that the largest file reaches: one file in each
+    micro-batch, in order of arrival."""
     events = read_table(spark, folder, "events")
     path = scratch(spark, "events-files")
-    for piece in replay.time_slices(events, "ts", SLICES):
-        replay.land(piece, path)
-    per_batch = -(-compaction.file_sizes(spark, path).count() // SLICES)
-    limited = files.stream_files(spark, path, "parquet", events.schema, max_files=per_batch)
-    run = sinks.Bounded(limited, "limited")
+    for piece in replay.time_slices(events, "ts", LIMITED):
+        replay.land(piece.coalesce(1), path)
+    limit = compaction.file_sizes(spark, path).agg(F.max("length")).first()[0]
+    limited = files.stream_files(spark, path, "parquet", events.schema, max_bytes=limit)
+    run = sinks.Bounded(limited.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")), "limited")
     run.drain()
-    return run.revisions().drop("epoch")
-
-
-def event_topic(spark: SparkSession, folder: str, path: str, topic: str = "events",
-                events: DataFrame | None = None) -> DataFrame:
-    """Write events to a topic folder; returns them."""
-    events = read_table(spark, folder, "events") if events is None else events
-    messages.write_topic(messages.to_envelopes(events, topic, "event_id", "ts", PARTITIONS), path)
-    return events
+    rows = run.revisions()
+    bytes_read = rows.select("epoch", "file", "size").distinct().groupBy("epoch").agg((F.sum("size") <= limit).alias("within_limit"))
+    return rows.drop("file", "size").join(bytes_read, "epoch")
 
 
 @query("""SELECT * FROM events""")
 def json_encode_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch(spark, "topic")
-    events = event_topic(spark, folder, path)
-    return messages.parse_payload(messages.read_topic(spark, path), events.schema)
+    path = scratch(spark, "messages")
+    events = read_table(spark, folder, "events")
+    messages.to_messages(events, "events", "ts").write.parquet(path)
+    return messages.parse_payload(spark.read.parquet(path), events.schema)
 
 
-NUMBERED = f"""SELECT event_id, user_id, event_id % {PARTITIONS} AS "partition",
-  row_number() OVER (PARTITION BY event_id % {PARTITIONS} ORDER BY event_id) - 1 AS "offset" FROM events"""
-ENDS = f"""(SELECT "partition" AS p, max("offset") + 1 AS last FROM ({NUMBERED}) GROUP BY 1)"""
+def message_stream(spark: SparkSession, folder: str) -> tuple[DataFrame, T.StructType]:
+    """Events streamed as messages, one topic per event type, and what a payload holds."""
+    events = stream_table(spark, folder, "events")
+    return messages.to_messages(events, F.col("event_type"), "ts"), events.schema
 
 
-def numbered(parsed: DataFrame) -> DataFrame:
-    return parsed.select("event_id", "user_id", F.col("partition").cast("long").alias("partition"), "offset")
+def parts_of_ids(spark: SparkSession, folder: str) -> int:
+    """A quarter of the event ids."""
+    return (read_table(spark, folder, "events").agg(F.max("event_id")).first()[0] + 1) // 4
 
 
-@query(NUMBERED)
+@query("""SELECT * FROM events""")
 def message_sink_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Events arriving in three batches are sent to a topic, and read from it as a stream."""
+    """Events arriving in three batches are sent as messages, and these are read as a stream."""
     events = read_table(spark, folder, "events")
-    run = replayed(events, "ts", "sent", lambda s: s,
-                   do=lambda path: messages.topic_batches(path, "events", "event_id", "ts", PARTITIONS))
-    stream = messages.stream_topic(spark, run.path, ["events"], messages.EARLIEST)
-    parsed = messages.parse_payload(stream, events.schema, "partition", "offset")
-    return numbered(sinks.collect_files(parsed, "received"))
+    sent = replayed(events, "ts", "sent", lambda s: messages.to_messages(s, "events", "ts"))
+    stream = files.stream_files(spark, f"{sent.path}/*", "parquet", sent.df.schema)
+    return sinks.collect_files(messages.parse_payload(stream, events.schema), "received")
 
 
-@query(f"""SELECT n.* FROM ({NUMBERED}) n JOIN {ENDS} ON "partition" = p
-WHERE "offset" >= CAST(floor(last / 4) AS BIGINT) AND "offset" < CAST(floor(last / 2) AS BIGINT)""")
+@query("""SELECT * FROM events, (SELECT (max(event_id) + 1) // 4 AS quarter FROM events)
+WHERE event_id >= quarter AND event_id < 2 * quarter""")
 def offset_range_scan(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch(spark, "topic")
-    events = event_topic(spark, folder, path)
-    ends = messages.next_offsets(messages.read_topic(spark, path))
-    starting = {t: {p: n // 4 for p, n in parts.items()} for t, parts in ends.items()}
-    ending = {t: {p: n // 2 for p, n in parts.items()} for t, parts in ends.items()}
-    found = messages.read_topic(spark, path, ["events"], starting, ending)
-    return numbered(messages.parse_payload(found, events.schema, "partition", "offset"))
+    """The messages of a range of ids: the range is cut from the table before payloads are made."""
+    quarter = parts_of_ids(spark, folder)
+    events = read_table(spark, folder, "events")
+    chosen = events.where((F.col("event_id") >= quarter) & (F.col("event_id") < 2 * quarter))
+    return messages.parse_payload(messages.to_messages(chosen, "events", "ts"), events.schema).withColumn(
+        "quarter", F.lit(quarter).cast("long"))
 
 
-@query(f"""SELECT n.* FROM ({NUMBERED}) n JOIN {ENDS} ON "partition" = p
-WHERE "offset" >= CAST(floor(last / 2) AS BIGINT)""")
+@query("""SELECT * FROM events WHERE event_id >= 2 * (SELECT (max(event_id) + 1) // 4 FROM events)""")
 def offset_start_stream(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch(spark, "topic")
-    events = event_topic(spark, folder, path)
-    ends = messages.next_offsets(messages.read_topic(spark, path))
-    starting = {t: {p: n // 2 for p, n in parts.items()} for t, parts in ends.items()}
-    stream = messages.stream_topic(spark, path, ["events"], starting)
-    parsed = messages.parse_payload(stream, events.schema, "partition", "offset")
-    return numbered(sinks.collect_files(parsed, "from-offset"))
+    """A stream of the messages from an id on."""
+    first = 2 * parts_of_ids(spark, folder)
+    events = stream_table(spark, folder, "events")
+    sent = messages.to_messages(events.where(F.col("event_id") >= first), "events", "ts")
+    return sinks.collect_files(messages.parse_payload(sent, events.schema), "from-id")
 
 
 @query("""SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-16 00:00:00'""")
 def latest_start_stream(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch(spark, "topic")
-    events = read_table(spark, folder, "events")
-    envelopes = messages.to_envelopes(events, "events", "event_id", "ts", PARTITIONS)
-    is_new = F.col("timestamp") >= F.lit("2024-01-16").cast("timestamp")
-    messages.write_topic(envelopes.filter(~is_new), path)
-    stream = messages.stream_topic(spark, path, ["events"], messages.LATEST)
-    messages.write_topic(envelopes.filter(is_new), path)
-    return sinks.collect_files(messages.parse_payload(stream, events.schema), "from-latest")
+    """A stream of the messages from a time on."""
+    sent, schema = message_stream(spark, folder)
+    return sinks.collect_files(messages.parse_payload(sent.where(F.col("timestamp") >= F.lit("2024-01-16").cast("timestamp")), schema), "from-time")
 
 
 @query("""SELECT event_type AS topic, event_id, user_id, ts FROM events
 WHERE event_type IN ('click', 'purchase')""")
 def multi_topic_stream(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch(spark, "topics")
-    events = read_table(spark, folder, "events")
-    for topic in ("click", "purchase", "view"):
-        event_topic(spark, folder, path, topic, events.filter(F.col("event_type") == topic))
-    stream = messages.stream_topic(spark, path, ["click", "purchase"], messages.EARLIEST)
-    parsed = messages.parse_payload(stream, events.schema, "topic").select("topic", "event_id", "user_id", "ts")
-    return sinks.collect_files(parsed, "two-topics")
+    """Two topics of a stream that has one for every event type."""
+    sent, schema = message_stream(spark, folder)
+    parsed = messages.parse_payload(messages.of_topics(sent, "click", "purchase"), schema, "topic")
+    return sinks.collect_files(parsed.select("topic", "event_id", "user_id", "ts"), "two-topics")
 
 
 # ---- batches by epoch
@@ -184,7 +171,7 @@ def status_split_good_bad(spark: SparkSession, folder: str) -> DataFrame:
         "good": lambda b: b.filter(status == "F").select(*columns, F.lit(VERY_FAST).alias("delivery_time")),
         "bad": lambda b: b.filter(status != "F").select(*columns, F.lit(TOO_SLOW).alias("reason")),
     }
-    run = sinks.Bounded(stream_table(spark, folder, "orders"), "split", do=lambda path: sinks.fan_out(path, parts))
+    run = sinks.Bounded(stream_table(spark, folder, "orders", max_bytes=MOST_BYTES), "split", do=lambda path: sinks.fan_out(path, parts))
     run.drain()
     good = sinks.read_epochs(spark, f"{run.path}/good",
                              T.StructType.fromDDL("o_orderkey bigint, o_orderstatus string, delivery_time string"))
@@ -202,8 +189,8 @@ def memory_sink_query(spark: SparkSession, folder: str) -> DataFrame:
     name = "event_totals"
     counts = stream_table(spark, folder, "events").groupBy("event_type").agg(F.count("*").alias("n"))
     finish(sinks.memory(counts, name, ALL_AVAILABLE, "complete"))
-    return spark.sql(f"""SELECT event_type, n, my_extra_column IS NOT NULL AS has_time
-        FROM (SELECT *, current_timestamp() AS my_extra_column FROM {name} WHERE event_type <> 'error')""")
+    return spark.sql(f"""SELECT event_type, n, noticed_at IS NOT NULL AS has_time
+        FROM (SELECT *, current_timestamp() AS noticed_at FROM {name} WHERE event_type <> 'error')""")
 
 
 @query("""SELECT *, '00000000000000' AS p_date FROM events""")
@@ -214,6 +201,20 @@ def stamped_partitions(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.read_stamped(spark, run.path, events.schema)
 
 
+@query("""SELECT *, '20240102000000' AS p_date FROM orders WHERE o_orderdate < DATE '1998-01-01'
+UNION ALL SELECT *, '20240103000000' FROM orders WHERE o_orderdate >= DATE '1998-01-01'""")
+def batch_run_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """Two batch runs, each in the partition of its stamp. The first is started twice, with other rows at first, and keeps
+    the stamp of its first start."""
+    orders = read_table(spark, folder, "orders")
+    path = scratch(spark, "runs")
+    early = F.col("o_orderdate") < "1998-01-01"
+    sinks.write_run(orders, path, "early", lambda: "20240102000000")
+    sinks.write_run(orders.where(~early), path, "late", lambda: "20240103000000")
+    sinks.write_run(orders.where(early), path, "early", lambda: "20240104000000")
+    return sinks.read_stamped(spark, path, orders.schema)
+
+
 @query("""SELECT * FROM events""")
 def file_sink_compact(spark: SparkSession, folder: str) -> DataFrame:
     events = read_table(spark, folder, "events")

@@ -69,7 +69,9 @@ def scratch(spark: SparkSession, label: str) -> str:
         if not is_local(spark):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         app = spark.sparkContext.applicationId
-        root = _local_scratch.setdefault(app, tempfile.mkdtemp(prefix="millrace-"))
+        if app not in _local_scratch:
+            _local_scratch[app] = tempfile.mkdtemp(prefix="millrace-")
+        root = _local_scratch[app]
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 
 def read_files(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -16,12 +17,19 @@ def read_files(spark: SparkSession, path: str, fmt: str = "parquet",
 
 
 def stream_files(spark: SparkSession, path: str, fmt: str, schema: T.StructType | str,
-                 max_files: int | None = None, **options) -> DataFrame:
-    """Stream of the files in a folder. ``max_files`` is an upper limit per micro-batch, never a wait."""
-    reader = spark.readStream.format(fmt).schema(schema).options(**options)
+                 max_files: int | None = None, max_bytes: int | None = None, **options) -> DataFrame:
+    """Stream of the files in a folder. ``max_files`` or ``max_bytes`` is an upper limit per micro-batch, never a wait; a
+    file that is larger by itself makes a batch of its own."""
+    return limited(spark.readStream.format(fmt).schema(schema).options(**options), max_files, max_bytes).load(path)
+
+
+def limited(reader: DataStreamReader, max_files: int | None = None, max_bytes: int | None = None) -> DataStreamReader:
+    """The reader with at most one of the two limits on a micro-batch."""
+    if max_files and max_bytes:
+        raise ValueError("a micro-batch is limited by files or by bytes, not by both")
     if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(path)
+        return reader.option("maxFilesPerTrigger", max_files)
+    return reader.option("maxBytesPerTrigger", max_bytes) if max_bytes else reader
 
 
 def rate_stream(spark: SparkSession, rows_per_second: int = 1, **options) -> DataFrame:
@@ -56,3 +64,10 @@ def sql_over(df: DataFrame, view: str, statement: str) -> DataFrame:
     """Name a frame and run SQL on it."""
     df.createOrReplaceTempView(view)
     return df.sparkSession.sql(statement)
+
+
+def save_bucketed(df: DataFrame, table: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """Save a catalog table cut and sorted by keys, and scan it. Tables with equally many buckets of the same keys join
+    and group without a shuffle."""
+    df.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).mode("overwrite").saveAsTable(table)
+    return df.sparkSession.table(table)

@@ -1,7 +1,7 @@
-"""Messages: envelope rows, JSON payloads, offset ranges, and a topic kept as parquet files.
+"""Messages: rows as JSON payloads with a topic and a time, and a broker's own batch and streaming reads.
 
-A deployed broker is read with :func:`broker_batch` and :func:`broker_stream`. Without one, a topic is a
-folder of envelope rows that batch and streaming reads share; both give the same columns.
+A deployed broker is read with :func:`broker_batch` and :func:`broker_stream`; what its messages hold is parsed by
+:func:`parse_payload`, whatever they came from.
 """
 
 from __future__ import annotations
@@ -9,25 +9,10 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-EARLIEST, LATEST = "earliest", "latest"
-
-# The columns every message has, and the markers for both ends of a partition.
-ENVELOPE = T.StructType([
-    T.StructField("key", T.BinaryType()),
-    T.StructField("value", T.BinaryType()),
-    T.StructField("topic", T.StringType()),
-    T.StructField("partition", T.IntegerType()),
-    T.StructField("offset", T.LongType()),
-    T.StructField("timestamp", T.TimestampType()),
-    T.StructField("timestampType", T.IntegerType()),
-])
-EARLIEST_MARK, LATEST_MARK = -2, -1
-
 # JSON text keeps microseconds; the format's default would cut them to milliseconds.
 JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
@@ -53,155 +38,16 @@ def parse_payload(messages: DataFrame, schema: T.StructType | str, *keep: str) -
             .select("value.*", *keep))
 
 
-# ---- writing a topic
-
-def dense_offsets(df: DataFrame, id_column: str, partitions: int, width: int = 1_000_000) -> DataFrame:
-    """Number rows 0, 1, 2... inside each message partition, in order of a unique whole-number id.
-
-    One window per message partition would sort a whole topic in a few tasks. Rows are numbered inside
-    id ranges instead: a range holds at most ``width`` rows because ids are unique, and its first number
-    is the running count of the ranges before it, taken from one short row per range.
-    """
-    ranged = df.withColumns({
-        "partition": F.pmod(F.col(id_column), F.lit(partitions)).cast("int"),
-        "_range": F.floor(F.col(id_column) / F.lit(width)),
-    })
-    running = Window.partitionBy("partition").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (ranged.groupBy("partition", "_range").agg(F.count("*").alias("_rows"))
-              .select("partition", "_range", F.coalesce(F.sum("_rows").over(running), F.lit(0)).alias("_start")))
-    inside = Window.partitionBy("partition", "_range").orderBy(id_column)
-    return (ranged.withColumn("_local", F.row_number().over(inside) - 1)
-            .join(starts, ["partition", "_range"])
-            .withColumn("offset", (F.col("_start") + F.col("_local")).cast("long"))
-            .drop("_range", "_start", "_local"))
-
-
-def to_envelopes(df: DataFrame, topic: str, id_column: str, time_column: str, partitions: int = 3,
-                 width: int = 1_000_000) -> DataFrame:
-    """Rows as JSON messages with partition and offset."""
-    payload = F.to_json(F.struct(*df.columns), JSON_TIMES).cast("binary")
-    numbered = dense_offsets(df.withColumn("_value", payload), id_column, partitions, width)
-    return numbered.select(
-        F.lit(None).cast("binary").alias("key"),
-        F.col("_value").alias("value"),
-        F.lit(topic).alias("topic"),
-        "partition",
-        "offset",
-        F.col(time_column).cast("timestamp").alias("timestamp"),
-        F.lit(0).alias("timestampType"),
-    )
-
-
-def write_topic(envelopes: DataFrame, folder: str, rows_per_file: int | None = None) -> None:
-    """Append envelopes to a topic folder; several topics may share it.
-
-    With ``rows_per_file`` no file has more rows: a stream's limit on files is then one on messages, too.
-    """
-    writer = envelopes.write.mode("append")
-    (writer.option("maxRecordsPerFile", rows_per_file) if rows_per_file else writer).parquet(folder)
-
-
-def topic_batches(folder: str, topic: str, id_column: str, time_column: str, partitions: int = 3):
-    """For ``sinks.each_batch``: append a stream's rows to a topic folder of its own.
-
-    Offsets go on where earlier epochs ended. A repeated epoch sees the same ends, and replaces its files.
-    """
-    def write(batch: DataFrame, epoch: int) -> None:
-        ends: dict[str, int] = {}
-        if epoch > 0:
-            stored = batch.sparkSession.read.schema(T.StructType([*ENVELOPE, T.StructField("epoch", T.LongType())]))
-            ends = next_offsets(stored.parquet(folder).filter(F.col("epoch") < epoch)).get(topic, {})
-        start = F.lit(0).cast("long")
-        for part, end in ends.items():
-            start = F.when(F.col("partition") == int(part), F.lit(end)).otherwise(start)
-        # Numbering reads the batch twice: once to count, once to write.
-        batch.persist()
-        try:
-            envelopes = to_envelopes(batch, topic, id_column, time_column, partitions)
-            (envelopes.withColumn("offset", F.col("offset") + start)
-             .write.mode("overwrite").parquet(f"{folder}/epoch={epoch}"))
-        finally:
-            batch.unpersist()
-
-    return write
-
-
-# ---- reading a topic folder
-
-def offset_condition(starting: Offsets = EARLIEST, ending: Offsets = LATEST) -> Column:
-    """Rows at or after ``starting`` and before ``ending``, as a filter that the scan can use."""
-    condition = F.lit(True)
-    for bounds, first in ((starting, True), (ending, False)):
-        if bounds == (EARLIEST if first else LATEST):
-            continue
-        if isinstance(bounds, str):
-            bounds = json.loads(bounds)
-        allowed = F.lit(False)
-        for topic, parts in bounds.items():
-            for part, offset in parts.items():
-                here = (F.col("topic") == topic) & (F.col("partition") == int(part))
-                if offset not in (EARLIEST_MARK, LATEST_MARK):
-                    here = here & (F.col("offset") >= offset if first else F.col("offset") < offset)
-                allowed = allowed | here
-        condition = condition & allowed
-    return condition
-
-
-def next_offsets(messages: DataFrame) -> dict[str, dict[str, int]]:
-    """The offset after the last message, per topic and partition (a few rows, whatever the topic's size)."""
-    ends: dict[str, dict[str, int]] = {}
-    for row in messages.groupBy("topic", "partition").agg(F.max("offset").alias("last")).collect():
-        ends.setdefault(row["topic"], {})[str(row["partition"])] = row["last"] + 1
-    return ends
-
-
-def read_topic(spark: SparkSession, folder: str, topics: list[str] | None = None,
-               starting: Offsets = EARLIEST, ending: Offsets = LATEST) -> DataFrame:
-    """Batch read of whole topics or of an offset range (the end is exclusive)."""
-    messages = spark.read.schema(ENVELOPE).option("recursiveFileLookup", True).parquet(folder)
-    if topics:
-        messages = messages.filter(F.col("topic").isin(topics))
-    return messages.filter(offset_condition(starting, ending))
-
-
-def stream_topic(spark: SparkSession, folder: str, topics: list[str] | None = None,
-                 starting: Offsets = LATEST, max_files: int | None = None,
-                 start_file: str | None = None) -> DataFrame:
-    """Stream of a topic folder, from the newest message unless told otherwise.
-
-    "latest" is resolved to offsets when the stream is first defined. With ``start_file`` they are kept
-    there, so that a restart goes on from the checkpoint instead of skipping to a new end.
-    """
-    reader = spark.readStream.schema(ENVELOPE).option("recursiveFileLookup", True)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    messages = reader.parquet(folder)
-    if topics:
-        messages = messages.filter(F.col("topic").isin(topics))
-    if starting == LATEST:
-        return messages.filter(_after(_pinned_ends(spark, folder, start_file)))
-    return messages.filter(offset_condition(starting))
-
-
-def _after(ends: Mapping[str, Mapping[str, int]]) -> Column:
-    """Not one of the messages that were there already; partitions created later are read whole."""
-    seen = F.lit(False)
-    for topic, parts in ends.items():
-        for part, offset in parts.items():
-            seen = seen | ((F.col("topic") == topic) & (F.col("partition") == int(part)) & (F.col("offset") < offset))
-    return ~seen
-
-
-def _pinned_ends(spark: SparkSession, folder: str, start_file: str | None) -> dict[str, dict[str, int]]:
-    if start_file:
-        try:
-            return json.loads(spark.read.text(start_file).first()[0])
-        except AnalysisException:
-            pass
-    ends = next_offsets(read_topic(spark, folder))
-    if start_file:
-        spark.createDataFrame([(json.dumps(ends),)], "value string").coalesce(1).write.text(start_file)
-    return ends
+def to_messages(df: DataFrame, topic: str | Column, time: str) -> DataFrame:
+    """Rows as messages: no key, all columns as a JSON object in bytes, the topic (a name, or a column) and the time."""
+    topic = F.lit(topic) if isinstance(topic, str) else topic
+    return df.select(F.lit(None).cast("binary").alias("key"), F.to_json(F.struct(*df.columns), JSON_TIMES).cast("binary").alias("value"),
+                     topic.alias("topic"), F.col(time).cast("timestamp").alias("timestamp"))
+
+
+def of_topics(messages: DataFrame, *topics: str) -> DataFrame:
+    """The messages of some topics."""
+    return messages.where(F.col("topic").isin(*topics))
 
 
 # ---- a deployed broker

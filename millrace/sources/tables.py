@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from millrace.sources.files import limited
+
 
 def table_path(folder: str, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}.parquet"
@@ -27,7 +29,8 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(zoned_schema(spark.read.parquet(path).schema)).parquet(path)
 
 
-def stream_table(spark: SparkSession, folder: str, name: str, max_files: int | None = None) -> DataFrame:
+def stream_table(spark: SparkSession, folder: str, name: str, max_files: int | None = None,
+                 max_bytes: int | None = None) -> DataFrame:
     """Stream a table's files from where they lie, without a copy.
 
     A table can be a folder of files or one file; the file source reads folders only, so one file is
@@ -35,9 +38,7 @@ def stream_table(spark: SparkSession, folder: str, name: str, max_files: int | N
     """
     path = table_path(folder, name)
     table = spark.read.parquet(path)
-    reader = spark.readStream.schema(zoned_schema(table.schema))
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = limited(spark.readStream.schema(zoned_schema(table.schema)), max_files, max_bytes)
     first = spark.read.format("binaryFile").load(path).select("path").first()
     if first and first["path"].endswith(f"/{name}.parquet"):
         return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)

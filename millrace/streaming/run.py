@@ -73,7 +73,3 @@ class BatchLog(StreamingQueryListener):
 
     def onQueryTerminated(self, event) -> None:
         pass
-
-
-def is_stream(df: DataFrame) -> bool:
-    return df.isStreaming

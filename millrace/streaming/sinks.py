@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.operators.manifest import Manifest
 from millrace.session import scratch
 from millrace.sources.messages import json_payload, struct_payload
 from millrace.streaming.run import ALL_AVAILABLE, finish, start
@@ -86,6 +87,21 @@ def stamped(path: str, stamp_of: Callable[[int], str]) -> Each:
     return lambda batch, epoch: write_stamped(batch, path, stamp_of(epoch))
 
 
+def run_stamp(spark: SparkSession, path: str, run: str, clock: Callable[[], str]) -> str:
+    """The stamp of a named batch run. Its first start takes it from the clock and registers it; when the run is started
+    again, also after a failure, it gets the registered one."""
+    registry = Manifest(spark, f"{path}/_runs/{run}")
+    return registry.change(lambda state: state or {"stamp": clock()})["stamp"]
+
+
+def write_run(df: DataFrame, path: str, run: str, clock: Callable[[], str]) -> str:
+    """One batch run's rows in a partition of its own, ``p_date=<stamp>``; returns the stamp. The same run again replaces
+    its rows, whatever the clock says by then."""
+    stamp = run_stamp(df.sparkSession, path, run, clock)
+    write_stamped(df, path, stamp)
+    return stamp
+
+
 def read_stamped(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(T.StructType([*schema, T.StructField("p_date", T.StringType())])).parquet(path)
 

@@ -7,7 +7,7 @@ from millrace.functions import columns as C
 
 def test_even_numbers_and_milestones(spark):
     numbers = spark.range(10).withColumnRenamed("id", "value")
-    found = numbers.filter(C.is_multiple("value", 2)).withColumn("my_value", C.milestone("value"))
+    found = numbers.filter(C.is_multiple("value", 2)).withColumn("milestone_text", C.milestone("value"))
     assert rows(found) == [(0, "jubilee"), (2, "not yet"), (4, "not yet"), (6, "not yet"), (8, "not yet")]
 
 
@@ -35,14 +35,6 @@ def test_unit_price_never_divides_by_zero(spark):
     assert rows(sales.filter(C.unit_price_at_least(F.lit(1), "v", "q"))) == [(5.0, 5)]
 
 
-def test_list_share(spark):
-    lists = spark.createDataFrame([
-        (1, [1, 2, 3, 4, 5], [2, 4, 9]), (2, [1, 2, 3, 4, 5], None), (3, [1, 2, 3, 4, 5], []),
-        (4, None, [1]), (5, [], [1]),
-    ], "id int, recs array<int>, own array<int>")
-    assert dict(rows(lists.select("id", C.list_share("recs", "own")))) == {1: 0.4, 2: 0.0, 3: 0.0, 4: None, 5: None}
-
-
 def test_sentinel_lower_names_numeric_and_random(spark):
     df = spark.createDataFrame([(None, "x"), (3, "y")], "Minimum int, Name string")
     assert rows(df.select(C.minimum_or_sentinel("Minimum"))) == [(3,), (9999999,)]

@@ -14,36 +14,23 @@ from millrace.streaming.run import ALL_AVAILABLE, finish
 IRIS = "sepalLength float, species string"
 
 
-def topic(spark, n, name="t", partitions=1, width=1_000_000):
+def sent(spark, n, topic="t"):
     df = spark.range(n).select(F.col("id"), F.concat(F.lit("row "), "id").alias("text"),
                                F.timestamp_micros(F.col("id") * 1_000_001).alias("at"))
-    return df, messages.to_envelopes(df, name, "id", "at", partitions, width)
+    return df, messages.to_messages(df, topic, "at")
 
 
-def test_envelope_schema_and_roundtrip(spark):
-    df, env = topic(spark, 50)
-    assert [(f.name, f.dataType) for f in env.schema] == [(f.name, f.dataType) for f in messages.ENVELOPE]
-    assert rows(messages.parse_payload(env, df.schema)) == rows(df)
+def test_messages_round_trip(spark):
+    df, found = sent(spark, 50)
+    assert found.columns == ["key", "value", "topic", "timestamp"] and found.where("key is not null or topic <> 't'").count() == 0
+    assert rows(messages.parse_payload(found, df.schema)) == rows(df)
+    assert rows(messages.parse_payload(found, df.schema, "timestamp").where("at <> timestamp")) == []
 
 
-def test_offset_range_end_is_exclusive(spark):
-    path = scratch(spark, "t")
-    messages.write_topic(topic(spark, 100)[1], path)
-    found = messages.read_topic(spark, path, ["t"], "earliest", '{"t":{"0":20}}')
-    assert sorted(r["offset"] for r in found.collect()) == list(range(20))
-    tail = messages.read_topic(spark, path, ["t"], {"t": {"0": 95}}, {"t": {"0": messages.LATEST_MARK}})
-    assert sorted(r["offset"] for r in tail.collect()) == [95, 96, 97, 98, 99]
-    assert messages.next_offsets(messages.read_topic(spark, path)) == {"t": {"0": 100}}
-
-
-def test_offsets_are_dense_in_every_partition_whatever_the_width(spark):
-    ids = spark.range(0, 1000).filter("id % 7 <> 3 and not id between 300 and 599").withColumn("at", F.current_timestamp())
-    wide = messages.dense_offsets(ids, "id", 3).select("id", "partition", "offset")
-    narrow = messages.dense_offsets(ids, "id", 3, width=10).select("id", "partition", "offset")
-    assert rows(wide) == rows(narrow)
-    for p in range(3):
-        found = sorted((r["id"], r["offset"]) for r in narrow.filter(F.col("partition") == p).collect())
-        assert [o for _, o in found] == list(range(len(found)))
+def test_topics_of_a_column(spark):
+    df, found = sent(spark, 30, F.concat(F.lit("t"), F.col("id") % 3))
+    two = messages.parse_payload(messages.of_topics(found, "t0", "t2"), df.schema, "topic")
+    assert sorted((r["id"], r["topic"]) for r in two.collect()) == [(i, f"t{i % 3}") for i in range(30) if i % 3 != 1]
 
 
 def test_bad_json_gives_nulls_and_null_fields_are_left_out(spark):
@@ -54,51 +41,6 @@ def test_bad_json_gives_nulls_and_null_fields_are_left_out(spark):
     assert messages.struct_payload(spark.sql("select 0 as a, 'error' as b, 1.5D as c")).first()["value"] == "{0, error, 1.5}"
 
 
-def test_latest_is_pinned_for_a_restart(spark):
-    path, start = scratch(spark, "t"), scratch(spark, "start")
-    _, env = topic(spark, 30)
-    messages.write_topic(env.filter("offset < 10"), path)
-    stream = lambda: messages.stream_topic(spark, path, ["t"], start_file=start).select("offset")
-    run = sinks.Bounded(stream(), "latest")
-    run.drain()
-    messages.write_topic(env.filter("offset between 10 and 19"), path)
-    run.df = stream()
-    run.drain()
-    messages.write_topic(env.filter("offset >= 20"), path)
-    run.df = stream()
-    run.drain()
-    assert sorted(r["offset"] for r in run.revisions().collect()) == list(range(10, 30))
-
-
-def test_offsets_go_on_from_batch_to_batch(spark):
-    path = scratch(spark, "sent")
-    df, _ = topic(spark, 60)
-    write = messages.topic_batches(path, "t", "id", "at", partitions=2)
-    for epoch, batch in ((0, "id < 20"), (1, "id between 20 and 50"), (1, "id between 20 and 50"), (2, "id > 50")):
-        write(df.filter(batch), epoch)
-    found = messages.parse_payload(messages.read_topic(spark, path, ["t"]), df.schema, "partition", "offset")
-    assert rows(found, "id", "partition", "offset") == [(i, i % 2, i // 2) for i in range(60)]
-
-
-def test_messages_per_batch_are_limited(spark):
-    path = scratch(spark, "t")
-    messages.write_topic(topic(spark, 50)[1].coalesce(1), path, rows_per_file=5)
-    stream = messages.stream_topic(spark, path, ["t"], messages.EARLIEST, max_files=1).select("offset")
-    run = sinks.Bounded(stream, "limited")
-    run.drain()
-    assert [n for _, n in rows(run.revisions().groupBy("epoch").count())] == [5] * 10
-    assert sorted(r["offset"] for r in run.revisions().collect()) == list(range(50))
-
-
-def test_topics_share_a_folder(spark):
-    path = scratch(spark, "t")
-    for name in ("a", "b", "c"):
-        messages.write_topic(topic(spark, 5, name)[1], path)
-    assert messages.read_topic(spark, path, ["a", "c"]).count() == 10
-    stream = messages.stream_topic(spark, path, ["a", "b"], messages.EARLIEST)
-    assert sinks.collect_files(stream.select("topic"), "x").distinct().count() == 2
-
-
 def test_broker_options(spark):
     options = messages.broker_options("host:9092", ["a", "b"], {"a": {"0": 10}}, "latest", 5)
     assert options == {"kafka.bootstrap.servers": "host:9092", "subscribe": "a,b", "maxOffsetsPerTrigger": "5",
@@ -133,6 +75,48 @@ def test_limit_is_a_maximum(spark):
     assert rows(run.revisions()) == [(0, 0), (1, 0), (2, 0), (3, 1)]
 
 
+def test_no_batch_passes_the_limit_of_bytes(spark):
+    path = scratch(spark, "limited")
+    sizes = [10, 4000, 10, 10, 9000, 10]
+    for i, n in enumerate(sizes):
+        replay.land(spark.range(n).selectExpr(f"{i} AS file", "id", "sha2(string(id), 256) AS text").coalesce(1), path)
+    found = spark.read.parquet(path).select("file", "_metadata.file_size").distinct().collect()
+    size = {r["file"]: r["file_size"] for r in found}
+    limit = size[1] + size[0] + 1
+    run = sinks.Bounded(files.stream_files(spark, path, "parquet", "file int, id long, text string", max_bytes=limit), "limited")
+    run.drain()
+    batches = {}
+    for r in run.revisions().select("epoch", "file").distinct().collect():
+        batches.setdefault(r["epoch"], []).append(r["file"])
+    # A file above the limit is alone in its batch; the others are taken as long as they fit.
+    assert [sorted(batches[e]) for e in sorted(batches)] == [[0, 1], [2, 3], [4], [5]]
+    assert all(sum(size[f] for f in b) <= limit or len(b) == 1 for b in batches.values())
+    with pytest.raises(ValueError):
+        files.stream_files(spark, path, "parquet", "id long", max_files=1, max_bytes=1)
+
+
+def test_table_streams_and_batch_writers_take_the_limit(spark):
+    folder = scratch(spark, "tables")
+    for i in range(4):
+        replay.land(spark.range(i * 10, i * 10 + 10).coalesce(1), f"{folder}/numbers.parquet")
+    run = sinks.Bounded(stream_table(spark, folder, "numbers", max_bytes=1), "split",
+                        do=lambda path: sinks.fan_out(path, {"even": lambda b: b.where("id % 2 = 0")}))
+    run.drain()
+    found = spark.read.parquet(f"{run.path}/even")
+    assert rows(found.groupBy("epoch").count()) == [(e, 5) for e in range(4)]
+
+
+def test_bucketed_catalog_tables_join_and_group_without_a_shuffle(spark):
+    left = spark.range(3000).selectExpr("id % 700 AS k", "id AS a")
+    right = spark.range(500).selectExpr("id AS k", "id * 2 AS b")
+    saved = [files.save_bucketed(df, name, scratch(spark, name), ["k"], 4) for df, name in ((left, "many_rows"), (right, "few_rows"))]
+    joined = saved[0].hint("merge").join(saved[1], "k").groupBy("k").agg(F.count("*").alias("n"), F.max("b").alias("b"))
+    plan = plan_of(joined)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert rows(joined) == rows(left.join(right, "k").groupBy("k").agg(F.count("*").alias("n"), F.max("b").alias("b")))
+    assert rows(spark.table("few_rows")) == rows(right)
+
+
 def test_other_formats_and_equal_spellings(spark):
     df = spark.createDataFrame([(1, "x"), (2, "y")], "a int, b string")
     for fmt, options in (("csv", {"sep": ";"}), ("json", {}), ("orc", {}), ("parquet", {})):
@@ -192,6 +176,6 @@ def test_catalog_table(spark):
 
 def test_memory_table_with_extra_column(spark, sf):
     finish(sinks.memory(stream_table(spark, sf, "events"), "seen_events", ALL_AVAILABLE))
-    found = spark.sql("select *, current_timestamp() as my_extra_column from seen_events where event_type = 'click'")
+    found = spark.sql("select *, current_timestamp() as noticed_at from seen_events where event_type = 'click'")
     assert found.count() == read_table(spark, sf, "events").filter("event_type = 'click'").count()
-    assert "my_extra_column" in found.columns
+    assert "noticed_at" in found.columns

@@ -235,6 +235,22 @@ def test_stamped_partitions(spark):
     assert rows(found.filter("p_date = '20210101000000'"), "name") == [("a",), ("b",)]
 
 
+def test_a_batch_run_replaces_itself(spark):
+    df = spark.range(10)
+    path = scratch(spark, "runs")
+    ticks = iter(f"2021010100000{i}" for i in range(9))
+    clock = lambda: next(ticks)
+    # The run is lost between its stamp and its rows: the next start of it has the same stamp.
+    assert sinks.run_stamp(spark, path, "morning", clock) == "20210101000000"
+    assert sinks.write_run(df, path, "morning", clock) == "20210101000000"
+    assert sinks.write_run(df.where("id > 6"), path, "evening", clock) == "20210101000001"
+    assert sinks.write_run(df.where("id < 2"), path, "morning", clock) == "20210101000000"
+    found = sinks.read_stamped(spark, path, df.schema)
+    assert rows(found) == [(0, "20210101000000"), (1, "20210101000000"), *[(i, "20210101000001") for i in (7, 8, 9)]]
+    sinks.write_run(df.limit(0), path, "morning", clock)
+    assert rows(sinks.read_stamped(spark, path, df.schema), "id") == [(7,), (8,), (9,)]
+
+
 def test_compaction_keeps_rows_and_the_sink_goes_on(spark):
     source, path, checkpoint, target = (scratch(spark, n) for n in ("in", "sink", "ck", "out"))
     replay.land(spark.range(5).coalesce(1), source)
@@ -284,7 +300,7 @@ def test_watching_and_stopping(spark):
             query.awaitTermination(1)
         seen = run.watch(query)
         assert seen["active"] and seen["input_rows"] > 0 and "triggerExecution" in seen["durations_ms"]
-        assert run.is_stream(files.rate_stream(spark))
+        assert files.rate_stream(spark).isStreaming
     finally:
         assert run.stop_all(spark) == 1
     assert not query.isActive and run.watch(query)["active"] is False
