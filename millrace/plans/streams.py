@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,7 +13,7 @@ from millrace.session import materialize, scratch
 from millrace.sources import files, messages
 from millrace.sources.tables import read_table, stream_table
 from millrace.streaming import compaction, dedup, joins, replay, sinks, windows
-from millrace.streaming.run import ALL_AVAILABLE, finish
+from millrace.streaming.run import ALL_AVAILABLE, finish, keep_alive, watch
 
 SLICES = 3
 LIMITED = 6
@@ -466,3 +467,53 @@ def stream_stream_folded_inner(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""WITH {USER_DAYS} AND purchases > 0""")
 def stream_stream_folded_right(spark: SparkSession, folder: str) -> DataFrame:
     return user_days(spark, folder, "right")
+
+
+# ---- sources by the clock, and how queries are started, watched and stopped
+
+@query("""SELECT event_id, event_type, ts FROM events""")
+def rate_driven_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """A rate source counts through the event ids, a third of them in each micro-batch, and each number is looked up."""
+    events = read_table(spark, folder, "events").select("event_id", "event_type", "ts")
+    last = events.agg(F.max("event_id")).first()[0]
+    ticks = files.rate_per_batch(spark, last // SLICES + 1, numPartitions=SLICES).select(F.col("value").alias("event_id"))
+    path = scratch(spark, "rate")
+    query = sinks.each_batch(joins.with_table(ticks, events, "event_id"), sinks.by_epoch(path), scratch(spark, "rate-checkpoint"))
+    keep_alive(query, 1, lambda: bool(query.lastProgress) and query.lastProgress.batchId >= SLICES - 1)
+    found = sinks.read_epochs(spark, path, events.schema)
+    return found.where(F.col("epoch") < SLICES).drop("epoch")
+
+
+@query("""SELECT how, count(*) AS input_rows, true AS active_at_first, false AS active_at_last, count(*) AS stored_rows
+FROM events, (VALUES ('as fast as possible'), ('every second')) AS triggers(how) GROUP BY how""")
+def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
+    """The event stream under both kinds of trigger: what its progress says, and whether it is active before and after it is
+    stopped."""
+    rows = []
+    for how, every in (("as fast as possible", None), ("every second", 1)):
+        path = scratch(spark, "progress")
+        query = sinks.each_batch(stream_table(spark, folder, "events"), sinks.by_epoch(path), scratch(spark, "progress-checkpoint"), every)
+        query.processAllAvailable()
+        read = sum(p.numInputRows for p in query.recentProgress)
+        at_first = watch(query)["active"]
+        query.stop()
+        rows.append((how, read, at_first, watch(query)["active"], spark.read.parquet(path).count()))
+    return spark.createDataFrame(rows, "how string, input_rows long, active_at_first boolean, active_at_last boolean, stored_rows long")
+
+
+@query("""SELECT count(*) AS n, true AS update_refused, true AS append_without_mark_refused FROM events""")
+def refused_modes(spark: SparkSession, folder: str) -> DataFrame:
+    """Output modes that a stream cannot have: update for a stream-stream right join, append for counts without a watermark."""
+    def refused(df: DataFrame, mode: str) -> bool:
+        try:
+            finish(sinks.each_batch(df, lambda batch, epoch: None, scratch(spark, "refused"), ALL_AVAILABLE, mode))
+        except (AnalysisException, StreamingQueryException):
+            return True
+        return False
+
+    events = stream_table(spark, folder, "events")
+    pairs = joins.within_window(events.select("user_id", F.col("ts").alias("a")), "a", events.select("user_id", F.col("ts").alias("b")), "b",
+                                ["user_id"], DAY, DAY, "right")
+    counts = events.groupBy("event_type").count()
+    return read_table(spark, folder, "events").agg(F.count("*").alias("n")).select(
+        "n", F.lit(refused(pairs, "update")).alias("update_refused"), F.lit(refused(counts, "append")).alias("append_without_mark_refused"))
