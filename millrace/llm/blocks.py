@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 
 def spanning_links(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -66,3 +68,26 @@ def sorted_groups(batches, keys: int):
             held.append([c[a:b] for c in columns])
     if held:
         yield joined(held)
+
+
+def whole_cells(batches, keys: int):
+    """Tables of the rows with equal leading ``keys`` columns, from Arrow batches sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        change = np.zeros(batch.num_rows, bool)
+        for c in batch.columns[:keys]:
+            change[1:] |= pc.not_equal(c.slice(1), c.slice(0, len(c) - 1)).to_numpy(zero_copy_only=False)
+        cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            part = batch.slice(a, b - a)
+            key = [c[0].as_py() for c in part.columns[:keys]]
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(part)
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)

@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.blocks import whole_cells
 from millrace.llm.common import bytes_of, map_texts, materialize
 
 # Bytes that are no part of a term, the scale of shares, the least documents, the ranks of part term.
@@ -123,29 +124,6 @@ def group_totals(tallied: DataFrame, postings: DataFrame, cell: int, rows: int)
                          share(F.lit(0), F.col("total"), F.col("terms")).alias("p0"))
 
 
-def whole_cells(batches, keys: int):
-    """Tables of the rows with equal leading ``keys`` columns, from Arrow batches sorted by them."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        change = np.zeros(batch.num_rows, bool)
-        for c in batch.columns[:keys]:
-            change[1:] |= pc.not_equal(c.slice(1), c.slice(0, len(c) - 1)).to_numpy(zero_copy_only=False)
-        cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
-        for a, b in zip(cuts, cuts[1:]):
-            part = batch.slice(a, b - a)
-            key = [c[0].as_py() for c in part.columns[:keys]]
-            if held and key != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(part)
-            last = key
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def numbers(column) -> tuple[np.ndarray, pa.Array]:
     coded = pc.dictionary_encode(column).combine_chunks()
     return coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
