@@ -14,8 +14,8 @@ RAW = frozenset("script style textarea title xmp iframe noembed noframes".split(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var wbr".split())
-DROPPED = frozenset("head script style noscript template nav header footer aside form menu dialog button select textarea "
-                    "title iframe object svg canvas audio video map xmp noembed noframes option datalist input".split())
+TEXTLESS = frozenset("head script style noscript template title iframe object svg canvas audio video map xmp noembed noframes".split())
+NAMED = frozenset("nav header footer aside form menu dialog button select textarea option datalist input".split())
 ARTICLES = ("article", "main")
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 PARTS = frozenset("ad ads advert advertisement adverts advertising sponsor sponsored promo promotion banner cookie cookies consent notice "
@@ -31,9 +31,9 @@ def attributes(raw: str) -> dict[str, str]:
 
 
 def is_part(tag: str, raw: str, inside: bool) -> bool:
-    """Whether an element is a part of the page that is not its article. In an article, ``header`` holds its
+    """Whether an element is named as a part of the page that is not its article. In an article, ``header`` holds its
     own head line."""
-    if tag in DROPPED:
+    if tag in NAMED:
         return not (tag == "header" and inside)
     if not raw.strip() or tag in ("html", "body"):
         return False
@@ -47,15 +47,16 @@ def is_part(tag: str, raw: str, inside: bool) -> bool:
     return False
 
 
-def blocks_of(page: str) -> tuple[list[str], list[bool]]:
-    """Text blocks outside page parts, in order, and whether each lies in an article.
+def blocks_of(page: str) -> tuple[list[str], list[bool], list[bool]]:
+    """Text blocks in order, whether each lies in an article, and whether in an element that is named as another part.
 
-    A page part ends with its element; an article that begins inside an unclosed part ends it, too. Character
-    references are decoded, white space becomes one space, empty blocks are left out.
+    Elements without text of the page (scripts, styles, the head) give no blocks. A page part ends with its element; an
+    article that begins inside an unclosed part ends it, too. Character references are decoded, white space becomes one
+    space, empty blocks are left out.
     """
     blocks: list[tuple[int, str]] = []
     parts: list[str] = []
-    skip, depth = None, 0          # the element that is skipped, and its open copies
+    skip, depth = None, 0          # the part that is open, and its open copies
     inside = {t: 0 for t in ARTICLES}
 
     def level() -> int:
@@ -64,17 +65,18 @@ def blocks_of(page: str) -> tuple[list[str], list[bool]]:
     def close() -> None:
         text = " ".join("".join(parts).split())
         if text:
-            blocks.append((level(), text))
+            blocks.append((-1 if skip is not None else level(), text))
         parts.clear()
 
     at, size = 0, len(page)
+    silent = 0                     # open elements without text
     while at < size:
         m = TAG.search(page, at)
         if m is None:
-            if skip is None:
+            if not silent:
                 parts.append(html.unescape(page[at:]))
             break
-        if skip is None and m.start() > at:
+        if not silent and m.start() > at:
             parts.append(html.unescape(page[at:m.start()]))
         at = m.end()
         tag = (m[2] or m[5] or "").lower()
@@ -84,10 +86,25 @@ def blocks_of(page: str) -> tuple[list[str], list[bool]]:
         if not closing and tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else size
-            if skip is None:
-                close() if tag != "textarea" else None
+            if tag != "textarea" and skip is None and not silent:
+                close()
+            continue
+        if silent:
+            # Where a head is not closed, the body ends it.
+            if tag == quiet:
+                silent += -1 if closing else 1
+            elif tag == "body" or tag in ARTICLES and not closing:
+                silent = 0
+            if silent or closing:
+                continue
+        elif tag in TEXTLESS and tag not in RAW:
+            if not closing:
+                close()
+                quiet, silent = tag, 1
             continue
         if skip is not None:
+            if tag not in INLINE:
+                close()
             if tag in ARTICLES and not closing and not is_part(tag, raw, True) and skip not in ARTICLES:
                 skip = None        # an article is never part of a menu or advert
             elif skip == "p" and tag not in INLINE and tag not in VOID and not (closing and tag == "p"):
@@ -95,6 +112,7 @@ def blocks_of(page: str) -> tuple[list[str], list[bool]]:
             elif tag == skip:
                 depth += -1 if closing else 1
                 if not depth:
+                    close()
                     skip = None
                 continue
             else:
@@ -114,4 +132,4 @@ def blocks_of(page: str) -> tuple[list[str], list[bool]]:
             inside[tag] += 1
     close()
     best = 2 if any(k == 2 for k, _ in blocks) else 1
-    return [t for _, t in blocks], [k >= best for k, _ in blocks]
+    return [t for _, t in blocks], [k >= best for k, _ in blocks], [k < 0 for k, _ in blocks]

@@ -1,8 +1,9 @@
 """Main text of web pages by differencing each page with its nearest pages by URL.
 
-Pages of a host are put in order of their URL path, each is aligned line by line with the pages before and
-after it by a longest common subsequence, and lines that it shares with either are template and deleted.
-Lines in an element that names the article are spared: pages of a host also share lines of their texts.
+Pages of a host are put in order of their URL path. Each is paired with the nearest pages before and after it that share
+one of its lines, and aligned with them by a longest common subsequence; lines that it shares are template and deleted.
+Lines in an element that names the article are spared: pages of a host also share lines of their texts. Of the lines that
+no other page has, those in elements named as menus, adverts, comments and the like are dropped.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import map_texts, materialize, strings
 from millrace.llm.html_blocks import blocks_of
 
-COPY = 0.7      # share of a page's characters in shared lines above which the other page is a copy of it
+COPY = 0.5      # share of the lines that few pages have above which a page that has them too is a copy
 EVERY = 128     # rows of the alignment between two that are kept
 
 
@@ -79,88 +80,139 @@ def place(url: str) -> tuple[str, str]:
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """A row per page: its columns, host, path, row key, blocks and what the markup says of them."""
+    """A row per page: its columns, host, path, blocks, what the markup says of them, and a hash of host and blocks."""
     def run(batches):
         for batch in batches:
             urls, htmls = strings(batch.column(1)), strings(batch.column(2))
             places = [place(u) for u in urls]
             found = [blocks_of(h) for h in htmls]
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), batch.column(3), pa.array([p[0] for p in places], pa.string()),
+                batch.column(0), batch.column(1), pa.array([p[0] for p in places], pa.string()),
                 pa.array([p[1] for p in places], pa.string()), pa.array([f[0] for f in found], pa.list_(pa.string())),
-                pa.array([f[1] for f in found], pa.list_(pa.bool_()))],
-                ["page_id", "url", "row", "host", "path", "blocks", "main"])
+                pa.array([f[1] for f in found], pa.list_(pa.bool_())), pa.array([f[2] for f in found], pa.list_(pa.bool_()))],
+                ["page_id", "url", "host", "path", "blocks", "main", "part"])
 
-    row = F.xxhash64("page_id", "url", "html")
-    return map_texts(pages.select("page_id", "url", "html", row.alias("row")), run, (
-        f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, row long, host string, path string, "
-        "blocks array<string>, main array<boolean>"))
+    rows = map_texts(pages.select("page_id", "url", "html"), run, (
+        f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, host string, path string, "
+        "blocks array<string>, main array<boolean>, part array<boolean>"))
+    return rows.withColumn("entry", F.xxhash64("host", "blocks", "main"))
 
 
-def neighbours(pages: DataFrame) -> DataFrame:
-    """(row, other): the rows before and after each different row of its host, by path.
+def entries_of(rows: DataFrame) -> DataFrame:
+    """Different pages of a host with lines outside an article: entry, host, least path, whether there is no article (bare),
+    and hashes of these lines (open).
+    Pages that are equal line by line are one entry, so that copies say nothing about templates."""
+    lines = F.transform(F.filter(F.arrays_zip("blocks", "main"), lambda x: ~x["main"]), lambda x: F.xxhash64(x["blocks"]))
+    bare = ~F.exists("main", lambda x: x)
+    found = rows.select("entry", "host", "path", bare.alias("bare"), lines.alias("open")).where(F.size("open") > 0)
+    return found.groupBy("entry").agg(F.min("host").alias("host"), F.min("path").alias("path"), F.first("bare").alias("bare"),
+                                      F.first("open").alias("open"))
 
-    Rows are range partitioned by host and path and sorted, so a host of any size is spread over tasks; a
+
+def neighbours(entries: DataFrame) -> DataFrame:
+    """(entry, line, other): for each line of an entry the entries before and after it, by path, that have the line.
+
+    Rows are range partitioned by host, line and path and sorted, so a line or host of any size is spread over tasks; a
     window inside each partition links its rows, and one over first and last rows links the partitions.
     """
-    keys = pages.select("host", "path", "row").distinct().repartitionByRange("host", "path", "row")
-    keys = materialize(keys.sortWithinPartitions("host", "path", "row").withColumn("deal", F.spark_partition_id()), "paths")
-    order = Window.partitionBy("deal").orderBy("host", "path", "row")
-    here = F.struct("host", "row")
-    inner = keys.select("host", "row", F.lag(here).over(order).alias("before"))
-    ends = keys.groupBy("deal").agg(F.min(F.struct("host", "path", "row")).alias("first"), F.max(F.struct("host", "path", "row")).alias("last"))
+    order = ["host", "line", "path", "entry"]
+    keys = entries.select("host", F.explode(F.array_distinct("open")).alias("line"), "path", "entry")
+    keys = materialize(keys.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("deal", F.spark_partition_id()), "lines")
+    here = F.struct("host", "line", "entry")
+    inner = keys.select("host", "line", "entry", F.lag(here).over(Window.partitionBy("deal").orderBy(*order)).alias("before"))
+    ends = keys.groupBy("deal").agg(F.min(F.struct(*order)).alias("first"), F.max(F.struct(*order)).alias("last"))
     outer = ends.select("first", F.lag("last").over(Window.orderBy("deal")).alias("last"))
-    inner_links = inner.where("before.host = host").select("row", F.col("before.row").alias("other"))
-    outer_links = outer.where("first.host = last.host").select(F.col("first.row").alias("row"), F.col("last.row").alias("other"))
+    inner_links = inner.where("before.host = host and before.line = line").select("entry", "line", F.col("before.entry").alias("other"))
+    outer_links = outer.where("first.host = last.host and first.line = last.line").select(
+        F.col("first.entry").alias("entry"), F.col("first.line").alias("line"), F.col("last.entry").alias("other"))
     forward = inner_links.unionByName(outer_links)
-    return forward.unionByName(forward.select(F.col("other").alias("row"), F.col("row").alias("other")))
+    return forward.unionByName(forward.select(F.col("other").alias("entry"), "line", F.col("entry").alias("other")))
+
 
+def shared_lines(mine: list[int], bare: bool, many: set[int], others: list[tuple[list[int], set[int]]]) -> list[int]:
+    """Positions of the lines that a page shares with the other pages by alignment.
 
-def kept_blocks(blocks: list[str], main: list[bool], others: list[list[str]]) -> list[str]:
-    """The blocks of the article, and those that no other page shares."""
-    total = sum(map(len, blocks))
+    ``many`` has the lines with a page on either side, and ``others`` the lines of each other page, and its own ``many``: a
+    line in either is on three pages at least. On a bare page, if the lines that two pages alone have are most of what
+    the page does not share with more, the other page is a copy of it, and they are left.
+    """
     shared: set[int] = set()
-    numbers: dict[str, int] = {}
-    mine = [numbers.setdefault(b, len(numbers)) for b in blocks]
-    for other in others:
-        same = common_lines(mine, [numbers.setdefault(b, len(numbers)) for b in other])
-        if sum(len(blocks[i]) for i in same) <= COPY * total:
-            shared.update(same)
-    return [b for i, b in enumerate(blocks) if main[i] or i not in shared]
+    for lines, theirs in others:
+        same = common_lines(mine, lines)
+        wide = many | theirs
+        few = [i for i in same if mine[i] not in wide]
+        rare = sum(line not in wide for line in mine)
+        shared.update(i for i in same if mine[i] in wide)
+        if not bare or len(few) <= COPY * rare:
+            shared.update(few)
+    return sorted(shared)
+
+
+def differences(entries: DataFrame) -> DataFrame:
+    """(entry, shared): the positions, among its open lines, of those that an entry shares with its nearest entries."""
+    links = materialize(neighbours(entries), "links")
+    by_line = links.groupBy("entry", "line").agg((F.count("*") == 2).alias("many"), F.collect_set("other").alias("others"))
+    by_entry = materialize(by_line.groupBy("entry").agg(
+        F.collect_list(F.when(F.col("many"), F.col("line"))).alias("many"),
+        F.array_distinct(F.flatten(F.collect_list("others"))).alias("others")).join(
+        entries.select("entry", "bare", "open"), "entry"), "linked")
+    lists = by_entry.select(F.col("entry").alias("other"), F.struct("open", "many").alias("lines"))
+    near = by_entry.select("entry", F.explode("others").alias("other")).join(lists, "other").groupBy("entry").agg(
+        F.collect_list("lines").alias("near"))
+
+    def run(batches):
+        for batch in batches:
+            page = batch.to_pydict()
+            found = [shared_lines(mine, bare, set(many), sorted(((o["open"], set(o["many"])) for o in near), key=lambda o: (o[0], sorted(o[1]))))
+                     for mine, bare, many, near in zip(page["open"], page["bare"], page["many"], page["near"])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], ["entry", "shared"])
+
+    return map_texts(by_entry.select("entry", "open", "bare", "many").join(near, "entry"), run, "entry long, shared array<int>")
+
+
+def kept_blocks(blocks: list[str], main: list[bool], part: list[bool], shared: list[int]) -> tuple[list[str], int, int]:
+    """The blocks that stay, and how many go because other pages share them, and because of the element they are in."""
+    gone, kept, by_name, place = set(shared), [], 0, 0
+    for block, is_main, is_named in zip(blocks, main, part):
+        if not is_main:
+            place += 1
+            if place - 1 in gone:
+                continue
+            if is_named:
+                by_name += 1
+                continue
+        kept.append(block)
+    return kept, len(gone), by_name
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """Main text of every page.
 
-    Returns page_id, url, text, n_chars (code points). Menus, headers, footers, side bars, notices, adverts,
-    forms, scripts, styles and comments are dropped by element, role, class and id. Of the rest, each line is
-    deleted that the page shares, by longest common subsequence, with the page before or after it in the URL
-    order of its host, unless it lies in an ``article`` (or else ``main``) element. A page most of whose text
-    is shared is a copy and says nothing about templates.
+    Returns page_id, url, text, n_chars (code points), n_shared and n_named (lines deleted by differencing, and by the name
+    of their element). Scripts, styles and the like have no lines. Each line outside an ``article`` (or else ``main``)
+    element is deleted that the page shares, by longest common subsequence, with one of the pages nearest to it in the URL
+    order of its host that have one of its lines. Of the other lines outside, those in elements named by tag, role, class
+    or id as menus, headers, footers, side bars, notices, adverts, forms or comments go. Pages that are equal line by line
+    count as one; a page that shares most of what no third page has is a copy and says nothing about templates.
 
     A null or empty html has text '' and length 0; pages of any length are read whole; null or broken URLs
     count as host ''; repeated rows each get their row; other columns are ignored; an empty table gives an
     empty one.
     """
-    rows = materialize(parsed(pages), "parsed")
-    # Every row is paired; lines travel only to pages with lines outside an article.
-    open_lines = F.exists("main", lambda x: ~x)
-    wanted = rows.where(open_lines).select("row").distinct()
-    pairs = materialize(neighbours(rows).join(wanted, "row"), "pairs")
-    asked = rows.select(F.col("row").alias("other"), "blocks").join(pairs.select("other"), "other", "left_semi")
-    near = pairs.join(asked.dropDuplicates(["other"]), "other").groupBy("row").agg(
-        F.array_sort(F.collect_list("blocks")).alias("others"))
+    entries = materialize(entries_of(parsed(pages)), "entries")
+    shared = differences(entries)
+    # Pages are parsed again rather than stored: their texts move once, to meet what is deleted.
+    every = parsed(pages).join(shared, "entry", "left")
 
     def run(batches):
         for batch in batches:
             page = batch.to_pydict()
-            texts = [" ".join(kept_blocks(*x)) for x in zip(
-                page["blocks"], page["main"], ([] if o is None else o for o in page["others"]))]
+            found = [kept_blocks(b, m, p, s or []) for b, m, p, s in zip(page["blocks"], page["main"], page["part"], page["shared"])]
+            texts = [" ".join(f[0]) for f in found]
+            counts = [np.array([len(t) for t in texts], np.int64), *(np.array([f[i] for f in found], np.int64) for i in (1, 2))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(np.array([len(t) for t in texts], np.int64))],
-                ["page_id", "url", "text", "n_chars"])
+                [batch.column(0), batch.column(1), pa.array(texts, pa.string()), *map(pa.array, counts)],
+                ["page_id", "url", "text", "n_chars", "n_shared", "n_named"])
 
-    settled = rows.where(~open_lines).withColumn("others", F.lit(None).cast("array<array<string>>"))
-    every = rows.where(open_lines).join(near, "row", "left").unionByName(settled)
-    return map_texts(every.select("page_id", "url", "blocks", "main", "others"), run, (
-        f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long"))
+    return map_texts(every.select("page_id", "url", "blocks", "main", "part", "shared"), run, (
+        f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long, n_shared long, n_named long"))

@@ -13,6 +13,11 @@ def pages(spark, rows):
     return spark.createDataFrame(rows, SCHEMA).selectExpr("*", "'x' AS blocks", "1 AS row", "'y' AS text")
 
 
+def own_text(page):
+    """The text of a page by itself: what is in no named part."""
+    return " ".join(b for b, _, named in zip(*blocks_of(page)) if not named)
+
+
 def lcs_length(a, b):
     table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
@@ -42,8 +47,10 @@ def test_page_parts_and_characters():
     <form><p>Name</p><input></form><aside>Side</aside>
     <section class="comments"><article class="comment"><p>Reader says</p></article></section><ul><li>i1<li>i2</ul></article>
     <div role="complementary">more</div><footer>&copy; x</footer></body></html>"""
-    blocks, main = blocks_of(page)
-    assert " ".join(blocks) == "Title & co One bold word next Two <3 a < b é i1 i2" and all(main)
+    blocks, main, part = blocks_of(page)
+    assert own_text(page) == "Title & co One bold word next Two <3 a < b é i1 i2"
+    assert [b for b, m in zip(blocks, main) if m] == ["Title & co", "One bold word", "next", "Two <3 a < b é", "i1", "i2"]
+    assert [b for b, n in zip(blocks, part) if n] == ["Menu", "Top", "We", "use", "Buy", "Cookies", "Name", "Side", "Reader says", "more", "© x"]
 
 
 @pytest.mark.parametrize("page, text", [
@@ -51,7 +58,7 @@ def test_page_parts_and_characters():
     ("<div class=ad>x<article><p>a</p></article>", "a"), ("<p>1 < 2</p><p>&#x41;&eacute;</p>", "1 < 2 Aé"), ("<script>no", ""),
     ("<article></article><p>a</p>", "a"), ("<main><p>a</p></main><p>b</p>", "a b"), ("<a title='<p>'>x</a>", "x")])
 def test_small_pages(page, text):
-    assert " ".join(blocks_of(page)[0]) == text
+    assert own_text(page) == text
 
 
 def test_lines_shared_with_the_nearest_pages_go(spark):
@@ -76,17 +83,46 @@ def test_articles_and_copies_are_spared(spark):
     assert found == [(i, "Shared line Text " + f"own {i}" * 9) for i in range(4)] + [(10, "same"), (11, "same"), (11, "same")]
 
 
+def test_pages_without_an_article_among_copies_and_far_templates(spark):
+    """Short pages whose template outweighs their text, runs of copies between them, templates that take turns along the
+    path: unnamed menus and notices go, texts stay, and so do texts that copies share."""
+    def page(i):
+        menu = "".join(f"<div>Menu {i % 4} of {k} with a long line of words in it</div>" for k in range(5))
+        return f"<body><span>Site name</span>{menu}<p>Own {i}</p><p>Text {i}</p><p>Third {i}</p><div>All rights of {i % 4}</div></body>"
+
+    rows = [(i, f"https://h.org/{i:03d}", page(i)) for i in range(40)]
+    rows += [(100 + k, f"https://h.org/{i:03d}/copy/{k}", page(i)) for i in (3, 4, 5) for k in range(10 * i, 10 * i + 9)]  # copied runs
+    near = page(7).replace("Third 7", "Third of the copy")
+    rows.append((300, "https://h.org/007-near", near))
+    found = {r["page_id"]: r for r in p.extract(pages(spark, rows)).collect()}
+    for i in range(40):
+        assert found[i]["text"] == f"Own {i} Text {i} Third {i}", i
+        assert found[i]["n_shared"] == 7 and found[i]["n_named"] == 0
+    assert {found[100 + k]["text"] for k in range(30, 39)} == {"Own 3 Text 3 Third 3"}
+    assert found[300]["text"] == "Own 7 Text 7 Third of the copy"
+
+
+def test_names_decide_only_what_no_other_page_has(spark):
+    def page(i):
+        return (f"<nav>Home</nav><div class=ad>Buy {i}</div><article><p>Text {i}</p></article>"
+                f"<div class=comments><p>Reader {i}</p></div><footer>Legal</footer>")
+
+    found = p.extract(pages(spark, [(i, f"https://h.org/{i}", page(i)) for i in range(5)])).collect()
+    assert {(r["page_id"], r["text"], r["n_shared"], r["n_named"]) for r in found} == {(i, f"Text {i}", 2, 2) for i in range(5)}
+
+
 def test_neighbours_do_not_depend_on_the_layout(spark):
     rng = random.Random(4)
-    rows = [(i, f"https://{'big' if i % 3 else f'h{i % 7}'}.org/{rng.randrange(50)}", f"<p>{i}</p>") for i in range(400)]
-    frame = p.parsed(pages(spark, rows)).select("host", "path", "row")
-    keys = sorted((r["host"], r["path"], r["row"]) for r in frame.collect())
-    expected = sorted((a[2], b[2]) for x, y in zip(keys, keys[1:]) if x[0] == y[0] for a, b in ((x, y), (y, x)))
+    rows = [(i, f"https://{'big' if i % 3 else f'h{i % 7}'}.org/{rng.randrange(50)}", f"<p>{i}</p><p>{i % 5}</p>") for i in range(400)]
+    frame = p.entries_of(p.parsed(pages(spark, rows)))
+    keys = sorted((r["host"], line, r["path"], r["entry"]) for r in frame.collect() for line in set(r["open"]))
+    expected = sorted(link for x, y in zip(keys, keys[1:]) if x[:2] == y[:2] for link in ((x[3], x[1], y[3]), (y[3], x[1], x[3])))
+    assert expected
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         for n in ("1", "9"):
             spark.conf.set("spark.sql.shuffle.partitions", n)
-            assert sorted((r["row"], r["other"]) for r in p.neighbours(frame).collect()) == expected
+            assert sorted((r["entry"], r["line"], r["other"]) for r in p.neighbours(frame).collect()) == expected
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
