@@ -32,6 +32,7 @@ ANSWER = 0.75        # of the last sentence's words in order
 SLOTS = 1 << 10      # of the words of a passage, for a quick look at what it may share
 ITEMS = 5000         # items that one pass over the documents looks for
 CHUNK = 1 << 18
+PASSAGES = 1 << 19   # of a task that adds up products
 SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
 
@@ -217,9 +218,10 @@ def weighted(basis: np.ndarray, idf: np.ndarray | None) -> np.ndarray:
     return basis if idf is None else np.concatenate([basis * idf[:, None], np.zeros((1, basis.shape[1]))]).astype(np.float32)
 
 
-def times_transposed(rows: DataFrame, basis: np.ndarray, idf: np.ndarray | None = None) -> np.ndarray:
+def times_transposed(rows: DataFrame, basis: np.ndarray, idf: np.ndarray | None = None, tasks: int | None = None) -> np.ndarray:
     """A' A basis, A being the passages: each task sends its rows of the product, summed by term before the
-    driver takes the FEATURES by rank result."""
+    driver takes the FEATURES by rank result. A task sends at most a row per term, so ``tasks`` should follow the
+    number of passages, not that of files."""
     width, read, table = basis.shape[1], Listed.of if idf is None else Passages.reader(idf), weighted(basis, idf)
 
     def run(batches):
@@ -232,8 +234,7 @@ def times_transposed(rows: DataFrame, basis: np.ndarray, idf: np.ndarray | None
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.FixedSizeListArray.from_arrays(
             total[some].ravel(), width).cast(pa.list_(pa.float32()))], ["term", "v"])
 
-    # Every task sends a row per term, so there are as many tasks as run at a time, not as many as there are files.
-    rows = rows.coalesce(2 * rows.sparkSession.sparkContext.defaultParallelism)
+    rows = rows.coalesce(tasks) if tasks else rows
     summed = rows.mapInArrow(run, "term long, v array<float>").groupBy("term").agg(
         *[F.sum(F.col("v")[i]).alias(f"v{i}") for i in range(width)]).toArrow()
     found = np.zeros(basis.shape)
@@ -241,37 +242,31 @@ def times_transposed(rows: DataFrame, basis: np.ndarray, idf: np.ndarray | None
     return found
 
 
-def gram(rows: DataFrame, basis: np.ndarray, idf: np.ndarray | None = None) -> np.ndarray:
-    """(A basis)' (A basis)."""
-    width, read, table = basis.shape[1], Listed.of if idf is None else Passages.reader(idf), weighted(basis, idf)
-
-    def run(batches):
-        total = np.zeros((width, width))
-        for batch in batches:
-            for part in read(batch):
-                out = part.times(table)
-                total += out.T @ out
-        yield pa.RecordBatch.from_arrays([pa.array(range(width)), pa.array(total.tolist(), pa.list_(pa.float64()))], ["i", "v"])
-
-    summed = rows.mapInArrow(run, "i long, v array<double>").groupBy("i").agg(
-        *[F.sum(F.col("v")[i]).alias(f"v{i}") for i in range(width)]).orderBy("i").collect()
-    return np.array([r[1:] for r in summed])
-
+def latent_basis(rows: DataFrame, rank: int = RANK, seed: int = 11, idf: np.ndarray | None = None, total: int | None = None) -> np.ndarray:
+    """Right singular vectors of the passages (rows of terms and values, or with ``idf`` rows of words, ``total`` passages in
+    all), each divided by its singular value so that frequent topics do not outweigh the rest: a randomised range, power
+    iterations, and the spectrum from the last product itself.
 
-def latent_basis(rows: DataFrame, rank: int = RANK, seed: int = 11, idf: np.ndarray | None = None) -> np.ndarray:
-    """Right singular vectors of the passages (rows of terms and values, or with ``idf`` rows of words), each divided by its singular value so that frequent topics do
-    not outweigh the rest: a randomised range, power iterations, and an eigenproblem of rank by rank.
+    With Q the range before it and B = A'A Q, the product B (Q'B)^-1 B' stands for A'A: its eigenvectors lie in the
+    range of B, which is one power iteration better than Q, and no further pass over the passages is needed.
 
     A row is the place of a bucket's words in the latent space. Passages add them up at equal length, times the
     weight: otherwise frequent words round an inserted passage drown its rare ones, which the leading vectors
     hardly reach."""
-    basis = np.random.default_rng(seed).normal(size=(FEATURES, rank + SPARE)).astype(np.float32)
+    tasks = -(-total // PASSAGES) if total else None
+    basis = np.random.default_rng(seed).normal(size=(FEATURES, rank + SPARE))
     for _ in range(ROUNDS):
-        basis = np.linalg.qr(times_transposed(rows, basis, idf))[0].astype(np.float32)
-    values, vectors = np.linalg.eigh(gram(rows, basis, idf))
-    lead = np.argsort(-values)[:rank]
-    lead = lead[values[lead] > 1e-9 * max(values.max(), 1e-30)]
-    return (basis @ (vectors[:, lead] / np.sqrt(values[lead]))).astype(np.float32)
+        basis = np.linalg.qr(basis)[0].astype(np.float32)
+        product = times_transposed(rows, basis, idf, tasks)
+        basis, before = product, basis
+    core = before.T.astype(float) @ product
+    values, turns = np.linalg.eigh((core + core.T) / 2)
+    lead = values > 1e-9 * max(values.max(), 1e-30)
+    vectors, sizes, _ = np.linalg.svd(product @ (turns[:, lead] / np.sqrt(values[lead])), full_matrices=False)
+    # The squares of these sizes are the eigenvalues, so the sizes themselves are the singular values of the passages.
+    sizes = sizes[:rank]
+    some = sizes > 1e-5 * max(sizes.max(initial=0), 1e-30)
+    return (vectors[:, :rank][:, some] / sizes[some]).astype(np.float32)
 
 
 def units(vectors: np.ndarray) -> np.ndarray:
@@ -417,7 +412,7 @@ def item_passes(docs: DataFrame, benchmark: DataFrame):
     if not total:
         return
     idf, passes = weights(counts, total), -(-n // ITEMS)
-    basis = latent_basis(rows.unionByName(worded(wanted)), idf=idf)
+    basis = latent_basis(rows.unionByName(worded(wanted)), idf=idf, total=total)
     table = weighted(units(basis), idf)
     for k in range(passes):
         part = wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k)

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import types as T
 
 from millrace.llm import latent_retrieval as r
@@ -125,7 +126,7 @@ def test_products_over_whole_texts_agree_with_dense_passages(spark, make_docs):
     assert total == sum(-(-(len(row["words"]) // 2) // r.BLOCK) for row in rows.collect())
     basis = rng.normal(size=(r.FEATURES, 3)).astype(np.float32)
     assert np.allclose(r.times_transposed(rows, basis, idf), dense.T @ (dense @ basis), atol=1e-3)
-    assert np.allclose(r.gram(rows, basis, idf), (dense @ basis).T @ (dense @ basis), rtol=1e-4)
+    assert np.allclose(r.times_transposed(rows.repartition(5), basis, idf, 2), dense.T @ (dense @ basis), atol=1e-3)
 
 
 def test_basis_is_fitted_to_every_document(spark, make_docs, monkeypatch):
@@ -136,3 +137,39 @@ def test_basis_is_fitted_to_every_document(spark, make_docs, monkeypatch):
     docs = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"a{i} b{i % 90} c{i % 7}") for i in range(9000)]
     items = spark.createDataFrame([(0, docs[4000][1] + " end.")], ITEMS)
     assert r.find_leaks(make_docs(docs), items).count() > 0 and seen == [9001]
+
+
+@pytest.mark.parametrize("n", [150, 1200])
+def test_recall_of_reworded_items_against_all_stretches(spark, make_docs, n):
+    """Items with a share of their words replaced: of those that satisfy the rule somewhere in the text, by a longest common
+    subsequence with every stretch, nearly all are found, whatever the number of documents."""
+    rng = random.Random(n)
+    rare = [f"{a}{b}{c}{d}" for a in "bdfgklm" for b in "aeiou" for c in "npqrstvwxz" for d in "aou"]
+    common = ["the", "of", "and", "to", "in"]
+
+    def prose(k):
+        return [rng.choice(common) if rng.random() < 0.3 else rng.choice(rare) for _ in range(k)]
+
+    items = [(i, " ".join(prose(30)) + ". " + " ".join(prose(12)) + ".") for i in range(60)]
+    docs, planted = [], []
+    for i in range(n):
+        text = prose(rng.randint(20, 120))
+        if i < 120:
+            words = items[i % 60][1].split()
+            for j in rng.sample(range(len(words)), len(words) * (2 if i < 60 else 3) // 10):
+                words[j] = rng.choice(rare) + ("." if words[j].endswith(".") else "")
+            at = rng.randint(0, len(text))
+            text[at:at] = words
+            planted.append((i, i % 60))
+        docs.append((i, " ".join(text)))
+    inside = set()
+    for i, k in planted:
+        own, text = items[k][1].replace(".", "").split(), docs[i][1].replace(".", "").split()
+        last, size = items[k][1].split(". ")[1].replace(".", "").split(), len(own) * 3 // 2
+        # Sure of itself with some room, whatever stretch is looked at: part of the best place decides nothing.
+        best = max(lcs(own, text[s:s + size]) for s in range(max(1, len(text) - size + 1))) / len(own)
+        if best >= 0.65 and lcs(last, text) / len(last) >= r.ANSWER:
+            inside.add((i, k))
+    found = {(x["doc_id"], x["item_id"]) for x in r.find_leaks(make_docs(docs), spark.createDataFrame(items, ITEMS)).collect()}
+    assert len(inside) >= 60 and len(found & inside) >= 0.9 * len(inside)
+    assert found <= set(planted)
