@@ -27,6 +27,7 @@ SEED = 42
 CHUNK = 100_000  # shingles whose bits are counted at a time
 HEAVY = 200  # fingerprints under one key from which pairs are found in blocks
 BLOCK = 1024
+KEYS = 500_000  # of a task that lists them
 
 
 def shingle_hashes(text: str, words: int) -> list[int]:
@@ -135,14 +136,37 @@ def within_budgets(ring: list[tuple[int, int]], distance: int) -> Column:
     return reduce(Column.__or__, checks) & (F.bit_count(difference) <= distance)
 
 
+def chain_masks(ring: list[tuple[int, int]], distance: int, i: int) -> list[tuple[int, int]]:
+    """(mask, budget) of the chains of three and more segments from segment i; the last one is the whole ring."""
+    masks, mask = [], 0
+    for l in range(1, len(ring) + 1):
+        low, width = ring[(i + l - 1) % len(ring)]
+        mask |= ((1 << width) - 1) << low
+        if l > 2 or l == len(ring):
+            masks.append((mask, l * distance // len(ring) if l < len(ring) else distance))
+    return masks
+
+
 def block_links(rows: pd.DataFrame, distance: int) -> pd.DataFrame:
-    """Links between the offering and the asking rows of one cell."""
+    """Links between the offering and the asking rows of one cell: chain after chain of segments from the key's start must
+    keep its budget, and only pairs that do are looked at further."""
+    ring, key = segments(distance), int(rows["key"].iloc[0])
+    # Segments differ in width, so a key may be one of two starts.
+    starts = [i for i in range(len(ring)) if key >> (ring[i][1] + ring[(i + 1) % len(ring)][1]) == i]
     asks = rows["asks"].to_numpy()
     a, b = rows[asks], rows[~asks]
     x, y = a["print"].to_numpy(np.int64).view(np.uint64), b["print"].to_numpy(np.int64).view(np.uint64)
     found = []
     for first in range(0, len(x), BLOCK):
-        near = np.bitwise_count(x[first:first + BLOCK, None] ^ y[None, :]) <= distance
+        part = x[first:first + BLOCK]
+        near = np.zeros((len(part), len(y)), bool)
+        for start in starts:
+            (mask, budget), *longer = chain_masks(ring, distance, start)
+            i, j = np.nonzero(np.bitwise_count((part[:, None] ^ y[None, :]) & np.uint64(mask)) <= budget)
+            for mask, budget in longer:
+                within = np.bitwise_count((part[i] ^ y[j]) & np.uint64(mask)) <= budget
+                i, j = i[within], j[within]
+            near[i, j] = True
         found.append(spanning_links(near, a["rep"].to_numpy(np.int64)[first:first + BLOCK], b["rep"].to_numpy(np.int64)))
     u, v = (np.concatenate(z) for z in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
     return pd.DataFrame({"u": u, "v": v})
@@ -169,6 +193,9 @@ def links(prints: DataFrame, distance: int) -> DataFrame:
     """Links (u, v) between the representatives of fingerprints, enough to join what any pair within the
     distance joins. ``prints`` holds each fingerprint once, as (rep, print)."""
     ring = segments(distance)
+    # The few bytes of a print become a row for each of its keys: as many tasks as those rows need.
+    per_print = sum(2 + width for _, width in ring)
+    prints = prints.repartition(max(1, -(-prints.count() * per_print // KEYS)), "print")
     offers, asks = offered(prints, ring), asked(prints, ring)
     heavy = materialize(offers.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HEAVY), "heavy")
     light = asks.select("key", F.col("rep").alias("u"), F.col("print").alias("a_print")).join(
@@ -187,7 +214,7 @@ def grouped(docs: DataFrame, words: int, distance: int, keep: list[str], order:
     if clash:
         raise ValueError(f"columns named like results: {sorted(clash)}")
     prints = materialize(fingerprints(docs, words, keep), "prints")
-    classes = prints.groupBy("print").agg(F.min(order).alias("least"))
+    classes = materialize(prints.groupBy("print").agg(F.min(order).alias("least")), "classes")
     if not distance:
         return prints, classes.select("print", F.col("print").alias("component"), "least")
     # Prints name the classes: ids may be null or stand at several texts.
