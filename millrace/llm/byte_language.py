@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,7 +15,6 @@ SAMPLE = 6000  # expected number of labelled documents the network is fitted to
 WINDOWS = 4    # windows that each of them gives
 HELD_OUT = 5
 CHUNK = 1 << 20
-LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
 
 
@@ -34,8 +31,10 @@ def training_windows(docs: DataFrame, sample: int = SAMPLE, window: int = WINDOW
     # Window starts lie anywhere in the text, the last one so that the window still fits.
     room = F.greatest(F.length(raw) - window, F.lit(0)) + 1
     cuts = [F.substring(raw, F.pmod(F.xxhash64("doc_id", F.lit(k)), room).cast("int") + 1, F.lit(window)) for k in range(WINDOWS)]
-    drawn = open_fold.where(F.pmod(F.xxhash64(F.lit("sample"), "doc_id", F.length("text")), F.lit(buckets)) < share)
-    rows = drawn.select("lang", F.array(*cuts).alias("cuts")).limit(2 * sample).collect()
+    # Drawn and put in order by text, so that a hot id brings some of its rows, and the same ones again.
+    place = F.xxhash64(F.lit("sample"), "doc_id", "text")
+    drawn = open_fold.where(F.pmod(place, F.lit(buckets)) < share)
+    rows = drawn.select("lang", F.array(*cuts).alias("cuts"), place.alias("place")).orderBy("place", "lang").limit(2 * sample).collect()
     names = sorted({r["lang"] for r in rows})
     cuts, labels = [], []
     for r in sorted(rows, key=lambda r: (r["lang"], r["cuts"])):
@@ -51,13 +50,14 @@ def training_windows(docs: DataFrame, sample: int = SAMPLE, window: int = WINDOW
 
 
 def has_letter(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Whether each row holds a letter: an ASCII letter, or else any by Unicode."""
+    """Whether each row holds a letter: an ASCII letter, or else one of the Unicode categories of letters, which numerals
+    and digits of any kind are not in."""
     ascii_letter = ((data | 0x20) >= ord("a")) & ((data | 0x20) <= ord("z"))
     sums = np.r_[0, np.cumsum(ascii_letter)]
     found = sums[starts[1:]] > sums[starts[:-1]]
     for i in np.flatnonzero(~found):
         text = data[starts[i]:starts[i + 1]].tobytes().decode("utf-8", "replace")
-        found[i] = LETTER.search(text) is not None
+        found[i] = any(map(str.isalpha, text))
     return found
 
 

@@ -12,12 +12,13 @@ from millrace.session import materialize, scratch
 from millrace.sources.tables import table_path
 
 __all__ = ["bytes_of", "crc_of_id", "load", "map_texts", "materialize", "numbered", "row_chunks", "scratch", "set_apart", "split_text",
-           "strings", "text_column", "text_rows"]
+           "strings", "text_column", "text_rows", "with_lanes"]
 
 ROWS_PER_DEAL = 2_000
 ROWS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 TEXTS_PER_BATCH = 500
 TEXT = "text_to_read"
+LANE = "lane_of_row"
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -92,12 +93,19 @@ def row_chunks(starts: np.ndarray, most: int):
         first = min(last, n)
 
 
+def with_lanes(rows: DataFrame) -> DataFrame:
+    """Rows with a number that no other row has. It is settled when they are stored."""
+    return rows.withColumn(LANE, F.monotonically_increasing_id())
+
+
 def numbered(rows: DataFrame, sizes: list[int], group: str, by: list[str], name: str) -> DataFrame:
     """Number the rows of each group 0, 1, ... without gathering a group in one task.
 
-    ``sizes`` holds the rows of groups 0, 1, ... Rows are dealt by a hash of ``by``, about ROWS_PER_DEAL to a deal,
-    numbered inside (group, deal), and shifted by the rows of the deals before.
+    ``sizes`` holds the rows of groups 0, 1, ... ``rows`` is a stored table from :func:`with_lanes`. Rows are dealt by a hash
+    of ``by`` and the lane, about ROWS_PER_DEAL to a deal, numbered inside (group, deal), and shifted by the rows of the
+    deals before. Rows that are equal otherwise have different lanes, and spread like all others.
     """
+    by = [*by, LANE]
     deals = F.array(*[F.lit(max(1, -(-int(n) // ROWS_PER_DEAL))).cast("long") for n in sizes])
     rows = rows.withColumn("deal", F.pmod(F.xxhash64(*by), F.element_at(deals, F.col(group).cast("int") + 1)))
     counts = rows.groupBy(group, "deal").agg(F.count("*").alias("n"))
@@ -105,4 +113,4 @@ def numbered(rows: DataFrame, sizes: list[int], group: str, by: list[str], name:
     shifts = counts.select(group, "deal", (F.sum("n").over(before) - F.col("n")).alias("shift"))
     inside = F.row_number().over(Window.partitionBy(group, "deal").orderBy(*by)) - 1
     return rows.withColumn("inside", inside).join(shifts, [group, "deal"]).withColumn(
-        name, (F.col("inside") + F.col("shift")).cast("long")).drop("deal", "inside", "shift")
+        name, (F.col("inside") + F.col("shift")).cast("long")).drop("deal", "inside", "shift", LANE)

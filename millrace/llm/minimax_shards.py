@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import materialize, numbered, text_column
+from millrace.llm.common import materialize, numbered, text_column, with_lanes
 
 STEP = 12  # bits of the key that one level of cells adds
 KEY_BITS = 64
@@ -123,7 +123,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 8) -> DataFrame:
     """
     if shards < 1:
         raise ValueError("shards must be at least 1")
-    rows = materialize(sized(docs), "sized")
+    rows = materialize(with_lanes(sized(docs)), "sized")
     whole = rows.agg(F.count("*").alias("n"), F.sum("size").alias("size")).first()
     left, free, heavy = whole["size"] or 0, shards, []
     if whole["n"] and shards > 1:

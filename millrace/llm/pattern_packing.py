@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import byte_tokens
-from millrace.llm.common import map_texts, materialize, numbered, strings
+from millrace.llm.common import map_texts, materialize, numbered, strings, with_lanes
 
 CAPACITY = 1024
 END_ID = 2
@@ -166,7 +166,7 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) ->
 
     The driver sees one count per length and makes a plan whose size depends on ``capacity`` only.
     """
-    rows = materialize(pieces(docs, path, capacity), "pieces")
+    rows = materialize(with_lanes(pieces(docs, path, capacity)), "pieces")
     counts = np.zeros(capacity + 1, np.int64)
     for r in rows.groupBy("length").count().collect():
         counts[r["length"]] = r["count"]

@@ -79,18 +79,19 @@ class Anchors:
 
 
 def places(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """doc, tag and text of each document, in whose order of doc and tag they count; and doc, tag, n_bytes and sha
-    of each row. A null id comes last. Where an id stands once, its tag is 0. Otherwise rows that repeat an id and a
-    text are folded to one document, and the tag numbers the different texts of an id, told apart by their sha256."""
+    """doc, tag and text of each document, in whose order of doc and tag they count; and doc, tag, n_bytes and own of each
+    row: 1 for a null id or else 0, and the sha256 of the text. A null id comes last, after the largest id, with which it
+    shares its number. Where a number stands once, its tag is 0. Otherwise rows that repeat an id and a text are folded to
+    one document, and the tag numbers the different documents of a number in order of own."""
     text = text_column()
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
-    sha = F.sha2(text.cast("binary"), 256)
+    sha = F.concat(F.when(F.col("doc_id").isNull(), "1").otherwise("0"), F.sha2(text.cast("binary"), 256))
     once = docs.select(doc.alias("doc"), F.lit(0).cast("long").alias("tag"), text.alias("text"))
     if once.groupBy("doc").count().where("count > 1").isEmpty():
-        return once, once.select("doc", "tag", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("own"))
+        return once, docs.select(doc.alias("doc"), F.lit(0).cast("long").alias("tag"), F.octet_length(text).cast("long").alias("n_bytes"), sha.alias("own"))
     every = materialize(docs.select(doc.alias("doc"), F.octet_length(text).cast("long").alias("n_bytes"), sha.alias("own")), "rows")
     # The texts of a hot id are numbered in deals by the first digits of the hash, which are few whatever the id.
-    kinds = every.select("doc", "own").distinct().withColumn("deal", F.substring("own", 1, 4))
+    kinds = every.select("doc", "own").distinct().withColumn("deal", F.substring("own", 1, 5))
     before = Window.partitionBy("doc").orderBy("deal").rowsBetween(Window.unboundedPreceding, 0)
     deals = kinds.groupBy("doc", "deal").agg(F.count("*").alias("n")).withColumn("shift", F.sum("n").over(before) - F.col("n"))
     inside = F.row_number().over(Window.partitionBy("doc", "deal").orderBy("own")) - 1
@@ -394,9 +395,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         "doc long, tag long, n_removed long, n_spans long, sha string")).dropDuplicates(["doc", "tag"])
     kind = docs.schema["doc_id"].dataType.simpleString()
     return own.join(results, ["doc", "tag"], "left").select(
-        F.when(F.col("doc") != (1 << 63) - 1, F.col("doc")).cast(kind).alias("doc_id"), "n_bytes",
+        F.when(F.substring("own", 1, 1) == "0", F.col("doc")).cast(kind).alias("doc_id"), "n_bytes",
         F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"),
-        F.coalesce("sha", "own").alias("kept_sha256"))
+        F.coalesce(F.col("sha"), F.substring("own", 2, 64)).alias("kept_sha256"))
 
 
 def cutting(length: int):

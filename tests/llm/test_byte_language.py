@@ -21,7 +21,8 @@ def corpus(n=300, seed=1):
 
 def test_held_out_accuracy_and_odd_texts(make_docs):
     docs = corpus()
-    odd = [(1000, None, "en"), (1001, "", "fr"), (1002, "123 !? 45", None), (1003, "sch ein ung " * 20_000, None), (1004, "é", None), (None, "the of", None)]
+    odd = [(1000, None, "en"), (1001, "", "fr"), (1002, "123 !? 45", None), (1003, "sch ein ung " * 20_000, None), (1004, "é", None), (None, "the of", None),
+           (1005, "²", None), (1006, "①½ Ⅷ ٣", None), (1007, "ª", None)]
     rows = b.identify(make_docs(docs + odd + [docs[0]], ["cuts", "codes"])).collect()
     assert len(rows) == len(docs) + len(odd) + 1
     found = {r["doc_id"]: r for r in rows}
@@ -30,7 +31,8 @@ def test_held_out_accuracy_and_odd_texts(make_docs):
     held = [found[i]["lang_pred"] == lang for i, _, lang in docs if found[i]["held_out"]]
     assert np.mean(held) > 0.95
     assert [found[i]["lang_pred"] for i in (1000, 1001, 1002, 1003)] == ["und", "und", "und", "de"] and found[1000]["score"] == 0
-    assert found[1004]["lang_pred"] in SOUNDS
+    assert found[1004]["lang_pred"] in SOUNDS and found[1007]["lang_pred"] in SOUNDS
+    assert [(found[i]["lang_pred"], found[i]["score"]) for i in (1005, 1006)] == [("und", 0.0)] * 2
 
 
 def test_nothing_labelled_and_empty(make_docs):
@@ -73,3 +75,11 @@ def test_known_keeps_clean_rows(make_docs):
     df = make_docs(docs + [(900, "12345", None), (901, None, None)])
     kept = b.known(df)
     assert kept.columns == df.columns and {r["doc_id"] for r in kept.collect()} == {d[0] for d in docs}
+
+
+def test_the_draw_does_not_depend_on_the_layout(make_docs):
+    """A hot id with many texts, more of them than are drawn."""
+    docs = [(7 if i % 2 else i, f"{t} {i}", lang) for i, t, lang in corpus(400)]
+    codes, labels, names = b.training_windows(make_docs(docs), sample=40)
+    again = b.training_windows(make_docs(docs[::-1]).repartition(7), sample=40)
+    assert (codes == again[0]).all() and (labels == again[1]).all() and names == again[2] and len(names) == 3

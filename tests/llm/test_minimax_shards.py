@@ -2,7 +2,9 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
+from millrace.llm import common
 from millrace.llm import minimax_shards as m
 
 
@@ -85,3 +87,13 @@ def test_same_shards_from_other_layouts(make_docs):
     one = {r["doc_id"]: r["shard"] for r in m.shard_by_bytes(make_docs(docs).coalesce(1)).collect()}
     other = {r["doc_id"]: r["shard"] for r in m.shard_by_bytes(make_docs(docs[::-1]).repartition(7)).collect()}
     assert one == other
+
+
+def test_equal_rows_are_dealt_apart(spark, monkeypatch):
+    """A null id with one text on all rows: numbered without a gap, in many deals."""
+    monkeypatch.setattr(common, "ROWS_PER_DEAL", 20)
+    rows = common.materialize(common.with_lanes(spark.range(1000).selectExpr("cast(null as long) AS doc_id", "7L AS key", "0 AS shard")), "rows")
+    found = common.numbered(rows, [1000], "shard", ["doc_id", "key"], "slot")
+    assert sorted(r["slot"] for r in found.collect()) == list(range(1000)) and found.columns == ["shard", "doc_id", "key", "slot"]
+    deals = rows.groupBy(F.pmod(F.xxhash64("doc_id", "key", common.LANE), F.lit(50))).count().collect()
+    assert len(deals) == 50 and max(r["count"] for r in deals) < 50

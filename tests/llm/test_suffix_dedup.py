@@ -145,3 +145,16 @@ def test_a_repeated_row_that_shares_a_passage(make_docs):
         got = s.remove_repeats(make_docs(rows).repartition(parts)).collect()
         assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == sorted(
             (i, *expected[i]) for i, _ in rows)
+
+
+def test_the_largest_id_and_null_ids_are_apart(spark, make_docs):
+    rng = random.Random(21)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(150))
+    top = (1 << 63) - 1
+    docs = [(top, passage + "one"), (None, passage + "two"), (None, passage + "two"), (3, "short")]
+    found = sorted(((r["doc_id"], r["n_removed"]) for r in s.remove_repeats(make_docs(docs)).collect()), key=str)
+    assert found == sorted([(top, 0), (None, 150), (None, 150), (3, 0)], key=str)
+    alone = s.remove_repeats(make_docs([(top, passage), (4, passage)])).collect()
+    assert {(r["doc_id"], r["n_removed"]) for r in alone} == {(4, 0), (top, 150)}
+    same = s.remove_repeats(make_docs([(None, passage), (top, passage)])).collect()
+    assert {(r["doc_id"], r["n_removed"]) for r in same} == {(top, 0), (None, 150)}
