@@ -12,6 +12,8 @@ from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,8 @@ from millrace.llm.common import map_texts, materialize, strings
 from millrace.llm.html_blocks import blocks_of
 
 COPY = 0.5      # share of the lines that few pages have above which a page that has them too is a copy
+MAIN, OTHER, NAMED = "1", "0", "2"   # kinds of lines
+LINK, FIRST, LAST = 0, 1, 2           # kinds of rows of a task that links lines
 EVERY = 128     # rows of the alignment between two that are kept
 
 
@@ -79,53 +83,98 @@ def place(url: str) -> tuple[str, str]:
         return "", url
 
 
-def parsed(pages: DataFrame) -> DataFrame:
-    """A row per page: its columns, host, path, blocks, what the markup says of them, and a hash of host and blocks."""
-    def run(batches):
-        for batch in batches:
-            urls, htmls = strings(batch.column(1)), strings(batch.column(2))
-            places = [place(u) for u in urls]
-            found = [blocks_of(h) for h in htmls]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), pa.array([p[0] for p in places], pa.string()),
-                pa.array([p[1] for p in places], pa.string()), pa.array([f[0] for f in found], pa.list_(pa.string())),
-                pa.array([f[1] for f in found], pa.list_(pa.bool_())), pa.array([f[2] for f in found], pa.list_(pa.bool_()))],
-                ["page_id", "url", "host", "path", "blocks", "main", "part"])
-
-    rows = map_texts(pages.select("page_id", "url", "html"), run, (
-        f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, host string, path string, "
-        "blocks array<string>, main array<boolean>, part array<boolean>"))
-    return rows.withColumn("entry", F.xxhash64("host", "blocks", "main"))
-
-
-def entries_of(rows: DataFrame) -> DataFrame:
+def read_page(url: str, page: str):
+    """Host, path, blocks with their kind (MAIN in an article, NAMED in a part named otherwise, OTHER), and a hash of host and
+    blocks."""
+    host, path = place(url)
+    lines = [(MAIN if m else NAMED if n else OTHER) + b for b, m, n in zip(*blocks_of(page))]
+    entry = xxhash.xxh64_intdigest("\n".join([host, *lines]).encode("utf-8", "surrogatepass")) - (1 << 63)
+    return host, path, lines, entry
+
+
+def entries_of(pages: DataFrame) -> DataFrame:
     """Different pages of a host with lines outside an article: entry, host, least path, whether there is no article (bare),
     and hashes of these lines (open).
     Pages that are equal line by line are one entry, so that copies say nothing about templates."""
-    lines = F.transform(F.filter(F.arrays_zip("blocks", "main"), lambda x: ~x["main"]), lambda x: F.xxhash64(x["blocks"]))
-    bare = ~F.exists("main", lambda x: x)
-    found = rows.select("entry", "host", "path", bare.alias("bare"), lines.alias("open")).where(F.size("open") > 0)
+    def run(batches):
+        for batch in batches:
+            found = []
+            for url, page in zip(strings(batch.column(0)), strings(batch.column(1))):
+                host, path, lines, entry = read_page(url, page)
+                open_lines = [xxhash.xxh64_intdigest(b[1:].encode("utf-8", "surrogatepass")) - (1 << 63) for b in lines if b[0] != MAIN]
+                if open_lines:
+                    found.append((entry, host, path, len(open_lines) == len(lines), open_lines))
+            columns = list(zip(*found)) or [()] * 5
+            kinds = [pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["entry", "host", "path", "bare", "open"])
+
+    found = map_texts(pages.select("url", "html"), run, "entry long, host string, path string, bare boolean, open array<long>")
     return found.groupBy("entry").agg(F.min("host").alias("host"), F.min("path").alias("path"), F.first("bare").alias("bare"),
                                       F.first("open").alias("open"))
 
 
+def bodies(pages: DataFrame) -> DataFrame:
+    """page_id, url, entry and body of each page: its lines with their kinds, packed, without the text of named parts."""
+    def run(batches):
+        packer = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            found = []
+            for url, page in zip(strings(batch.column(1)), strings(batch.column(2))):
+                _, _, lines, entry = read_page(url, page)
+                body = "\n".join(NAMED if b[0] == NAMED else b for b in lines)
+                found.append((entry, packer.compress(body.encode("utf-8", "surrogatepass"))))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.binary())],
+                ["page_id", "url", "entry", "body"])
+
+    kind = pages.schema["page_id"].dataType.simpleString()
+    return map_texts(pages.select("page_id", "url", "html"), run, f"page_id {kind}, url string, entry long, body binary")
+
+
 def neighbours(entries: DataFrame) -> DataFrame:
     """(entry, line, other): for each line of an entry the entries before and after it, by path, that have the line.
 
-    Rows are range partitioned by host, line and path and sorted, so a line or host of any size is spread over tasks; a
-    window inside each partition links its rows, and one over first and last rows links the partitions.
+    Rows are range partitioned by line (and host) and path and sorted, so a line or host of any size is spread over tasks.
+    Each task links its rows as they come, and hands on its first and its last row, which are linked with those of the
+    tasks beside it.
     """
-    order = ["host", "line", "path", "entry"]
-    keys = entries.select("host", F.explode(F.array_distinct("open")).alias("line"), "path", "entry")
-    keys = materialize(keys.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("deal", F.spark_partition_id()), "lines")
-    here = F.struct("host", "line", "entry")
-    inner = keys.select("host", "line", "entry", F.lag(here).over(Window.partitionBy("deal").orderBy(*order)).alias("before"))
-    ends = keys.groupBy("deal").agg(F.min(F.struct(*order)).alias("first"), F.max(F.struct(*order)).alias("last"))
-    outer = ends.select("first", F.lag("last").over(Window.orderBy("deal")).alias("last"))
-    inner_links = inner.where("before.host = host and before.line = line").select("entry", "line", F.col("before.entry").alias("other"))
-    outer_links = outer.where("first.host = last.host and first.line = last.line").select(
+    order = ["line", "path", "entry"]
+    line = F.xxhash64("host", "line").alias("line")
+    keys = entries.select("host", F.explode(F.array_distinct("open")).alias("line"), "path", "entry").select(line, "path", "entry")
+    sorted_keys = keys.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        "line", "entry", F.spark_partition_id().alias("deal"))
+
+    def run(batches):
+        last, deal = None, 0
+        names = ["deal", "kind", "line", "entry", "other"]
+
+        def rows(kind, lines, own, others):
+            n = len(lines)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(n, deal, np.int32)), pa.array(np.full(n, kind, np.int32)),
+                                               pa.array(lines), pa.array(own), pa.array(others)], names)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lines, own = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            deal = batch.column(2)[0].as_py()
+            if last is None:
+                yield rows(FIRST, lines[:1], own[:1], own[:1])
+                last = lines[:0], own[:0]
+            lines, own = np.r_[last[0], lines], np.r_[last[1], own]
+            same = np.flatnonzero(lines[1:] == lines[:-1])
+            yield rows(LINK, lines[same], own[same + 1], own[same])
+            last = lines[-1:], own[-1:]
+        if last is not None:
+            yield rows(LAST, *last, last[1])
+
+    found = materialize(sorted_keys.mapInArrow(run, "deal int, kind int, line long, entry long, other long"), "links")
+    inner = found.where(F.col("kind") == LINK).select("entry", "line", "other")
+    ends = found.where(F.col("kind") != LINK).groupBy("deal").agg(
+        *[F.max(F.when(F.col("kind") == kind, F.struct("line", "entry"))).alias(name) for kind, name in ((FIRST, "first"), (LAST, "last"))])
+    outer = ends.select("first", F.lag("last").over(Window.orderBy("deal")).alias("last")).where("first.line = last.line").select(
         F.col("first.entry").alias("entry"), F.col("first.line").alias("line"), F.col("last.entry").alias("other"))
-    forward = inner_links.unionByName(outer_links)
+    forward = inner.unionByName(outer)
     return forward.unionByName(forward.select(F.col("other").alias("entry"), "line", F.col("entry").alias("other")))
 
 
@@ -150,12 +199,13 @@ def shared_lines(mine: list[int], bare: bool, many: set[int], others: list[tuple
 
 def differences(entries: DataFrame) -> DataFrame:
     """(entry, shared): the positions, among its open lines, of those that an entry shares with its nearest entries."""
-    links = materialize(neighbours(entries), "links")
-    by_line = links.groupBy("entry", "line").agg((F.count("*") == 2).alias("many"), F.collect_set("other").alias("others"))
+    # Dealt by entry once, for both aggregates.
+    by_line = neighbours(entries).repartition("entry").groupBy("entry", "line").agg(
+        (F.count("*") == 2).alias("many"), F.collect_set("other").alias("others"))
     by_entry = materialize(by_line.groupBy("entry").agg(
         F.collect_list(F.when(F.col("many"), F.col("line"))).alias("many"),
         F.array_distinct(F.flatten(F.collect_list("others"))).alias("others")).join(
-        entries.select("entry", "bare", "open"), "entry"), "linked")
+        entries.select("entry", "bare", F.transform("open", lambda x: F.xxhash64("host", x)).alias("open")), "entry"), "linked")
     lists = by_entry.select(F.col("entry").alias("other"), F.struct("open", "many").alias("lines"))
     near = by_entry.select("entry", F.explode("others").alias("other")).join(lists, "other").groupBy("entry").agg(
         F.collect_list("lines").alias("near"))
@@ -170,18 +220,19 @@ def differences(entries: DataFrame) -> DataFrame:
     return map_texts(by_entry.select("entry", "open", "bare", "many").join(near, "entry"), run, "entry long, shared array<int>")
 
 
-def kept_blocks(blocks: list[str], main: list[bool], part: list[bool], shared: list[int]) -> tuple[list[str], int, int]:
-    """The blocks that stay, and how many go because other pages share them, and because of the element they are in."""
+def kept_lines(body: str, shared: list[int]) -> tuple[list[str], int, int]:
+    """The lines that stay, and how many go because other pages share them, and because of the element they are in."""
     gone, kept, by_name, place = set(shared), [], 0, 0
-    for block, is_main, is_named in zip(blocks, main, part):
-        if not is_main:
+    for line in body.split("\n") if body else ():
+        kind = line[0]
+        if kind != MAIN:
             place += 1
             if place - 1 in gone:
                 continue
-            if is_named:
+            if kind == NAMED:
                 by_name += 1
                 continue
-        kept.append(block)
+        kept.append(line[1:])
     return kept, len(gone), by_name
 
 
@@ -199,20 +250,20 @@ def extract(pages: DataFrame) -> DataFrame:
     count as host ''; repeated rows each get their row; other columns are ignored; an empty table gives an
     empty one.
     """
-    entries = materialize(entries_of(parsed(pages)), "entries")
-    shared = differences(entries)
+    shared = differences(materialize(entries_of(pages), "entries"))
     # Pages are parsed again rather than stored: their texts move once, to meet what is deleted.
-    every = parsed(pages).join(shared, "entry", "left")
+    every = bodies(pages).join(shared, "entry", "left")
 
     def run(batches):
+        unpacker = zstandard.ZstdDecompressor()
         for batch in batches:
-            page = batch.to_pydict()
-            found = [kept_blocks(b, m, p, s or []) for b, m, p, s in zip(page["blocks"], page["main"], page["part"], page["shared"])]
+            found = [kept_lines(unpacker.decompress(body).decode("utf-8", "surrogatepass"), gone or [])
+                     for body, gone in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             texts = [" ".join(f[0]) for f in found]
             counts = [np.array([len(t) for t in texts], np.int64), *(np.array([f[i] for f in found], np.int64) for i in (1, 2))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), *map(pa.array, counts)],
                 ["page_id", "url", "text", "n_chars", "n_shared", "n_named"])
 
-    return map_texts(every.select("page_id", "url", "blocks", "main", "part", "shared"), run, (
+    return map_texts(every.select("page_id", "url", "body", "shared"), run, (
         f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long, n_shared long, n_named long"))
