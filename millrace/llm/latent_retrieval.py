@@ -101,7 +101,7 @@ def word_chunks(column: pa.Array):
     _, offsets, data = column.buffers()
     starts = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
     whole = np.frombuffer(data, "<u2") if data is not None else np.zeros(0, np.uint16)
-    for a, b in row_chunks(starts, CHUNK // 2):
+    for a, b in row_chunks(starts, 2 * CHUNK):
         first = (starts[a:b + 1] - starts[a]) // 2
         yield in_blocks(whole[starts[a] // 2:starts[b] // 2], first, FEATURES), first
 
@@ -191,10 +191,16 @@ class Passages:
         sums[self.index] = out
         sums[self.index[self.two] + 1] += out[self.two]
         where = np.flatnonzero(self.block < FEATURES)
-        terms, rows = self.block.ravel()[where].astype(np.int64), where // BLOCK
-        # Column by column, which is many times as fast as sums of rows by term.
-        for own, column in zip(total.T, np.ascontiguousarray(sums.T, np.float64)):
-            own += np.bincount(terms, column.take(rows), FEATURES) * self.idf[:-1]
+        terms = self.block.ravel()[where]
+        order = np.argsort(terms, kind="stable")  # two bytes: by counting
+        terms, rows = terms[order].astype(np.int64), where[order] // BLOCK
+        heads = np.flatnonzero(np.r_[True, terms[1:] != terms[:-1]]) if len(terms) else np.zeros(0, np.int64)
+        if len(heads):
+            found = terms[heads]
+            weight = self.idf[found]
+            # Column by column, which is many times as fast as sums of rows by term.
+            for own, column in zip(total.T, np.ascontiguousarray(sums.T)):
+                own[found] += np.add.reduceat(column.take(rows), heads, dtype=np.float64) * weight
 
     @staticmethod
     def reader(idf: np.ndarray):
@@ -364,12 +370,15 @@ def leaks_of(hashes, first, table, looked: Searched, options):
     for a in range(0, len(rows), 2048):
         close = (vectors[a:a + 2048] @ looked.vectors.T).ravel()
         pairs = np.flatnonzero(close >= cosine)
-        there_slots = np.zeros((len(vectors[a:a + 2048]), SLOTS), bool)
-        there_slots[np.arange(len(there_slots))[:, None], words[a:a + 2048] & (SLOTS - 1)] = True
+        row = pairs // pieces
+        new = np.r_[True, row[1:] != row[:-1]] if len(row) else np.zeros(0, bool)
+        here, spot = row[new], np.cumsum(new) - 1  # the passages that are close to a piece, and which of them a pair has
+        there_slots = np.zeros((len(here), SLOTS), bool)
+        there_slots[np.arange(len(here))[:, None], words[here + a] & (SLOTS - 1)] = True
         for k in range(0, len(pairs), 8192):
             some = pairs[k:k + 8192]
             # Slots in common bound the words in common.
-            slots = there_slots[(some // pieces)[:, None], looked.slots[some % pieces]]
+            slots = there_slots[spot[k:k + 8192, None], looked.slots[some % pieces]]
             some = some[(slots * looked.weight[some % pieces]).sum(1) >= OVERLAP - 1e-6]
             where, piece = some // pieces + a, some % pieces
             # Words in common bound what can be in order.
