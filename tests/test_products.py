@@ -1,5 +1,9 @@
 """Exact top-k products, the certificate of fitted factors, and segments scored from tables."""
 
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -135,3 +139,20 @@ def test_places_in_an_order(spark):
     assert [(r["id"], r["v"]) for r in sorted(found, key=lambda r: r["place"])] == want
     assert sorted(r["place"] for r in found) == list(range(len(want)))
     assert R.in_order(df.limit(0), [F.asc("id")], "place").collect() == []
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    """Started elsewhere, with the package on the driver's path alone: workers cannot import it."""
+    code = f"""
+import sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from millrace.ml import products as P
+from millrace.session import build_session
+spark = build_session("alone", "local[1]", **{{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "1", "spark.checkpoint.dir": {str(tmp_path)!r}}})
+two = P.in_blocks(spark.createDataFrame([(7, [1.0, 1.0]), (8, [2.0, 0.0])], "item_id long, features array<float>"))
+users = spark.createDataFrame([(1, [1.0, 0.0])], "user_id long, features array<float>")
+print("FOUND", P.best_products(users, P.open_blocks(two), 5).first()["ids"])
+"""
+    environment = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "PYSPARK_GATEWAY_PORT", "PYSPARK_GATEWAY_SECRET")}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=300)
+    assert "FOUND [8, 7]" in done.stdout, done.stderr[-2000:]
