@@ -150,7 +150,7 @@ class Listed:
         return out
 
     def add_transposed(self, out: np.ndarray, total: np.ndarray) -> None:
-        add_by_term(self.terms, out[self.row] * self.values[:, None], total)
+        add_by_term(self.terms, in_pairs(out[self.row] * self.values[:, None]), total.T)
 
     @classmethod
     def of(cls, batch):
@@ -186,7 +186,7 @@ class Passages:
         return out * self.scale
 
     def add_transposed(self, out: np.ndarray, total: np.ndarray) -> None:
-        out = out * self.scale
+        out *= self.scale
         sums = np.zeros((len(self.block), out.shape[1]), np.float32)
         sums[self.index] = out
         sums[self.index[self.two] + 1] += out[self.two]
@@ -198,9 +198,9 @@ class Passages:
         if len(heads):
             found = terms[heads]
             weight = self.idf[found]
-            # Column by column, which is many times as fast as sums of rows by term.
-            for own, column in zip(total.T, np.ascontiguousarray(sums.T)):
-                own[found] += np.add.reduceat(column.take(rows), heads, dtype=np.float64) * weight
+            # A pair of columns after the other, which is many times as fast as sums of rows by term.
+            for own, column in zip(total, np.ascontiguousarray(in_pairs(sums).T)):
+                own[found] += np.add.reduceat(column.take(rows), heads) * weight
 
     @staticmethod
     def reader(idf: np.ndarray):
@@ -211,6 +211,11 @@ class Passages:
         return of
 
 
+def in_pairs(rows: np.ndarray) -> np.ndarray:
+    """Two columns as one of complex numbers, which numpy moves and adds as fast as one of the two."""
+    return np.ascontiguousarray(rows, np.float32).view(np.complex64)
+
+
 def add_by_term(terms: np.ndarray, rows: np.ndarray, total: np.ndarray) -> None:
     if len(terms):
         order = np.argsort(terms, kind="stable")
@@ -228,14 +233,16 @@ def times_transposed(rows: DataFrame, basis: np.ndarray, idf: np.ndarray | None
     """A' A basis, A being the passages: each task sends its rows of the product, summed by term before the
     driver takes the FEATURES by rank result. A task sends at most a row per term, so ``tasks`` should follow the
     number of passages, not that of files."""
+    columns = basis.shape[1]
+    basis = np.pad(basis, ((0, 0), (0, columns % 2)))
     width, read, table = basis.shape[1], Listed.of if idf is None else Passages.reader(idf), weighted(basis, idf)
 
     def run(batches):
-        total = np.zeros((width, FEATURES)).T
+        total = np.zeros((width // 2, FEATURES), np.complex128)
         for batch in batches:
             for part in read(batch):
                 part.add_transposed(part.times(table), total)
-        total = total.astype(np.float32, "C")
+        total = np.ascontiguousarray(total.T).view(np.float64).astype(np.float32)
         some = np.flatnonzero(total.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.FixedSizeListArray.from_arrays(
             total[some].ravel(), width).cast(pa.list_(pa.float32()))], ["term", "v"])
@@ -245,7 +252,7 @@ def times_transposed(rows: DataFrame, basis: np.ndarray, idf: np.ndarray | None
         *[F.sum(F.col("v")[i]).alias(f"v{i}") for i in range(width)]).toArrow()
     found = np.zeros(basis.shape)
     found[summed["term"].to_numpy()] = np.stack([summed[f"v{i}"].to_numpy() for i in range(width)], 1)
-    return found
+    return found[:, :columns]
 
 
 def latent_basis(rows: DataFrame, rank: int = RANK, seed: int = 11, idf: np.ndarray | None = None, total: int | None = None) -> np.ndarray:
