@@ -68,6 +68,6 @@ def test_stages_carry_columns_named_like_results(make_docs):
 
 def test_one_query_for_every_operator():
     names = [n for n in entry_point.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and set(names) == set(queries.QUERIES)
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and set(names) == set(queries.QUERIES)
     assert "pipeline" in entry_point.queries() and [n for n, _ in corpus_pipeline.STAGES] == [
         "language_id", "simhash_near_duplicates", "decontamination", "secret_scan", "packing"]
