@@ -156,3 +156,50 @@ print("FOUND", P.best_products(users, P.open_blocks(two), 5).first()["ids"])
     environment = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "PYSPARK_GATEWAY_PORT", "PYSPARK_GATEWAY_SECRET")}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=300)
     assert "FOUND [8, 7]" in done.stdout, done.stderr[-2000:]
+
+
+def test_a_cell_finds_what_all_products_give():
+    rng = np.random.default_rng(5)
+    items = rng.normal(size=(700, 6)).astype(np.float32).astype(float)
+    items[100:140] = items[60:100]  # equal items: ties by id
+    ids = rng.permutation(700)
+    users = rng.normal(size=(90, 6)).astype(np.float32).astype(float)
+    users[3] = 0
+    every = np.stack([P.exact(u, items) for u in users])
+    cell = P.Cell(ids, items)
+    for least in (np.full(90, -np.inf), np.sort(every, 1)[:, -3], every.max(1) + 1e-9):
+        found = cell.better(users, least, 4)
+        for i, row in enumerate(every):
+            good = [x for x in sorted(zip(-row, ids))[:4] if -x[0] >= least[i]]
+            assert [int(x) for _, x in good] == list(map(int, found[i][0] if i in found else []))
+
+
+def test_users_meet_groups_of_blocks(spark, monkeypatch):
+    """One row of a user for GROUP blocks, not one for each block; small norms keep every block in reach."""
+    monkeypatch.setattr(P, "CHUNK", 40)
+    rng = np.random.default_rng(6)
+    items = [(i, [float(x) for x in rng.normal(size=3)]) for i in range(640)]
+    users = [(u, [float(x) for x in rng.normal(size=3)]) for u in range(50)]
+    blocks = P.open_blocks(P.in_blocks(spark.createDataFrame(items, ITEMS), block=10))
+    asked = P.from_first_block(spark.createDataFrame(users, USERS), blocks.ids, blocks.first, blocks.bounds, 4)
+    assert len(blocks.bounds) == 64 and asked.agg(F.max("reach")).first()[0] > P.GROUP
+    later = P.from_later_blocks(asked.withColumn("least", F.lit(-1e9)).withColumn("reach", F.lit(63)), blocks.rows, 4)
+    assert later.groupBy("user_id").count().agg(F.max("count")).first()[0] == 2
+    found = {r["user_id"]: r["ids"] for r in P.best_products(spark.createDataFrame(users, USERS), blocks, 4).collect()}
+    assert found == brute(users, items, 4)
+
+
+def test_iterations_leave_no_trail_and_sums_are_made_once(spark, monkeypatch):
+    asked = {}
+
+    class Recorded(M.ALS):
+        def __init__(self, **options):
+            asked.update(options)
+            super().__init__(**options)
+
+    monkeypatch.setattr(M, "ALS", Recorded)
+    ratings = spark.createDataFrame([(u, i, 1.0 + (u * i) % 4) for u in range(20) for i in range(15)], "user_id long, item_id long, quantity double")
+    model = M.train_items(ratings, iterations=2, blocks=2)
+    assert asked["checkpointInterval"] == 1 and spark.sparkContext.getCheckpointDir()
+    plan = plan_of(M.optimality(model, ratings))
+    assert "REPARTITION_BY_COL" in plan  # a user's rows move, not its partial sums
