@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators import ranking
 from millrace.operators.skew import heavy_keys
 from millrace.plans.registry import query
 from millrace.session import materialize, scratch
@@ -16,6 +17,7 @@ from millrace.streaming import compaction, dedup, joins, replay, sinks, windows
 from millrace.streaming.run import ALL_AVAILABLE, finish, keep_alive, watch
 
 SLICES = 3
+PARTITIONS = 3  # of a numbered topic
 LIMITED = 6
 MOST_BYTES = 1 << 36  # of a micro-batch over a whole table
 DAY = "1 day"
@@ -109,38 +111,60 @@ def message_stream(spark: SparkSession, folder: str) -> tuple[DataFrame, T.Struc
     return messages.to_messages(events, F.col("event_type"), "ts"), events.schema
 
 
-def parts_of_ids(spark: SparkSession, folder: str) -> int:
-    """A quarter of the event ids."""
-    return (read_table(spark, folder, "events").agg(F.max("event_id")).first()[0] + 1) // 4
+NUMBERED = f"""SELECT event_id, user_id, event_id % {PARTITIONS} AS "partition",
+  row_number() OVER (PARTITION BY event_id % {PARTITIONS} ORDER BY event_id) - 1 AS "offset" FROM events"""
+ENDS = f"""(SELECT "partition" AS p, max("offset") + 1 AS last FROM ({NUMBERED}) GROUP BY 1)"""
+TOPIC_PARTITION = f"event_id % {PARTITIONS}"
 
 
-@query("""SELECT * FROM events""")
+def numbered(parsed: DataFrame) -> DataFrame:
+    return parsed.select("event_id", "user_id", "partition", "offset")
+
+
+def numbered_messages(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, T.StructType]:
+    """Events as messages with partition and offset, stored; the offset after the last of each partition; and what a payload
+    holds."""
+    events = read_table(spark, folder, "events")
+    placed = ranking.in_groups(events.withColumn("partition", F.expr(TOPIC_PARTITION)), "partition", [F.asc("event_id")], "offset")
+    sent = materialize(messages.to_messages(placed, "events", "ts", "partition", "offset"), "messages")
+    return sent, sent.groupBy("partition").agg((F.max("offset") + 1).alias("last")), events.schema
+
+
+@query(NUMBERED)
 def message_sink_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Events arriving in three batches are sent as messages, and these are read as a stream."""
+    """Events arriving in three batches, in order of their ids, are sent as messages whose offsets go on from batch to batch,
+    and these are read as a stream."""
     events = read_table(spark, folder, "events")
-    sent = replayed(events, "ts", "sent", lambda s: messages.to_messages(s, "events", "ts"))
-    stream = files.stream_files(spark, f"{sent.path}/*", "parquet", sent.df.schema)
-    return sinks.collect_files(messages.parse_payload(stream, events.schema), "received")
+    cut = replay.number_slices(events, "event_id", SLICES)
+    source, stream = landed(spark, cut, "sent-input")
+    run = sinks.Bounded(stream.withColumn("partition", F.expr(TOPIC_PARTITION)), "sent",
+                        do=lambda path: messages.numbered_batches(path, "events", "partition", "event_id", "ts"))
+    run.drain()
+    replay.arrive([(cut[1:], source)], run.drain)
+    sent = files.stream_files(spark, f"{run.path}/*", "parquet", messages.NUMBERED)
+    return numbered(sinks.collect_files(messages.parse_payload(sent, events.schema, "partition", "offset"), "received"))
 
 
-@query("""SELECT * FROM events, (SELECT (max(event_id) + 1) // 4 AS quarter FROM events)
-WHERE event_id >= quarter AND event_id < 2 * quarter""")
+@query(f"""SELECT n.* FROM ({NUMBERED}) n JOIN {ENDS} ON "partition" = p
+WHERE "offset" >= CAST(floor(last / 4) AS BIGINT) AND "offset" < CAST(floor(last / 2) AS BIGINT)""")
 def offset_range_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """The messages of a range of ids: the range is cut from the table before payloads are made."""
-    quarter = parts_of_ids(spark, folder)
-    events = read_table(spark, folder, "events")
-    chosen = events.where((F.col("event_id") >= quarter) & (F.col("event_id") < 2 * quarter))
-    return messages.parse_payload(messages.to_messages(chosen, "events", "ts"), events.schema).withColumn(
-        "quarter", F.lit(quarter).cast("long"))
+    """The second quarter of every partition's messages, by offset."""
+    sent, ends, schema = numbered_messages(spark, folder)
+    chosen = sent.join(ends, "partition").where(
+        (F.col("offset") >= F.floor(F.col("last") / 4)) & (F.col("offset") < F.floor(F.col("last") / 2)))
+    return numbered(messages.parse_payload(chosen, schema, "partition", "offset"))
 
 
-@query("""SELECT * FROM events WHERE event_id >= 2 * (SELECT (max(event_id) + 1) // 4 FROM events)""")
+@query(f"""SELECT n.* FROM ({NUMBERED}) n JOIN {ENDS} ON "partition" = p
+WHERE "offset" >= CAST(floor(last / 2) AS BIGINT)""")
 def offset_start_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """A stream of the messages from an id on."""
-    first = 2 * parts_of_ids(spark, folder)
-    events = stream_table(spark, folder, "events")
-    sent = messages.to_messages(events.where(F.col("event_id") >= first), "events", "ts")
-    return sinks.collect_files(messages.parse_payload(sent, events.schema), "from-id")
+    """A stream of each partition's messages from the middle on."""
+    sent, ends, schema = numbered_messages(spark, folder)
+    path = scratch(spark, "sent")
+    sent.write.parquet(path)
+    stream = files.stream_files(spark, path, "parquet", sent.schema).join(materialize(ends, "ends"), "partition")
+    chosen = stream.where(F.col("offset") >= F.floor(F.col("last") / 2))
+    return numbered(sinks.collect_files(messages.parse_payload(chosen, schema, "partition", "offset"), "from-offset"))
 
 
 @query("""SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-16 00:00:00'""")

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.ranking import in_groups
+
 # JSON text keeps microseconds; the format's default would cut them to milliseconds.
 JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
@@ -38,11 +40,32 @@ def parse_payload(messages: DataFrame, schema: T.StructType | str, *keep: str) -
             .select("value.*", *keep))
 
 
-def to_messages(df: DataFrame, topic: str | Column, time: str) -> DataFrame:
-    """Rows as messages: no key, all columns as a JSON object in bytes, the topic (a name, or a column) and the time."""
+def to_messages(df: DataFrame, topic: str | Column, time: str, *beside: str) -> DataFrame:
+    """Rows as messages: no key, all columns but those of ``beside`` as a JSON object in bytes, the topic (a name, or a
+    column), the time, and the columns of ``beside``."""
     topic = F.lit(topic) if isinstance(topic, str) else topic
-    return df.select(F.lit(None).cast("binary").alias("key"), F.to_json(F.struct(*df.columns), JSON_TIMES).cast("binary").alias("value"),
-                     topic.alias("topic"), F.col(time).cast("timestamp").alias("timestamp"))
+    own = [c for c in df.columns if c not in beside]
+    return df.select(F.lit(None).cast("binary").alias("key"), F.to_json(F.struct(*own), JSON_TIMES).cast("binary").alias("value"),
+                     topic.alias("topic"), F.col(time).cast("timestamp").alias("timestamp"), *beside)
+
+
+NUMBERED = "key binary, value binary, topic string, timestamp timestamp, partition long, offset long"
+
+
+def numbered_batches(path: str, topic: str, partition: str, order: str, time: str):
+    """For ``sinks.each_batch``: each batch's messages in its own folder, with their partition (a column of the rows) and offset
+    there. Offsets go on where earlier epochs ended; a repeated epoch sees the same ends and replaces its folder."""
+    def write(batch: DataFrame, epoch: int) -> None:
+        placed = in_groups(batch, partition, [F.asc(order)], "offset")
+        if epoch > 0:
+            earlier = batch.sparkSession.read.schema(f"{NUMBERED}, epoch long").parquet(path).where(F.col("epoch") < epoch)
+            ends = earlier.groupBy(F.col("partition").alias("_of")).agg((F.max("offset") + 1).alias("_start"))
+            placed = placed.join(ends, F.col(partition).eqNullSafe(F.col("_of")), "left").withColumn(
+                "offset", F.col("offset") + F.coalesce("_start", F.lit(0))).drop("_of", "_start")
+        sent = to_messages(placed.withColumnRenamed(partition, "partition"), topic, time, "partition", "offset")
+        sent.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+    return write
 
 
 def of_topics(messages: DataFrame, *topics: str) -> DataFrame:

@@ -27,6 +27,20 @@ def time_slices(df: DataFrame, time: str, n: int, bounds: tuple | None = None) -
     return [df.filter(test) for test in tests]
 
 
+def number_slices(df: DataFrame, number: str, n: int) -> list[DataFrame]:
+    """As :func:`time_slices`, by a whole number: n spans of equal length, in order; rows without one come last."""
+    low, high = df.agg(F.min(number), F.max(number)).first()
+    if low is None:
+        return [df, *[df.limit(0)] * (n - 1)]
+    edges, at = [low - (low - high) * i // n for i in range(n + 1)], F.col(number)
+    tests = [(at >= edges[i]) & (at < edges[i + 1]) for i in range(n)]
+    if n > 1:
+        tests[0], tests[-1] = at < edges[1], (at >= edges[-2]) | at.isNull()
+    else:
+        tests = [F.lit(True)]
+    return [df.filter(test) for test in tests]
+
+
 def time_range(df: DataFrame, time: str) -> tuple[int | None, int | None]:
     """Earliest and latest time, in microseconds: plain numbers, free of the driver's own time zone."""
     return tuple(df.agg(F.min(F.unix_micros(time)), F.max(F.unix_micros(time))).first())

@@ -5,6 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from helpers import plan_of, rows
+from millrace.plans.catalog import queries
 from millrace.session import scratch
 from millrace.sources import files, messages
 from millrace.sources.tables import naive, read_table, stream_table, zoned_schema
@@ -179,3 +180,32 @@ def test_memory_table_with_extra_column(spark, sf):
     found = spark.sql("select *, current_timestamp() as noticed_at from seen_events where event_type = 'click'")
     assert found.count() == read_table(spark, sf, "events").filter("event_type = 'click'").count()
     assert "noticed_at" in found.columns
+
+
+def test_offsets_go_on_from_batch_to_batch(spark):
+    df = spark.createDataFrame([(i, f"r{i}", i * 1000) for i in range(40)] + [(None, "none", 5)] * 2 + [(7, "r7", 7)],
+                               "id long, text string, at long").withColumn("at", F.timestamp_micros("at"))
+    path = scratch(spark, "numbered")
+    write = messages.numbered_batches(path, "t", "partition", "id", "at")
+    cut = [p.withColumn("partition", F.col("id") % 2) for p in replay.number_slices(df, "id", 3)]
+    for epoch, batch in ((0, cut[0]), (1, cut[1]), (1, cut[1]), (2, cut[2])):
+        write(batch, epoch)
+    sent = spark.read.schema(messages.NUMBERED).parquet(path)
+    assert rows(sent.select("topic").distinct()) == [("t",)]
+    found = rows(messages.parse_payload(sent, "id long, text string", "partition", "offset"), "partition", "offset", "id")
+    odd, even = sorted([*range(1, 40, 2), 7]), list(range(0, 40, 2))
+    assert found == [*[(0, o, i) for o, i in enumerate(even)], *[(1, o, i) for o, i in enumerate(odd)], (None, 0, None), (None, 1, None)]
+
+
+@pytest.mark.parametrize("name, held", [("message_sink_stream", lambda o, n: True),
+                                        ("offset_range_scan", lambda o, n: n // 4 <= o < n // 2), ("offset_start_stream", lambda o, n: o >= n // 2)])
+def test_messages_are_numbered_in_partitions(spark, name, held):
+    folder = scratch(spark, "odd-ids")  # ids that do not follow the time, and one twice
+    ids = [(i * 7) % 50 * 3 + (i % 5 == 0) for i in range(50)] + [3]
+    spark.createDataFrame([(i, i % 4, n) for n, i in enumerate(ids)], "event_id long, user_id long, n long").select(
+        "event_id", F.timestamp_micros(F.col("n") * 1_000_000).alias("ts"), "user_id").write.parquet(f"{folder}/events.parquet")
+    expected = []
+    for p in {i % 3 for i in ids}:
+        own = sorted(i for i in ids if i % 3 == p)
+        expected += [(i, i % 4, p, o) for o, i in enumerate(own) if held(o, len(own))]
+    assert rows(queries()[name](spark, folder)) == sorted(expected)
