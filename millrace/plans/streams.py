@@ -415,8 +415,8 @@ def stream_static_left(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.collect_files(joins.with_table(events, known, "event_type", "left"), "static-left")
 
 
-SHARED = "4 weeks"
-SHARED_US = 28 * 24 * 3600 * 1000000
+SHARED = "52 weeks"
+SHARED_US = 364 * 24 * 3600 * 1000000
 SPANS = f"""heads AS (SELECT o_orderkey AS order_id, o_custkey AS user_id,
     CAST(floor(epoch_us(o_orderdate) / {SHARED_US}) AS BIGINT) AS w FROM orders),
   lines AS (SELECT l_orderkey AS order_id, l_partkey AS item_id, l_linenumber AS line,
@@ -425,7 +425,7 @@ WINDOW_ENDS = f"""make_timestamp(w * {SHARED_US}) AS window_start, make_timestam
 
 
 def orders_with_lines(spark: SparkSession, folder: str, how: str) -> DataFrame:
-    """Orders and their lines as two streams, joined on order and four-week window."""
+    """Orders and their lines as two streams, joined on order and 52-week window."""
     heads = read_table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
         F.col("o_orderdate").alias("ordered_at"))
@@ -438,7 +438,7 @@ def orders_with_lines(spark: SparkSession, folder: str, how: str) -> DataFrame:
            replay.time_slices(lines, "shipped_at", SLICES, bounds)]
     heavy = heavy_keys(lines, ["order_id"])
     (left_folder, left), (right_folder, right) = (landed(spark, c, "join-input") for c in cut)
-    joined = joins.within_window(left, "ordered_at", right, "shipped_at", ["order_id"], SHARED, "7 days", how,
+    joined = joins.within_window(left, "ordered_at", right, "shipped_at", ["order_id"], SHARED, "30 days", how,
                                  heavy, ["item_id", "line", "shipped_at"], scratch(spark, "heavy-orders"))
     found = windows.flat(joined.select(windows.WINDOW, "order_id", "user_id", "item_id", "line"))
     run = sinks.Bounded(found, "joined")
@@ -454,7 +454,7 @@ def stream_stream_inner(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""WITH {SPANS}, seen AS (
-  SELECT least((SELECT max(o_orderdate) FROM orders), (SELECT max(l_shipdate) FROM lineitem)) - INTERVAL 7 DAY AS mark)
+  SELECT least((SELECT max(o_orderdate) FROM orders), (SELECT max(l_shipdate) FROM lineitem)) - INTERVAL 30 DAY AS mark)
 SELECT {WINDOW_ENDS}, order_id, coalesce(user_id, -1) AS user_id, item_id, line
 FROM lines LEFT JOIN heads USING (order_id, w)
 WHERE user_id IS NOT NULL OR make_timestamp((w + 1) * {SHARED_US}) <= (SELECT mark FROM seen)""")

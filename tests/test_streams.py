@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from helpers import plan_of, rows
 from millrace.operators.skew import heavy_keys, pinned
+from millrace.plans import catalog
 from millrace.session import materialize, scratch
 from millrace.sources import files
 from millrace.sources.tables import read_table, stream_table
@@ -312,3 +313,17 @@ def test_keep_alive_ends_with_its_condition(spark):
     query = sinks.memory(files.rate_stream(spark, 1), "kept_alive")
     run.keep_alive(query, 1, stop_when=lambda: True)
     assert not query.isActive
+
+
+def test_orders_meet_lines_shipped_months_later(spark):
+    """Windows of 52 weeks: an order and a line three months apart share one, as they do not in one of four weeks."""
+    folder = scratch(spark, "orders-lines")
+    spark.sql("SELECT id AS o_orderkey, id % 5 AS o_custkey, timestamp'2020-01-10' + make_interval(0, 0, 0, id * 20) AS o_orderdate "
+              "FROM range(60)").write.parquet(f"{folder}/orders.parquet")
+    spark.sql("SELECT id AS l_orderkey, id * 2 AS l_partkey, 1 AS l_linenumber, timestamp'2020-01-10' + make_interval(0, 0, 0, id * 20 + 90) AS l_shipdate "
+              "FROM range(60)").write.parquet(f"{folder}/lineitem.parquet")
+    year = 364 * 24 * 3600
+    start = 1578614400  # 2020-01-10
+    shared = [i for i in range(60) if (start + i * 20 * 86400) // year == (start + (i * 20 + 90) * 86400) // year]
+    found = catalog.queries()["stream_stream_inner"](spark, folder)
+    assert len(shared) > 30 and sorted(r["order_id"] for r in found.collect()) == shared
