@@ -143,3 +143,44 @@ def test_planted_secrets_without_a_keyword(make_docs):
     assert np.mean(found) >= 0.75
     others = [rows[i]["n_model"] for i, _ in docs if i not in planted and i % 4]
     assert np.mean(np.array(others) > 0) <= 0.05, np.mean(np.array(others) > 0)
+
+
+def shard_findings(spark, secrets, words):
+    rows = [(i, [2], [0], [1], [c]) for i, c in enumerate(secrets)] + [(i, [3, 3], [0, 0], [1, 1], [c, c]) for i, c in enumerate(words)]
+    return spark.createDataFrame(rows, f"doc_id long, {s.FOUND}")
+
+
+def shard_windows(rng, alphabet, size, n):
+    return [s.window_of(b"see the " + bytes(rng.choice(list(alphabet), size).tolist()) + b" and so on", 8, 8 + size) for _ in range(n)]
+
+
+def test_the_network_learns_from_every_window(spark):
+    """Each window of both labels is in a shard, whatever their number; the rarer label in as many as make the labels equal."""
+    rng = np.random.default_rng(3)
+    secrets, words = shard_windows(rng, b"0123456789abcdef", 32, 90), shard_windows(rng, b"aeioutrnsl", 18, 700)
+    long = s.windows_of(b"x" * 100, 0, 100)
+    seen = {}
+    for r in s.dealt(s.labelled(shard_findings(spark, secrets, [*words, long])), 100).collect():
+        cuts = bytes.fromhex(r["cuts"])
+        assert sorted(r["turns"]) == r["turns"] and len(cuts) == s.WINDOW * len(r["labels"]) and 70 <= r["labels"].count(0) <= 110
+        for i, (label, turn) in enumerate(zip(r["labels"], r["turns"])):
+            seen.setdefault((label, cuts[i * s.WINDOW:(i + 1) * s.WINDOW]), []).append((turn, r["shard"]))
+    expected = {(1, c) for c in secrets} | {(0, c) for c in words} | {(0, long[:s.WINDOW])}
+    assert set(seen) == expected
+    assert sorted(x[0][0] for x in seen.values()) == list(range(len(expected))) and all(len({t for t, _ in x}) == 1 for x in seen.values())
+    assert all(len(x) == len(set(x)) == (7 if label else 1) for (label, _), x in seen.items())
+
+
+def test_shards_make_one_network(spark):
+    """A fit to many shards knows secrets from words; a fit to one is that to its windows at once."""
+    rng = np.random.default_rng(5)
+    secrets, words = shard_windows(rng, b"0123456789abcdef", 32, 120), shard_windows(rng, b"aeioutrnsl", 18, 900)
+    found = shard_findings(spark, secrets, words)
+    windows = np.array([np.frombuffer(c, np.uint8) for c in secrets + words])
+    net, *rest, threshold = s.fit_all(found, s.RECALL, 150)
+    chance = s.chances(net, *rest, windows)
+    assert (chance[:120] >= threshold).mean() >= 0.95 and (chance[120:] >= threshold).mean() <= 0.01
+    whole, = s.dealt(s.labelled(found), 2000).collect()
+    windows = np.frombuffer(bytes.fromhex(whole["cuts"]), np.uint8).reshape(-1, s.WINDOW)
+    assert s.fit_all(found, s.RECALL, 2000)[1:] == s.fit(windows, np.array(whole["labels"]))[1:]
+    assert s.fit_all(shard_findings(spark, [], words), s.RECALL) is None
