@@ -173,3 +173,20 @@ def test_recall_of_reworded_items_against_all_stretches(spark, make_docs, n):
     found = {(x["doc_id"], x["item_id"]) for x in r.find_leaks(make_docs(docs), spark.createDataFrame(items, ITEMS)).collect()}
     assert len(inside) >= 60 and len(found & inside) >= 0.9 * len(inside)
     assert found <= set(planted)
+
+
+def test_rows_of_terms_are_added_up_whole():
+    rng = np.random.default_rng(8)
+    values, sizes = rng.integers(0, 9, (50, 6)).astype(np.float32), np.array([1, 3, 5000, 32, 33, 1, 64, 1025])
+    rows, heads = rng.integers(0, 50, sizes.sum()), np.r_[0, np.cumsum(sizes)[:-1]]
+    assert (r.sums_of_runs(values, rows, heads) == np.add.reduceat(values[rows], heads, axis=0)).all()
+    assert r.sums_of_runs(values, rows[:2], np.arange(2)).tolist() == values[rows[:2]].tolist()
+    block = rng.integers(0, 50, (3000, r.BLOCK))
+    assert (r.block_sums(block, values) == values[block].sum(1)).all() and r.block_sums(block[:0], values).shape == (0, 6)
+
+
+def test_the_table_that_words_look_up_lies_row_by_row():
+    """Singular vectors come column by column, and each word would be gathered from all over the table."""
+    basis = np.asfortranarray(np.random.default_rng(1).normal(size=(r.FEATURES, 8)).astype(np.float32))
+    table = r.weighted(basis, np.ones(r.FEATURES, np.float32))
+    assert table.flags.c_contiguous and table.dtype == np.float32 and (table[:-1] == basis).all() and not table[-1].any()

@@ -6,6 +6,7 @@ import xxhash
 
 from millrace.llm import pigeonring as p
 from millrace.llm.blocks import spanning_links
+from millrace.llm import components as components_module
 from millrace.llm.components import components
 
 
@@ -128,3 +129,25 @@ def test_null_and_shared_ids_are_told_apart_by_their_texts(make_docs):
     found = p.near_duplicates(df).collect()
     assert len(found) == len(rows) and sum(r["component_id"] is None for r in found) == 7
     assert sorted((r["doc_id"] or 0, r["component_id"]) for r in found if r["component_id"]) == [(0, 5), (3, 3), (5, 3)] + [(5, 5)] * 6
+
+
+def test_few_links_settle_with_few_shuffles(spark):
+    """A round of few links has half the shuffles at most, and each of them burdens the driver; the components are those of any number."""
+    rng = random.Random(4)
+    pairs = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(220)] + [(400 + i, 401 + i) for i in range(40)]
+    edges = spark.createDataFrame(pairs, "u long, v long")
+    stars = [components_module.small_star(components_module.large_star(x, few), few) for x, few in ((edges, False), (edges.coalesce(1), True))]
+    many, few = (x._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for x in stars)
+    assert few <= many // 2
+    group = {x: x for pair in pairs for x in pair}
+    for _ in range(len(group)):
+        for u, v in pairs:
+            group[u] = group[v] = min(group[u], group[v])
+    linked = {x for u, v in pairs for x in (u, v) if u != v}
+    for few in (0, components_module.FEW):
+        components_module.FEW, before = few, components_module.FEW
+        try:
+            found = {r["node"]: r["component"] for r in components(edges).collect()}
+        finally:
+            components_module.FEW = before
+        assert found == {x: group[x] for x in linked}
