@@ -37,6 +37,30 @@ def spanning_links(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> t
     return unique[moved], label[moved]
 
 
+class Joined:
+    """Which of the links that pass by join something new. Beyond ``most`` nodes all are forgotten: then links come
+    again, but none is lost."""
+
+    def __init__(self, most: int):
+        self.most, self.parent = most, {}
+
+    def top(self, x: int) -> int:
+        parent = self.parent
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    def new(self, u: list[int], v: list[int]) -> list[bool]:
+        out = []
+        for a, b in zip(u, v):
+            if len(self.parent) > self.most:
+                self.parent = {}
+            a, b = self.top(a), self.top(b)
+            out.append(a != b)
+            self.parent[max(a, b)] = min(a, b)
+        return out
+
+
 def sorted_groups(batches, keys: int):
     """Groups of equal leading ``keys`` columns from Arrow batches sorted by them: lists of numpy columns, the
     list columns as 2-d arrays. Only one group is held beyond the batch that is read."""

@@ -18,16 +18,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.blocks import spanning_links
+from millrace.llm.blocks import Joined, spanning_links, whole_cells
 from millrace.llm.common import map_texts, materialize, set_apart, split_text, strings, text_rows
 from millrace.llm.components import components
 
 BITS = 64
 SEED = 42
 CHUNK = 100_000  # shingles whose bits are counted at a time
-HEAVY = 200  # fingerprints under one key from which pairs are found in blocks
+HEAVY = 16  # fingerprints under one key beyond which pairs are found in blocks, and joined by as few links as rows
 BLOCK = 1024
 KEYS = 500_000  # of a task that lists them
+HELD = 500_000  # nodes whose links a task remembers
 
 
 def shingle_hashes(text: str, words: int) -> list[int]:
@@ -176,7 +177,8 @@ def heavy_links(offers: DataFrame, asks: DataFrame, heavy: DataFrame, distance:
     """Pairs under keys with many fingerprints, compared in cells of about BLOCK by BLOCK rows.
 
     Each side is dealt to blocks by a hash and repeated for the blocks of the other side, so a key of any
-    size is spread over tasks; each cell emits at most one link per row.
+    size is spread over tasks; a task emits the links that join what its cells before have not joined, less than one
+    per fingerprint however many cells or pairs it has.
     """
     sizes = heavy.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
 
@@ -186,7 +188,15 @@ def heavy_links(offers: DataFrame, asks: DataFrame, heavy: DataFrame, distance:
         return side.join(sizes, "key").select("key", "rep", "print", F.lit(is_ask).alias("asks"), own_block, every)
 
     rows = dealt(offers, "i", "j", False).unionByName(dealt(asks, "j", "i", True))
-    return rows.groupBy("key", "i", "j").applyInPandas(lambda cell: block_links(cell, distance), "u long, v long")
+
+    def run(batches):
+        joined = Joined(HELD)
+        for cell in whole_cells(batches, 3):
+            found = block_links(cell.to_pandas(), distance)
+            yield pa.RecordBatch.from_pandas(found[joined.new(found["u"].tolist(), found["v"].tolist())], preserve_index=False)
+
+    cells = rows.select("key", "i", "j", "rep", "print", "asks").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return cells.mapInArrow(run, "u long, v long")
 
 
 def links(prints: DataFrame, distance: int) -> DataFrame:

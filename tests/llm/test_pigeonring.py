@@ -5,7 +5,7 @@ import pytest
 import xxhash
 
 from millrace.llm import pigeonring as p
-from millrace.llm.blocks import spanning_links
+from millrace.llm.blocks import Joined, spanning_links
 from millrace.llm import components as components_module
 from millrace.llm.components import components
 
@@ -82,6 +82,38 @@ def test_links_lose_no_pair(spark, monkeypatch, heavy):
     assert {i: found.get(i, i) for i in prints} == expected
 
 
+def test_links_of_a_group_grow_with_its_rows(spark):
+    """180 near copies, fewer than the former limit of 200, each linked to each: far fewer links than pairs join them."""
+    rng = random.Random(180)
+    centre, prints = rng.getrandbits(63), set()
+    while len(prints) < 180:
+        value = centre
+        for b in rng.sample(range(26, 63), 2):
+            value ^= 1 << b
+        prints.add(value)
+    rows = p.links(spark.createDataFrame([(x, x) for x in prints], "rep long, print long"), 4).collect()
+    found = {r["node"]: r["component"] for r in components(spark.createDataFrame(rows)).collect()}
+    assert found == dict.fromkeys(prints, min(prints))
+    assert len({(min(r["u"], r["v"]), max(r["u"], r["v"])) for r in rows}) < 20 * 180 < 180 * 179 // 2
+
+
+def test_joined_tells_links_that_join_something(spark):
+    rng = random.Random(6)
+    u, v = ([rng.randint(0, 80) for _ in range(400)] for _ in range(2))
+    for most in (1000, 20):
+        joined = Joined(most)
+        kept = [x for k in range(0, 400, 50) for x, new in zip(zip(u[k:], v[k:]), joined.new(u[k:k + 50], v[k:k + 50])) if new]
+        assert len(kept) <= 80 or most == 20
+        groups = []
+        for links in (list(zip(u, v)), kept):
+            group = {x: x for x in range(81)}
+            for _ in range(81):
+                for a, b in links:
+                    group[a] = group[b] = min(group[a], group[b])
+            groups.append(group)
+        assert groups[0] == groups[1]
+
+
 def test_odd_tables(make_docs):
     assert p.near_duplicates(make_docs([])).collect() == []
     rows = p.near_duplicates(make_docs([(5, "a b c d e")] * 3 + [(None, "a b c d e"), (6, "x" * 100_000)])).collect()
