@@ -9,6 +9,7 @@ item's last sentence decide.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,7 @@ ITEMS = 5000         # items that one pass over the documents looks for
 CHUNK = 1 << 18
 ROWS = 1 << 10       # that are added up at a time
 PASSAGES = 1 << 19   # of a task that adds up products
+SHORT = 4            # values of a term in a chunk that are added without reduceat
 SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
 
@@ -184,9 +186,9 @@ class Passages:
         # Of a word that stands there k times, the last has rank k: the square of its count is the sum of 2 * rank - 1.
         new = np.ones(words.shape, bool)
         new[:, 1:] = words[:, 1:] != words[:, :-1]
-        spot = np.arange(words.shape[1])
-        rank = spot - np.maximum.accumulate(np.where(new, spot, 0), axis=1) + 1
-        length = np.sqrt((np.square(self.idf[words]) * (2 * rank - 1)).sum(1))
+        spot = np.arange(words.shape[1], dtype=np.int8)
+        rank = spot - np.maximum.accumulate(new * spot, axis=1) + np.int8(1)
+        length = np.sqrt(np.multiply(np.square(self.idf).take(words), 2 * rank - 1, dtype=float).sum(1))
         self.scale = np.divide(1, length, out=np.zeros(len(length)), where=length > 0).astype(np.float32)[:, None]
 
     def times(self, basis: np.ndarray) -> np.ndarray:
@@ -200,18 +202,21 @@ class Passages:
         out *= self.scale
         sums = np.zeros((len(self.block), out.shape[1]), np.float32)
         sums[self.index] = out
-        sums[self.index[self.two] + 1] += out[self.two]
+        after = np.zeros(len(self.block), bool)  # blocks that are the second of the passage from the block before
+        after[self.index[self.two] + 1] = True
         where = np.flatnonzero(self.block < FEATURES)
         terms = self.block.ravel()[where]
         order = np.argsort(terms, kind="stable")  # two bytes: by counting
         terms, rows = terms[order].astype(np.int64), where[order] // BLOCK
-        heads = np.flatnonzero(np.r_[True, terms[1:] != terms[:-1]]) if len(terms) else np.zeros(0, np.int64)
-        if len(heads):
-            found = terms[heads]
+        if len(terms):
+            found, rows, add = sums_by_run(terms, rows)
             weight = self.idf[found]
             # A pair of columns after the other, which is many times as fast as sums of rows by term.
-            for own, column in zip(total, np.ascontiguousarray(in_pairs(sums).T)):
-                own[found] += np.add.reduceat(column.take(rows), heads) * weight
+            room = np.empty(len(rows), np.complex64)
+            for own, one in zip(total, np.ascontiguousarray(in_pairs(sums).T)):
+                column = one.copy()
+                column[1:] += one[:-1] * after[1:]
+                own[found] += add(column.take(rows, out=room, mode="clip")) * weight
 
     @staticmethod
     def reader(idf: np.ndarray):
@@ -222,6 +227,30 @@ class Passages:
         return of
 
 
+def sums_by_run(terms: np.ndarray, rows: np.ndarray):
+    """(term of each run of equal terms, ``rows`` in another order, a function from values in that order to the sum of each
+    run). Runs of up to SHORT values, most of all, are added together by their length, in the order in which reduceat adds:
+    it takes longer to begin a run than to add it."""
+    heads = np.flatnonzero(np.r_[True, terms[1:] != terms[:-1]])
+    sizes = np.diff(np.r_[heads, len(terms)])
+    short = [heads[sizes == k] for k in range(1, SHORT + 1)]
+    long = sizes > SHORT
+    found = terms[np.concatenate([*short, heads[long]])]
+    spots = [(own[None, :] + np.arange(k)[:, None]).ravel() for k, own in enumerate(short, 1)]
+    order = np.concatenate([*spots, np.flatnonzero(np.repeat(long, sizes))])
+    begin = (np.cumsum(sizes[long]) - sizes[long]) + sum(map(len, spots))
+
+    def add(values: np.ndarray) -> np.ndarray:
+        out, at = [], 0
+        for k, own in enumerate(short, 1):
+            first, *rest = values[at:at + k * len(own)].reshape(k, -1)
+            out.append(first + reduce(np.add, rest) if rest else first)
+            at += k * len(own)
+        return np.concatenate([*out, np.add.reduceat(values, begin)] if len(begin) else out)
+
+    return found, rows[order], add
+
+
 def in_pairs(rows: np.ndarray) -> np.ndarray:
     """Two columns as one of complex numbers, which numpy moves and adds as fast as one of the two."""
     return np.ascontiguousarray(rows, np.float32).view(np.complex64)
@@ -380,8 +409,13 @@ def leaks_of(hashes, first, table, looked: Searched, options):
     if not len(rows):
         return []
     vectors = passage_vectors(hashes, first, table)
-    words = in_passages(in_blocks((hashes >> np.uint64(32)).astype(np.int64), first, -2), first, -2)
     pieces = len(looked.owner)
+
+    def words_of(some: np.ndarray) -> np.ndarray:
+        """The words of some passages, -2 past the end of their rows: few passages come near a piece."""
+        where, end = begin[some, None] + np.arange(2 * BLOCK), first[rows[some] + 1][:, None]
+        return np.where(where < end, (hashes[np.minimum(where, len(hashes) - 1)] >> np.uint64(32)).astype(np.int64), -2)
+
     near: dict[tuple[int, int], list[tuple[float, int]]] = {}
     for a in range(0, len(rows), 2048):
         close = (vectors[a:a + 2048] @ looked.vectors.T).ravel()
@@ -390,15 +424,17 @@ def leaks_of(hashes, first, table, looked: Searched, options):
         new = np.r_[True, row[1:] != row[:-1]] if len(row) else np.zeros(0, bool)
         here, spot = row[new], np.cumsum(new) - 1  # the passages that are close to a piece, and which of them a pair has
         there_slots = np.zeros((len(here), SLOTS), bool)
-        there_slots[np.arange(len(here))[:, None], words[here + a] & (SLOTS - 1)] = True
+        words = words_of(here + a)
+        there_slots[np.arange(len(here))[:, None], words & (SLOTS - 1)] = True
         for k in range(0, len(pairs), 8192):
-            some = pairs[k:k + 8192]
+            some, own = pairs[k:k + 8192], spot[k:k + 8192]
             # Slots in common bound the words in common.
-            slots = there_slots[spot[k:k + 8192, None], looked.slots[some % pieces]]
-            some = some[(slots * looked.weight[some % pieces]).sum(1) >= OVERLAP - 1e-6]
+            slots = there_slots[own[:, None], looked.slots[some % pieces]]
+            may = (slots * looked.weight[some % pieces]).sum(1) >= OVERLAP - 1e-6
+            some, own = some[may], own[may]
             where, piece = some // pieces + a, some % pieces
             # Words in common bound what can be in order.
-            there = (looked.words[piece][:, :, None] == words[where][:, None, :]).any(2)
+            there = (looked.words[piece][:, :, None] == words[own][:, None, :]).any(2)
             for i in np.flatnonzero((there * looked.weight[piece]).sum(1) >= OVERLAP).tolist():
                 key = int(rows[where[i]]), int(looked.owner[piece[i]])
                 near.setdefault(key, []).append((float(close[some[i]]), int(where[i])))

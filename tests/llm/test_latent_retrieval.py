@@ -186,3 +186,18 @@ def test_the_table_that_words_look_up_lies_row_by_row():
     basis = np.asfortranarray(np.random.default_rng(1).normal(size=(r.FEATURES, 8)).astype(np.float32))
     table = r.weighted(basis, np.ones(r.FEATURES, np.float32))
     assert table.flags.c_contiguous and table.dtype == np.float32 and (table[:-1] == basis).all() and not table[-1].any()
+
+
+def test_sums_by_run_are_those_of_reduceat():
+    """To the last bit, so that results round as before; most runs are short."""
+    rng = np.random.default_rng(12)
+    for n, top in ((0, 5), (1, 5), (300, 2), (5000, 1500), (5000, 100_000)):
+        terms = np.sort((top * rng.random(n) ** 3).astype(np.int64))
+        rows, column = rng.integers(0, 400, n), rng.normal(size=(400, 2)).astype(np.float32).view(np.complex64).ravel()
+        if not n:
+            continue
+        heads = np.flatnonzero(np.r_[True, terms[1:] != terms[:-1]])
+        found, order, add = r.sums_by_run(terms, rows)
+        at = np.argsort(found)
+        assert (found[at] == terms[heads]).all()
+        assert (add(column.take(order))[at] == np.add.reduceat(column.take(rows), heads)).all()
