@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from functools import lru_cache
 
 # The public splitting pattern of byte-level BPE.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -23,15 +24,15 @@ def letter_bytes() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+@lru_cache(maxsize=1)
 def encoder(path: str):
     """A function from a text to its ids, equal to ``Tokenizer.from_file(path).encode(text,
     add_special_tokens=False).ids``.
 
     The same merges run in tiktoken, several times as fast; texts with very long unbroken runs, on which it
-    is slow, go to tokenizers.
+    is slow, go to tokenizers. A process keeps the last one, so that its tasks do not each read the vocabulary.
     """
     import tiktoken
-    from tokenizers import Tokenizer
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
@@ -44,6 +45,7 @@ def encoder(path: str):
     def encode(text: str) -> list[int]:
         if LONG_WORD.search(text):
             if not slow:
+                from tokenizers import Tokenizer
                 slow.append(Tokenizer.from_file(path))
             return slow[0].encode(text, add_special_tokens=False).ids
         return fast.encode(text, allowed_special="all")

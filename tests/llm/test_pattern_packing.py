@@ -18,6 +18,10 @@ def test_ids_equal_the_tokenizer(text):
     assert byte_tokens.encoder(PATH)(text) == SLOW.encode(text, add_special_tokens=False).ids
 
 
+def test_a_process_reads_the_vocabulary_once():
+    assert byte_tokens.encoder(PATH) is byte_tokens.encoder(PATH)
+
+
 def check(rows, docs, capacity):
     ids = {i: SLOW.encode(t or "", add_special_tokens=False).ids + [2] for i, t in docs}
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
