@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import convnet
 from millrace.llm.common import (
-    bytes_of, map_texts, materialize, numbered, row_chunks, set_apart, split_text, text_rows, with_lanes)
+    batches_of, bytes_of, map_texts, materialize, numbered, row_chunks, set_apart, split_text, text_rows, with_lanes)
 
 # The base patterns, their order, and the least lengths (of group 2, the match, the match).
 ASSIGN = re.compile(rb"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -26,6 +27,7 @@ SPAN = 48             # bytes of the candidate that a window holds; a longer one
 WINDOW = 2 * CONTEXT + SPAN
 SHARD = 4000          # windows of each label that a pass of the fit holds; all shards take part in it
 TASKS = 32            # that read shards, and send a sum to the driver
+SHARDS_PER_BATCH = 4  # that a worker holds
 STEPS, FAR = 256, 32  # steps of margins by one, and the largest
 MARGINS = np.arange(-FAR * STEPS, FAR * STEPS + 1) / STEPS
 RECALL = 0.98         # of known secrets, with and without their keyword, held out from the fit
@@ -206,18 +208,25 @@ def dealt(each: DataFrame, size: int = SHARD) -> DataFrame | None:
 
 
 def over_shards(shards: DataFrame):
-    """A function that adds up, over all shards, the arrays that a task makes of windows, labels and turns."""
+    """A function that adds up, over all shards, the arrays that a task makes of windows, labels and turns.
+
+    It maps batches, as all text operators do, for a task on an RDD has Python workers and a daemon of its own, which stay
+    beside theirs."""
     def over(task):
-        def run(rows):
+        def run(batches):
             total = None
-            for r in rows:
-                windows = np.frombuffer(bytes.fromhex(r["cuts"]), np.uint8).reshape(-1, WINDOW)
-                part = task(windows, np.array(r["labels"], np.int64), np.array(r["turns"], np.int64))
-                total = part if total is None else [a + b for a, b in zip(total, part)]
-            return [] if total is None else [total]
+            for batch in batches:
+                for cuts, labels, turns in zip(*(batch.column(c) for c in ("cuts", "labels", "turns"))):
+                    windows = np.frombuffer(bytes.fromhex(cuts.as_py()), np.uint8).reshape(-1, WINDOW)
+                    part = task(windows, *(x.values.to_numpy().astype(np.int64) for x in (labels, turns)))
+                    total = part if total is None else [a + b for a, b in zip(total, part)]
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(total)], pa.binary())], ["total"])
 
         # One sum per task comes to the driver, in order, so that rounding is the same each time.
-        return [sum(x) for x in zip(*shards.rdd.coalesce(TASKS).mapPartitions(run).collect())]
+        with batches_of(shards.sparkSession, SHARDS_PER_BATCH):
+            totals = shards.coalesce(TASKS).mapInArrow(run, "total binary").collect()
+        return [sum(x) for x in zip(*(pickle.loads(r["total"]) for r in totals))]
 
     return over
 
@@ -348,34 +357,46 @@ def fit_all(found: DataFrame, recall: float, size: int = SHARD):
     return None if shards is None else fit_over(over_shards(shards), recall)
 
 
+def decided(batch: pa.RecordBatch, model) -> list[list[tuple[int, int, int]]]:
+    """For each row of a batch of findings its (start, kind, end) in order, without the candidates that the network turns down."""
+    kinds, starts, ends, cuts = (batch.column(n).to_pylist() for n in ("kinds", "starts", "ends", "cuts"))
+    ask = [(i, j) for i, ks in enumerate(kinds) for j, k in enumerate(ks) if k == 3]
+    taken = set()
+    if ask and model is not None:
+        net, slope, shift, threshold = model
+        sizes = np.array([len(cuts[i][j]) // WINDOW for i, j in ask])
+        for first, last in row_chunks(np.r_[0, np.cumsum(sizes)], 4096):
+            some = ask[first:last]
+            windows = np.frombuffer(b"".join(cuts[i][j] for i, j in some), np.uint8).reshape(-1, WINDOW)
+            heads = np.cumsum(sizes[first:last]) - sizes[first:last]
+            # A candidate is what its most suspicious window is.
+            best = np.maximum.reduceat(chances(net, slope, shift, windows), heads)
+            taken.update(x for x, c in zip(some, best) if c >= threshold)
+    return [sorted((s, k, e) for j, (k, s, e) in enumerate(zip(ks, ss, es)) if k < 3 or (i, j) in taken)
+            for i, (ks, ss, es) in enumerate(zip(kinds, starts, ends))]
+
+
 def decide(found: DataFrame, model) -> DataFrame:
     """Drop the candidates that the network turns down, and the windows."""
     def run(batches):
         for batch in batches:
-            names = batch.schema.names
-            at = {n: i for i, n in enumerate(names)}
-            kinds, starts, ends, cuts = (batch.column(at[n]).to_pylist() for n in ("kinds", "starts", "ends", "cuts"))
-            ask = [(i, j) for i, ks in enumerate(kinds) for j, k in enumerate(ks) if k == 3]
-            taken = set()
-            if ask and model is not None:
-                net, slope, shift, threshold = model
-                sizes = np.array([len(cuts[i][j]) // WINDOW for i, j in ask])
-                for first, last in row_chunks(np.r_[0, np.cumsum(sizes)], 4096):
-                    some = ask[first:last]
-                    windows = np.frombuffer(b"".join(cuts[i][j] for i, j in some), np.uint8).reshape(-1, WINDOW)
-                    heads = np.cumsum(sizes[first:last]) - sizes[first:last]
-                    # A candidate is what its most suspicious window is.
-                    best = np.maximum.reduceat(chances(net, slope, shift, windows), heads)
-                    taken.update(x for x, c in zip(some, best) if c >= threshold)
-            spans = [sorted((s, k, e) for j, (k, s, e) in enumerate(zip(ks, ss, es)) if k < 3 or (i, j) in taken)
-                     for i, (ks, ss, es) in enumerate(zip(kinds, starts, ends))]
+            names, spans = batch.schema.names, decided(batch, model)
             out = [pa.array([[x[c] for x in row] for row in spans], pa.list_(pa.int32())) for c in (1, 0, 2)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names) - 4)), *out], [*names[:-4], "kinds", "starts", "ends"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-4], *out], [*names[:-4], "kinds", "starts", "ends"])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema[:-4]]
     return map_texts(found, run, ", ".join([*fields, "kinds array<int>, starts array<int>, ends array<int>"]))
 
 
+def searched(docs: DataFrame, keep: list[str], shard: int = SHARD, recall: float = RECALL):
+    """Stored findings, and the model fitted to all of them."""
+    clash = {"kinds", "starts", "ends", "cuts", "text_to_read"} & set(keep)
+    if clash:
+        raise ValueError(f"columns named like results: {sorted(clash)}")
+    found = materialize(findings(docs, keep), "findings")
+    return found, fit_all(found, recall, shard)
+
+
 def scan(docs: DataFrame, keep: list[str] | None = None, shard: int = SHARD, recall: float = RECALL) -> DataFrame:
     """Find secrets in every whole text.
 
@@ -389,19 +410,16 @@ def scan(docs: DataFrame, keep: list[str] | None = None, shard: int = SHARD, rec
     Null and empty texts have empty arrays; texts of any length are read whole; repeated rows each get their
     row; columns named like results are refused in ``keep``; an empty table gives an empty one.
     """
-    keep = ["doc_id"] if keep is None else keep
-    clash = {"kinds", "starts", "ends", "cuts", "text_to_read"} & set(keep)
-    if clash:
-        raise ValueError(f"columns named like results: {sorted(clash)}")
-    found = materialize(findings(docs, keep), "findings")
-    return decide(found, fit_all(found, recall, shard))
+    return decide(*searched(docs, ["doc_id"] if keep is None else keep, shard, recall))
 
 
 def redact(docs: DataFrame, mask: str = "[secret]", **options) -> DataFrame:
     """The same rows and columns, every found span of ``text`` replaced by ``mask`` and, where there is a column
-    n_chars, its value made to fit. Overlapping spans become one mask; null stays null."""
+    n_chars, its value made to fit. Overlapping spans become one mask; null stays null. ``options`` are those of ``scan``,
+    whose spans these are; they are decided on and masked in one pass, so that a task has one Python worker."""
     plain = set_apart(docs, "doc_id", "text", "n_chars")
     names = plain.columns
+    found, model = searched(plain, names, **options)
 
     def run(batches):
         for batch in batches:
@@ -409,11 +427,11 @@ def redact(docs: DataFrame, mask: str = "[secret]", **options) -> DataFrame:
             columns = list(batch.columns[:len(names)])
             texts = columns[at["text"]].to_pylist()
             sizes = columns[at["n_chars"]].to_pylist() if "n_chars" in at else None
-            for i, (ss, es) in enumerate(zip(batch.column(at["starts"]).to_pylist(), batch.column(at["ends"]).to_pylist())):
-                if not ss:
+            for i, spans in enumerate(decided(batch, model)):
+                if not spans:
                     continue
                 parts, done, reach = [], 0, -1
-                for a, b in zip(ss, es):
+                for a, _, b in spans:
                     if a >= reach:
                         parts += [texts[i][done:a], mask]
                     reach = done = max(reach, b)
@@ -425,7 +443,7 @@ def redact(docs: DataFrame, mask: str = "[secret]", **options) -> DataFrame:
                 columns[at["n_chars"]] = pa.array(sizes, columns[at["n_chars"]].type)
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return map_texts(scan(plain, keep=names, **options), run, plain.schema).toDF(*docs.columns)
+    return map_texts(found, run, plain.schema).toDF(*docs.columns)
 
 
 def report(docs: DataFrame) -> DataFrame:

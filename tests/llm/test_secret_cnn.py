@@ -184,3 +184,37 @@ def test_shards_make_one_network(spark):
     windows = np.frombuffer(bytes.fromhex(whole["cuts"]), np.uint8).reshape(-1, s.WINDOW)
     assert s.fit_all(found, s.RECALL, 2000)[1:] == s.fit(windows, np.array(whole["labels"]))[1:]
     assert s.fit_all(shard_findings(spark, [], words), s.RECALL) is None
+
+
+def test_one_python_worker_for_each_task(spark, make_docs):
+    """Masking follows the decision in the same worker, and the fit runs in those of the other text operators."""
+    import os
+
+    import pyarrow as pa
+
+    plan = s.redact(make_docs([(1, "password = abc123xyz"), (2, "word2word 2024-01-31T10-20")]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+    def run(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([os.getppid()])], ["daemon"])
+
+    rng = np.random.default_rng(7)
+    found = shard_findings(spark, shard_windows(rng, b"0123456789abcdef", 32, 5), shard_windows(rng, b"aeioutrnsl", 18, 5))
+    shards = s.dealt(s.labelled(found))
+    daemon, = s.over_shards(shards)(lambda windows, labels, turns: [np.array([os.getppid()])])
+    assert shards.count() == 1 and [r["daemon"] for r in spark.range(0, 1, 1, 1).mapInArrow(run, "daemon long").collect()] == daemon.tolist()
+
+
+def test_sums_of_shards_in_order(spark):
+    """Sums over shards are those of their rows, whatever their number, and batches have their size again afterwards."""
+    rng = np.random.default_rng(9)
+    found = shard_findings(spark, shard_windows(rng, b"0123456789abcdef", 32, 40), shard_windows(rng, b"aeioutrnsl", 18, 300))
+    shards = s.dealt(s.labelled(found), 20)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    codes, counts, turns = s.over_shards(shards)(lambda windows, labels, turns: [
+        windows.sum(0, dtype=np.int64), np.bincount(labels, minlength=2), turns.sum()])
+    rows = shards.collect()
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before and len(rows) > 10
+    assert (codes == sum(np.frombuffer(bytes.fromhex(r["cuts"]), np.uint8).reshape(-1, s.WINDOW).sum(0, dtype=np.int64) for r in rows)).all()
+    assert counts.tolist() == [sum(r["labels"].count(k) for r in rows) for k in (0, 1)] and turns == sum(sum(r["turns"]) for r in rows)
