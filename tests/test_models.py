@@ -7,6 +7,7 @@ from millrace.ml import segments as G
 from millrace.operators.aggregates import FEATURES
 from millrace.operators.bucketed import write_buckets
 from millrace.operators.keyed import KeyedTable
+from millrace.plans import models
 from millrace.plans.recommendation import recommend_into
 from millrace.plans.segment_scoring import TOUCHED, running_features, score_into
 from millrace.session import scratch
@@ -98,6 +99,35 @@ def test_recommendations_and_offline_precision(spark):
     assert mean["users"] == 12 and 0 <= mean["precision_at_k"] <= 1
 
 
+def test_best_items_are_searched_once_for_all_parts(spark, monkeypatch):
+    """Users of both parts count in both, with the same precision as when each part is searched on its own."""
+    bought = purchases(spark)
+    model = M.train_items(bought, blocks=2)
+    parts = {"train": bought.filter("user_id < 9"), "validation": bought.filter("user_id > 5 or user_id is null"),
+             "nobody": bought.filter("user_id > 99")}
+    alone = {name: M.precision(M.recommend(model, part), M.owned(bought)).agg(F.avg("precision_at_k"), F.count("*")).first()
+             for name, part in parts.items()}
+    searches = []
+    search = M.best_products
+    monkeypatch.setattr(M, "best_products", lambda *a: searches.append(1) or search(*a))
+    found = {r["part"]: (r["precision_at_k"], r["users"]) for r in M.offline_precision(model, parts, M.owned(bought)).collect()}
+    assert len(searches) == 1
+    assert {n: u for n, (_, u) in found.items()} == {"train": 9, "validation": 6, "nobody": 0} == {n: r[1] for n, r in alone.items()}
+    assert all(found[n][0] == pytest.approx(alone[n][0]) for n in ("train", "validation")) and found["nobody"][0] is None
+    recs = M.recommend(model, bought)
+    given = {r["part"]: (r["precision_at_k"], r["users"]) for r in M.offline_precision(model, parts, M.owned(bought), recs=recs).collect()}
+    assert given == found and len(searches) == 2
+
+
+def test_the_offline_query_searches_once(spark, sf, monkeypatch):
+    searches = []
+    search = M.best_products
+    monkeypatch.setattr(M, "best_products", lambda *a: searches.append(1) or search(*a))
+    assert rows(models.offline_precision(spark, sf), "part", "is_share", "by_hits") == [
+        ("train", True, True), ("validation", True, True)]
+    assert len(searches) == 1
+
+
 def test_repeats_are_merged_to_one_rating(spark):
     bought = purchases(spark)
     once = M.train_items(bought, iterations=2, blocks=2)
